@@ -207,7 +207,7 @@ class Marketplace:
             product_key(F.col("l_partkey"), F.col("l_suppkey")).alias("product_id"),
             F.col("l_partkey").alias("sku_id"),
             q.alias("quantity"),
-            money_from_cents(F.expr("round(l_extendedprice * 100) div cast(l_quantity as int)")).alias("unit_price"),
+            money_from_cents(F.expr("cast(round(l_extendedprice * 100) as bigint) div cast(l_quantity as int)")).alias("unit_price"),
             money("l_extendedprice").alias("line_total"),
         )
 
