@@ -299,3 +299,519 @@ def rep_revenue_per_period(spark, sf_dir):
 def rep_user_kpis_per_period(spark, sf_dir):
     """Per user and Day/Month/Year: orders, revenue, AOV, neighbours, change."""
     return Warehouse(spark, sf_dir).rep_user_kpis_per_period()
+
+
+# ======================================================== hierarchy & exercises
+from marketlens.operators.quality import run_suite, suite_sql  # noqa: E402
+from marketlens.plans.exercises import Exercises  # noqa: E402
+from marketlens.plans.jobs import Jobs  # noqa: E402
+from marketlens.plans.quality_suite import marketplace_suite  # noqa: E402
+
+MONETIZED_SQL = "('paid', 'shipped', 'delivered')"
+
+
+def _ex(spark, sf_dir) -> Exercises:
+    return Exercises(Warehouse(spark, sf_dir))
+
+
+def _jobs(spark, sf_dir) -> Jobs:
+    return Jobs(Warehouse(spark, sf_dir))
+
+
+def _tree_sql(nodes: str) -> str:
+    return f"""
+  select category_id, parent_id, category_name, category_id as root_category_id,
+         category_name as root_category_name, 0 as depth, cast(category_name as varchar) as category_path
+  from {nodes} where parent_id is null
+  union all
+  select c.category_id, c.parent_id, c.category_name, t.root_category_id, t.root_category_name, t.depth + 1,
+         t.category_path || ' > ' || c.category_name
+  from {nodes} c join tree t on c.parent_id = t.category_id"""
+
+
+_TREE_OUT = ("select category_id, parent_id, category_name, root_category_id, root_category_name, "
+             "cast(depth as integer) as depth, category_path from tree")
+
+
+@register("category_hierarchy", sql(_TREE_OUT, "stg_categories", local=[("tree", _tree_sql("stg_categories"))],
+                                    recursive=True))
+def category_hierarchy(spark, sf_dir):
+    """Recursive category tree: root, depth and path per category."""
+    return _ex(spark, sf_dir).category_hierarchy()
+
+
+_REGION_NODES = """
+select cast(r_regionkey as bigint) as category_id, cast(null as bigint) as parent_id, r_name as category_name from region
+union all
+select cast(1000 + n_nationkey as bigint), cast(n_regionkey as bigint), n_name from nation"""
+
+
+@register("region_hierarchy", sql(_TREE_OUT, local=[("nodes", _REGION_NODES), ("tree", _tree_sql("nodes"))],
+                                  recursive=True))
+def region_hierarchy(spark, sf_dir):
+    """The same recursive expansion over region -> nation."""
+    return _ex(spark, sf_dir).region_hierarchy()
+
+
+@register("ex_breadcrumbs", sql(
+    "select category_id as id, parent_id, category_name as name, category_path as path from tree",
+    "stg_categories", local=[("tree", _tree_sql("stg_categories"))], recursive=True))
+def ex_breadcrumbs(spark, sf_dir):
+    """Full path from the root to every category."""
+    return _ex(spark, sf_dir).ex_breadcrumbs()
+
+
+@register("ex_leaf_root_gmv", sql(
+    f"""select t.root_category_name as root_category, t.category_name as leaf_category,
+          cast(coalesce(g.gmv, 0) as double) as gmv
+        from tree t
+        left join (select s.category_id, sum(l.line_total) as gmv
+                   from stg_order_line_items l
+                   join stg_orders o on l.order_id = o.order_id and o.order_status in {MONETIZED_SQL}
+                   join stg_skus s on l.sku_id = s.sku_id group by 1) g on t.category_id = g.category_id
+        where not exists (select 1 from stg_categories c where c.parent_id = t.category_id)""",
+    "stg_categories", "stg_order_line_items", "stg_orders", "stg_skus",
+    local=[("tree", _tree_sql("stg_categories"))], recursive=True))
+def ex_leaf_root_gmv(spark, sf_dir):
+    """GMV by leaf category with its root label."""
+    return _ex(spark, sf_dir).ex_leaf_root_gmv()
+
+
+@register("ex_running_gmv", sql(
+    f"""select dt, cast(daily_gmv as double) as daily_gmv,
+          cast(sum(daily_gmv) over (partition by date_trunc('month', dt) order by dt
+               rows between unbounded preceding and current row) as double) as running_gmv
+        from (select cast(o.order_created_at as date) as dt, sum(l.line_total) as daily_gmv
+              from stg_orders o join stg_order_line_items l on o.order_id = l.order_id
+              where o.order_status in {MONETIZED_SQL} group by 1)""",
+    "stg_orders", "stg_order_line_items"))
+def ex_running_gmv(spark, sf_dir):
+    """Daily GMV with the running total inside each month."""
+    return _ex(spark, sf_dir).ex_running_gmv()
+
+
+@register("ex_orders_ma7", sql(
+    """select cast(g.d as date) as dt, coalesce(c.order_cnt, 0) as order_cnt,
+          avg(coalesce(c.order_cnt, 0)) over (order by g.d rows between 3 preceding and 3 following) as ma7
+        from span, generate_series(span.lo, span.hi, interval 1 day) g(d)
+        left join counts c on c.dt = cast(g.d as date)""",
+    "stg_orders",
+    local=[("counts", "select cast(order_created_at as date) as dt, count(*) as order_cnt from stg_orders group by 1"),
+           ("span", "select min(dt) as lo, max(dt) as hi from counts")]))
+def ex_orders_ma7(spark, sf_dir):
+    """Daily order counts on a dense calendar with a centred 7-day average."""
+    return _ex(spark, sf_dir).ex_orders_ma7()
+
+
+@register("ex_interpurchase", sql(
+    """select user_id, order_id, order_dt, lag(order_dt) over w as prev_order_dt,
+          cast(datediff('day', lag(order_dt) over w, order_dt) as integer) as days_since_prev,
+          lead(order_dt) over w as next_order_dt
+        from (select user_id, order_id, cast(order_created_at as date) as order_dt from stg_orders)
+        window w as (partition by user_id order by order_dt, order_id)""", "stg_orders"))
+def ex_interpurchase(spark, sf_dir):
+    """Previous/next order date and gap per user (E3, skew-safe partitioned window)."""
+    return _ex(spark, sf_dir).ex_interpurchase()
+
+
+_SHOP_SKUS = ("select p.sku_id from stg_products p join stg_shops s on p.product_shop_id = s.shop_id "
+              "where s.shop_name = '{}'")
+
+
+@register("ex_assortment_both", sql(
+    _SHOP_SKUS.format("Shop 10") + " intersect " + _SHOP_SKUS.format("Shop 15"), "stg_products", "stg_shops"))
+def ex_assortment_both(spark, sf_dir):
+    """SKUs offered by both shops (E4a, INTERSECT)."""
+    return _ex(spark, sf_dir).ex_assortment_both()
+
+
+@register("ex_assortment_only_a", sql(
+    _SHOP_SKUS.format("Shop 10") + " except " + _SHOP_SKUS.format("Shop 15"), "stg_products", "stg_shops"))
+def ex_assortment_only_a(spark, sf_dir):
+    """SKUs offered by shop A but not shop B (E4b, EXCEPT)."""
+    return _ex(spark, sf_dir).ex_assortment_only_a()
+
+
+@register("ex_catalog_sales_gap", sql(
+    """select sku_id, active_in_catalog, sold,
+          case when active_in_catalog and not sold then 'active in catalog, no sales'
+               when sold and not active_in_catalog then 'sold, inactive in catalog' end as notes
+        from (select coalesce(c.sku_id, s.sku_id) as sku_id, coalesce(c.active_in_catalog, false) as active_in_catalog,
+                     coalesce(s.sold, false) as sold
+              from catalog c full outer join sold s on c.sku_id = s.sku_id)
+        where (active_in_catalog and not sold) or (sold and not active_in_catalog)""",
+    "stg_skus", "stg_products", "stg_order_line_items", "stg_orders",
+    local=[("catalog", """select k.sku_id, coalesce(max(cast(p.product_is_active as integer)), 0) = 1 as active_in_catalog
+                          from stg_skus k left join stg_products p on p.sku_id = k.sku_id group by k.sku_id"""),
+           ("sold", f"""select distinct l.sku_id, true as sold from stg_order_line_items l
+                        join stg_orders o on l.order_id = o.order_id where o.order_status in {MONETIZED_SQL}""")]))
+def ex_catalog_sales_gap(spark, sf_dir):
+    """Catalogue vs sales gaps via a full outer join."""
+    return _ex(spark, sf_dir).ex_catalog_sales_gap()
+
+
+_SKU_ROWS = "select sku_id, sku_code, sku_title from stg_skus where "
+
+
+@register("ex_title_prefix_ci", sql(_SKU_ROWS + "sku_title ilike 'small %'", "stg_skus"))
+def ex_title_prefix_ci(spark, sf_dir):
+    """Case-insensitive title prefix search (E7a, ILIKE)."""
+    return _ex(spark, sf_dir).ex_title_prefix_ci()
+
+
+@register("ex_code_suffix", sql(_SKU_ROWS + "sku_code like '%-13'", "stg_skus"))
+def ex_code_suffix(spark, sf_dir):
+    """Code suffix search (E7b, LIKE)."""
+    return _ex(spark, sf_dir).ex_code_suffix()
+
+
+@register("ex_code_contains", sql(_SKU_ROWS + "sku_code like '%-13%'", "stg_skus"))
+def ex_code_contains(spark, sf_dir):
+    """Code substring search."""
+    return _ex(spark, sf_dir).ex_code_contains()
+
+
+@register("ex_similar_to", sql(_SKU_ROWS + "regexp_full_match(sku_title, '(Small|Large) .*')", "stg_skus"))
+def ex_similar_to(spark, sf_dir):
+    """SIMILAR TO whole-string pattern."""
+    return _ex(spark, sf_dir).ex_similar_to()
+
+
+@register("ex_like_escape", sql(
+    "select payment_id, provider from stg_payments where provider like 'bank!_%' escape '!'", "stg_payments"))
+def ex_like_escape(spark, sf_dir):
+    """LIKE with an escape character for a literal underscore."""
+    return _ex(spark, sf_dir).ex_like_escape()
+
+
+@register("ex_cheapest_offer", sql(
+    """select sku_id, product_id, shop_id, cast(price as double) as price, cast(shop_rating as double) as shop_rating
+        from (select p.sku_id, p.product_id, p.product_shop_id as shop_id, p.product_price as price, s.shop_rating,
+                     row_number() over (partition by p.sku_id
+                                        order by p.product_price, s.shop_rating desc, p.product_id) as rn
+              from stg_products p join stg_shops s on p.product_shop_id = s.shop_id where p.product_is_active)
+        where rn = 1""", "stg_products", "stg_shops"))
+def ex_cheapest_offer(spark, sf_dir):
+    """Cheapest active offer per SKU, best rating, lowest product id."""
+    return _ex(spark, sf_dir).ex_cheapest_offer()
+
+
+@register("ex_grouping_sets_gmv", sql(
+    f"""select case when grouping(dt) = 0 then 'day' when grouping(shop_id) = 0 then 'shop' else 'overall' end
+          as level, dt, shop_id, cast(sum(line_total) as double) as gmv
+        from (select cast(o.order_created_at as date) as dt, p.product_shop_id as shop_id, l.line_total
+              from stg_order_line_items l join stg_orders o on l.order_id = o.order_id
+              join stg_products p on l.product_id = p.product_id where o.order_status in {MONETIZED_SQL})
+        group by grouping sets ((dt), (shop_id), ())""", "stg_order_line_items", "stg_orders", "stg_products"))
+def ex_grouping_sets_gmv(spark, sf_dir):
+    """GMV by day, by shop and overall in one GROUPING SETS pass."""
+    return _ex(spark, sf_dir).ex_grouping_sets_gmv()
+
+
+@register("ex_payment_outcomes", sql(
+    """select cast(payment_created_at as date) as dt,
+          cast(sum(payment_amount) filter (where payment_status = 'captured') as double) as captured_amt,
+          cast(sum(payment_amount) filter (where payment_status = 'failed') as double) as failed_amt,
+          cast(sum(payment_amount) filter (where payment_status = 'refunded') as double) as refunded_amt
+        from stg_payments group by 1""", "stg_payments"))
+def ex_payment_outcomes(spark, sf_dir):
+    """Daily amounts per payment outcome with conditional aggregates."""
+    return _ex(spark, sf_dir).ex_payment_outcomes()
+
+
+@register("top_categories_gmv", sql(
+    """select c.category_name as name, cast(sum(l.line_total) as double) as gmv
+        from stg_order_line_items l join stg_skus s on s.sku_id = l.sku_id
+        join stg_categories c on c.category_id = s.category_id
+        group by c.category_name order by sum(l.line_total) desc, name limit 5""",
+    "stg_order_line_items", "stg_skus", "stg_categories"))
+def top_categories_gmv(spark, sf_dir):
+    """Top-5 categories by GMV."""
+    return _ex(spark, sf_dir).top_categories_gmv()
+
+
+@register("monthly_revenue", sql(
+    f"""select cast(date_trunc('month', order_created_at) as date) as month,
+          cast(sum(order_total_amount) as double) as revenue
+        from stg_orders where order_status in {MONETIZED_SQL} group by 1""", "stg_orders"))
+def monthly_revenue(spark, sf_dir):
+    """Monthly revenue of monetized orders."""
+    return _ex(spark, sf_dir).monthly_revenue()
+
+
+_SHOP_PERF = f"""select s.shop_name as name, count(distinct o.order_id) as orders, cast(sum({{}}) as double) as gmv
+        from stg_orders o join stg_order_line_items l on l.order_id = o.order_id
+        join stg_products p on p.product_id = l.product_id join stg_shops s on s.shop_id = p.product_shop_id
+        where o.order_status in {MONETIZED_SQL} group by s.shop_name"""
+
+
+@register("shop_performance", sql(_SHOP_PERF.format("l.line_total"),
+                                  "stg_orders", "stg_order_line_items", "stg_products", "stg_shops"))
+def shop_performance(spark, sf_dir):
+    """Monetized orders and line GMV per shop."""
+    return _ex(spark, sf_dir).shop_performance()
+
+
+@register("shop_performance_fanout", sql(_SHOP_PERF.format("o.order_total_amount"),
+                                         "stg_orders", "stg_order_line_items", "stg_products", "stg_shops"))
+def shop_performance_fanout(spark, sf_dir):
+    """The example as literally written: order totals summed once per line."""
+    return _ex(spark, sf_dir).shop_performance_fanout()
+
+
+@register("orders_payment_items", sql(
+    """select o.order_id as id, o.order_status as status, p.payment_status,
+          cast(o.order_total_amount as double) as total_amount, count(l.order_line_items_id) as items
+        from stg_orders o left join stg_payments p on p.payment_id = o.payment_id
+        left join stg_order_line_items l on l.order_id = o.order_id
+        group by o.order_id, o.order_status, p.payment_status, o.order_total_amount""",
+    "stg_orders", "stg_payments", "stg_order_line_items"))
+def orders_payment_items(spark, sf_dir):
+    """Orders with payment status and item count."""
+    return _ex(spark, sf_dir).orders_payment_items()
+
+
+@register("lateral_topn", sql(
+    """select sku_id, product_id, shop_id, cast(price as double) as price, offer_rank
+        from (select sku_id, product_id, product_shop_id as shop_id, product_price as price,
+                     row_number() over (partition by sku_id order by product_price, product_id) as offer_rank
+              from stg_products where product_is_active) where offer_rank <= 3""", "stg_products"))
+def lateral_topn(spark, sf_dir):
+    """Three cheapest active offers per SKU (J11, skew-safe top-k)."""
+    return _ex(spark, sf_dir).lateral_topn()
+
+
+@register("offset_limit", sql(
+    """select user_id, max(order_id) filter (where rn = 1) as latest_order_id,
+          max(order_id) filter (where rn = 2) as second_latest_order_id
+        from (select user_id, order_id, row_number() over (partition by user_id order by order_id desc) as rn
+              from stg_orders) group by user_id""", "stg_orders"))
+def offset_limit(spark, sf_dir):
+    """Latest and second-latest order per user."""
+    return _ex(spark, sf_dir).offset_limit()
+
+
+@register("global_rank_distributed", sql(
+    """select order_id, user_id, cast(order_revenue_amount as double) as order_revenue,
+          row_number() over w as revenue_row_number,
+          dense_rank() over (order by order_revenue_amount desc) as revenue_dense_rank,
+          cast(lag(order_revenue_amount) over w as double) as prev_order_revenue,
+          cast(lead(order_revenue_amount) over w as double) as next_order_revenue,
+          cast(sum(order_revenue_amount) over (order by order_revenue_amount desc, order_id
+               rows between unbounded preceding and current row) as double) as cumulative_revenue
+        from order_revenue window w as (order by order_revenue_amount desc, order_id)""", "order_revenue"))
+def global_rank_distributed(spark, sf_dir):
+    """All orders ranked by revenue with the distributed ordered window."""
+    return _ex(spark, sf_dir).global_rank_distributed()
+
+
+# ================================================================ quality
+_STG_ALL = ["stg_addresses", "stg_categories", "stg_order_line_items", "stg_orders", "stg_payments", "stg_products",
+            "stg_shops", "stg_skus", "stg_users", "stg_users_addresses"]
+
+
+@register("quality_report", sql(suite_sql(marketplace_suite()), *_STG_ALL))
+def quality_report(spark, sf_dir):
+    """not_null / unique / relationships / accepted values / checks / freshness / reconciliation (Q1-Q8)."""
+    wh = Warehouse(spark, sf_dir)
+    frames = {f"stg_{e}": wh.stg(e) for e in _STG_DECIMALS}
+    return run_suite(frames, marketplace_suite())
+
+
+# ================================================================== SCD2
+_CHECK = ["country", "region", "city", "postal_code", "address_line1", "address_line2", "latitude", "longitude"]
+_ACOLS = ["id", "country", "region", "city", "postal_code", "address_line1", "address_line2", "latitude",
+          "longitude", "created_at"]
+
+
+def _scd2_first(batch: str, as_of: str) -> str:
+    return (f"select {', '.join(_ACOLS)}, timestamp '{as_of}' as valid_from, cast(null as timestamp) as valid_to, "
+            f"md5(cast(id as varchar) || '|' || cast(timestamp '{as_of}' as varchar)) as version_id from {batch}")
+
+
+def _scd2_step(prev: str, batch: str, as_of: str) -> str:
+    same = " and ".join(f"h.{c} is not distinct from b.{c}" for c in _CHECK)
+    hcols = ", ".join(f"h.{c}" for c in _ACOLS)
+    bcols = ", ".join(f"b.{c}" for c in _ACOLS)
+    return f"""
+select {', '.join(_ACOLS)}, valid_from, valid_to, version_id from {prev} where valid_to is not null
+union all
+select {hcols}, h.valid_from,
+       case when b.id is null or not ({same}) then timestamp '{as_of}' else null end, h.version_id
+from (select * from {prev} where valid_to is null) h left join {batch} b on h.id = b.id
+union all
+select {bcols}, timestamp '{as_of}', cast(null as timestamp),
+       md5(cast(b.id as varchar) || '|' || cast(timestamp '{as_of}' as varchar))
+from {batch} b left join (select * from {prev} where valid_to is null) h on h.id = b.id
+where h.id is null or not ({same})"""
+
+
+from marketlens.sources.marketplace import SNAPSHOT_AS_OF  # noqa: E402
+
+_SCD2_LOCAL = [("hist1", _scd2_first("src_addresses", SNAPSHOT_AS_OF[0])),
+               ("hist2", _scd2_step("hist1", "addr_batch2", SNAPSHOT_AS_OF[1])),
+               ("hist3", _scd2_step("hist2", "addr_batch3", SNAPSHOT_AS_OF[2]))]
+
+
+@register("addresses_history", sql(
+    "select * replace (cast(latitude as double) as latitude, cast(longitude as double) as longitude) from hist3",
+    "src_addresses", "addr_batch2", "addr_batch3", local=_SCD2_LOCAL))
+def addresses_history(spark, sf_dir):
+    """Type-2 history of addresses over three snapshot runs."""
+    return _jobs(spark, sf_dir).addresses_history()
+
+
+@register("addresses_current", sql(
+    f"""select {', '.join(c if c not in ('latitude', 'longitude') else f'cast({c} as double) as {c}' for c in _ACOLS)},
+          valid_from from hist3 where valid_to is null""",
+    "src_addresses", "addr_batch2", "addr_batch3", local=_SCD2_LOCAL))
+def addresses_current(spark, sf_dir):
+    """Open address versions."""
+    return _jobs(spark, sf_dir).addresses_current()
+
+
+# ============================================================ keyed jobs
+_DEFAULT_ADDR = """select user_id,
+      coalesce(max(address_id) filter (where is_default_shipping), min(address_id)) as shipping_address_id,
+      coalesce(max(address_id) filter (where is_default_billing), min(address_id)) as billing_address_id
+    from stg_users_addresses group by user_id"""
+
+
+@register("default_address", sql(_DEFAULT_ADDR, "stg_users_addresses"))
+def default_address(spark, sf_dir):
+    """Default shipping/billing address per user with fallback."""
+    return _jobs(spark, sf_dir).default_address()
+
+
+@register("order_totals_recalc", sql(
+    """select o.order_id,
+          cast(case when t.order_id is not null then cast(t.s as decimal(12,2)) else o.order_total_amount end as double)
+            as order_total_amount,
+          cast(o.order_total_amount as double) as previous_total_amount
+        from stg_orders o left join (select order_id, sum(line_total) as s from stg_order_line_items group by 1) t
+          on o.order_id = t.order_id""", "stg_orders", "stg_order_line_items"))
+def order_totals_recalc(spark, sf_dir):
+    """UPDATE orders SET total = sum(lines) FROM per-order sums."""
+    return _jobs(spark, sf_dir).order_totals_recalc()
+
+
+@register("order_status_from_payment", sql(
+    """select o.order_id, case when p.payment_id is not null then p.payment_id else o.payment_id end as payment_id,
+          case when p.payment_id is null then o.order_status
+               when p.payment_status = 'captured' then 'paid'
+               when p.payment_status = 'authorized' then 'pending'
+               when p.payment_status in ('failed', 'cancelled') then 'cancelled'
+               when p.payment_status = 'refunded' then 'refunded' else o.order_status end as order_status,
+          case when p.payment_id is not null then greatest(o.order_updated_at, p.payment_created_at)
+               else o.order_updated_at end as order_updated_at
+        from stg_orders o left join stg_payments p on p.external_ref = 'TX-' || cast(o.order_id as varchar)""",
+    "stg_orders", "stg_payments"))
+def order_status_from_payment(spark, sf_dir):
+    """Order status from its payment outcome, updated_at = greatest."""
+    return _jobs(spark, sf_dir).order_status_from_payment()
+
+
+_TOPUP_LOCAL = [
+    ("ua_def", _DEFAULT_ADDR),
+    ("users_enum", "select *, row_number() over (order by user_id) as rn from ua_def"),
+    ("ucnt", "select count(*) as c from users_enum"),
+    ("asof_t", "select date_trunc('day', max(order_created_at)) + interval 1 day as a from stg_orders"),
+    ("mx", "select (select max(order_id) from stg_orders) as mo, (select max(payment_id) from stg_payments) as mp"),
+    ("plan", """select mx.mo + s.range as order_id, s.range as seq, u.user_id, u.shipping_address_id,
+                       u.billing_address_id, asof_t.a - to_days(cast(s.range % 60 as integer)) as order_created_at
+                from range(1, 401) s cross join mx cross join asof_t cross join ucnt
+                join users_enum u on u.rn = (s.range - 1) % ucnt.c + 1"""),
+    ("active", """select product_id, sku_id, product_price, row_number() over (order by product_id) as prn
+                  from stg_products where product_is_active"""),
+    ("acnt", "select count(*) as c from active"),
+    ("items", "select order_id, unnest(generate_series(1, order_id % 4 + 1)) as item_n from plan"),
+    ("tlines", """select i.order_id, i.item_n, a.product_id, a.sku_id,
+                         cast((i.order_id + i.item_n) % 3 + 1 as integer) as quantity, a.product_price as unit_price,
+                         cast(cast((i.order_id + i.item_n) % 3 + 1 as integer) * a.product_price as decimal(12,2))
+                           as line_total
+                  from items i cross join acnt join active a on a.prn = (i.order_id * 31 + i.item_n * 17) % acnt.c + 1"""),
+    ("totals", "select order_id, cast(sum(line_total) as decimal(12,2)) as total from tlines group by 1"),
+    ("pays", """select mx.mp + p.seq as payment_id, p.order_id,
+                       (['card', 'paypal', 'bank_transfer', 'cod'])[cast(p.order_id % 4 + 1 as integer)] as provider,
+                       case when p.order_id % 100 < 80 then 'captured' when p.order_id % 100 < 90 then 'authorized'
+                            when p.order_id % 100 < 97 then 'failed' else 'refunded' end as payment_status,
+                       coalesce(t.total, 0) as payment_amount, 'EUR' as payment_currency,
+                       'TX-' || cast(p.order_id as varchar) as external_ref,
+                       p.order_created_at + to_seconds(p.order_id % 3600) as payment_created_at
+                from plan p cross join mx left join totals t on t.order_id = p.order_id"""),
+]
+_TOPUP_CTES = ("stg_users_addresses", "stg_orders", "stg_payments", "stg_products")
+
+
+@register("order_topup_orders", sql(
+    """select p.order_id, p.user_id, p.shipping_address_id, p.billing_address_id,
+          case when y.payment_status = 'captured' then 'paid' when y.payment_status = 'authorized' then 'pending'
+               when y.payment_status in ('failed', 'cancelled') then 'cancelled'
+               when y.payment_status = 'refunded' then 'refunded' else 'pending' end as order_status,
+          cast(coalesce(t.total, 0) as double) as order_total_amount, 'EUR' as order_currency, y.payment_id,
+          p.order_created_at, greatest(asof_t.a, y.payment_created_at) as order_updated_at
+        from plan p cross join asof_t left join totals t on t.order_id = p.order_id
+        join pays y on y.order_id = p.order_id""", *_TOPUP_CTES, local=_TOPUP_LOCAL))
+def order_topup_orders(spark, sf_dir):
+    """Deterministic top-up: 400 new orders assigned round-robin to users."""
+    return _jobs(spark, sf_dir).order_topup_orders()
+
+
+@register("order_topup_lines", sql(
+    """select order_id, cast(item_n as bigint) as item_n, product_id, sku_id, quantity,
+          cast(unit_price as double) as unit_price, cast(line_total as double) as line_total from tlines""",
+    *_TOPUP_CTES, local=_TOPUP_LOCAL))
+def order_topup_lines(spark, sf_dir):
+    """Line items of the top-up orders, products picked by key arithmetic."""
+    return _jobs(spark, sf_dir).order_topup_lines()
+
+
+@register("order_topup_payments", sql(
+    "select * replace (cast(payment_amount as double) as payment_amount) from pays", *_TOPUP_CTES,
+    local=_TOPUP_LOCAL))
+def order_topup_payments(spark, sf_dir):
+    """Payments of the top-up orders."""
+    return _jobs(spark, sf_dir).order_topup_payments()
+
+
+@register("insert_skip_conflict", sql(
+    """select * replace (cast(payment_amount as double) as payment_amount) from (
+          select * from stg_payments
+          union all
+          select f.* from fresh f where not exists (select 1 from stg_payments t where t.payment_id = f.payment_id))""",
+    *_TOPUP_CTES, local=_TOPUP_LOCAL + [
+        ("incoming", """select payment_id, provider, payment_status, payment_amount, payment_currency, external_ref,
+                               payment_created_at from pays
+                        union all
+                        select payment_id, provider, payment_status, payment_amount, payment_currency, external_ref,
+                               payment_created_at + interval 1 minute from pays
+                        union all
+                        select * from stg_payments where payment_id % 10 = 0"""),
+        ("fresh", """select * exclude (rn) from (
+                        select *, row_number() over (partition by payment_id
+                                                     order by payment_created_at, payment_status) as rn
+                        from incoming) where rn = 1""")]))
+def insert_skip_conflict(spark, sf_dir):
+    """INSERT ... ON CONFLICT DO NOTHING of a batch with duplicate and existing keys."""
+    return _jobs(spark, sf_dir).insert_skip_conflict()
+
+
+@register("range_join_bridge", sql(
+    """select u.user_id, a.address_id,
+          case when row_number() over (partition by u.user_id order by a.address_id) = 1 then 'Home' else 'Office' end
+            as label,
+          row_number() over (partition by u.user_id order by a.address_id) = 1 as is_default_shipping,
+          row_number() over (partition by u.user_id order by a.address_id) = 1 as is_default_billing
+        from stg_users u join stg_addresses a on a.address_id between u.user_id * 2 + 1 and u.user_id * 2 + 2""",
+    "stg_users", "stg_addresses"))
+def range_join_bridge(spark, sf_dir):
+    """User-address bridge from an id range, rewritten to an equi-join."""
+    return _jobs(spark, sf_dir).range_join_bridge()
+
+
+@register("sampled_pairs", sql(
+    "select s.shop_id, k.sku_id from stg_shops s, stg_skus k where (31 * s.shop_id + 17 * k.sku_id) % 100 < 20",
+    "stg_shops", "stg_skus"))
+def sampled_pairs(spark, sf_dir):
+    """Deterministic 20% sample of (shop, SKU) pairs without enumerating all pairs."""
+    return _jobs(spark, sf_dir).sampled_pairs()
