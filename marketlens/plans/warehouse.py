@@ -50,10 +50,11 @@ def explode_grains(df: DataFrame, date_col: str, grains=REPORT_GRAINS) -> DataFr
 
 
 class Warehouse:
-    def __init__(self, spark: SparkSession, sf_dir: str, *, window_opts: dict | None = None):
+    def __init__(self, spark: SparkSession, sf_dir: str | None = None, *, window_opts: dict | None = None,
+                 marketplace=None):
         self.spark = spark
         self.sf_dir = sf_dir
-        self.mp = Marketplace(spark, sf_dir)
+        self.mp = marketplace if marketplace is not None else Marketplace(spark, sf_dir)
         self.window_opts = dict(window_opts or {})
 
     def _ow(self, df: DataFrame, order, **kw) -> DataFrame:

@@ -317,3 +317,32 @@ class Marketplace:
             default.alias("is_default_billing"),
             F.col("created_at"),
         )
+
+
+class StaticMarketplace:
+    """Entity frames given directly (hand-made fixtures, other sources).
+
+    ``frames`` maps entity name -> DataFrame with the source schema used by
+    ``Marketplace``; ``address_batches`` lists the address table per
+    snapshot run.
+    """
+
+    def __init__(self, spark: SparkSession, frames: dict[str, DataFrame],
+                 address_batches: list[DataFrame] | None = None, raw_tables: dict[str, DataFrame] | None = None):
+        self.spark = spark
+        self.sf_dir = None
+        self._frames = dict(frames)
+        self._batches = list(address_batches or ([frames["addresses"]] if "addresses" in frames else []))
+        self._raw = dict(raw_tables or {})
+
+    def __getattr__(self, name: str) -> DataFrame:
+        frames = self.__dict__.get("_frames", {})
+        if name in frames:
+            return frames[name]
+        raise AttributeError(name)
+
+    def raw(self, name: str) -> DataFrame:
+        return self._raw[name]
+
+    def addresses(self, batch: int = 1) -> DataFrame:
+        return self._batches[batch - 1]
