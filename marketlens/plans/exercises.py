@@ -20,6 +20,9 @@ from marketlens.sources.marketplace import MONETIZED_STATUSES
 # The two shops compared by the assortment question.
 SHOP_A, SHOP_B = "Shop 10", "Shop 15"
 
+# Modulus and multiplier of the sampling hash (Lehmer / MINSTD).
+SAMPLE_MODULUS, SAMPLE_MULTIPLIER = 2147483647, 48271
+
 
 class Exercises:
     def __init__(self, wh: Warehouse):
@@ -241,6 +244,18 @@ class Exercises:
                 .select("id", "status", "payment_status", money_out("order_total_amount").alias("total_amount"),
                         F.coalesce("_items", F.lit(0)).alias("items")))
 
+    def sample_orders(self, k: int = 100, seed: int = 7) -> DataFrame:
+        """Reproducible sample of ``k`` orders (ORDER BY random() LIMIT k).
+
+        The order key is a seeded multiplicative hash of the id (Lehmer
+        generator constants), so reruns and recomputed tasks pick the same
+        rows; TakeOrderedAndProject keeps only k rows per task.
+        """
+        h = F.pmod(F.pmod(F.col("order_id") + seed, F.lit(SAMPLE_MODULUS)) * SAMPLE_MULTIPLIER,
+                   F.lit(SAMPLE_MODULUS))
+        o = self.wh.stg_orders.select("order_id", "user_id", "order_created_at")
+        return o.orderBy(h, F.col("order_id")).limit(k)
+
     def global_rank_distributed(self) -> DataFrame:
         """Every order ranked by revenue over the whole table (X1 directly)."""
         orev = self.wh.order_revenue()

@@ -591,6 +591,14 @@ def offset_limit(spark, sf_dir):
     return _ex(spark, sf_dir).offset_limit()
 
 
+@register("sample_orders", sql(
+    """select order_id, user_id, order_created_at from stg_orders
+        order by ((order_id + 7) % 2147483647) * 48271 % 2147483647, order_id limit 100""", "stg_orders"))
+def sample_orders(spark, sf_dir):
+    """Reproducible random sample of 100 orders."""
+    return _ex(spark, sf_dir).sample_orders()
+
+
 @register("global_rank_distributed", sql(
     """select order_id, user_id, cast(order_revenue_amount as double) as order_revenue,
           row_number() over w as revenue_row_number,

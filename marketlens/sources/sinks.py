@@ -42,3 +42,9 @@ def swap_write(df: DataFrame, base_path: str) -> str:
     target = f"{base_path.rstrip('/')}/v-{uuid.uuid4().hex}"
     df.write.mode("error").parquet(target)
     return target
+
+
+def layer_location(base: str, layer: str, custom: str | None = None) -> str:
+    """Where a model of ``layer`` is written: a custom schema name is used
+    verbatim, otherwise the layer's default folder."""
+    return f"{base.rstrip('/')}/{custom or layer}"
