@@ -11,10 +11,11 @@ version of the table (written elsewhere and swapped, see
 * ``update_from`` - ``UPDATE t SET c = s.c FROM s WHERE t.k = s.k``; the
   source must be unique on the key (it is an aggregate in every caller).
 * ``top_k_per_group`` - skew-safe top-k per key: rank inside
-  (key, hash-bucket) first, then among at most ``buckets * k`` candidates.
+  (key, input partition) slices first — a slice is never larger than one
+  input split, however hot the key — then among at most
+  ``k * input partitions`` candidates per key.
 * ``nth_latest_per_group`` - largest and second-largest value per group
-  (``ORDER BY ... OFFSET 1 LIMIT 1`` per group) with two partial
-  aggregations.
+  (``ORDER BY ... OFFSET 1 LIMIT 1`` per group) through ``top_k_per_group``.
 """
 
 from __future__ import annotations
@@ -62,11 +63,17 @@ def update_from(target: DataFrame, source: DataFrame, key: Sequence[str], assign
 
 
 def top_k_per_group(df: DataFrame, group: Sequence[str], order: Sequence[Column], k: int, *,
-                    rank_col: str = "rank", tiebreak: str, buckets: int = 64) -> DataFrame:
-    """Top ``k`` rows per group by ``order`` (then ``tiebreak`` ascending)."""
+                    rank_col: str = "rank", tiebreak: str) -> DataFrame:
+    """Top ``k`` rows per group by ``order`` (then ``tiebreak`` ascending).
+
+    The first pass ranks within (group, input partition): any salt yields a
+    superset of the true top-k, and the input partition id bounds each
+    slice by the scan split size, so a group holding a third of all rows is
+    spread over all tasks.  The second pass sees <= k rows per slice.
+    """
     group = list(group)
     full_order = list(order) + [F.col(tiebreak).asc()]
-    salt = F.pmod(F.xxhash64(F.col(tiebreak)), F.lit(buckets))
+    salt = F.spark_partition_id()
     w1 = Window.partitionBy(*group, "_salt").orderBy(*full_order)
     stage1 = df.withColumn("_salt", salt).withColumn("_r1", F.row_number().over(w1)).filter(F.col("_r1") <= k)
     w2 = Window.partitionBy(*group).orderBy(*full_order)
@@ -75,8 +82,11 @@ def top_k_per_group(df: DataFrame, group: Sequence[str], order: Sequence[Column]
 
 
 def nth_latest_per_group(df: DataFrame, group: str, value: str) -> DataFrame:
-    """group, latest value, second latest value (null if the group has one)."""
-    first = df.groupBy(group).agg(F.max(value).alias("latest"))
-    second = (df.join(first, group).filter(F.col(value) < F.col("latest"))
-              .groupBy(group).agg(F.max(value).alias("second_latest")))
-    return first.join(second, group, "left")
+    """group, latest value, second latest value (null if the group has one).
+
+    ``value`` must be unique (a key), as ``ORDER BY key DESC OFFSET 1`` is.
+    """
+    top2 = top_k_per_group(df.select(group, value), [group], [F.col(value).desc()], 2,
+                           rank_col="_r", tiebreak=value)
+    return top2.groupBy(group).agg(F.max(F.when(F.col("_r") == 1, F.col(value))).alias("latest"),
+                                   F.max(F.when(F.col("_r") == 2, F.col(value))).alias("second_latest"))

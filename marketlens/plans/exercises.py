@@ -179,8 +179,13 @@ class Exercises:
                         F.col("second_latest").alias("second_latest_order_id"))
 
     # ------------------------------------------------------ grouping sets
+    def _lines_by_order_product(self) -> DataFrame:
+        """Lines pre-aggregated on the join keys (partial aggregation map-side)."""
+        return self.wh.stg_lines.groupBy("order_id", "product_id").agg(
+            F.sum("line_total").alias("line_total"), F.count(F.lit(1)).alias("n_lines"))
+
     def ex_grouping_sets_gmv(self) -> DataFrame:
-        lines = self.wh.stg_lines.select("order_id", "product_id", "line_total")
+        lines = self._lines_by_order_product()
         o = self.monetized_orders().select("order_id", F.to_date("order_created_at").alias("dt"))
         p = self.wh.stg_products.select("product_id", F.col("product_shop_id").alias("shop_id"))
         j = lines.join(o, "order_id").join(p, "product_id")
@@ -217,7 +222,7 @@ class Exercises:
 
     def shop_performance(self) -> DataFrame:
         """Distinct monetized orders and line GMV per shop name."""
-        lines = self.wh.stg_lines.select("order_id", "product_id", "line_total")
+        lines = self._lines_by_order_product()
         p = self.wh.stg_products.select("product_id", F.col("product_shop_id").alias("shop_id"))
         j = lines.join(self.monetized_orders().select("order_id"), "order_id").join(p, "product_id")
         per_shop = j.groupBy("shop_id").agg(F.count_distinct("order_id").alias("orders"),
@@ -227,13 +232,13 @@ class Exercises:
 
     def shop_performance_fanout(self) -> DataFrame:
         """Literal form of the example: sums the order total once per line item."""
-        lines = self.wh.stg_lines.select("order_id", "product_id")
+        lines = self._lines_by_order_product().select("order_id", "product_id", "n_lines")
         o = self.monetized_orders().select("order_id", "order_total_amount")
         p = self.wh.stg_products.select("product_id", F.col("product_shop_id").alias("shop_id"))
         j = o.join(lines, "order_id").join(p, "product_id").join(
             self.wh.stg_shops.select("shop_id", F.col("shop_name").alias("name")), "shop_id")
         return j.groupBy("name").agg(F.count_distinct("order_id").alias("orders"),
-                                     money_out(F.sum("order_total_amount")).alias("gmv"))
+                                     money_out(F.sum(F.col("order_total_amount") * F.col("n_lines"))).alias("gmv"))
 
     def orders_payment_items(self) -> DataFrame:
         o = self.wh.stg_orders.select(F.col("order_id").alias("id"), F.col("order_status").alias("status"),

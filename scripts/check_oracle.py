@@ -27,6 +27,8 @@ def norm(v, approx):
     if isinstance(v, float):
         if math.isnan(v):
             return None
+        if v.is_integer() and abs(v) < 2 ** 53:
+            return repr(int(v))  # nullable integer columns arrive as float
         return f"{v:.9g}" if approx else repr(v)
     if isinstance(v, (pd.Timestamp, dt.datetime)):
         return pd.Timestamp(v).isoformat()
