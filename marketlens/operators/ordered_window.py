@@ -37,6 +37,7 @@ lead and running sums to be deterministic; dense_rank only looks at the
 from __future__ import annotations
 
 import math
+import os
 from dataclasses import dataclass
 from typing import Sequence
 
@@ -45,6 +46,10 @@ from pyspark.sql import functions as F
 
 from marketlens.session import ensure_checkpoint_dir
 
+# rows per bucket; the environment override lets tests force the
+# distributed path on small inputs
+DEFAULT_ROWS_PER_BUCKET = int(os.environ.get("MARKETLENS_ROWS_PER_BUCKET", "4000000"))
+
 _B = "_ow_bucket"
 _LRN = "_ow_lrn"
 _LDR = "_ow_ldr"
@@ -113,7 +118,7 @@ def ordered_window(
     lag: dict[str, str] | None = None,
     lead: dict[str, str] | None = None,
     running_sum: dict[str, str] | None = None,
-    target_rows_per_bucket: int = 4_000_000,
+    target_rows_per_bucket: int | None = None,
     max_buckets: int = 512,
     sample_per_bucket: int = 64,
     seed: int = 17,
@@ -135,7 +140,8 @@ def ordered_window(
     base = _checkpoint(df) if materialize else df
     if num_buckets is None:
         total = base.count()
-        n = max(1, min(max_buckets, math.ceil(total / max(1, target_rows_per_bucket))))
+        per_bucket = target_rows_per_bucket or DEFAULT_ROWS_PER_BUCKET
+        n = max(1, min(max_buckets, math.ceil(total / max(1, per_bucket))))
     else:
         total, n = None, max(1, num_buckets)
 
