@@ -5,7 +5,8 @@ Output: ``table_name, check_name, column_names, failing_rows``.
 * row-level checks (not_null, accepted_values, row constraints) of one
   table are evaluated in a single aggregation pass over that table;
 * ``unique`` / ``unique_combination`` count duplicated non-null key values
-  (one groupBy per key, partial aggregation first);
+  (all key sets of a table in one ``groupingSets`` pass, partial
+  aggregation first);
 * ``relationships`` count child rows whose non-null key has no parent
   (left anti join);
 * ``freshness`` fails (1 row) when the newest timestamp is older than
@@ -21,7 +22,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -97,6 +98,49 @@ def _row(table: str, check: str, cols: str, failing) -> DataFrame:
                           F.lit(cols).alias("column_names"), F.col("failing_rows").cast("long"))
 
 
+def _all_not_null(cols) -> Column:
+    cond = None
+    for c in cols:
+        c_nn = F.col(c).isNotNull()
+        cond = c_nn if cond is None else cond & c_nn
+    return cond
+
+
+def _unique_checks(df: DataFrame, table: str, checks: list[UniqueCheck]) -> DataFrame:
+    """All uniqueness checks of one table in one scan and one shuffle.
+
+    ``groupingSets`` expands each row once per key set and aggregates all of
+    them together (partially, map-side); ``grouping_id`` tells the sets apart.
+    Groups whose key contains a null are not duplicates (as in SQL UNIQUE).
+    """
+    spark = df.sparkSession
+    all_cols: list[str] = []
+    for u in checks:
+        all_cols += [c for c in u.columns if c not in all_cols]
+    width = len(all_cols)
+
+    def gid(u: UniqueCheck) -> int:
+        return sum(1 << (width - 1 - i) for i, c in enumerate(all_cols) if c not in u.columns)
+
+    if len(checks) == 1:
+        u = checks[0]
+        dup = df.filter(_all_not_null(u.columns)).groupBy(*u.columns).count().filter(F.col("count") > 1)
+        return _row(table, u.check, ",".join(u.columns), dup.agg(F.count(F.lit(1)).alias("failing_rows")))
+    g = df.select(*all_cols).groupingSets([list(u.columns) for u in checks], *all_cols).agg(
+        F.count(F.lit(1)).alias("_n"), F.grouping_id().alias("_gid"))
+    keep = None
+    for u in checks:
+        cond = (F.col("_gid") == gid(u)) & _all_not_null(u.columns)
+        keep = cond if keep is None else keep | cond
+    dups = g.filter(keep & (F.col("_n") > 1)).groupBy("_gid").agg(F.count(F.lit(1)).alias("failing_rows"))
+    labels = spark.createDataFrame([(gid(u), u.check, ",".join(u.columns)) for u in checks],
+                                   "_gid long, check_name string, column_names string")
+    # labels hold one row per declared check
+    return F.broadcast(labels).join(dups, "_gid", "left").select(
+        F.lit(table).alias("table_name"), "check_name", "column_names",
+        F.coalesce(F.col("failing_rows"), F.lit(0)).cast("long").alias("failing_rows"))
+
+
 def run_suite(frames: dict[str, DataFrame], suite: Suite) -> DataFrame:
     parts: list[DataFrame] = []
     by_table: dict[str, list[RowCheck]] = {}
@@ -110,15 +154,11 @@ def run_suite(frames: dict[str, DataFrame], suite: Suite) -> DataFrame:
                         for i, c in enumerate(checks)])
         parts.append(one.select(F.explode(arr).alias("r")).select(
             F.lit(table).alias("table_name"), "r.check_name", "r.column_names", "r.failing_rows"))
+    uniques_by_table: dict[str, list[UniqueCheck]] = {}
     for u in suite.uniques:
-        df = frames[u.table]
-        cols = list(u.columns)
-        nn = None
-        for c in cols:
-            cond = F.col(c).isNotNull()
-            nn = cond if nn is None else nn & cond
-        dup = df.filter(nn).groupBy(*cols).count().filter(F.col("count") > 1)
-        parts.append(_row(u.table, u.check, ",".join(cols), dup.agg(F.count(F.lit(1)).alias("failing_rows"))))
+        uniques_by_table.setdefault(u.table, []).append(u)
+    for table, checks in uniques_by_table.items():
+        parts.append(_unique_checks(frames[table], table, checks))
     for r in suite.relationships:
         # count child rows per key first (partial aggregation), so a hot
         # foreign key is one row per map task before the anti join

@@ -41,9 +41,17 @@ def get_session(master: str = "local[8]", shuffle_partitions: int = 8,
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, setting a scratch one only if unset."""
-    sc = spark.sparkContext
+def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
+    """Return the shared checkpoint folder, setting a scratch one only if unset.
+
+    On a cluster ``spark.checkpoint.dir`` names shared storage and is used
+    as is; the scratch folder is only for local tests.  Sessions without a
+    local SparkContext (Spark Connect) manage the folder on the server.
+    """
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - remote session: server-side setting
+        return None
     current = sc.getCheckpointDir()
     if current:
         return current
