@@ -32,9 +32,9 @@ def write_table(df: DataFrame, path: str, *, partition_by: list[str] | None = No
     w.parquet(path)
 
 
-def append_rows(df: DataFrame, path: str) -> None:
-    """Insert-select: append new rows to an existing table."""
-    df.write.mode("append").parquet(path)
+def append_rows(df: DataFrame, path: str, *, partition_by: list[str] | None = None) -> None:
+    """Insert-select: append new rows to an existing table (same partition layout)."""
+    write_table(df, path, partition_by=partition_by, mode="append")
 
 
 def swap_write(df: DataFrame, base_path: str) -> str:

@@ -12,7 +12,7 @@ def test_write_append_swap(spark):
     df = spark.range(10).selectExpr("id", "id % 3 as g")
     path = layer_location(base, "intermediate") + "/model"
     write_table(df, path, partition_by=["g"])
-    append_rows(spark.range(10, 12).selectExpr("id", "id % 3 as g"), path)
+    append_rows(spark.range(10, 12).selectExpr("id", "id % 3 as g"), path, partition_by=["g"])
     back = spark.read.parquet(path)
     assert back.count() == 12 and sorted(r.g for r in back.select("g").distinct().collect()) == [0, 1, 2]
     v1 = swap_write(back.filter("id < 5"), base + "/hist")
@@ -21,7 +21,7 @@ def test_write_append_swap(spark):
 
 
 def test_materialize_cuts_lineage(spark):
-    df = spark.range(100).selectExpr("id", "id * 2 as x").groupBy((df_col := "x")).count()
+    df = spark.range(100).selectExpr("id", "id * 2 as x").groupBy("x").count()
     m = materialize(df)
     assert m.count() == 100
     plan = m._jdf.queryExecution().optimizedPlan().toString()
