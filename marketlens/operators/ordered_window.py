@@ -205,8 +205,10 @@ def ordered_window(
         spark = df.sparkSession
         keys = sorted({tuple(b[: len(pcols)]) for b in bounds}, key=repr)
         schema = base.select(*pcols).schema
-        key_df = spark.createDataFrame(keys, schema=schema)
-        seg_src = windowed.join(F.broadcast(key_df), pcols, "left_semi")
+        key_df = spark.createDataFrame(keys, schema=schema).toDF(*[f"_ow_k_{c}" for c in pcols])
+        # null-safe: a null partition key is a key like any other
+        cond = [windowed[c].eqNullSafe(key_df[f"_ow_k_{c}"]) for c in pcols]
+        seg_src = windowed.join(F.broadcast(key_df), cond, "left_semi")
     rk = F.struct(*[F.col(c) for c in rank_cols])
     aggs = [F.count(F.lit(1)).alias("_ow_cnt"), F.max(_LDR).alias("_ow_d"),
             F.min_by(rk, F.col(_LRN)).alias("_ow_first_rk"), F.max_by(rk, F.col(_LRN)).alias("_ow_last_rk")]
@@ -235,10 +237,11 @@ def ordered_window(
     for out in running_sum:
         off_cols[f"_ow_off_{out}"] = F.sum(f"_ow_sum_{out}").over(before)
     offsets = segs.withColumns(off_cols).select(
-        _B, *pcols, "_ow_cnt", *off_cols.keys())
+        F.col(_B).alias("_ow_ob"), *[F.col(c).alias(f"_ow_o_{c}") for c in pcols], "_ow_cnt", *off_cols.keys())
 
     # offsets hold at most (#buckets + #split points) rows -> broadcast
-    joined = windowed.join(F.broadcast(offsets), [_B] + pcols, "left")
+    cond = [windowed[_B] == offsets["_ow_ob"]] + [windowed[c].eqNullSafe(offsets[f"_ow_o_{c}"]) for c in pcols]
+    joined = windowed.join(F.broadcast(offsets), cond, "left")
     finals = {}
     if row_number:
         finals[row_number] = F.col(_LRN) + F.coalesce(F.col("_ow_off_rn"), F.lit(0))

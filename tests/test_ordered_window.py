@@ -24,11 +24,13 @@ def _compare(spark, data, n, partition_by=(), schema="k long, g long, v decimal(
     assert _rows(got, cols) == _rows(want, cols)
 
 
-def _data(num, distinct, with_nulls=False, hot_group=False):
+def _data(num, distinct, with_nulls=False, hot_group=False, null_group=False):
     out = []
     for i in range(num):
         v = None if with_nulls and i % 13 == 0 else Decimal(((i * 7919) % distinct)) / 4
         g = 0 if hot_group and i % 3 != 0 else i % 5
+        if null_group and i % 4 == 0:
+            g = None
         out.append((i, g, v))
     return out
 
@@ -52,6 +54,11 @@ def test_partitioned_hot_key(spark, n):
     _compare(spark, _data(600, 23, with_nulls=True, hot_group=True), n, partition_by=["g"])
 
 
+@pytest.mark.parametrize("n", [5, 30])
+def test_partitioned_null_key_spanning_buckets(spark, n):
+    _compare(spark, _data(500, 19, with_nulls=True, null_group=True), n, partition_by=["g"])
+
+
 def test_empty_input(spark):
     df = spark.createDataFrame([], "k long, g long, v decimal(12,2)")
     out = ordered_window(df, [Order("v", True), Order("k")], num_buckets=4, materialize=False, **KW)
