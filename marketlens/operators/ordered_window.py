@@ -43,6 +43,7 @@ from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, TimestampNTZType
 
 from marketlens.session import ensure_checkpoint_dir
 
@@ -65,40 +66,47 @@ def _spec(order: Sequence[Order]) -> list[Column]:
     return [F.col(o.col).desc_nulls_last() if o.desc else F.col(o.col).asc_nulls_first() for o in order]
 
 
-def _after(c: Column, b, desc: bool) -> Column:
+def _typed_lit(b, dtype: DataType) -> Column:
+    """Literal of exactly the column's type (no session-time-zone round trip)."""
+    if isinstance(dtype, TimestampNTZType):
+        return F.expr(f"timestamp_ntz'{b.isoformat(sep=' ')}'")
+    return F.lit(b).cast(dtype)
+
+
+def _after(c: Column, b, desc: bool, dtype: DataType) -> Column:
     """Row value strictly after bound value ``b`` in the sort order."""
     if desc:  # nulls last
         if b is None:
             return F.lit(False)
-        return c.isNull() | F.coalesce(c < F.lit(b), F.lit(False))
+        return c.isNull() | F.coalesce(c < _typed_lit(b, dtype), F.lit(False))
     if b is None:  # ascending, nulls first
         return c.isNotNull()
-    return F.coalesce(c > F.lit(b), F.lit(False))
+    return F.coalesce(c > _typed_lit(b, dtype), F.lit(False))
 
 
-def _equal(c: Column, b) -> Column:
-    return c.isNull() if b is None else F.coalesce(c == F.lit(b), F.lit(False))
+def _equal(c: Column, b, dtype: DataType) -> Column:
+    return c.isNull() if b is None else F.coalesce(c == _typed_lit(b, dtype), F.lit(False))
 
 
-def _not_before(cols: Sequence[Order], bound: Sequence) -> Column:
+def _not_before(cols: Sequence[Order], bound: Sequence, types: dict[str, DataType]) -> Column:
     """Row >= bound in the lexicographic composite order."""
     expr = None
     for o, b in reversed(list(zip(cols, bound))):
-        c = F.col(o.col)
+        c, t = F.col(o.col), types[o.col]
         if expr is None:
-            expr = _after(c, b, o.desc) | _equal(c, b)
+            expr = _after(c, b, o.desc, t) | _equal(c, b, t)
         else:
-            expr = _after(c, b, o.desc) | (_equal(c, b) & expr)
+            expr = _after(c, b, o.desc, t) | (_equal(c, b, t) & expr)
     return expr
 
 
-def _bucket_expr(cols: Sequence[Order], bounds: list[tuple]) -> Column:
+def _bucket_expr(cols: Sequence[Order], bounds: list[tuple], types: dict[str, DataType]) -> Column:
     """Bucket index in [0, len(bounds)] by binary search over split points."""
     def tree(lo: int, hi: int) -> Column:
         if lo == hi:
             return F.lit(lo)
         mid = (lo + hi) // 2  # bounds[mid] is the first row of bucket mid + 1
-        return F.when(_not_before(cols, bounds[mid]), tree(mid + 1, hi)).otherwise(tree(lo, mid))
+        return F.when(_not_before(cols, bounds[mid], types), tree(mid + 1, hi)).otherwise(tree(lo, mid))
     return tree(0, len(bounds))
 
 
@@ -196,7 +204,8 @@ def ordered_window(
                 bounds.append(b)
         if bounds and bounds[0] == rows[0]:
             bounds = bounds[1:]  # an empty first bucket adds nothing
-    bucketed = base.withColumn(_B, _bucket_expr(composite, bounds) if bounds else F.lit(0))
+    types = {f.name: f.dataType for f in base.schema.fields}
+    bucketed = base.withColumn(_B, _bucket_expr(composite, bounds, types) if bounds else F.lit(0))
     windowed = local_columns(bucketed)
 
     # --- per-segment statistics for segments that may continue a previous bucket

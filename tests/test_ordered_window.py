@@ -59,6 +59,19 @@ def test_partitioned_null_key_spanning_buckets(spark, n):
     _compare(spark, _data(500, 19, with_nulls=True, null_group=True), n, partition_by=["g"])
 
 
+def test_timestamp_ntz_order_column(spark):
+    import datetime as dt
+    base = dt.datetime(2024, 3, 31, 23, 0, 0)
+    data = [(i, i % 4, base + dt.timedelta(minutes=37 * (i % 50))) for i in range(300)]
+    df = spark.createDataFrame(data, "k long, g long, ts timestamp_ntz")
+    order = [Order("ts"), Order("k")]
+    kw = dict(row_number="rn", lag={"prev_ts": "ts"}, lead={"next_ts": "ts"})
+    got = ordered_window(df, order, partition_by=["g"], num_buckets=9, materialize=False, **kw)
+    want = plain_window(df, order, partition_by=["g"], **kw)
+    cols = ["k", "rn", "prev_ts", "next_ts"]
+    assert _rows(got, cols) == _rows(want, cols)
+
+
 def test_empty_input(spark):
     df = spark.createDataFrame([], "k long, g long, v decimal(12,2)")
     out = ordered_window(df, [Order("v", True), Order("k")], num_buckets=4, materialize=False, **KW)
