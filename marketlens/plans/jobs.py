@@ -131,8 +131,9 @@ class Jobs:
         users = self.default_address()
         users = wh._ow(users, [Order("user_id")], row_number="rn")
         users_cnt = users.agg(F.count(F.lit(1)).alias("c")).scalar()
+        # the day after the last order, as a wall-clock (NTZ) timestamp
         as_of = wh.stg_orders.agg(F.max("order_created_at").alias("m")).select(
-            (F.date_trunc("day", F.col("m")) + F.make_dt_interval(F.lit(1))).alias("a")).scalar()
+            F.date_add(F.to_date("m"), 1).cast("timestamp_ntz").alias("a")).scalar()
         max_order = wh.stg_orders.agg(F.max("order_id")).scalar()
         max_payment = wh.stg_payments.agg(F.max("payment_id")).scalar()
 

@@ -35,9 +35,17 @@ def test_entry_smoke(spark):
     assert df.count() > 0 and df.columns == ["order_date", "total_revenue", "total_orders"]
 
 
+SPARK_TO_SQL = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE",
+                "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN"}
+
+
 @pytest.mark.parametrize("name", NAMES)
 def test_query_matches_oracle(spark, duck, name):
-    sdf = entry.queries()[name](spark, SF).toPandas()
+    frame = entry.queries()[name](spark, SF)
+    types = {f.name: SPARK_TO_SQL.get(f.dataType.simpleString(), f.dataType.simpleString())
+             for f in frame.schema.fields}
+    assert types == {r[0]: r[1] for r in duck.sql("describe " + entry.oracle_sql()[name]).fetchall()}
+    sdf = frame.toPandas()
     ddf = duck.sql(entry.oracle_sql()[name]).df()
     assert sorted(sdf.columns) == sorted(ddf.columns)
     assert len(sdf) == len(ddf)
