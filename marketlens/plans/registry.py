@@ -390,6 +390,21 @@ def ex_running_gmv(spark, sf_dir):
     return _ex(spark, sf_dir).ex_running_gmv()
 
 
+@register("ex_running_gmv_current_month", sql(
+    f"""select dt, cast(daily_gmv as double) as daily_gmv,
+          cast(sum(daily_gmv) over (order by dt rows between unbounded preceding and current row) as double)
+            as running_gmv
+        from (select cast(o.order_created_at as date) as dt, sum(l.line_total) as daily_gmv
+              from stg_orders o join stg_order_line_items l on o.order_id = l.order_id
+              where o.order_status in {MONETIZED_SQL} group by 1)
+        where date_trunc('month', dt) = (select date_trunc('month', max(cast(order_created_at as date)))
+                                         from stg_orders)""",
+    "stg_orders", "stg_order_line_items"))
+def ex_running_gmv_current_month(spark, sf_dir):
+    """Daily GMV and running total for the current (latest) month (E1 as stated)."""
+    return _ex(spark, sf_dir).ex_running_gmv(current_month=True)
+
+
 @register("ex_orders_ma7", sql(
     """select cast(g.d as date) as dt, coalesce(c.order_cnt, 0) as order_cnt,
           avg(coalesce(c.order_cnt, 0)) over (order by g.d rows between 3 preceding and 3 following) as ma7
