@@ -105,28 +105,27 @@ class Marketplace:
     def categories(self) -> DataFrame:
         """Two-level tree: product type -> (type, brand).
 
-        The distinct type/brand domain is small and bounded by the catalogue
-        vocabulary, not by the row count, so numbering it with a plain window
-        after the distinct is cheap.
+        One distinct pass over (type, brand) feeds both levels; the distinct
+        vocabulary is small and bounded by the catalogue, not by the row
+        count, so numbering it with one sorted window is cheap.  The
+        (type, brand) order also satisfies the type-only order, so both
+        ranks share one sort.
         """
         from pyspark.sql import Window as W
-        p = self.raw("part")
-        roots = (p.select("p_type").distinct()
-                 .select(F.dense_rank().over(W.orderBy("p_type")).cast("long").alias("id"),
-                         F.lit(None).cast("long").alias("parent_id"),
-                         F.col("p_type").alias("name"),
-                         F.lower(F.col("p_type")).alias("slug"),
-                         F.col("p_type")))
-        leaves = (p.select("p_type", "p_brand").distinct()
-                  .select((F.lit(100000) + F.dense_rank().over(W.orderBy("p_type", "p_brand"))).cast("long").alias("id"),
-                          F.col("p_type"),
-                          F.concat_ws(" ", "p_type", "p_brand").alias("name"),
-                          F.lower(F.concat_ws("-", "p_type", F.regexp_replace("p_brand", "#", ""))).alias("slug"))
-                  .join(F.broadcast(roots.select(F.col("p_type"), F.col("id").alias("parent_id"))), "p_type")
-                  .select("id", "parent_id", "name", "slug"))
+        pairs = self.raw("part").select("p_type", "p_brand").distinct()
+        ranked = pairs.select(
+            "p_type", "p_brand",
+            F.dense_rank().over(W.orderBy("p_type")).cast("long").alias("root_id"),
+            (F.lit(100000) + F.dense_rank().over(W.orderBy("p_type", "p_brand"))).cast("long").alias("leaf_id"))
         created = ts_ntz("1992-01-01 00:00:00").alias("created_at")
-        return roots.select("id", "parent_id", "name", "slug", created).unionByName(
-            leaves.select("id", "parent_id", "name", "slug", created))
+        roots = ranked.select("root_id", "p_type").distinct().select(
+            F.col("root_id").alias("id"), F.lit(None).cast("long").alias("parent_id"),
+            F.col("p_type").alias("name"), F.lower(F.col("p_type")).alias("slug"), created)
+        leaves = ranked.select(
+            F.col("leaf_id").alias("id"), F.col("root_id").alias("parent_id"),
+            F.concat_ws(" ", "p_type", "p_brand").alias("name"),
+            F.lower(F.concat_ws("-", "p_type", F.regexp_replace("p_brand", "#", ""))).alias("slug"), created)
+        return roots.unionByName(leaves)
 
     @cached_property
     def _leaf_keys(self) -> DataFrame:
