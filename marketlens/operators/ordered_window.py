@@ -43,7 +43,9 @@ from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, TimestampNTZType
+from pyspark.sql.types import (
+    BooleanType, DataType, DateType, DoubleType, FloatType, StringType, TimestampNTZType, TimestampType,
+)
 
 from marketlens.session import ensure_checkpoint_dir
 
@@ -66,48 +68,63 @@ def _spec(order: Sequence[Order]) -> list[Column]:
     return [F.col(o.col).desc_nulls_last() if o.desc else F.col(o.col).asc_nulls_first() for o in order]
 
 
-def _typed_lit(b, dtype: DataType) -> Column:
-    """Literal of exactly the column's type (no session-time-zone round trip)."""
+def _sql_lit(b, dtype: DataType) -> str:
+    """SQL literal of exactly the column's type (no time-zone round trip)."""
     if isinstance(dtype, TimestampNTZType):
-        return F.expr(f"timestamp_ntz'{b.isoformat(sep=' ')}'")
-    return F.lit(b).cast(dtype)
-
-
-def _after(c: Column, b, desc: bool, dtype: DataType) -> Column:
+        return f"TIMESTAMP_NTZ'{b.isoformat(sep=' ')}'"
+    if isinstance(dtype, TimestampType):
+        return f"CAST('{b.isoformat(sep=' ')}' AS TIMESTAMP)"
+    if isinstance(dtype, DateType):
+        return f"DATE'{b.isoformat()}'"
+    if isinstance(dtype, StringType):
+        return "'" + str(b).replace("\\", "\\\\").replace("'", "\\'") + "'"
+    if isinstance(dtype, BooleanType):
+        return "TRUE" if b else "FALSE"
+    if isinstance(dtype, (FloatType, DoubleType)):
+        return f"CAST('{repr(float(b))}' AS {dtype.simpleString().upper()})"
+    return f"CAST('{b}' AS {dtype.simpleString().upper()})"
+
+
+def _sql_after(c: str, b, desc: bool, dtype: DataType) -> str:
     """Row value strictly after bound value ``b`` in the sort order."""
     if desc:  # nulls last
         if b is None:
-            return F.lit(False)
-        return c.isNull() | F.coalesce(c < _typed_lit(b, dtype), F.lit(False))
+            return "FALSE"
+        return f"({c} IS NULL OR coalesce({c} < {_sql_lit(b, dtype)}, FALSE))"
     if b is None:  # ascending, nulls first
-        return c.isNotNull()
-    return F.coalesce(c > _typed_lit(b, dtype), F.lit(False))
+        return f"({c} IS NOT NULL)"
+    return f"coalesce({c} > {_sql_lit(b, dtype)}, FALSE)"
 
 
-def _equal(c: Column, b, dtype: DataType) -> Column:
-    return c.isNull() if b is None else F.coalesce(c == _typed_lit(b, dtype), F.lit(False))
+def _sql_equal(c: str, b, dtype: DataType) -> str:
+    return f"({c} IS NULL)" if b is None else f"coalesce({c} = {_sql_lit(b, dtype)}, FALSE)"
 
 
-def _not_before(cols: Sequence[Order], bound: Sequence, types: dict[str, DataType]) -> Column:
+def _sql_not_before(cols: Sequence[Order], bound: Sequence, types: dict[str, DataType]) -> str:
     """Row >= bound in the lexicographic composite order."""
     expr = None
     for o, b in reversed(list(zip(cols, bound))):
-        c, t = F.col(o.col), types[o.col]
+        c, t = f"`{o.col}`", types[o.col]
         if expr is None:
-            expr = _after(c, b, o.desc, t) | _equal(c, b, t)
+            expr = f"({_sql_after(c, b, o.desc, t)} OR {_sql_equal(c, b, t)})"
         else:
-            expr = _after(c, b, o.desc, t) | (_equal(c, b, t) & expr)
+            expr = f"({_sql_after(c, b, o.desc, t)} OR ({_sql_equal(c, b, t)} AND {expr}))"
     return expr
 
 
 def _bucket_expr(cols: Sequence[Order], bounds: list[tuple], types: dict[str, DataType]) -> Column:
-    """Bucket index in [0, len(bounds)] by binary search over split points."""
-    def tree(lo: int, hi: int) -> Column:
+    """Bucket index in [0, len(bounds)] by binary search over the split points.
+
+    Built as one SQL expression (a balanced CASE tree, ~log2(n) composite
+    comparisons per row) so constructing it costs one call, not one per node.
+    """
+    def tree(lo: int, hi: int) -> str:
         if lo == hi:
-            return F.lit(lo)
+            return str(lo)
         mid = (lo + hi) // 2  # bounds[mid] is the first row of bucket mid + 1
-        return F.when(_not_before(cols, bounds[mid], types), tree(mid + 1, hi)).otherwise(tree(lo, mid))
-    return tree(0, len(bounds))
+        return (f"CASE WHEN {_sql_not_before(cols, bounds[mid], types)} "
+                f"THEN {tree(mid + 1, hi)} ELSE {tree(lo, mid)} END")
+    return F.expr(tree(0, len(bounds)))
 
 
 def _checkpoint(df: DataFrame) -> DataFrame:
@@ -127,7 +144,7 @@ def ordered_window(
     lead: dict[str, str] | None = None,
     running_sum: dict[str, str] | None = None,
     target_rows_per_bucket: int | None = None,
-    max_buckets: int = 512,
+    max_buckets: int = 2048,
     sample_per_bucket: int = 64,
     seed: int = 17,
     materialize: bool = True,
