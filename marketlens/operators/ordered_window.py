@@ -47,7 +47,6 @@ from pyspark.sql.types import (
     BooleanType, DataType, DateType, DoubleType, FloatType, StringType, TimestampNTZType, TimestampType,
 )
 
-from marketlens.session import ensure_checkpoint_dir
 
 # rows per bucket; the environment override lets tests force the
 # distributed path on small inputs
@@ -128,8 +127,8 @@ def _bucket_expr(cols: Sequence[Order], bounds: list[tuple], types: dict[str, Da
 
 
 def _checkpoint(df: DataFrame) -> DataFrame:
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    from marketlens.sources.sinks import materialize
+    return materialize(df)
 
 
 def ordered_window(

@@ -1,8 +1,9 @@
 """Sinks: table materialisation and lineage cuts.
 
-* ``materialize`` cuts lineage with a reliable checkpoint in the folder the
-  session names in ``spark.checkpoint.dir`` (shared storage on a cluster),
-  so a lost executor never forces a recompute of the upstream joins.
+* ``materialize`` cuts lineage with a Parquet table written in the folder
+  the session names in ``spark.checkpoint.dir`` (shared storage on a
+  cluster), so a lost executor never forces a recompute of the upstream
+  joins.
 * ``write_table`` is the full-refresh table materialisation: Parquet,
   overwrite, optionally partitioned / bucketed for co-located joins.
 * ``swap_write`` writes a frame that was computed from the same path
@@ -20,8 +21,21 @@ from marketlens.session import ensure_checkpoint_dir
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Compute ``df`` once and continue from a Parquet table written under
+    the session's shared checkpoint folder.
+
+    Columnar and compressed, so it is cheaper to write and read back than an
+    RDD checkpoint, and later scans still prune columns and push filters.
+    The returned frame's lineage starts at that table: a lost executor
+    re-reads it instead of recomputing the upstream plan.
+    """
+    spark = df.sparkSession
+    root = ensure_checkpoint_dir(spark) or spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        return df.checkpoint(eager=True)
+    path = f"{root.rstrip('/')}/marketlens-tables/{uuid.uuid4().hex}"
+    df.write.mode("error").parquet(path)
+    return spark.read.parquet(path)
 
 
 def write_table(df: DataFrame, path: str, *, partition_by: list[str] | None = None,
