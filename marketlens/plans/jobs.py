@@ -113,14 +113,14 @@ class Jobs:
         """Payments table after inserting a batch with duplicate and existing keys.
 
         The batch holds the top-up payments twice (a retry with the same
-        key) and a re-send of every tenth existing payment; conflicts are
-        skipped, duplicates keep the earliest row.
+        key, one minute later) and a re-send of the whole existing table;
+        conflicts are skipped, duplicates keep the earliest row.
         """
         target = self.wh.stg_payments
         topup = self.order_topup_payments_exact()
         retry = topup.withColumn("payment_created_at",
                                  F.col("payment_created_at") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(1)))
-        resend = target.filter(F.pmod(F.col("payment_id"), F.lit(10)) == 0)
+        resend = target
         incoming = topup.unionByName(retry).unionByName(resend)
         new_rows = insert_skip_conflict(target, incoming, ["payment_id"], ["payment_created_at", "payment_status"])
         return target.unionByName(new_rows)

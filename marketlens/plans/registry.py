@@ -809,7 +809,7 @@ def order_topup_payments(spark, sf_dir):
                         select payment_id, provider, payment_status, payment_amount, payment_currency, external_ref,
                                payment_created_at + interval 1 minute from pays
                         union all
-                        select * from stg_payments where payment_id % 10 = 0"""),
+                        select * from stg_payments"""),
         ("fresh", """select * exclude (rn) from (
                         select *, row_number() over (partition by payment_id
                                                      order by payment_created_at, payment_status) as rn
