@@ -36,6 +36,7 @@ lead and running sums to be deterministic; dense_rank only looks at the
 
 from __future__ import annotations
 
+import functools
 import math
 import os
 from dataclasses import dataclass
@@ -126,6 +127,32 @@ def _bucket_expr(cols: Sequence[Order], bounds: list[tuple], types: dict[str, Da
     return F.expr(tree(0, len(bounds)))
 
 
+def _compare_values(a, b) -> int:
+    """Spark's order for two non-null values (NaN is larger than any number)."""
+    a_nan = isinstance(a, float) and math.isnan(a)
+    b_nan = isinstance(b, float) and math.isnan(b)
+    if a_nan or b_nan:
+        return (a_nan > b_nan) - (a_nan < b_nan)
+    return (a > b) - (a < b)
+
+
+def _sort_key(order: Sequence[Order]):
+    """Python sort key reproducing Spark's ORDER BY (asc nulls first, desc
+    nulls last; strings compare by code point, which is UTF-8 byte order)."""
+    def cmp(x: tuple, y: tuple) -> int:
+        for o, a, b in zip(order, x, y):
+            if a is None or b is None:
+                if a is None and b is None:
+                    continue
+                first_null = -1 if a is None else 1
+                return -first_null if o.desc else first_null
+            c = _compare_values(a, b)
+            if c:
+                return -c if o.desc else c
+        return 0
+    return functools.cmp_to_key(cmp)
+
+
 def _checkpoint(df: DataFrame) -> DataFrame:
     from marketlens.sources.sinks import materialize
     return materialize(df)
@@ -211,7 +238,7 @@ def ordered_window(
     sample = base.select(*key_cols)
     if fraction < 1.0:
         sample = sample.sample(withReplacement=False, fraction=fraction, seed=seed)
-    rows = [tuple(r) for r in sample.orderBy(*_spec(composite)).collect()]
+    rows = sorted((tuple(r) for r in sample.collect()), key=_sort_key(composite))
     bounds: list[tuple] = []
     if rows:
         for i in range(1, n):

@@ -86,3 +86,20 @@ def test_hot_value_is_split_across_buckets(spark):
     # the zero value (two thirds of the rows) must still rank densely
     assert out.filter(F.col("v") == 0).select("dr").distinct().count() == 1
     assert out.agg(F.max("rn")).first()[0] == 3000
+
+
+def test_driver_sort_matches_spark_order(spark):
+    import random
+
+    from marketlens.operators.ordered_window import _sort_key, _spec
+    rnd = random.Random(3)
+    words = ["a", "B", "ä", "zz", "Z", "", None, "ab", "é", "𝔘"]
+    data = [(rnd.choice([None, float("nan"), -1.5, 0.0, 2.25, 1e9]), rnd.choice(words), i) for i in range(400)]
+    df = spark.createDataFrame(data, "x double, s string, k long")
+    for order in ([Order("x", True), Order("s"), Order("k")], [Order("s", True), Order("x"), Order("k", True)]):
+        want = [tuple(r) for r in df.orderBy(*_spec(order)).collect()]
+        got = sorted((tuple(r) for r in df.select(*[o.col for o in order]).collect()), key=_sort_key(order))
+        assert [t[-1] for t in got] == [t[[o.col for o in order].index("k")] for t in
+                                       [tuple(r[o.col] for o in order) for r in
+                                        df.orderBy(*_spec(order)).collect()]]
+        assert len(want) == len(got)
