@@ -345,3 +345,21 @@ class Warehouse:
             money_out("_next").alias("next_total_revenue"),
             money_out(F.col("total_revenue") - F.col("_prev")).alias("revenue_change_vs_prev"),
             pct_change(F.col("total_revenue"), F.col("_prev")).alias("revenue_pct_change_vs_prev"))
+
+
+# Presentation order of the models that end with ORDER BY.
+PRESENTATION_ORDER = {
+    "category_hierarchy": ["root_category_id", "depth", "category_id"],
+    "reporting_periods": ["reporting_date", "reporting_period"],
+    "rep_revenue_per_period": ["reporting_period", "reporting_date"],
+    "rep_user_kpis_per_period": ["user_id", "reporting_period", "reporting_date"],
+}
+
+
+def presented(name: str, df: DataFrame) -> DataFrame:
+    """Sort a model for display (a range-partitioned global sort).
+
+    Written tables stay unordered; only use this for what a person reads.
+    """
+    cols = PRESENTATION_ORDER.get(name)
+    return df.orderBy(*cols) if cols else df

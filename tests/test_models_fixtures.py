@@ -144,3 +144,11 @@ def test_interpurchase_hot_user_matches_plain_window(spark):
 def test_similar_to_translation():
     assert similar_to_regex("(Small|Large) %") == "^(?:(Small|Large) .*)$"
     assert similar_to_regex("a_c.") == "^(?:a.c\\.)$"
+
+
+def test_presentation_order(spark):
+    from marketlens.plans.warehouse import presented
+    df = spark.createDataFrame([("Month", dt.date(2024, 2, 1)), ("Day", dt.date(2024, 1, 5)),
+                                ("Day", dt.date(2024, 1, 1))], "reporting_period string, reporting_date date")
+    out = [(r[0], r[1].day) for r in presented("rep_revenue_per_period", df).collect()]
+    assert out == [("Day", 1), ("Day", 5), ("Month", 1)]
