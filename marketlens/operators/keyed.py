@@ -6,8 +6,8 @@ version of the table (written elsewhere and swapped, see
 
 * ``insert_skip_conflict`` - insert, silently skipping keys that already
   exist (and keeping the first of duplicate keys inside the batch, chosen
-  by an explicit order, via a partial-aggregating ``min_by`` so a hot key
-  never gathers in one task).
+  by an explicit order, via a partial-aggregating ``min(struct(order...,
+  row))`` so a hot key never gathers in one task).
 * ``update_from`` - ``UPDATE t SET c = s.c FROM s WHERE t.k = s.k``; the
   source must be unique on the key (it is an aggregate in every caller).
 * ``top_k_per_group`` - skew-safe top-k per key: rank inside
