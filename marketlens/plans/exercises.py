@@ -66,8 +66,7 @@ class Exercises:
                     .join(self.monetized_orders().select("order_id"), "order_id")
                     .join(self.wh.stg_skus.select("sku_id", "category_id"), "sku_id")
                     .groupBy("category_id").agg(F.sum("line_total").alias("_gmv")))
-        # leaves are bounded by the category vocabulary
-        return F.broadcast(leaves).join(line_cat, "category_id", "left").select(
+        return leaves.join(line_cat, "category_id", "left").select(
             F.col("root_category_name").alias("root_category"),
             F.col("category_name").alias("leaf_category"),
             money_out(F.coalesce("_gmv", F.lit(0))).alias("gmv"))
@@ -217,7 +216,7 @@ class Exercises:
         lines = self.wh.stg_lines.select("sku_id", "line_total")
         g = (lines.join(self.wh.stg_skus.select("sku_id", "category_id"), "sku_id")
              .groupBy("category_id").agg(F.sum("line_total").alias("_gmv"))
-             .join(F.broadcast(self.wh.stg_categories.select("category_id", "category_name")), "category_id")
+             .join(self.wh.stg_categories.select("category_id", "category_name"), "category_id")
              .groupBy(F.col("category_name").alias("name")).agg(F.sum("_gmv").alias("_gmv")))
         # top-k is the feature: TakeOrderedAndProject keeps k rows per task
         return g.orderBy(F.col("_gmv").desc(), F.col("name")).limit(k).select(

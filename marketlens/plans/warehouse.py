@@ -8,10 +8,9 @@ Scale notes (see README.md, "Plans at scale"):
 * fact-side joins pre-aggregate order lines on the join key first
   (partial aggregation happens map-side), so a hot order or product turns
   into one row per map task before any shuffle;
-* dimensions whose size is bounded by a vocabulary or a date span
-  (calendar, categories, nation/region, payment groups) are broadcast
-  explicitly; everything else is left to AQE, which converts a join to a
-  broadcast only after measuring the actual size;
+* dimension joins (calendar, categories, shops, SKUs) are left to the
+  planner and AQE, which broadcast a side only after checking its
+  estimated and measured size and keep a shuffle join otherwise;
 * whole-table rankings over entities that grow with the data (products,
   users, shops) use ``ordered_window`` instead of a single-partition window.
 """
@@ -111,8 +110,9 @@ class Warehouse:
         return anchors.select("reporting_period", "reporting_date", *calendar_attributes("reporting_date"))
 
     def _calendar_dim(self) -> DataFrame:
-        # bounded by the date span (~1.2 rows per day), not by data volume
-        return F.broadcast(self.reporting_periods())
+        # ~1.2 rows per day of the date span; AQE broadcasts it after
+        # measuring it (the size check) and keeps a shuffle join otherwise
+        return self.reporting_periods()
 
     # ============================================================ metrics
     def order_revenue(self) -> DataFrame:
@@ -190,8 +190,8 @@ class Warehouse:
             F.sum("line_total").alias("_rev"), F.sum("quantity").alias("_qty"),
             F.count_distinct("order_id").alias("_orders"))
         cats = self.stg_categories.select("category_id", "category_name")
-        # one row per category: bounded by the category vocabulary
-        joined = cats.join(F.broadcast(agg), "category_id", "left").select(
+        # one row per category; AQE broadcasts it once its size is measured
+        joined = cats.join(agg, "category_id", "left").select(
             "category_id", "category_name",
             F.coalesce("_rev", F.lit(0)).alias("total_revenue"),
             F.coalesce("_qty", F.lit(0)).cast("long").alias("total_quantity"),
@@ -291,7 +291,7 @@ class Warehouse:
                           lead={"next_product_revenue": "total_revenue"},
                           running_sum={"cumulative_product_revenue": "total_revenue"})
         skus = self.stg_skus.select("sku_id", "sku_title", "brand", "category_id")
-        cats = F.broadcast(self.stg_categories.select("category_id", "category_name"))
+        cats = self.stg_categories.select("category_id", "category_name")
         shops = self.stg_shops.select("shop_id", "shop_name")
         j = (ranked.join(skus, "sku_id", "left").join(cats, "category_id", "left")
              .join(shops, "shop_id", "left"))

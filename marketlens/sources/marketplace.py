@@ -138,9 +138,10 @@ class Marketplace:
         p = self.raw("part")
         k = F.col("p_partkey")
         leaf = F.concat_ws(" ", "p_type", "p_brand")
-        # categories are bounded by the type/brand vocabulary -> broadcast
+        # category leaves follow the type/brand vocabulary; AQE broadcasts
+        # them after measuring their size
         return (p.withColumn("_leaf", leaf)
-                .join(F.broadcast(self._leaf_keys), F.col("_leaf") == F.col("name"), "left")
+                .join(self._leaf_keys, F.col("_leaf") == F.col("name"), "left")
                 .select(
                     k.alias("id"),
                     F.concat(F.lit("SKU-"), _s(k), F.lit("-"), _s(F.col("p_size"))).alias("sku_code"),
@@ -235,13 +236,14 @@ class Marketplace:
         c = self.raw("customer").select("c_custkey", "c_nationkey")
         nation = self.raw("nation")
         region = self.raw("region")
-        # nation/region are fixed 25/5-row dimensions -> broadcast
-        geo = nation.join(F.broadcast(region), F.col("n_regionkey") == F.col("r_regionkey"), "left") \
+        # nation/region are small fixed dimensions; the planner broadcasts them
+        # from their measured file size
+        geo = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"), "left") \
             .select("n_nationkey", "n_name", "r_name")
         k = F.col("c_custkey")
         n = F.col("n")
         return (c.withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(2))))
-                .join(F.broadcast(geo), F.col("c_nationkey") == F.col("n_nationkey"), "left")
+                .join(geo, F.col("c_nationkey") == F.col("n_nationkey"), "left")
                 .select(
                     k.alias("user_id"), n,
                     (k * 2 + n).alias("id"),
