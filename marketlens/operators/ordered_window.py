@@ -175,12 +175,14 @@ def ordered_window(
     seed: int = 17,
     materialize: bool = True,
     num_buckets: int | None = None,
+    bucket_col: str | None = None,
 ) -> DataFrame:
     """Add window columns to ``df``.
 
     ``lag`` / ``lead`` / ``running_sum`` map an output column to its source
     column (offset 1 for lag/lead, frame = unbounded preceding .. current
-    row for running sums).  ``num_buckets`` forces the bucket count (tests).
+    row for running sums).  ``num_buckets`` forces the bucket count (tests);
+    ``bucket_col`` names an output column carrying each row's bucket.
     """
     lag, lead, running_sum = dict(lag or {}), dict(lead or {}), dict(running_sum or {})
     order_by = list(order_by)
@@ -228,6 +230,8 @@ def ordered_window(
             finals[o] = F.col(f"_ow_lead_{o}")
         for o in running_sum:
             finals[o] = F.col(f"_ow_run_{o}")
+        if bucket_col:
+            finals[bucket_col] = F.col(_B)
         return out.withColumns(finals).drop(*[c for c in out.columns if c.startswith("_ow_")])
 
     # --- split points from a bounded sample (driver receives <= n*sample rows)
@@ -308,6 +312,8 @@ def ordered_window(
         loc, off = F.col(f"_ow_run_{out}"), F.col(f"_ow_off_{out}")
         finals[out] = F.when(loc.isNull() & off.isNull(), F.lit(None)) \
             .otherwise(F.coalesce(loc, F.lit(0)) + F.coalesce(off, F.lit(0)))
+    if bucket_col:
+        finals[bucket_col] = F.col(_B)
     res = joined.withColumns(finals)
     return res.drop(*[c for c in res.columns if c.startswith("_ow_")])
 

@@ -103,3 +103,16 @@ def test_driver_sort_matches_spark_order(spark):
                                        [tuple(r[o.col] for o in order) for r in
                                         df.orderBy(*_spec(order)).collect()]]
         assert len(want) == len(got)
+
+
+def test_hot_partition_key_spread_over_buckets(spark):
+    # user 0 owns a third of the rows
+    data = [(i, 0 if i % 3 == 0 else i % 97 + 1, Decimal(i % 11)) for i in range(3000)]
+    df = spark.createDataFrame(data, "k long, g long, v decimal(12,2)")
+    out = ordered_window(df, [Order("v"), Order("k")], partition_by=["g"], num_buckets=12, materialize=False,
+                         row_number="rn", lag={"p": "v"}, bucket_col="b")
+    hot = out.filter(F.col("g") == 0)
+    assert hot.select("b").distinct().count() >= 3
+    sizes = [r["count"] for r in out.groupBy("b").count().collect()]
+    assert max(sizes) <= 2 * 3000 / 12
+    assert hot.agg(F.max("rn")).first()[0] == 1000
