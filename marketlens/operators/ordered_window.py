@@ -7,8 +7,9 @@ A plain ``Window.orderBy(...)`` with no partition key plans as
 ``Window.partitionBy(user)`` does the same for a user that owns a third of
 the rows.  This operator instead:
 
-1. materialises the input once (reliable checkpoint, so the several passes
-   below do not recompute the upstream joins and survive executor loss);
+1. materialises the input once (a Parquet table under
+   ``spark.checkpoint.dir``), so the several passes below neither recompute
+   the upstream joins nor depend on executor-local state;
 2. counts it and picks ``n`` buckets (``n`` grows with the row count and is
    capped, so everything sized by ``n`` has a proven bound);
 3. draws a bounded sample of the sort keys and takes ``n - 1`` split points
