@@ -26,3 +26,16 @@ def test_materialize_cuts_lineage(spark):
     assert m.count() == 100
     plan = m._jdf.queryExecution().optimizedPlan().toString()
     assert "Aggregate" not in plan
+
+
+def test_build_writes_models_and_views(spark):
+    from marketlens.plans.build import build
+    target = tempfile.mkdtemp(prefix="build-")
+    out = build(spark, "/root/testdata/sf0.001", target, custom_schemas={"current_views": "current"},
+                models=["int_revenue_daily", "rep_revenue_per_period", "dim_addresses_current"])
+    assert set(out) == {"int_revenue_daily", "rep_revenue_per_period", "dim_addresses_current"}
+    assert out["dim_addresses_current"] == f"{target}/current/dim_addresses_current"
+    daily = spark.read.parquet(out["int_revenue_daily"])
+    per = spark.read.parquet(out["rep_revenue_per_period"])
+    assert per.filter("reporting_period = 'Day'").count() == daily.count()
+    assert spark.sql("select count(*) from stg_orders").first()[0] == 1500
