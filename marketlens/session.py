@@ -61,3 +61,28 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
         spark.conf.set("spark.checkpoint.dir", configured)
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
+
+
+def cluster_conf(input_bytes: int, *, target_partition_bytes: int = 256 << 20,
+                 broadcast_bytes: int = 64 << 20) -> dict[str, str]:
+    """Settings sized for a cluster job over ``input_bytes`` of input.
+
+    Shuffle partitions are sized so one post-shuffle partition is about
+    ``target_partition_bytes`` before AQE coalesces small ones; scans split
+    files at the same size; AQE skew handling splits a partition that is 5x
+    the median and above 1 GiB.  Pass the result to the session builder.
+    """
+    partitions = max(200, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(1 << 30),
+        "spark.sql.autoBroadcastJoinThreshold": str(broadcast_bytes),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(broadcast_bytes),
+        "spark.sql.session.timeZone": "UTC",
+    }

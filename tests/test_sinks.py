@@ -39,3 +39,10 @@ def test_build_writes_models_and_views(spark):
     per = spark.read.parquet(out["rep_revenue_per_period"])
     assert per.filter("reporting_period = 'Day'").count() == daily.count()
     assert spark.sql("select count(*) from stg_orders").first()[0] == 1500
+
+
+def test_cluster_conf_sizes_partitions():
+    from marketlens.session import cluster_conf
+    conf = cluster_conf(100 * 1024 ** 4)  # 100 TiB
+    assert int(conf["spark.sql.shuffle.partitions"]) == 409600
+    assert cluster_conf(1 << 20)["spark.sql.shuffle.partitions"] == "200"
