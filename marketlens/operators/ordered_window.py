@@ -23,10 +23,11 @@ the rows.  This operator instead:
 5. runs the window locally per (bucket, partition key) segment — one
    shuffle on the bucket, one sort;
 6. aggregates per-segment statistics for the segments that can continue a
-   previous bucket (all segments in the global case; only partition keys
-   that appear among the split points otherwise) — at most ``2n`` rows —
-   turns them into prefix offsets with a tiny window, broadcasts them and
-   adds them back.
+   previous bucket (all segments in the global case; otherwise only the
+   partition keys that appear among the split points, which are filtered
+   before their statistics are computed) — at most ``2n`` rows — turns
+   them into prefix offsets with a tiny window, broadcasts them and adds
+   them back.
 
 Results equal the single-task window exactly (decimal sums are exact).
 Null order follows Spark: ascending = nulls first, descending = nulls last.
@@ -259,13 +260,16 @@ def ordered_window(
     # --- per-segment statistics for segments that may continue a previous bucket
     seg_src = windowed
     if pcols and bounds:
+        # only partition keys found among the split points can span buckets;
+        # their local windows do not depend on other keys, so the statistics
+        # branch windows just those rows
         spark = df.sparkSession
         keys = sorted({tuple(b[: len(pcols)]) for b in bounds}, key=repr)
         schema = base.select(*pcols).schema
         key_df = spark.createDataFrame(keys, schema=schema).toDF(*[f"_ow_k_{c}" for c in pcols])
         # null-safe: a null partition key is a key like any other
-        cond = [windowed[c].eqNullSafe(key_df[f"_ow_k_{c}"]) for c in pcols]
-        seg_src = windowed.join(F.broadcast(key_df), cond, "left_semi")
+        cond = [bucketed[c].eqNullSafe(key_df[f"_ow_k_{c}"]) for c in pcols]
+        seg_src = local_columns(bucketed.join(F.broadcast(key_df), cond, "left_semi"))
     rk = F.struct(*[F.col(c) for c in rank_cols])
     aggs = [F.count(F.lit(1)).alias("_ow_cnt"), F.max(_LDR).alias("_ow_d"),
             F.min_by(rk, F.col(_LRN)).alias("_ow_first_rk"), F.max_by(rk, F.col(_LRN)).alias("_ow_last_rk")]
