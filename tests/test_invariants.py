@@ -67,3 +67,15 @@ def test_user_kpis_roll_up_to_user_orders(wh):
         (F.col("o") != F.col("total_orders")) | (F.abs(F.col("r") - F.col("total_revenue")) > 1e-6)
         | F.col("o").isNull() | F.col("total_orders").isNull())
     assert diff.count() == 0
+
+
+def test_calendar_anchor_semantics(wh):
+    rp = wh.reporting_periods()
+    weeks = rp.filter(F.col("reporting_period") == "Week")
+    assert weeks.filter(~F.col("is_weekend") | (F.col("day_of_week") != 1)).count() == 0
+    years_q1 = rp.filter((F.col("reporting_period") == "Year")
+                         | ((F.col("reporting_period") == "Quarter") & (F.col("calendar_quarter") == 1)))
+    assert years_q1.filter(F.col("greek_public_holiday_name") != "New Years Day").count() == 0
+    counts = {r[0]: r[1] for r in rp.groupBy("reporting_period").count().collect()}
+    days = wh.all_dates().count()
+    assert counts["Day"] == days and counts["Year"] * 12 == counts["Month"] == counts["Quarter"] * 3
