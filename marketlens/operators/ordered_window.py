@@ -23,11 +23,11 @@ the rows.  This operator instead:
 5. runs the window locally per (bucket, partition key) segment — one
    shuffle on the bucket, one sort;
 6. aggregates per-segment statistics for the segments that can continue a
-   previous bucket (all segments in the global case; otherwise only the
-   partition keys that appear among the split points, which are filtered
-   before their statistics are computed) — at most ``2n`` rows — turns
-   them into prefix offsets with a tiny window, broadcasts them and adds
-   them back.
+   previous bucket — in the global case with plain partial aggregates over
+   the bucketed rows (no second sort); otherwise only for the partition
+   keys that appear among the split points, filtered before windowing —
+   at most ``2n`` rows, turns them into prefix offsets with a tiny window,
+   broadcasts them and adds them back.
 
 Results equal the single-task window exactly (decimal sums are exact).
 Null order follows Spark: ascending = nulls first, descending = nulls last.
@@ -47,7 +47,8 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
-    BooleanType, DataType, DateType, DoubleType, FloatType, StringType, TimestampNTZType, TimestampType,
+    BooleanType, ByteType, DataType, DateType, DecimalType, DoubleType, FloatType, IntegerType, LongType,
+    ShortType, StringType, TimestampNTZType, TimestampType,
 )
 
 
@@ -129,6 +130,26 @@ def _bucket_expr(cols: Sequence[Order], bounds: list[tuple], types: dict[str, Da
     return F.expr(tree(0, len(bounds)))
 
 
+_NEGATABLE = (ByteType, ShortType, IntegerType, LongType, FloatType, DoubleType, DecimalType, DateType)
+
+
+def _ascending_key(order: Sequence[Order], types: dict[str, DataType]) -> Column | None:
+    """A struct whose ascending order (nulls first, as Spark orders struct
+    fields) equals the window order, or None if a descending column cannot
+    be negated.  Descending columns become (is null, negated value)."""
+    fields = []
+    for i, o in enumerate(order):
+        c, t = F.col(o.col), types[o.col]
+        if not o.desc:
+            fields.append(c.alias(f"k{i}"))
+            continue
+        if not isinstance(t, _NEGATABLE):
+            return None
+        neg = -F.datediff(c, F.lit("1970-01-01").cast("date")) if isinstance(t, DateType) else -c
+        fields += [c.isNull().alias(f"n{i}"), neg.alias(f"k{i}")]
+    return F.struct(*fields)
+
+
 def _compare_values(a, b) -> int:
     """Spark's order for two non-null values (NaN is larger than any number)."""
     a_nan = isinstance(a, float) and math.isnan(a)
@@ -271,15 +292,34 @@ def ordered_window(
         cond = [bucketed[c].eqNullSafe(key_df[f"_ow_k_{c}"]) for c in pcols]
         seg_src = local_columns(bucketed.join(F.broadcast(key_df), cond, "left_semi"))
     rk = F.struct(*[F.col(c) for c in rank_cols])
-    aggs = [F.count(F.lit(1)).alias("_ow_cnt"), F.max(_LDR).alias("_ow_d"),
-            F.min_by(rk, F.col(_LRN)).alias("_ow_first_rk"), F.max_by(rk, F.col(_LRN)).alias("_ow_last_rk")]
-    for out, src in lag.items():
-        aggs.append(F.max_by(F.col(src), F.col(_LRN)).alias(f"_ow_lastv_{out}"))
-    for out, src in lead.items():
-        aggs.append(F.min_by(F.col(src), F.col(_LRN)).alias(f"_ow_firstv_{out}"))
-    for out, src in running_sum.items():
-        aggs.append(F.sum(src).alias(f"_ow_sum_{out}"))
-    segs = seg_src.groupBy(_B, *pcols).agg(*aggs)
+    ascending_key = None if pcols else _ascending_key(order_by, types)
+    if ascending_key is not None:
+        # global case: the statistics are plain aggregates over the bucketed
+        # rows (partial aggregation map-side), so the window runs only once
+        aggs = [F.count(F.lit(1)).alias("_ow_cnt"),
+                F.min_by(rk, ascending_key).alias("_ow_first_rk"),
+                F.max_by(rk, ascending_key).alias("_ow_last_rk")]
+        if dense_rank:
+            aggs.append(F.count_distinct(rk).alias("_ow_d"))
+        else:
+            aggs.append(F.lit(0).cast("long").alias("_ow_d"))
+        for out, src in lag.items():
+            aggs.append(F.max_by(F.col(src), ascending_key).alias(f"_ow_lastv_{out}"))
+        for out, src in lead.items():
+            aggs.append(F.min_by(F.col(src), ascending_key).alias(f"_ow_firstv_{out}"))
+        for out, src in running_sum.items():
+            aggs.append(F.sum(src).alias(f"_ow_sum_{out}"))
+        segs = bucketed.groupBy(_B).agg(*aggs)
+    else:
+        aggs = [F.count(F.lit(1)).alias("_ow_cnt"), F.max(_LDR).alias("_ow_d"),
+                F.min_by(rk, F.col(_LRN)).alias("_ow_first_rk"), F.max_by(rk, F.col(_LRN)).alias("_ow_last_rk")]
+        for out, src in lag.items():
+            aggs.append(F.max_by(F.col(src), F.col(_LRN)).alias(f"_ow_lastv_{out}"))
+        for out, src in lead.items():
+            aggs.append(F.min_by(F.col(src), F.col(_LRN)).alias(f"_ow_firstv_{out}"))
+        for out, src in running_sum.items():
+            aggs.append(F.sum(src).alias(f"_ow_sum_{out}"))
+        segs = seg_src.groupBy(_B, *pcols).agg(*aggs)
 
     w2 = Window.partitionBy(*pcols).orderBy(F.col(_B)) if pcols else Window.orderBy(F.col(_B))
     before = w2.rowsBetween(Window.unboundedPreceding, -1)
