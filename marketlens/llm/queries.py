@@ -10,8 +10,11 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 from marketlens.llm.common import table
+from marketlens.llm.decontamination import contaminations
 from marketlens.llm.fingerprints import compare_with_next
 from marketlens.llm.language_id import identify_documents
+from marketlens.llm.mixing import mix_documents
+from marketlens.llm.sharding import shard_documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -40,6 +43,22 @@ def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compare_with_next(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+@query
+def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_documents(table(spark, sf_dir, "documents", "doc_id", "source", "text"))
+
+
+@query
+def op4_balanced_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard_documents(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+@query
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminations(table(spark, sf_dir, "documents", "doc_id", "text"),
+                          table(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
 @query
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify_documents(table(spark, sf_dir, "documents", "doc_id", "text", "lang"))
