@@ -12,9 +12,11 @@ from pyspark.sql import DataFrame, SparkSession
 from marketlens.llm.common import table
 from marketlens.llm.decontamination import contaminations
 from marketlens.llm.fingerprints import compare_with_next
+from marketlens.llm.html_text import extract_pages
 from marketlens.llm.language_id import identify_documents
 from marketlens.llm.mixing import mix_documents
 from marketlens.llm.sharding import shard_documents
+from marketlens.llm.warc import round_trip
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -53,6 +55,11 @@ def op4_balanced_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+@query
+def op5_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_pages(table(spark, sf_dir, "pages", "page_id", "url", "html"))
+
+
 @query
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminations(table(spark, sf_dir, "documents", "doc_id", "text"),
@@ -62,3 +69,8 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify_documents(table(spark, sf_dir, "documents", "doc_id", "text", "lang"))
+
+
+@query
+def op9_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip(table(spark, sf_dir, "pages", "page_id", "url", "html"))
