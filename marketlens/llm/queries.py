@@ -15,6 +15,7 @@ from marketlens.llm.fingerprints import compare_with_next
 from marketlens.llm.html_text import extract_pages
 from marketlens.llm.language_id import identify_documents
 from marketlens.llm.mixing import mix_documents
+from marketlens.llm.ngram_join import join_documents
 from marketlens.llm.sharding import shard_documents
 from marketlens.llm.warc import round_trip
 
@@ -60,6 +61,11 @@ def op5_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_pages(table(spark, sf_dir, "pages", "page_id", "url", "html"))
 
 
+@query
+def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return join_documents(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 @query
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminations(table(spark, sf_dir, "documents", "doc_id", "text"),
