@@ -16,6 +16,8 @@ from marketlens.llm.html_text import extract_pages
 from marketlens.llm.language_id import identify_documents
 from marketlens.llm.mixing import mix_documents
 from marketlens.llm.ngram_join import join_documents
+from marketlens.llm.preference import CONVERSATION_SQL, conversation_pairs, format_preferences
+from marketlens.llm.private_data import find_documents
 from marketlens.llm.sharding import shard_documents
 from marketlens.llm.warc import round_trip
 
@@ -46,6 +48,14 @@ def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compare_with_next(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+@query
+def op2_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return format_preferences(*conversation_pairs(table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")))
+
+
+ORACLE["op2_preference_format"] = CONVERSATION_SQL
+
+
 @query
 def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_documents(table(spark, sf_dir, "documents", "doc_id", "source", "text"))
@@ -80,3 +90,8 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(table(spark, sf_dir, "pages", "page_id", "url", "html"))
+
+
+@query
+def op10_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_documents(table(spark, sf_dir, "documents", "doc_id", "text"))
