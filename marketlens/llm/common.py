@@ -15,7 +15,7 @@ SHINGLE_WORDS = 5
 NEAR_SIMILARITY = 0.8
 
 #: Bytes of text handled at once by the NumPy kernels; bounds their memory.
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _WHITE = np.zeros(256, dtype=bool)

@@ -94,7 +94,8 @@ def train(labelled: DataFrame, settings: Settings = Settings()) -> Model | None:
     order = F.xxhash64("key"), F.col("key")
     picked = (rows.select("key", "lang")
               .withColumn("_rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)))
-              .where(F.col("_rank") <= settings.per_class).drop("_rank"))
+              .where(F.col("_rank") <= settings.per_class).drop("_rank")
+              .limit(settings.per_class * settings.max_classes).dropDuplicates())
 
     @F.arrow_udf("binary")
     def bits(texts: pa.Array) -> pa.Array:
@@ -105,8 +106,8 @@ def train(labelled: DataFrame, settings: Settings = Settings()) -> Model | None:
                 out += [r.tobytes() for r in np.packbits(x, axis=1)]
         return pa.array(out, pa.binary())
 
-    sample = (rows.select("key", "lang", "text")
-              .join(picked.dropDuplicates(["key", "lang"]), ["key", "lang"], "left_semi")
+    # keys of the sample: at most per_class x max_classes, so they can be broadcast
+    sample = (rows.select("key", "lang", "text").join(F.broadcast(picked), ["key", "lang"], "left_semi")
               .select("key", "lang", bits("text").alias("bits"))
               .limit(settings.per_class * settings.max_classes).collect())
     if not sample:
