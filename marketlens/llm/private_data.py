@@ -25,6 +25,7 @@ ids are kept; an empty table gives an empty result.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -55,6 +56,8 @@ SHAPES = {
 }
 
 _AT_MOST_255 = r"0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])"
+#: Matches that are placed in one go.
+_RUN = 128
 _SPAN = "array<struct<kind:int,start:int,end:int,value:string,pair:string,around:string>>"
 
 
@@ -90,17 +93,40 @@ def matches(text: Column, expression: str, needs: str, kind: int) -> Column:
     found = F.regexp_extract_all(text, F.lit(expression), F.lit(0))
     between = F.split(text, expression, -1)
 
-    def step(state: Column, i: Column) -> Column:
-        before, value = F.get(between, i), F.get(found, i)
-        start = state["at"] + F.length(before)
-        pair, around = _context(before, F.get(between, i + 1))
+    # zipped before the fold, so that the text is read once and not at every step
+    n = F.size(found)
+    places = F.arrays_zip(found.alias("value"), F.slice(between, F.lit(1), n).alias("before"), F.slice(between, F.lit(2), n).alias("after"))
+
+    def step(state: Column, place: Column) -> Column:
+        value = place["value"]
+        start = state["at"] + F.length(place["before"])
+        pair, around = _context(place["before"], place["after"])
         span = F.struct(F.lit(kind).alias("kind"), start.alias("start"), (start + F.length(value)).alias("end"),
                         value.alias("value"), pair.alias("pair"), around.alias("around"))
         return F.struct((start + F.length(value)).alias("at"), F.concat(state["out"], F.array(span)).alias("out"))
 
-    start = F.struct(F.lit(0).alias("at"), F.expr(f"cast(array() as {_SPAN})").alias("out"))
-    spans = F.when(F.size(found) > 0, F.aggregate(F.sequence(F.lit(0), F.size(found) - 1), start, step, lambda s: s["out"]))
-    return F.coalesce(F.when(text.rlike(needs), spans), F.expr(f"cast(array() as {_SPAN})"))
+    none = F.expr(f"cast(array() as {_SPAN})")
+
+    def run(start: Column, part: Column) -> Column:
+        return F.aggregate(part, F.struct(start.alias("at"), none.alias("out")), step, lambda s: s["out"])
+
+    def length(part: Column) -> Column:
+        return F.aggregate(part, F.lit(0), lambda n, place: n + F.length(place["before"]) + F.length(place["value"]))
+
+    def spans(parts: Column) -> Column:
+        starts = _let(F.transform(parts, length), lambda sizes: F.aggregate(
+            sizes, F.array(F.lit(0)), lambda out, n: F.concat(out, F.array(F.element_at(out, -1) + n))))
+        return F.flatten(F.zip_with(parts, F.slice(starts, F.lit(1), F.size(parts)), lambda part, start: run(start, part)))
+
+    # runs of some matches each: growing one array match by match would take quadratic time
+    runs = _let(places, lambda all_: F.transform(F.sequence(F.lit(0), F.floor((F.size(all_) - 1) / _RUN).cast("int")),
+                                                 lambda k: F.slice(all_, k * _RUN + 1, F.lit(_RUN))))
+    return F.when(text.rlike(needs) & (n > 0), _let(runs, spans)).otherwise(none)
+
+
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once, also inside of lambdas."""
+    return F.element_at(F.transform(F.array(value), use), 1)
 
 
 def luhn(digits: Column) -> Column:
