@@ -3,9 +3,10 @@
 Documents that share a link key are neighbours; here the key is the text, so
 that copies are linked.  Linked documents start evenly spread.  In each round
 a document looks for the shard where most of its neighbours are, among its
-own and those with room; documents that want to move are numbered per target
-shard and admitted up to the room there, so no shard exceeds its capacity.  Rounds
-end when nobody moves or after ``rounds``.  Documents without a link fill
+own and those that can be entered; documents that want to move are numbered
+per pair of shards and admitted up to a quota, by which no shard exceeds its
+capacity after all moves.  Rounds end when nobody wants to move or after
+``rounds``.  Documents without a link fill
 the shards up.
 
 Law ``rows``: shard counts are at most one apart.
@@ -15,7 +16,8 @@ per key and shard), and numbering uses hash buckets.  The driver learns
 shards x shards counts a round.
 
 Edge cases: a null text has no link; empty texts are linked with each other;
-a group larger than a shard is cut along as few shards as have room; repeated
+a group larger than a shard is cut along the shards that have room; where
+nearly all documents are linked, few moves fit and more groups stay cut; repeated
 rows are documents of their own; an empty table gives an empty result.
 """
 
@@ -28,13 +30,30 @@ from marketlens.llm.common import running_offsets, text_key
 from marketlens.sources.sinks import materialize
 
 SHARDS = 8
-ROUNDS = 6
+ROUNDS = 8
 
 
 def capacities(rows: int, shards: int) -> list[int]:
     return [rows // shards + (k < rows % shards) for k in range(shards)]
 
 
+def admit(want: list[list[int]], load: list[int], room: list[int]) -> list[list[int]]:
+    """How many of those that want to move from a shard to another may, all
+    at once, so that no shard exceeds its room: entries are cut back where
+    too many would come in, until all shards fit."""
+    quota = [list(w) for w in want]
+    shards = range(len(room))
+    while True:
+        over = [load[k] + sum(q[k] for q in quota) - sum(quota[k]) - room[k] for k in shards]
+        k = max(shards, key=lambda k: over[k])
+        if over[k] <= 0:
+            return quota
+        for a in sorted(shards, key=lambda a: -quota[a][k]):
+            cut = min(quota[a][k], over[k])
+            quota[a][k] -= cut
+            over[k] -= cut
+
+
 def propagate(links: DataFrame, room: list[int], rounds: int = ROUNDS) -> DataFrame:
     """Shards for the linked rows of (row, key): a row may have several keys.
 
@@ -47,9 +66,8 @@ def propagate(links: DataFrame, room: list[int], rounds: int = ROUNDS) -> DataFr
     count = nodes.count()
     state = materialize(running_offsets(nodes.withColumn("_all", F.lit(0)), ["_all"], ["row"], count)
                         .select("row", (F.col("_idx") % shards).cast("int").alias("shard")))
-    for turn in range(rounds):
-        load = {r["shard"]: r["n"] for r in state.groupBy("shard").agg(F.count(F.lit(1)).alias("n")).collect()}
-        free = [room[k] - load.get(k, 0) for k in range(shards)]
+    open_ = [True] * shards
+    for _ in range(rounds):
         here = links.join(state, "row")
         by_key = (here.groupBy("key", "shard").agg(F.count(F.lit(1)).alias("n"))
                   .groupBy("key").agg(*[F.sum(F.when(F.col("shard") == k, F.col("n")).otherwise(0)).alias(f"n{k}")
@@ -61,16 +79,23 @@ def propagate(links: DataFrame, room: list[int], rounds: int = ROUNDS) -> DataFr
         # ties go one way for all rows of a key, so that neighbours do not swap places
         tie = [F.pmod(F.xxhash64("key", F.lit(k)), F.lit(1 << 20)) for k in range(shards)]
         best = F.array_max(F.array(*[
-            F.when((F.col("shard") == k) | F.lit(free[k] > 0),
+            F.when((F.col("shard") == k) | F.lit(open_[k]),
                    F.struct(F.col(f"n{k}").alias("n"), tie[k].alias("tie"), F.lit(k).alias("to")))
             for k in range(shards)]))
         wish = votes.select("row", "shard", best["to"].alias("to"), best["n"].alias("n")).where(F.col("to") != F.col("shard"))
-        wish = materialize(wish.select("row", F.col("to").cast("int").alias("to"), "n"))
-        movers = wish.count()
+        wish = materialize(wish.select("row", F.col("shard").alias("from"), F.col("to").cast("int").alias("to")))
+        want = [[0] * shards for _ in range(shards)]
+        for r in wish.groupBy("from", "to").agg(F.count(F.lit(1)).alias("n")).collect():
+            want[r["from"]][r["to"]] = r["n"]
+        movers = sum(map(sum, want))
         if not movers:
             break
-        allowed = F.element_at(F.array(*[F.lit(int(f)).cast("long") for f in free]), F.col("to") + 1)
-        admitted = (running_offsets(wish, ["to"], ["row"], movers)
+        load = {r["shard"]: r["n"] for r in state.groupBy("shard").agg(F.count(F.lit(1)).alias("n")).collect()}
+        quota = admit(want, [load.get(k, 0) for k in range(shards)], room)
+        # a shard that nobody can enter any more is not looked at again
+        open_ = [open_[k] and (not any(w[k] for w in want) or any(q[k] for q in quota)) for k in range(shards)]
+        allowed = F.get(F.get(F.array(*[F.array(*[F.lit(n).cast("long") for n in q]) for q in quota]), F.col("from")), F.col("to"))
+        admitted = (running_offsets(wish, ["from", "to"], ["row"], movers)
                     .where(F.col("_idx") < allowed).select("row", F.col("to").alias("moved")))
         state = materialize(state.join(admitted, "row", "left")
                             .select("row", F.coalesce("moved", "shard").alias("shard")))
