@@ -206,5 +206,6 @@ def mix_stage(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
     rows = mix_documents(stored.select(F.col("_row").alias("doc_id"), "source", "text"), s)
     times = F.greatest(F.lit(1), F.round(F.col("taken") / F.col("size")).cast("int"))
     rows = rows.where(F.col("taken") > 0).select(F.col("doc_id").alias("_row"), times.alias("_times"))
-    copies = stored.join(rows, "_row").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times"))))
+    # the hash table is of the numbers: texts are neither sorted nor kept
+    copies = stored.join(rows.hint("shuffle_hash"), "_row").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times"))))
     return copies.select(*names)

@@ -224,7 +224,7 @@ def similar_texts(docs: DataFrame, s: Settings = Settings()) -> tuple[DataFrame,
     width = groups.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / s.block).cast("int").alias("width"))
     members = groups.join(width, "root")
     ids = members.join(signed, "key").select("key", "root", "width", "doc_id", "bands")
-    sets = (keyed.join(ids, (keyed["key"] == ids["key"]) & keyed["doc_id"].eqNullSafe(ids["doc_id"]))
+    sets = (keyed.join(ids.hint("shuffle_hash"), (keyed["key"] == ids["key"]) & keyed["doc_id"].eqNullSafe(ids["doc_id"]))
             .select(ids["key"].alias("node"), "root", "width", "bands", shingle_set(keyed["text"]).alias("shingles"))
             .dropDuplicates(["node"]))
     sets = materialize(sets.withColumn("block", F.pmod(F.xxhash64("node"), F.col("width")).cast("int")))
@@ -276,4 +276,5 @@ def keep_one(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
     first = (rows.join(classes, "key").groupBy("class_id")
              .agg(F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("_row"))).alias("first")))
     kept = first.select("first._row").unionByName(rows.where(F.col("key").isNull()).select("_row"))
-    return rowed.join(kept, "_row", "left_semi").select(*docs.columns)
+    # the hash table is of the numbers: texts are neither sorted nor kept
+    return rowed.join(kept.hint("shuffle_hash"), "_row", "left_semi").select(*docs.columns)

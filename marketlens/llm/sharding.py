@@ -147,4 +147,5 @@ def shard_stage(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     rowed = docs.withColumn("_row", F.monotonically_increasing_id())
     items = materialize(rowed.select(F.col("_row").alias("row"), text_key(F.col("text")).alias("text_key")))
     where = shard_rows(items, "text_key", shards).select(F.col("row").alias("_row"), F.col("shard").alias("_shard"), F.col("slot").alias("_slot"))
-    return rowed.join(where, "_row").select(*names, F.col("_shard").alias("shard"), F.col("_slot").alias("slot"))
+    # the hash table is of the numbers: texts are neither sorted nor kept
+    return rowed.join(where.hint("shuffle_hash"), "_row").select(*names, F.col("_shard").alias("shard"), F.col("_slot").alias("slot"))
