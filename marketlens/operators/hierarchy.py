@@ -19,6 +19,7 @@ def expand_tree(nodes: DataFrame, *, id_col: str = "category_id", parent_col: st
     """Columns: id, parent, name, root_category_id, root_category_name, depth,
     category_path (names from the root joined by `` > ``)."""
     spark = nodes.sparkSession
+    spark.conf.set("spark.sql.cteRecursionRowLimit", "-1")  # trees of any size
     n = nodes.select(F.col(id_col).alias("nid"), F.col(parent_col).alias("npar"), F.col(name_col).alias("nname"))
     tree = spark.sql(
         f"""

@@ -37,16 +37,32 @@ def first_per_key(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> Da
 
 def insert_skip_conflict(target: DataFrame, incoming: DataFrame, key: Sequence[str],
                          order: Sequence[str]) -> DataFrame:
-    """Rows of ``incoming`` whose key is new (first per key by ``order``)."""
-    fresh = first_per_key(incoming.select(*target.columns), key, order)
-    return fresh.join(target.select(*key), list(key), "left_anti")
+    """Rows of ``incoming`` whose key is new (first per key by ``order``).
+
+    Known keys go before the rest is reduced; rows with a null in the key
+    conflict with nothing, as in SQL, and all stay.
+    """
+    key = list(key)
+    fresh = incoming.select(*target.columns).join(target.select(*key), key, "left_anti").select(*target.columns)
+    whole = F.lit(True)
+    for k in key:
+        whole = whole & F.col(k).isNotNull()
+    return first_per_key(fresh.filter(whole), key, order).unionByName(fresh.filter(~whole))
 
 
 def update_from(target: DataFrame, source: DataFrame, key: Sequence[str], assignments: dict[str, Column]) -> DataFrame:
-    """New version of ``target``; ``assignments`` may reference ``s.<col>`` and ``t.<col>``."""
+    """New version of ``target``; ``assignments`` may reference ``s.<col>`` and ``t.<col>``.
+
+    A key must be unique in ``source``: a second source row for it would be a
+    second target row, so the query fails with an error instead.
+    """
     key = list(key)
     t = target.alias("t")
-    s = source.alias("s")
+    others = [c for c in source.columns if c not in key]
+    once = source.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"), F.any_value(F.struct(*[F.col(c) for c in others])).alias("_row"))
+    row = F.when(F.col("_n") == 1, F.col("_row")).otherwise(
+        F.raise_error(F.concat(F.lit("update_from: several source rows for key "), F.to_json(F.struct(*key)))))
+    s = once.select(*key, row.alias("_row")).select(*key, *[F.col("_row").getField(c).alias(c) for c in others]).alias("s")
     cond = None
     for k in key:
         c = F.col(f"t.{k}") == F.col(f"s.{k}")
@@ -66,19 +82,12 @@ def top_k_per_group(df: DataFrame, group: Sequence[str], order: Sequence[Column]
                     rank_col: str = "rank", tiebreak: str) -> DataFrame:
     """Top ``k`` rows per group by ``order`` (then ``tiebreak`` ascending).
 
-    The first pass ranks within (group, input partition): any salt yields a
-    superset of the true top-k, and the input partition id bounds each
-    slice by the scan split size, so a group holding a third of all rows is
-    spread over all tasks.  The second pass sees <= k rows per slice.
+    The filter on the row number lets Spark keep k rows of a group in each
+    task before the one shuffle (WindowGroupLimit), so a group holding a
+    third of all rows sends k rows per task.
     """
-    group = list(group)
-    full_order = list(order) + [F.col(tiebreak).asc()]
-    salt = F.spark_partition_id()
-    w1 = Window.partitionBy(*group, "_salt").orderBy(*full_order)
-    stage1 = df.withColumn("_salt", salt).withColumn("_r1", F.row_number().over(w1)).filter(F.col("_r1") <= k)
-    w2 = Window.partitionBy(*group).orderBy(*full_order)
-    return (stage1.withColumn(rank_col, F.row_number().over(w2).cast("long"))
-            .filter(F.col(rank_col) <= k).drop("_salt", "_r1"))
+    inside = Window.partitionBy(*group).orderBy(*order, F.col(tiebreak).asc())
+    return df.withColumn(rank_col, F.row_number().over(inside).cast("long")).filter(F.col(rank_col) <= k)
 
 
 def nth_latest_per_group(df: DataFrame, group: str, value: str) -> DataFrame:

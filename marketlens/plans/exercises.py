@@ -152,11 +152,11 @@ class Exercises:
 
     def ex_similar_to(self, pattern: str = "(Small|Large) %") -> DataFrame:
         """SQL ``SIMILAR TO`` (whole-string match; ``%`` any run, ``_`` one char)."""
-        return self._sku_rows().filter(F.col("sku_title").rlike(similar_to_regex(pattern)))
+        return self._sku_rows().filter(F.col("sku_title").rlike("(?s)" + similar_to_regex(pattern)))
 
     def ex_like_escape(self, pattern: str = "bank!_%", escape: str = "!") -> DataFrame:
         p = self.wh.stg_payments.select("payment_id", "provider")
-        return p.filter(F.expr(f"provider like '{pattern}' escape '{escape}'"))
+        return p.filter(F.like("provider", F.lit(pattern), F.lit(escape)))
 
     # --------------------------------------------------------- top / argmin
     def ex_cheapest_offer(self) -> DataFrame:
@@ -292,8 +292,8 @@ def similar_to_regex(pattern: str) -> str:
             out.append(".*")
         elif ch == "_":
             out.append(".")
-        elif ch in ".^$+?{}\\":
+        elif ch in ".^$\\":
             out.append("\\" + ch)
         else:
-            out.append(ch)  # | ( ) * keep their regex meaning
+            out.append(ch)  # | ( ) * + ? { } keep their regex meaning
     return "^(?:" + "".join(out) + ")$"

@@ -88,13 +88,13 @@ class Jobs:
 
     def order_totals_recalc(self) -> DataFrame:
         """orders.total_amount := sum(line_total) for orders that have lines."""
-        orders = self.wh.stg_orders.select("order_id", "order_total_amount")
+        orders = self.wh.stg_orders.select("order_id", "order_total_amount",
+                                           F.col("order_total_amount").alias("previous_total_amount"))
         totals = self.wh.stg_lines.groupBy("order_id").agg(F.sum("line_total").alias("sum_total"))
         upd = update_from(orders, totals, ["order_id"],
                           {"order_total_amount": F.col("s.sum_total").cast(MONEY)})
-        return upd.join(orders.select("order_id", F.col("order_total_amount").alias("previous_total_amount")),
-                        "order_id").select("order_id", money_out("order_total_amount").alias("order_total_amount"),
-                                           money_out("previous_total_amount").alias("previous_total_amount"))
+        return upd.select("order_id", money_out("order_total_amount").alias("order_total_amount"),
+                          money_out("previous_total_amount").alias("previous_total_amount"))
 
     def order_status_from_payment(self) -> DataFrame:
         """Order status and updated_at derived from the linked payment outcome."""

@@ -57,6 +57,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir is not set: a cluster needs a shared folder for stored tables")
         configured = os.path.join(tempfile.mkdtemp(prefix="marketlens-ckpt-"), "ckpt")
         spark.conf.set("spark.checkpoint.dir", configured)
     sc.setCheckpointDir(configured)

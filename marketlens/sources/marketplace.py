@@ -145,7 +145,7 @@ class Marketplace:
                 .select(
                     k.alias("id"),
                     F.concat(F.lit("SKU-"), _s(k), F.lit("-"), _s(F.col("p_size"))).alias("sku_code"),
-                    F.concat(F.upper(F.substring("p_name", 1, 1)), F.substring("p_name", 2, 1 << 20)).alias("title"),
+                    F.concat(F.upper(F.substring("p_name", 1, 1)), F.expr("substring(p_name, 2)")).alias("title"),
                     F.col("p_brand").alias("brand"),
                     F.col("category_id"),
                     F.to_json(F.struct(F.split("p_name", " ").getItem(0).alias("color"),

@@ -2,12 +2,13 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from fixtures import D, T0, frame, warehouse
 from marketlens.functions.dates import ts_ntz
 from marketlens.operators.hierarchy import expand_tree, unreachable_nodes
-from marketlens.operators.keyed import insert_skip_conflict, nth_latest_per_group, top_k_per_group
+from marketlens.operators.keyed import insert_skip_conflict, nth_latest_per_group, top_k_per_group, update_from
 from marketlens.operators.quality import (
     RelationshipCheck, Suite, UniqueCheck, accepted_values, constraint, not_null, run_suite, suite_sql,
 )
@@ -116,3 +117,17 @@ def test_quality_suite_counts_failures(spark):
     con.register("b", b.toPandas())
     sql_rows = {(r[1], r[2]): r[3] for r in con.sql(suite_sql(suite)).fetchall()}
     assert sql_rows == got
+
+
+def test_update_from_refuses_two_source_rows_of_a_key(spark):
+    target = spark.createDataFrame([(1, 2), (5, 6)], "k int, v int")
+    source = spark.createDataFrame([(1, 3), (1, 4)], "k int, v int")
+    with pytest.raises(Exception, match="several source rows"):
+        update_from(target, source, ["k"], {"v": F.col("s.v")}).collect()
+
+
+def test_insert_keeps_rows_with_null_keys(spark):
+    target = spark.createDataFrame([(1, 2)], "k int, v int")
+    incoming = spark.createDataFrame([(1, 9), (None, 3), (None, 4), (7, 5), (7, 6)], "k int, v int")
+    got = insert_skip_conflict(target, incoming, ["k"], ["v"]).collect()
+    assert sorted(map(tuple, got), key=str) == [(7, 5), (None, 3), (None, 4)]
