@@ -51,9 +51,9 @@ def main():
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     names = sys.argv[2:]
     from marketlens.session import get_session
-    import __spark_entry__ as entry
+    from marketlens.plans.registry import ORACLE, QUERIES
     spark = get_session()
-    q, o = entry.queries(), entry.oracle_sql()
+    q, o = QUERIES, ORACLE
     con = duckdb.connect()
     for t in TABLES:
         p = f"{sf_dir}/{t}.parquet"

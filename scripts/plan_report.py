@@ -66,10 +66,10 @@ def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     out = sys.argv[2] if len(sys.argv) > 2 else "PLANS.md"
     from marketlens.session import get_session
-    import __spark_entry__ as entry
+    from marketlens.plans.registry import QUERIES
     spark = get_session()
     rows = []
-    for name, fn in sorted(entry.queries().items()):
+    for name, fn in sorted(QUERIES.items()):
         s = summarise(explain(fn(spark, sf_dir)))
         rows.append((name, s))
         print(name, s, flush=True)

@@ -8,11 +8,11 @@ import pytest
 
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "scripts"))
 
-import __spark_entry__ as entry  # noqa: E402
+from marketlens.plans.registry import ORACLE, QUERIES  # noqa: E402
 from check_oracle import TABLES, rows  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
-NAMES = sorted(entry.queries())
+NAMES = sorted(QUERIES)
 
 
 @pytest.fixture(scope="module")
@@ -26,7 +26,7 @@ def duck():
 
 
 def test_every_query_has_oracle_or_is_documented():
-    missing = set(entry.queries()) - set(entry.oracle_sql())
+    missing = set(QUERIES) - set(ORACLE)
     assert not missing, missing
 
 
@@ -41,12 +41,12 @@ SPARK_TO_SQL = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "strin
 
 @pytest.mark.parametrize("name", NAMES)
 def test_query_matches_oracle(spark, duck, name):
-    frame = entry.queries()[name](spark, SF)
+    frame = QUERIES[name](spark, SF)
     types = {f.name: SPARK_TO_SQL.get(f.dataType.simpleString(), f.dataType.simpleString())
              for f in frame.schema.fields}
-    assert types == {r[0]: r[1] for r in duck.sql("describe " + entry.oracle_sql()[name]).fetchall()}
+    assert types == {r[0]: r[1] for r in duck.sql("describe " + ORACLE[name]).fetchall()}
     sdf = frame.toPandas()
-    ddf = duck.sql(entry.oracle_sql()[name]).df()
+    ddf = duck.sql(ORACLE[name]).df()
     assert sorted(sdf.columns) == sorted(ddf.columns)
     assert len(sdf) == len(ddf)
     assert rows(sdf, True) == rows(ddf, True)
@@ -62,7 +62,7 @@ def test_distributed_window_path_matches_oracle(spark, duck, name, monkeypatch):
     """Force many buckets so the split-point / offset path runs on real queries."""
     import marketlens.operators.ordered_window as ow
     monkeypatch.setattr(ow, "DEFAULT_ROWS_PER_BUCKET", 97)
-    sdf = entry.queries()[name](spark, SF).toPandas()
-    ddf = duck.sql(entry.oracle_sql()[name]).df()
+    sdf = QUERIES[name](spark, SF).toPandas()
+    ddf = duck.sql(ORACLE[name]).df()
     assert len(sdf) == len(ddf)
     assert rows(sdf, False) == rows(ddf, False)
