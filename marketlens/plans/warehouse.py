@@ -182,11 +182,7 @@ class Warehouse:
     def category_revenue_exact(self) -> DataFrame:
         prod_cat = self.stg_products.select("product_id", "sku_id").join(
             self.stg_skus.select("sku_id", "category_id"), "sku_id")
-        # pre-aggregate on the join keys so repeated (product, order) lines
-        # collapse map-side before the join
-        lines = self.stg_lines.groupBy("product_id", "order_id").agg(
-            F.sum("line_total").alias("line_total"), F.sum("quantity").alias("quantity"))
-        agg = lines.join(prod_cat, "product_id").groupBy("category_id").agg(
+        agg = self.stg_lines.join(prod_cat, "product_id").groupBy("category_id").agg(
             F.sum("line_total").alias("_rev"), F.sum("quantity").alias("_qty"),
             F.count_distinct("order_id").alias("_orders"))
         cats = self.stg_categories.select("category_id", "category_name")

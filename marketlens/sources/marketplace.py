@@ -31,8 +31,6 @@ SHOP_STATUSES = ["active", "suspended", "closed"]
 PRODUCT_CONDITIONS = ["new", "used", "refurbished"]
 MONETIZED_STATUSES = ["paid", "shipped", "delivered"]
 
-# product id = sku id * PRODUCT_KEY_BASE + shop id (one offer per shop and SKU)
-PRODUCT_KEY_BASE = 1_000_000
 # ids of addresses added by later snapshot batches
 NEW_ADDRESS_BASE = 1_000_000_000_000
 
@@ -52,7 +50,9 @@ def _s(c: Column) -> Column:
 
 
 def product_key(sku_id: Column, shop_id: Column) -> Column:
-    return sku_id * F.lit(PRODUCT_KEY_BASE) + shop_id
+    """``<sku>-<shop>``: one offer per shop and SKU; different pairs of any
+    size have different keys, and a null part gives a null key."""
+    return F.concat(_s(sku_id), F.lit("-"), _s(shop_id))
 
 
 class Marketplace:
