@@ -1,9 +1,8 @@
-"""Table jobs: snapshots, keyed updates, the deterministic order top-up and
-the bridge/offer derivations of the source scripts.
+"""Table jobs: snapshots, keyed updates, repeated orders and the bridge/offer
+derivations.
 
-Nothing reads the wall clock: ``as_of`` is a parameter (the registered
-queries use the snapshot dates of ``Marketplace`` and, for the top-up, the
-day after the last order).
+Nothing reads the wall clock: snapshots run at the dates of ``Marketplace``,
+and a repeated order is dated by the order that it repeats.
 """
 
 from __future__ import annotations
@@ -14,10 +13,9 @@ from pyspark.sql import functions as F
 from marketlens.functions.dates import ts_ntz
 from marketlens.functions.money import MONEY, money_out
 from marketlens.operators.keyed import insert_skip_conflict, update_from
-from marketlens.operators.ordered_window import Order
 from marketlens.operators.scd2 import current_versions, scd2_apply
 from marketlens.plans.warehouse import Warehouse
-from marketlens.sources.marketplace import PAYMENT_PROVIDERS, SNAPSHOT_AS_OF
+from marketlens.sources.marketplace import SNAPSHOT_AS_OF, payment_ref
 from marketlens.sources.sinks import materialize
 
 # Columns compared by the address snapshot.
@@ -28,7 +26,8 @@ ADDRESS_CHECK_COLS = ["country", "region", "city", "postal_code", "address_line1
 PAYMENT_TO_ORDER_STATUS = [("captured", "paid"), ("authorized", "pending"), ("failed", "cancelled"),
                            ("cancelled", "cancelled"), ("refunded", "refunded")]
 
-TOPUP_ORDERS = 400
+#: Days after which a customer's last order is placed again.
+REPEAT_DAYS = 28
 
 
 def order_status_expr(payment_status: Column, current: Column) -> Column:
@@ -38,17 +37,6 @@ def order_status_expr(payment_status: Column, current: Column) -> Column:
     return expr.otherwise(current)
 
 
-def payment_status_expr(order_id: Column) -> Column:
-    m = F.pmod(order_id, F.lit(100))
-    return (F.when(m < 80, F.lit("captured")).when(m < 90, F.lit("authorized"))
-            .when(m < 97, F.lit("failed")).otherwise(F.lit("refunded")))
-
-
-def provider_expr(order_id: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(x) for x in PAYMENT_PROVIDERS]),
-                        (F.pmod(order_id, F.lit(4)) + 1).cast("int"))
-
-
 class Jobs:
     def __init__(self, wh: Warehouse):
         self.wh = wh
@@ -101,7 +89,7 @@ class Jobs:
         orders = self.wh.stg_orders.select("order_id", "order_status", "payment_id", "order_updated_at")
         pay = self.wh.stg_payments.select(F.col("external_ref"), F.col("payment_id").alias("pid"),
                                           "payment_status", "payment_created_at")
-        keyed = orders.withColumn("external_ref", F.concat(F.lit("TX-"), F.col("order_id").cast("string")))
+        keyed = orders.withColumn("external_ref", payment_ref(F.col("order_id")))
         upd = update_from(keyed, pay, ["external_ref"], {
             "payment_id": F.col("s.pid"),
             "order_status": order_status_expr(F.col("s.payment_status"), F.col("t.order_status")),
@@ -112,12 +100,12 @@ class Jobs:
     def insert_skip_conflict(self) -> DataFrame:
         """Payments table after inserting a batch with duplicate and existing keys.
 
-        The batch holds the top-up payments twice (a retry with the same
-        key, one minute later) and a re-send of the whole existing table;
+        The batch holds the repeated orders' payments twice (a retry with the
+        same key, one minute later) and a re-send of the whole existing table;
         conflicts are skipped, duplicates keep the earliest row.
         """
         target = self.wh.stg_payments
-        topup = self.order_topup_payments_exact()
+        topup = self.order_topup_payments().drop("order_id")
         retry = topup.withColumn("payment_created_at",
                                  F.col("payment_created_at") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(1)))
         resend = target
@@ -125,68 +113,53 @@ class Jobs:
         new_rows = insert_skip_conflict(target, incoming, ["payment_id"], ["payment_created_at", "payment_status"])
         return target.unionByName(new_rows)
 
-    # ----------------------------------------------------------- top-up
-    def _topup(self, n: int = TOPUP_ORDERS):
-        wh = self.wh
-        users = self.default_address()
-        users = wh._ow(users, [Order("user_id")], row_number="rn")
-        users_cnt = users.agg(F.count(F.lit(1)).alias("c")).scalar()
-        # the day after the last order, as a wall-clock (NTZ) timestamp
-        as_of = wh.stg_orders.agg(F.max("order_created_at").alias("m")).select(
-            F.date_add(F.to_date("m"), 1).cast("timestamp_ntz").alias("a")).scalar()
-        max_order = wh.stg_orders.agg(F.max("order_id")).scalar()
-        max_payment = wh.stg_payments.agg(F.max("payment_id")).scalar()
-
-        seq = wh.spark.range(1, n + 1).select(F.col("id").alias("seq"))
-        plan = seq.withColumn("rn", F.pmod(F.col("seq") - 1, users_cnt) + 1)
-        # round-robin user assignment: equi-join on a computed key
-        plan = plan.join(users, "rn").select(
-            (max_order + F.col("seq")).alias("order_id"), "seq", "user_id", "shipping_address_id",
-            "billing_address_id",
-            (as_of - F.make_dt_interval(F.pmod(F.col("seq"), F.lit(60)).cast("int"))).alias("order_created_at"))
-
-        active = wh.stg_products.filter(F.col("product_is_active")).select("product_id", "sku_id", "product_price")
-        active = wh._ow(active, [Order("product_id")], row_number="prn")
-        active_cnt = active.agg(F.count(F.lit(1)).alias("c")).scalar()
-        items = (plan.select("order_id").withColumn(
-            "item_n", F.explode(F.sequence(F.lit(1), (F.pmod(F.col("order_id"), F.lit(4)) + 1).cast("int"))))
-            .withColumn("prn", F.pmod(F.col("order_id") * 31 + F.col("item_n") * 17, active_cnt) + 1))
-        lines = items.join(active, "prn").select(
-            "order_id", F.col("item_n").cast("long").alias("item_n"), "product_id", "sku_id",
-            (F.pmod(F.col("order_id") + F.col("item_n"), F.lit(3)) + 1).cast("int").alias("quantity"),
-            F.col("product_price").alias("unit_price"))
-        lines = lines.withColumn("line_total", (F.col("quantity") * F.col("unit_price")).cast(MONEY))
-        totals = lines.groupBy("order_id").agg(F.sum("line_total").cast(MONEY).alias("total"))
-        payments = plan.join(totals, "order_id", "left").select(
-            (max_payment + F.col("seq")).alias("payment_id"), "order_id",
-            provider_expr(F.col("order_id")).alias("provider"),
-            payment_status_expr(F.col("order_id")).alias("payment_status"),
-            F.coalesce("total", F.lit(0).cast(MONEY)).alias("payment_amount"),
-            F.lit("EUR").alias("payment_currency"),
-            F.concat(F.lit("TX-"), F.col("order_id").cast("string")).alias("external_ref"),
-            (F.col("order_created_at") + F.make_dt_interval(
-                F.lit(0), F.lit(0), F.lit(0), F.pmod(F.col("order_id"), F.lit(3600)).cast("decimal(18,6)")))
-            .alias("payment_created_at"))
-        orders = plan.join(totals, "order_id", "left").join(
-            payments.select("order_id", "payment_id", "payment_status", "payment_created_at"), "order_id").select(
-            "order_id", "user_id", "shipping_address_id", "billing_address_id",
-            order_status_expr(F.col("payment_status"), F.lit("pending")).alias("order_status"),
-            F.coalesce("total", F.lit(0).cast(MONEY)).alias("order_total_amount"),
-            F.lit("EUR").alias("order_currency"), "payment_id", "order_created_at",
-            F.greatest(F.lit(as_of), F.col("payment_created_at")).alias("order_updated_at"))
-        return orders, lines, payments
-
-    def order_topup_orders(self) -> DataFrame:
-        return self._topup()[0]
+    # ---------------------------------------------------- repeated orders
+    def _repeat_plan(self) -> DataFrame:
+        """Every user's last order, to be placed again ``REPEAT_DAYS`` later
+        for the user's default addresses: ``last_id`` and the new columns.
+        New ids are the last id of the table plus the repeated order's."""
+        orders = self.wh.stg_orders
+        top = orders.agg(F.max("order_id")).scalar()
+        last = orders.groupBy("user_id").agg(F.max(F.struct("order_id", "order_created_at", "order_currency")).alias("o"))
+        return last.join(self.default_address(), "user_id").select(
+            F.col("o.order_id").alias("last_id"), (top + F.col("o.order_id")).alias("order_id"), "user_id",
+            "shipping_address_id", "billing_address_id", F.col("o.order_currency").alias("order_currency"),
+            (F.col("o.order_created_at") + F.make_dt_interval(F.lit(REPEAT_DAYS))).alias("order_created_at"))
 
     def order_topup_lines(self) -> DataFrame:
-        return self._topup()[1]
-
-    def order_topup_payments_exact(self) -> DataFrame:
-        return self._topup()[2].drop("order_id")
+        """The lines of the last orders whose offer is still active, at its
+        price of today; ``item_n`` is the line's number in the old order."""
+        wh = self.wh
+        active = wh.stg_products.filter(F.col("product_is_active")).select("product_id", "product_price")
+        plan = self._repeat_plan().select("last_id", F.col("order_id").alias("new_id"))
+        lines = wh.stg_lines.join(plan, F.col("order_id") == F.col("last_id")).join(active, "product_id")
+        return lines.select(
+            F.col("new_id").alias("order_id"), (F.col("order_line_items_id") - F.col("last_id") * 100).alias("item_n"),
+            "product_id", "sku_id", "quantity", F.col("product_price").alias("unit_price"),
+            (F.col("quantity") * F.col("product_price")).cast(MONEY).alias("line_total"))
 
     def order_topup_payments(self) -> DataFrame:
-        return self._topup()[2]
+        """A payment per repeated order with something in it, by the provider
+        of the last one: authorized, and captured where that one was."""
+        wh = self.wh
+        top = wh.stg_payments.agg(F.max("payment_id")).scalar()
+        totals = self.order_topup_lines().groupBy("order_id").agg(F.sum("line_total").cast(MONEY).alias("payment_amount"))
+        paid = wh.stg_orders.select(F.col("order_id").alias("last_id"), "payment_id").join(
+            wh.stg_payments.select("payment_id", "provider", "payment_status"), "payment_id")
+        return self._repeat_plan().join(totals, "order_id").join(paid, "last_id").select(
+            (top + F.col("payment_id")).alias("payment_id"), "order_id", "provider",
+            F.when(F.col("payment_status") == "captured", "captured").otherwise("authorized").alias("payment_status"),
+            "payment_amount", F.col("order_currency").alias("payment_currency"),
+            payment_ref(F.col("order_id")).alias("external_ref"), F.col("order_created_at").alias("payment_created_at"))
+
+    def order_topup_orders(self) -> DataFrame:
+        """The repeated orders that have a payment; its amount is their total."""
+        pay = self.order_topup_payments().select("order_id", "payment_id", "payment_status", "payment_amount")
+        return self._repeat_plan().join(pay, "order_id").select(
+            "order_id", "user_id", "shipping_address_id", "billing_address_id",
+            order_status_expr(F.col("payment_status"), F.lit("pending")).alias("order_status"),
+            F.col("payment_amount").alias("order_total_amount"), "order_currency", "payment_id",
+            "order_created_at", F.col("order_created_at").alias("order_updated_at"))
 
     # ------------------------------------------------- bridge / offers
     def range_join_bridge(self) -> DataFrame:

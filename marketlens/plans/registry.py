@@ -727,7 +727,7 @@ def order_totals_recalc(spark, sf_dir):
                when p.payment_status = 'refunded' then 'refunded' else o.order_status end as order_status,
           case when p.payment_id is not null then greatest(o.order_updated_at, p.payment_created_at)
                else o.order_updated_at end as order_updated_at
-        from stg_orders o left join stg_payments p on p.external_ref = 'TX-' || cast(o.order_id as varchar)""",
+        from stg_orders o left join stg_payments p on p.external_ref = 'pay/' || cast(o.order_id as varchar)""",
     "stg_orders", "stg_payments"))
 def order_status_from_payment(spark, sf_dir):
     """Order status from its payment outcome, updated_at = greatest."""
@@ -736,47 +736,33 @@ def order_status_from_payment(spark, sf_dir):
 
 _TOPUP_LOCAL = [
     ("ua_def", _DEFAULT_ADDR),
-    ("users_enum", "select *, row_number() over (order by user_id) as rn from ua_def"),
-    ("ucnt", "select count(*) as c from users_enum"),
-    ("asof_t", "select date_trunc('day', max(order_created_at)) + interval 1 day as a from stg_orders"),
-    ("mx", "select (select max(order_id) from stg_orders) as mo, (select max(payment_id) from stg_payments) as mp"),
-    ("plan", """select mx.mo + s.range as order_id, s.range as seq, u.user_id, u.shipping_address_id,
-                       u.billing_address_id, asof_t.a - to_days(cast(s.range % 60 as integer)) as order_created_at
-                from range(1, 401) s cross join mx cross join asof_t cross join ucnt
-                join users_enum u on u.rn = (s.range - 1) % ucnt.c + 1"""),
-    ("active", """select product_id, sku_id, product_price, row_number() over (order by product_id) as prn
-                  from stg_products where product_is_active"""),
-    ("acnt", "select count(*) as c from active"),
-    ("items", "select order_id, unnest(generate_series(1, order_id % 4 + 1)) as item_n from plan"),
-    ("tlines", """select i.order_id, i.item_n, a.product_id, a.sku_id,
-                         cast((i.order_id + i.item_n) % 3 + 1 as integer) as quantity, a.product_price as unit_price,
-                         cast(cast((i.order_id + i.item_n) % 3 + 1 as integer) * a.product_price as decimal(12,2))
-                           as line_total
-                  from items i cross join acnt join active a on a.prn = (i.order_id * 31 + i.item_n * 17) % acnt.c + 1"""),
-    ("totals", "select order_id, cast(sum(line_total) as decimal(12,2)) as total from tlines group by 1"),
-    ("pays", """select mx.mp + p.seq as payment_id, p.order_id,
-                       (['card', 'paypal', 'bank_transfer', 'cod'])[cast(p.order_id % 4 + 1 as integer)] as provider,
-                       case when p.order_id % 100 < 80 then 'captured' when p.order_id % 100 < 90 then 'authorized'
-                            when p.order_id % 100 < 97 then 'failed' else 'refunded' end as payment_status,
-                       coalesce(t.total, 0) as payment_amount, 'EUR' as payment_currency,
-                       'TX-' || cast(p.order_id as varchar) as external_ref,
-                       p.order_created_at + to_seconds(p.order_id % 3600) as payment_created_at
-                from plan p cross join mx left join totals t on t.order_id = p.order_id"""),
+    ("again", """select o.order_id as last_id, o.order_id + (select max(order_id) from stg_orders) as order_id,
+                        o.user_id, u.shipping_address_id, u.billing_address_id, o.order_currency, o.payment_id as last_payment,
+                        o.order_created_at + interval 28 days as order_created_at
+                 from stg_orders o join ua_def u on u.user_id = o.user_id
+                 where not exists (select 1 from stg_orders l where l.user_id = o.user_id and l.order_id > o.order_id)"""),
+    ("tlines", """select a.order_id, l.order_line_items_id - a.last_id * 100 as item_n, l.product_id, l.sku_id, l.quantity,
+                         p.product_price as unit_price, cast(l.quantity * p.product_price as decimal(12,2)) as line_total
+                  from again a join stg_order_line_items l on l.order_id = a.last_id
+                  join stg_products p on p.product_id = l.product_id and p.product_is_active"""),
+    ("pays", """select y.payment_id + (select max(payment_id) from stg_payments) as payment_id, a.order_id, y.provider,
+                       if(y.payment_status = 'captured', 'captured', 'authorized') as payment_status,
+                       cast(sum(t.line_total) as decimal(12,2)) as payment_amount, a.order_currency as payment_currency,
+                       'pay/' || cast(a.order_id as varchar) as external_ref, a.order_created_at as payment_created_at
+                from again a join tlines t on t.order_id = a.order_id
+                join stg_payments y on y.payment_id = a.last_payment group by all"""),
 ]
-_TOPUP_CTES = ("stg_users_addresses", "stg_orders", "stg_payments", "stg_products")
+_TOPUP_CTES = ("stg_users_addresses", "stg_orders", "stg_order_line_items", "stg_payments", "stg_products")
 
 
 @register("order_topup_orders", sql(
-    """select p.order_id, p.user_id, p.shipping_address_id, p.billing_address_id,
-          case when y.payment_status = 'captured' then 'paid' when y.payment_status = 'authorized' then 'pending'
-               when y.payment_status in ('failed', 'cancelled') then 'cancelled'
-               when y.payment_status = 'refunded' then 'refunded' else 'pending' end as order_status,
-          cast(coalesce(t.total, 0) as double) as order_total_amount, 'EUR' as order_currency, y.payment_id,
-          p.order_created_at, greatest(asof_t.a, y.payment_created_at) as order_updated_at
-        from plan p cross join asof_t left join totals t on t.order_id = p.order_id
-        join pays y on y.order_id = p.order_id""", *_TOPUP_CTES, local=_TOPUP_LOCAL))
+    """select a.order_id, a.user_id, a.shipping_address_id, a.billing_address_id,
+          if(y.payment_status = 'captured', 'paid', 'pending') as order_status,
+          cast(y.payment_amount as double) as order_total_amount, a.order_currency, y.payment_id,
+          a.order_created_at, a.order_created_at as order_updated_at
+        from again a join pays y on y.order_id = a.order_id""", *_TOPUP_CTES, local=_TOPUP_LOCAL))
 def order_topup_orders(spark, sf_dir):
-    """Deterministic top-up: 400 new orders assigned round-robin to users."""
+    """Every user's last order placed again."""
     return _jobs(spark, sf_dir).order_topup_orders()
 
 
@@ -785,7 +771,7 @@ def order_topup_orders(spark, sf_dir):
           cast(unit_price as double) as unit_price, cast(line_total as double) as line_total from tlines""",
     *_TOPUP_CTES, local=_TOPUP_LOCAL))
 def order_topup_lines(spark, sf_dir):
-    """Line items of the top-up orders, products picked by key arithmetic."""
+    """Line items of the repeated orders at today's offer prices."""
     return _jobs(spark, sf_dir).order_topup_lines()
 
 
@@ -793,7 +779,7 @@ def order_topup_lines(spark, sf_dir):
     "select * replace (cast(payment_amount as double) as payment_amount) from pays", *_TOPUP_CTES,
     local=_TOPUP_LOCAL))
 def order_topup_payments(spark, sf_dir):
-    """Payments of the top-up orders."""
+    """Payments of the repeated orders."""
     return _jobs(spark, sf_dir).order_topup_payments()
 
 

@@ -53,8 +53,7 @@ def test_query_matches_oracle(spark, duck, name):
 
 
 DISTRIBUTED = ["product_performance", "rep_product_performance", "rep_main_kpis_per_shop", "revenue_per_shop",
-               "products_per_shop", "user_orders", "ex_interpurchase", "global_rank_distributed",
-               "order_topup_lines"]
+               "products_per_shop", "user_orders", "ex_interpurchase", "global_rank_distributed"]
 
 
 @pytest.mark.parametrize("name", DISTRIBUTED)
