@@ -55,6 +55,9 @@ def marketplace_suite() -> Suite:
         RelationshipCheck("stg_skus", "category_id", "stg_categories", "category_id"),
         RelationshipCheck("stg_categories", "parent_id", "stg_categories", "category_id"),
         RelationshipCheck("stg_users_addresses", "address_id", "stg_addresses", "address_id"),
+        RelationshipCheck("stg_users_addresses", "user_id", "stg_users", "user_id"),
+        RelationshipCheck("stg_orders", "shipping_address_id", "stg_addresses", "address_id"),
+        RelationshipCheck("stg_orders", "billing_address_id", "stg_addresses", "address_id"),
     ]
     s.freshness.append(FreshnessCheck("stg_orders", "order_created_at", FRESHNESS_AS_OF, 60))
     s.reconcile.append(ReconcileCheck("stg_orders", "order_id", "order_total_amount", "stg_order_line_items",

@@ -2,45 +2,58 @@
 
 Every file that lands in the extract folder is one full extract of the
 source table (one snapshot run).  ``foreachBatch`` applies ``scd2_apply``
-to the stored history and writes the new history as a fresh version under
-``history_path`` (a table cannot be overwritten while it is read), then
-points ``_current`` at it.  The streaming checkpoint records which extracts
-were applied, so a restarted or failed job resumes exactly after the last
-committed run; a batch that failed half-way is re-run against the last
-committed history version, which it never modified.
+to the stored history, writes the new history as a fresh version under
+``history_path`` (a table cannot be overwritten while it is read) and appends
+one row that names it to the ``commits`` table; the last row is the history
+that counts, so a job that ends in between leaves the old one as it was.
+
+Runs can be repeated: an extract that is not newer than the last change in
+the history has been applied before and is passed over, and one that changed
+nothing changes nothing again.
 """
 
 from __future__ import annotations
 
 import os
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlens.operators.scd2 import scd2_apply
-from marketlens.sources.sinks import swap_write
+from marketlens.operators.scd2 import VALID_FROM, VALID_TO, scd2_apply
+from marketlens.sources.sinks import append_rows, swap_write
 
-POINTER = "_current"
+COMMITS = "commits"
 
 
-def current_history_path(spark: SparkSession, history_path: str) -> str | None:
-    pointer = f"{history_path.rstrip('/')}/{POINTER}"
+def _last_commit(spark: SparkSession, history_path: str):
     try:
-        rows = spark.read.text(pointer).collect()  # one short line
-    except Exception:  # noqa: BLE001 - no history yet
-        return None
-    return rows[0][0].strip() if rows else None
+        commits = spark.read.schema("seq long, path string").parquet(f"{history_path.rstrip('/')}/{COMMITS}")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None  # no history yet
+    return commits.agg(F.max(F.struct("seq", "path")).alias("last")).first()["last"]
+
+
+def current_history_path(spark: SparkSession, history_path: str) -> str | None:
+    last = _last_commit(spark, history_path)
+    return last["path"] if last else None
 
 
 def apply_snapshot_batch(spark: SparkSession, extract: DataFrame, history_path: str, key: str,
                          check_cols: list[str], as_of: Column) -> str:
-    """Apply one extract to the stored history; return the new version path."""
-    cur = current_history_path(spark, history_path)
-    history = spark.read.parquet(cur) if cur else None
-    new_hist = scd2_apply(history, extract, key, check_cols, as_of)
-    target = swap_write(new_hist, history_path)
-    spark.createDataFrame([(target,)], "value string").coalesce(1).write.mode("overwrite") \
-        .text(f"{history_path.rstrip('/')}/{POINTER}")
+    """Apply one extract to the stored history; return the path of the
+    version that counts then (the same one if it was applied before)."""
+    last = _last_commit(spark, history_path)
+    history = spark.read.parquet(last["path"]) if last else None
+    if history is not None:
+        newest = F.greatest(F.max(VALID_FROM), F.max(VALID_TO))
+        if history.agg((as_of <= newest).alias("applied")).first()["applied"]:
+            return last["path"]
+    target = swap_write(scd2_apply(history, extract, key, check_cols, as_of), history_path)
+    commit = spark.createDataFrame([((last["seq"] if last else 0) + 1, target)], "seq long, path string")
+    append_rows(commit.coalesce(1), f"{history_path.rstrip('/')}/{COMMITS}")
     return target
 
 

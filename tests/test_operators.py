@@ -14,6 +14,7 @@ from marketlens.operators.quality import (
 )
 from marketlens.operators.scd2 import current_versions, scd2_apply
 from marketlens.plans.jobs import ADDRESS_CHECK_COLS, Jobs, order_status_expr
+from marketlens.sources.marketplace import product_key
 
 
 def _addr(i, **kw):
@@ -46,6 +47,38 @@ def test_scd2_versions(spark):
     assert hist.select("version_id").distinct().count() == len(rows)
 
 
+def test_product_keys_do_not_collide(spark):
+    pairs = [(1, 1_000_000), (2, 0), (1, 11), (11, 1), (111, 1), (2 ** 62, 2 ** 62), (None, 3)]
+    got = [r[0] for r in spark.createDataFrame(pairs, "sku long, shop long")
+           .select(product_key(F.col("sku"), F.col("shop"))).collect()]
+    assert len(set(got)) == len(pairs) and got[-1] is None
+
+
+def test_last_orders_are_repeated(spark):
+    wh = warehouse(
+        spark,
+        orders=[dict(id=1, user_id=7, payment_id=11, created_at=T0), dict(id=2, user_id=7, payment_id=12, created_at=T0),
+                dict(id=3, user_id=8, payment_id=13, created_at=T0), dict(id=4, user_id=9, payment_id=14, created_at=T0)],
+        order_line_items=[dict(id=101, order_id=1, product_id=5, sku_id=50, quantity=9, line_total=D(9)),
+                          dict(id=201, order_id=2, product_id=5, sku_id=50, quantity=2, line_total=D(2)),
+                          dict(id=202, order_id=2, product_id=6, sku_id=60, quantity=1, line_total=D(1)),
+                          dict(id=301, order_id=3, product_id=6, sku_id=60, quantity=1, line_total=D(1)),
+                          dict(id=401, order_id=4, product_id=5, sku_id=50, quantity=1, line_total=D(1))],
+        products=[dict(id=5, shop_id=1, sku_id=50, price=D("2.50")), dict(id=6, shop_id=1, sku_id=60, price=D(4), is_active=False)],
+        payments=[dict(id=11), dict(id=12, provider="cod"), dict(id=13), dict(id=14, status="failed")],
+        users_addresses=[dict(user_id=u, address_id=u * 10) for u in (7, 8, 9)])
+    jobs = Jobs(wh)
+    orders = {r["user_id"]: r for r in jobs.order_topup_orders().collect()}
+    assert set(orders) == {7, 9}  # nothing of user 8's last order is still sold
+    assert (orders[7]["order_id"], orders[7]["payment_id"], orders[7]["order_total_amount"]) == (6, 26, D("5.00"))
+    assert (orders[7]["order_status"], orders[9]["order_status"]) == ("paid", "pending")
+    assert orders[7]["order_created_at"] == T0 + dt.timedelta(days=28) and orders[7]["shipping_address_id"] == 70
+    lines = sorted((r["order_id"], r["item_n"], r["quantity"], r["line_total"]) for r in jobs.order_topup_lines().collect())
+    assert lines == [(6, 1, 2, D("5.00")), (8, 1, 1, D("2.50"))]
+    assert {r["provider"] for r in jobs.order_topup_payments().collect()} == {"cod", "card"}
+    assert jobs.insert_skip_conflict().count() == 6
+
+
 def test_hierarchy_with_orphan_and_cycle(spark):
     nodes = spark.createDataFrame(
         [(1, None, "Root A"), (2, None, "Root B"), (3, 1, "Child"), (4, 3, "Grandchild"),
