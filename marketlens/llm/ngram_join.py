@@ -232,7 +232,8 @@ def similar_texts(docs: DataFrame, s: Settings = Settings()) -> tuple[DataFrame,
     tasks = (sets.withColumn("mate", mates)
              .select("node", "root", "bands", "shingles", "block",
                      F.least("block", "mate").alias("one"), F.greatest("block", "mate").alias("two")))
-    packs = max(1, -(-sets.count() // 512))
+    # a node takes part in as many tasks as its group has blocks
+    packs = max(1, -(-(sets.agg(F.sum("width")).first()[0] or 0) // (2 * s.block)))
     # a group of several blocks spreads over many packs; small groups share one
     pack = F.pmod(F.xxhash64("root", "one", "two"), F.lit(packs))
     similarity = s.similarity
