@@ -15,15 +15,17 @@ PATH_SEPARATOR = " > "
 
 
 def expand_tree(nodes: DataFrame, *, id_col: str = "category_id", parent_col: str = "parent_id",
-                name_col: str = "category_name", max_depth: int = 100) -> DataFrame:
+                name_col: str = "category_name") -> DataFrame:
     """Columns: id, parent, name, root_category_id, root_category_name, depth,
     category_path (names from the root joined by `` > ``)."""
     spark = nodes.sparkSession
-    spark.conf.set("spark.sql.cteRecursionRowLimit", "-1")  # trees of any size
+    # trees of any size and depth: a level without rows ends the recursion
+    spark.conf.set("spark.sql.cteRecursionRowLimit", "-1")
+    spark.conf.set("spark.sql.cteRecursionLevelLimit", "-1")
     n = nodes.select(F.col(id_col).alias("nid"), F.col(parent_col).alias("npar"), F.col(name_col).alias("nname"))
     tree = spark.sql(
         f"""
-        WITH RECURSIVE tree MAX RECURSION LEVEL {int(max_depth)} AS (
+        WITH RECURSIVE tree AS (
           SELECT nid, npar, nname, nid AS root_id, nname AS root_name, 0 AS depth,
                  CAST(nname AS STRING) AS path
           FROM {{n}} WHERE npar IS NULL

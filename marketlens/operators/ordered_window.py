@@ -40,7 +40,6 @@ from __future__ import annotations
 
 import functools
 import math
-import os
 from dataclasses import dataclass
 from typing import Sequence
 
@@ -52,9 +51,8 @@ from pyspark.sql.types import (
 )
 
 
-# rows per bucket; the environment override lets tests force the
-# distributed path on small inputs
-DEFAULT_ROWS_PER_BUCKET = int(os.environ.get("MARKETLENS_ROWS_PER_BUCKET", "4000000"))
+# rows per bucket
+DEFAULT_ROWS_PER_BUCKET = 4_000_000
 
 _B = "_ow_bucket"
 _LRN = "_ow_lrn"

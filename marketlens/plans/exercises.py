@@ -72,19 +72,20 @@ class Exercises:
             money_out(F.coalesce("_gmv", F.lit(0))).alias("gmv"))
 
     # ------------------------------------------------------------ windows
-    def ex_running_gmv(self, month: str | None = None, current_month: bool = False) -> DataFrame:
+    def ex_running_gmv(self, month: str | None = None, months_ago: int | None = None) -> DataFrame:
         """Daily GMV and running GMV within the month.
 
-        ``month`` picks one month; ``current_month`` picks the month of the
-        latest order (the data's "now"); otherwise every month is reported.
+        ``month`` (its first day) picks one month; ``months_ago`` counts back
+        from the month of the latest order (the data's "now", 0); otherwise
+        every month is reported.
         """
         daily = self._gmv_by_order().groupBy("dt").agg(F.sum("_gmv").alias("daily_gmv"))
         if month is not None:
             daily = daily.filter(F.trunc("dt", "MM") == F.to_date(F.lit(month)))
-        elif current_month:
-            latest = self.wh.stg_orders.agg(
-                F.trunc(F.max(F.to_date("order_created_at")), "MM").alias("m")).scalar()
-            daily = daily.filter(F.trunc("dt", "MM") == latest)
+        elif months_ago is not None:
+            latest = F.trunc(F.max(F.to_date("order_created_at")), "MM")
+            picked = self.wh.stg_orders.agg(F.add_months(latest, -months_ago).alias("m")).scalar()
+            daily = daily.filter(F.trunc("dt", "MM") == picked)
         w = Window.partitionBy(F.trunc("dt", "MM")).orderBy("dt") \
             .rowsBetween(Window.unboundedPreceding, Window.currentRow)
         return daily.select("dt", money_out("daily_gmv").alias("daily_gmv"),

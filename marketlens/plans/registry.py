@@ -390,19 +390,29 @@ def ex_running_gmv(spark, sf_dir):
     return _ex(spark, sf_dir).ex_running_gmv()
 
 
-@register("ex_running_gmv_current_month", sql(
-    f"""select dt, cast(daily_gmv as double) as daily_gmv,
+def _month_gmv_sql(months_ago: int) -> str:
+    return sql(
+        f"""select dt, cast(daily_gmv as double) as daily_gmv,
           cast(sum(daily_gmv) over (order by dt rows between unbounded preceding and current row) as double)
             as running_gmv
         from (select cast(o.order_created_at as date) as dt, sum(l.line_total) as daily_gmv
               from stg_orders o join stg_order_line_items l on o.order_id = l.order_id
               where o.order_status in {MONETIZED_SQL} group by 1)
         where date_trunc('month', dt) = (select date_trunc('month', max(cast(order_created_at as date)))
-                                         from stg_orders)""",
-    "stg_orders", "stg_order_line_items"))
+                                           - interval {months_ago} month from stg_orders)""",
+        "stg_orders", "stg_order_line_items")
+
+
+@register("ex_running_gmv_current_month", _month_gmv_sql(0))
 def ex_running_gmv_current_month(spark, sf_dir):
     """Daily GMV and running total for the current (latest) month (E1 as stated)."""
-    return _ex(spark, sf_dir).ex_running_gmv(current_month=True)
+    return _ex(spark, sf_dir).ex_running_gmv(months_ago=0)
+
+
+@register("ex_running_gmv_last_full_month", _month_gmv_sql(1))
+def ex_running_gmv_last_full_month(spark, sf_dir):
+    """Daily GMV and running total for the month before the current one."""
+    return _ex(spark, sf_dir).ex_running_gmv(months_ago=1)
 
 
 @register("ex_orders_ma7", sql(

@@ -79,6 +79,13 @@ def test_last_orders_are_repeated(spark):
     assert jobs.insert_skip_conflict().count() == 6
 
 
+def test_hierarchy_deeper_than_the_default_limit(spark):
+    nodes = spark.range(105).selectExpr("id as category_id", "if(id = 0, null, id - 1) as parent_id",
+                                        "cast(id as string) as category_name").coalesce(1)
+    deepest = expand_tree(nodes).orderBy(F.col("depth").desc()).first()
+    assert deepest["depth"] == 104 and deepest["category_path"] == " > ".join(map(str, range(105)))
+
+
 def test_hierarchy_with_orphan_and_cycle(spark):
     nodes = spark.createDataFrame(
         [(1, None, "Root A"), (2, None, "Root B"), (3, 1, "Child"), (4, 3, "Grandchild"),
