@@ -7,9 +7,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from marketlens.sources.sinks import materialize
+
 #: Word length of a shingle and least similarity of near-duplicates.
 SHINGLE_WORDS = 5
 NEAR_SIMILARITY = 0.8
@@ -27,6 +30,24 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet").select(*columns)
 
 
+def numbered(docs: DataFrame) -> DataFrame:
+    """(row, doc): every row's lasting number and its columns.
+
+    The number is the place of the row in the files it is read from (hash of
+    the file's path, index in the file), so that every read gives a row the
+    same one.  Numbers counted by partition would change with the files'
+    split, which follows from the executors there are at the time.  A frame
+    that is not read from files is stored first.
+    """
+    try:
+        place = docs.metadataColumn("_metadata")
+    except AnalysisException:
+        docs = materialize(docs)
+        place = docs.metadataColumn("_metadata")
+    row = F.struct(F.xxhash64(place["file_path"]).alias("file"), place["row_index"].alias("index"))
+    return docs.select(row.alias("row"), F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("doc"))
+
+
 def running_offsets(df: DataFrame, group: list[str], order: list[str], rows: int,
                     value: str | None = None, per_bucket: int = 20_000) -> DataFrame:
     """Adds ``_idx`` (gapless from 0 in the group) and ``_start`` (sum of

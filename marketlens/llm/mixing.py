@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketlens.llm.common import running_offsets
+from marketlens.llm.common import numbered, running_offsets
 from marketlens.sources.sinks import materialize
 
 #: Fixed values of the query: weights by source order, share of all words,
@@ -201,11 +201,10 @@ def mix_stage(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
     """The documents that the mix takes words of, all columns as they are,
     each as often as whole passes take it: once, or twice where its taken
     words are nearer to two times its size."""
-    names = docs.columns
-    stored = docs.withColumn("_row", F.monotonically_increasing_id())
-    rows = mix_documents(stored.select(F.col("_row").alias("doc_id"), "source", "text"), s)
+    stored = numbered(docs)
+    rows = mix_documents(stored.select(F.col("row").alias("doc_id"), "doc.source", "doc.text"), s)
     times = F.greatest(F.lit(1), F.round(F.col("taken") / F.col("size")).cast("int"))
-    rows = rows.where(F.col("taken") > 0).select(F.col("doc_id").alias("_row"), times.alias("_times"))
+    rows = rows.where(F.col("taken") > 0).select(F.col("doc_id").alias("row"), times.alias("times"))
     # the hash table is of the numbers: texts are neither sorted nor kept
-    copies = stored.join(rows.hint("shuffle_hash"), "_row").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times"))))
-    return copies.select(*names)
+    copies = stored.join(rows.hint("shuffle_hash"), "row").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("times"))))
+    return copies.select("doc.*")

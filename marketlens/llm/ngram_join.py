@@ -38,7 +38,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketlens.llm.common import NEAR_SIMILARITY, pieces, scramble, shingle_hashes, text_key
+from marketlens.llm.common import NEAR_SIMILARITY, numbered, pieces, scramble, shingle_hashes, text_key
 from marketlens.sources.sinks import materialize
 
 
@@ -269,13 +269,12 @@ def join_documents(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
 def keep_one(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
     """One document of each class, all columns as they are: that with the
     smallest doc_id, and of repeated rows one.  Documents with a null text
-    all stay.  ``docs`` must be a stored table, as its rows are numbered in
-    two reads."""
+    all stay."""
     classes = materialize(_classes(docs.select("doc_id", "text"), s))
-    rowed = docs.withColumn("_row", F.monotonically_increasing_id())
-    rows = materialize(rowed.select("_row", "doc_id", text_key(F.col("text")).alias("key")))
+    rowed = numbered(docs)
+    rows = materialize(rowed.select("row", "doc.doc_id", text_key(F.col("doc.text")).alias("key")))
     first = (rows.join(classes, "key").groupBy("class_id")
-             .agg(F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("_row"))).alias("first")))
-    kept = first.select("first._row").unionByName(rows.where(F.col("key").isNull()).select("_row"))
+             .agg(F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("row"))).alias("first")))
+    kept = first.select("first.row").unionByName(rows.where(F.col("key").isNull()).select("row"))
     # the hash table is of the numbers: texts are neither sorted nor kept
-    return rowed.join(kept.hint("shuffle_hash"), "_row", "left_semi").select(*docs.columns)
+    return rowed.join(kept.hint("shuffle_hash"), "row", "left_semi").select("doc.*")

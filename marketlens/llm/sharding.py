@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketlens.llm.common import running_offsets, text_key
+from marketlens.llm.common import numbered, running_offsets, text_key
 from marketlens.sources.sinks import materialize
 
 SHARDS = 8
@@ -144,8 +144,8 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
 def shard_stage(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     """The documents with their shard and slot; columns of these names are replaced."""
     names = [c for c in docs.columns if c not in ("shard", "slot")]
-    rowed = docs.withColumn("_row", F.monotonically_increasing_id())
-    items = materialize(rowed.select(F.col("_row").alias("row"), text_key(F.col("text")).alias("text_key")))
-    where = shard_rows(items, "text_key", shards).select(F.col("row").alias("_row"), F.col("shard").alias("_shard"), F.col("slot").alias("_slot"))
+    rowed = numbered(docs)
+    items = materialize(rowed.select("row", text_key(F.col("doc.text")).alias("text_key")))
+    where = shard_rows(items, "text_key", shards).select("row", "shard", "slot")
     # the hash table is of the numbers: texts are neither sorted nor kept
-    return rowed.join(where.hint("shuffle_hash"), "_row").select(*names, F.col("_shard").alias("shard"), F.col("_slot").alias("slot"))
+    return rowed.join(where.hint("shuffle_hash"), "row").select(*[F.col("doc")[c].alias(c) for c in names], "shard", "slot")

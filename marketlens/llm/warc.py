@@ -32,6 +32,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from marketlens.llm.common import numbered
 from marketlens.session import ensure_checkpoint_dir
 from marketlens.sources.sinks import materialize
 
@@ -115,10 +116,9 @@ def with_roles(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
     """page_id, url, payload, payload_bytes, digest, refers_to.  Of equal
     payloads of ``least_bytes`` at least, the row with the largest page_id is
     the response (refers_to null) and the others name it."""
-    payload = F.coalesce("html", F.lit("")).cast("binary")
-    rows = pages.select("page_id", "url", payload.alias("payload"), F.octet_length(payload).cast("long").alias("payload_bytes"),
-                        F.sha1(payload).alias("sha1"), F.monotonically_increasing_id().alias("row"))
-    # pages is a stored table: both reads number its rows alike
+    payload = F.coalesce("doc.html", F.lit("")).cast("binary")
+    rows = numbered(pages).select("doc.page_id", "doc.url", payload.alias("payload"),
+                                  F.octet_length(payload).cast("long").alias("payload_bytes"), F.sha1(payload).alias("sha1"), "row")
     order = F.struct(F.col("page_id").isNotNull().alias("known"), F.col("page_id"), F.col("row"))
     shared = (rows.where(F.col("payload_bytes") >= least_bytes).groupBy("sha1")
               .agg(F.max(order).alias("top"), F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)

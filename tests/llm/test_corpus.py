@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from marketlens.llm.common import running_offsets
+from marketlens.llm.common import numbered, running_offsets
 from marketlens.llm.mixing import Settings, mix_documents, mix_stage, permuted, share_out
 from marketlens.llm.queries import QUERIES
 from marketlens.llm.sharding import capacities, propagate, shard_documents, shard_stage
@@ -183,3 +183,17 @@ def test_pipeline_run(spark):
     counts = Counter(r.shard for r in rows)
     assert rows and max(counts.values()) - min(counts.values()) <= 1
     assert corpus_pipeline.ORACLE_SQL is None
+
+
+def test_rows_keep_their_numbers_when_files_are_split_otherwise(spark, docs_of, tmp_path):
+    docs = docs_of([(k, f"text {k}", "en", "s") for k in range(500)] + [(7, "text 7", "en", "s")] * 3, str(tmp_path / "d"))
+    read = lambda: {r["row"]: r["doc_id"] for r in numbered(docs).select("row", "doc.doc_id").collect()}
+    first = read()
+    split = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "512b")
+    try:
+        assert read() == first and len(first) == 503
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    other = numbered(spark.range(5).withColumn("_metadata", F.lit("x")))
+    assert other.select("row").distinct().count() == 5 and other.select("doc.*").columns == ["id", "_metadata"]
