@@ -7,27 +7,19 @@ A plain ``Window.orderBy(...)`` with no partition key plans as
 ``Window.partitionBy(user)`` does the same for a user that owns a third of
 the rows.  This operator instead:
 
-1. materialises the input once (a Parquet table under
-   ``spark.checkpoint.dir``), so the several passes below neither recompute
-   the upstream joins nor depend on executor-local state;
-2. counts it and picks ``n`` buckets (``n`` grows with the row count and is
-   capped, so everything sized by ``n`` has a proven bound);
-3. draws a bounded sample of the sort keys and takes ``n - 1`` split points
-   of the composite order (partition keys, then order keys) on the driver —
-   at most ``n * sample_per_bucket`` small key tuples;
-4. assigns each row to a bucket with a pure function of its own key
-   (binary search over the split points, ~log2(n) comparisons), so a
-   recomputed task always lands rows in the same bucket, and a hot value
-   or hot partition key is spread over several buckets by the tie-break
-   columns;
-5. runs the window locally per (bucket, partition key) segment — one
-   shuffle on the bucket, one sort;
-6. aggregates per-segment statistics for the segments that can continue a
-   previous bucket — in the global case with plain partial aggregates over
-   the bucketed rows (no second sort); otherwise only for the partition
-   keys that appear among the split points, filtered before windowing —
-   at most ``2n`` rows, turns them into prefix offsets with a tiny window,
-   broadcasts them and adds them back.
+1. stores the input (a Parquet table under ``spark.checkpoint.dir``), so that
+   range partitioning, which samples it, does not compute it twice;
+2. cuts it into buckets of about ``target_rows_per_bucket`` rows by Spark's
+   range partitioning on the composite order (partition keys, then order
+   keys).  The number of buckets grows with the rows; a hot value or hot
+   partition key is spread over several buckets by the tie-break columns;
+3. runs the window inside each bucket and stores the result, so that what
+   follows reads the same buckets whatever happens to an executor;
+4. takes the first and the last row of each bucket.  A partition key that
+   goes over a bucket's end is the key of both rows there, so these (two rows
+   a bucket) hold all that later buckets need: counts, ranks, sums, values;
+5. sums them up over the buckets and adds them to the rows by a broadcast
+   join on the bucket (one row a bucket).
 
 Results equal the single-task window exactly (decimal sums are exact).
 Null order follows Spark: ascending = nulls first, descending = nulls last.
@@ -38,23 +30,20 @@ lead and running sums to be deterministic; dense_rank only looks at the
 
 from __future__ import annotations
 
-import functools
 import math
 from dataclasses import dataclass
 from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import (
-    BooleanType, ByteType, DataType, DateType, DecimalType, DoubleType, FloatType, IntegerType, LongType,
-    ShortType, StringType, TimestampNTZType, TimestampType,
-)
 
 
 # rows per bucket
 DEFAULT_ROWS_PER_BUCKET = 4_000_000
 
 _B = "_ow_bucket"
+_FIRST = "_ow_first"
+_LAST = "_ow_last"
 _LRN = "_ow_lrn"
 _LDR = "_ow_ldr"
 
@@ -69,116 +58,76 @@ def _spec(order: Sequence[Order]) -> list[Column]:
     return [F.col(o.col).desc_nulls_last() if o.desc else F.col(o.col).asc_nulls_first() for o in order]
 
 
-def _sql_lit(b, dtype: DataType) -> str:
-    """SQL literal of exactly the column's type (no time-zone round trip)."""
-    if isinstance(dtype, TimestampNTZType):
-        return f"TIMESTAMP_NTZ'{b.isoformat(sep=' ')}'"
-    if isinstance(dtype, TimestampType):
-        return f"CAST('{b.isoformat(sep=' ')}' AS TIMESTAMP)"
-    if isinstance(dtype, DateType):
-        return f"DATE'{b.isoformat()}'"
-    if isinstance(dtype, StringType):
-        return "'" + str(b).replace("\\", "\\\\").replace("'", "\\'") + "'"
-    if isinstance(dtype, BooleanType):
-        return "TRUE" if b else "FALSE"
-    if isinstance(dtype, (FloatType, DoubleType)):
-        return f"CAST('{repr(float(b))}' AS {dtype.simpleString().upper()})"
-    return f"CAST('{b}' AS {dtype.simpleString().upper()})"
-
-
-def _sql_after(c: str, b, desc: bool, dtype: DataType) -> str:
-    """Row value strictly after bound value ``b`` in the sort order."""
-    if desc:  # nulls last
-        if b is None:
-            return "FALSE"
-        return f"({c} IS NULL OR coalesce({c} < {_sql_lit(b, dtype)}, FALSE))"
-    if b is None:  # ascending, nulls first
-        return f"({c} IS NOT NULL)"
-    return f"coalesce({c} > {_sql_lit(b, dtype)}, FALSE)"
-
-
-def _sql_equal(c: str, b, dtype: DataType) -> str:
-    return f"({c} IS NULL)" if b is None else f"coalesce({c} = {_sql_lit(b, dtype)}, FALSE)"
-
-
-def _sql_not_before(cols: Sequence[Order], bound: Sequence, types: dict[str, DataType]) -> str:
-    """Row >= bound in the lexicographic composite order."""
-    expr = None
-    for o, b in reversed(list(zip(cols, bound))):
-        c, t = f"`{o.col}`", types[o.col]
-        if expr is None:
-            expr = f"({_sql_after(c, b, o.desc, t)} OR {_sql_equal(c, b, t)})"
-        else:
-            expr = f"({_sql_after(c, b, o.desc, t)} OR ({_sql_equal(c, b, t)} AND {expr}))"
-    return expr
-
-
-def _bucket_expr(cols: Sequence[Order], bounds: list[tuple], types: dict[str, DataType]) -> Column:
-    """Bucket index in [0, len(bounds)] by binary search over the split points.
-
-    Built as one SQL expression (a balanced CASE tree, ~log2(n) composite
-    comparisons per row) so constructing it costs one call, not one per node.
-    """
-    def tree(lo: int, hi: int) -> str:
-        if lo == hi:
-            return str(lo)
-        mid = (lo + hi) // 2  # bounds[mid] is the first row of bucket mid + 1
-        return (f"CASE WHEN {_sql_not_before(cols, bounds[mid], types)} "
-                f"THEN {tree(mid + 1, hi)} ELSE {tree(lo, mid)} END")
-    return F.expr(tree(0, len(bounds)))
-
-
-_NEGATABLE = (ByteType, ShortType, IntegerType, LongType, FloatType, DoubleType, DecimalType, DateType)
-
-
-def _ascending_key(order: Sequence[Order], types: dict[str, DataType]) -> Column | None:
-    """A struct whose ascending order (nulls first, as Spark orders struct
-    fields) equals the window order, or None if a descending column cannot
-    be negated.  Descending columns become (is null, negated value)."""
-    fields = []
-    for i, o in enumerate(order):
-        c, t = F.col(o.col), types[o.col]
-        if not o.desc:
-            fields.append(c.alias(f"k{i}"))
-            continue
-        if not isinstance(t, _NEGATABLE):
-            return None
-        neg = -F.datediff(c, F.lit("1970-01-01").cast("date")) if isinstance(t, DateType) else -c
-        fields += [c.isNull().alias(f"n{i}"), neg.alias(f"k{i}")]
-    return F.struct(*fields)
-
-
-def _compare_values(a, b) -> int:
-    """Spark's order for two non-null values (NaN is larger than any number)."""
-    a_nan = isinstance(a, float) and math.isnan(a)
-    b_nan = isinstance(b, float) and math.isnan(b)
-    if a_nan or b_nan:
-        return (a_nan > b_nan) - (a_nan < b_nan)
-    return (a > b) - (a < b)
-
-
-def _sort_key(order: Sequence[Order]):
-    """Python sort key reproducing Spark's ORDER BY (asc nulls first, desc
-    nulls last; strings compare by code point, which is UTF-8 byte order)."""
-    def cmp(x: tuple, y: tuple) -> int:
-        for o, a, b in zip(order, x, y):
-            if a is None or b is None:
-                if a is None and b is None:
-                    continue
-                first_null = -1 if a is None else 1
-                return -first_null if o.desc else first_null
-            c = _compare_values(a, b)
-            if c:
-                return -c if o.desc else c
-        return 0
-    return functools.cmp_to_key(cmp)
-
-
 def _checkpoint(df: DataFrame) -> DataFrame:
     from marketlens.sources.sinks import materialize
     return materialize(df)
 
 
+def _bucketed_window(
+    base: DataFrame, order_by: list[Order], pcols: list[str], rank_cols: list[str], buckets: int,
+    lag: dict[str, str], lead: dict[str, str], running_sum: dict[str, str],
+) -> DataFrame:
+    """``base`` with its bucket, flags of the bucket's first and last row and
+    the window columns as they are inside the bucket."""
+    composite = _spec([Order(c) for c in pcols] + order_by)
+    in_bucket = Window.partitionBy(_B).orderBy(*composite)
+    local = Window.partitionBy(_B, *pcols).orderBy(*_spec(order_by))
+    running = local.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rank = F.struct(*rank_cols)
+    before = F.lag(rank).over(local)
+    # both windows sort by bucket, partition keys, order: one exchange, one sort
+    frame = base.repartitionByRange(buckets, *composite).withColumn(_B, F.spark_partition_id()).withColumns({
+        _FIRST: F.lag(F.lit(True)).over(in_bucket).isNull(),
+        _LAST: F.lead(F.lit(True)).over(in_bucket).isNull(),
+    })
+    frame = frame.withColumns({
+        _LRN: F.row_number().over(local).cast("long"),
+        "_ow_step": F.when(before.isNull() | ~before.eqNullSafe(rank), 1).otherwise(0),
+        **{f"_ow_lag_{out}": F.lag(src).over(local) for out, src in lag.items()},
+        **{f"_ow_lead_{out}": F.lead(src).over(local) for out, src in lead.items()},
+        **{f"_ow_run_{out}": F.sum(src).over(running) for out, src in running_sum.items()},
+    })
+    return frame.withColumn(_LDR, F.sum("_ow_step").over(running).cast("long")).drop("_ow_step")
+
+
+def _carried(
+    stored: DataFrame, pcols: list[str], rank_cols: list[str],
+    lag: dict[str, str], lead: dict[str, str], running_sum: dict[str, str],
+) -> DataFrame:
+    """One row a bucket: the keys of its first and last row, and what earlier
+    buckets add to the first key and the next one to the last key."""
+    key, rank = F.struct(F.lit(0), *pcols), F.struct(*rank_cols)
+    firsts = stored.where(_FIRST).select(
+        F.col(_B), key.alias("_ow_k0"), rank.alias("_ow_r0"),
+        *[F.col(src).alias(f"_ow_v0_{out}") for out, src in lead.items()])
+    lasts = stored.where(_LAST).select(
+        F.col(_B), key.alias("_ow_k1"), rank.alias("_ow_r1"), F.col(_LRN).alias("_ow_n1"), F.col(_LDR).alias("_ow_d1"),
+        *[F.col(src).alias(f"_ow_v1_{out}") for out, src in lag.items()],
+        *[F.col(f"_ow_run_{out}").alias(f"_ow_s1_{out}") for out in running_sum])
+    ends = firsts.join(lasts, _B)
+    by_bucket = Window.orderBy(_B)
+    prev = lambda c: F.lag(c).over(by_bucket)
+    goes_on = F.coalesce(prev("_ow_k1").eqNullSafe(F.col("_ow_k0")) & prev("_ow_n1").isNotNull(), F.lit(False))
+    ends = ends.withColumn("_ow_on", goes_on).withColumn(
+        "_ow_same", F.when(F.col("_ow_on") & prev("_ow_r1").eqNullSafe(F.col("_ow_r0")), 1).otherwise(0))
+    # totals of the last key over all its buckets so far
+    so_far = Window.partitionBy("_ow_k1").orderBy(_B).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    whole = F.col("_ow_k0").eqNullSafe(F.col("_ow_k1"))
+    ends = ends.withColumns({
+        "_ow_n": F.sum("_ow_n1").over(so_far),
+        "_ow_d": F.sum(F.col("_ow_d1") - F.when(whole, F.col("_ow_same")).otherwise(0)).over(so_far),
+        **{f"_ow_s_{out}": F.sum(f"_ow_s1_{out}").over(so_far) for out in running_sum},
+    })
+    next_on = F.coalesce(F.lead("_ow_on").over(by_bucket), F.lit(False))
+    return ends.select(
+        F.col(_B).alias("_ow_ob"), "_ow_k0",
+        F.when(F.col("_ow_on"), prev("_ow_n")).otherwise(0).alias("_ow_off_rn"),
+        F.when(F.col("_ow_on"), prev("_ow_d") - F.col("_ow_same")).otherwise(0).alias("_ow_off_dr"),
+        *[F.when(F.col("_ow_on"), prev(f"_ow_v1_{out}")).alias(f"_ow_prev_{out}") for out in lag],
+        *[F.when(next_on, F.lead(f"_ow_v0_{out}").over(by_bucket)).alias(f"_ow_next_{out}") for out in lead],
+        *[F.when(F.col("_ow_on"), prev(f"_ow_s_{out}")).alias(f"_ow_off_{out}") for out in running_sum])
+
+
 def ordered_window(
     df: DataFrame,
     order_by: Sequence[Order],
@@ -191,9 +140,6 @@ def ordered_window(
     lead: dict[str, str] | None = None,
     running_sum: dict[str, str] | None = None,
     target_rows_per_bucket: int | None = None,
-    max_buckets: int = 2048,
-    sample_per_bucket: int = 64,
-    seed: int = 17,
     materialize: bool = True,
     num_buckets: int | None = None,
     bucket_col: str | None = None,
@@ -202,163 +148,38 @@ def ordered_window(
 
     ``lag`` / ``lead`` / ``running_sum`` map an output column to its source
     column (offset 1 for lag/lead, frame = unbounded preceding .. current
-    row for running sums).  ``num_buckets`` forces the bucket count (tests);
+    row for running sums).  ``materialize=False`` says that ``df`` is a stored
+    table already; ``num_buckets`` forces the bucket count (tests);
     ``bucket_col`` names an output column carrying each row's bucket.
     """
     lag, lead, running_sum = dict(lag or {}), dict(lead or {}), dict(running_sum or {})
-    order_by = list(order_by)
-    pcols = list(partition_by)
+    order_by, pcols = list(order_by), list(partition_by)
     rank_cols = list(rank_by) if rank_by is not None else [order_by[0].col]
-    composite = [Order(c) for c in pcols] + order_by
 
     base = _checkpoint(df) if materialize else df
-    if num_buckets is None:
-        total = base.count()
-        per_bucket = target_rows_per_bucket or DEFAULT_ROWS_PER_BUCKET
-        n = max(1, min(max_buckets, math.ceil(total / max(1, per_bucket))))
-    else:
-        total, n = None, max(1, num_buckets)
-
-    local_w = Window.partitionBy(*([_B] + pcols)).orderBy(*_spec(order_by))
-    running_w = local_w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-
-    def local_columns(frame: DataFrame) -> DataFrame:
-        rk = F.struct(*[F.col(c) for c in rank_cols])
-        prev_rk = F.lag(rk).over(local_w)
-        change = F.when(prev_rk.isNull() | ~prev_rk.eqNullSafe(rk), 1).otherwise(0)
-        cols = {_LRN: F.row_number().over(local_w).cast("long"),
-                "_ow_chg": change}
-        for out, src in lag.items():
-            cols[f"_ow_lag_{out}"] = F.lag(src).over(local_w)
-        for out, src in lead.items():
-            cols[f"_ow_lead_{out}"] = F.lead(src).over(local_w)
-        for out, src in running_sum.items():
-            cols[f"_ow_run_{out}"] = F.sum(src).over(running_w)
-        frame = frame.withColumns(cols)
-        return frame.withColumn(_LDR, F.sum("_ow_chg").over(running_w).cast("long")).drop("_ow_chg")
-
-    if n == 1:
-        windowed = local_columns(base.withColumn(_B, F.lit(0)))
-        out = windowed
-        finals = {}
-        if row_number:
-            finals[row_number] = F.col(_LRN)
-        if dense_rank:
-            finals[dense_rank] = F.col(_LDR)
-        for o in lag:
-            finals[o] = F.col(f"_ow_lag_{o}")
-        for o in lead:
-            finals[o] = F.col(f"_ow_lead_{o}")
-        for o in running_sum:
-            finals[o] = F.col(f"_ow_run_{o}")
-        if bucket_col:
-            finals[bucket_col] = F.col(_B)
-        return out.withColumns(finals).drop(*[c for c in out.columns if c.startswith("_ow_")])
-
-    # --- split points from a bounded sample (driver receives <= n*sample rows)
-    key_cols = [o.col for o in composite]
-    if total is None:
-        total = base.count()
-    fraction = min(1.0, (n * sample_per_bucket) / max(1, total))
-    sample = base.select(*key_cols)
-    if fraction < 1.0:
-        sample = sample.sample(withReplacement=False, fraction=fraction, seed=seed)
-    rows = sorted((tuple(r) for r in sample.collect()), key=_sort_key(composite))
-    bounds: list[tuple] = []
-    if rows:
-        for i in range(1, n):
-            b = rows[min(len(rows) - 1, (i * len(rows)) // n)]
-            if not bounds or bounds[-1] != b:
-                bounds.append(b)
-        if bounds and bounds[0] == rows[0]:
-            bounds = bounds[1:]  # an empty first bucket adds nothing
-    types = {f.name: f.dataType for f in base.schema.fields}
-    bucketed = base.withColumn(_B, _bucket_expr(composite, bounds, types) if bounds else F.lit(0))
-    windowed = local_columns(bucketed)
-
-    # --- per-segment statistics for segments that may continue a previous bucket
-    seg_src = windowed
-    if pcols and bounds:
-        # only partition keys found among the split points can span buckets;
-        # their local windows do not depend on other keys, so the statistics
-        # branch windows just those rows
-        spark = df.sparkSession
-        keys = sorted({tuple(b[: len(pcols)]) for b in bounds}, key=repr)
-        schema = base.select(*pcols).schema
-        key_df = spark.createDataFrame(keys, schema=schema).toDF(*[f"_ow_k_{c}" for c in pcols])
-        # null-safe: a null partition key is a key like any other
-        cond = [bucketed[c].eqNullSafe(key_df[f"_ow_k_{c}"]) for c in pcols]
-        seg_src = local_columns(bucketed.join(F.broadcast(key_df), cond, "left_semi"))
-    rk = F.struct(*[F.col(c) for c in rank_cols])
-    ascending_key = None if pcols else _ascending_key(order_by, types)
-    if ascending_key is not None:
-        # global case: the statistics are plain aggregates over the bucketed
-        # rows (partial aggregation map-side), so the window runs only once
-        aggs = [F.count(F.lit(1)).alias("_ow_cnt"),
-                F.min_by(rk, ascending_key).alias("_ow_first_rk"),
-                F.max_by(rk, ascending_key).alias("_ow_last_rk")]
-        if dense_rank:
-            aggs.append(F.count_distinct(rk).alias("_ow_d"))
-        else:
-            aggs.append(F.lit(0).cast("long").alias("_ow_d"))
-        for out, src in lag.items():
-            aggs.append(F.max_by(F.col(src), ascending_key).alias(f"_ow_lastv_{out}"))
-        for out, src in lead.items():
-            aggs.append(F.min_by(F.col(src), ascending_key).alias(f"_ow_firstv_{out}"))
-        for out, src in running_sum.items():
-            aggs.append(F.sum(src).alias(f"_ow_sum_{out}"))
-        segs = bucketed.groupBy(_B).agg(*aggs)
-    else:
-        aggs = [F.count(F.lit(1)).alias("_ow_cnt"), F.max(_LDR).alias("_ow_d"),
-                F.min_by(rk, F.col(_LRN)).alias("_ow_first_rk"), F.max_by(rk, F.col(_LRN)).alias("_ow_last_rk")]
-        for out, src in lag.items():
-            aggs.append(F.max_by(F.col(src), F.col(_LRN)).alias(f"_ow_lastv_{out}"))
-        for out, src in lead.items():
-            aggs.append(F.min_by(F.col(src), F.col(_LRN)).alias(f"_ow_firstv_{out}"))
-        for out, src in running_sum.items():
-            aggs.append(F.sum(src).alias(f"_ow_sum_{out}"))
-        segs = seg_src.groupBy(_B, *pcols).agg(*aggs)
-
-    w2 = Window.partitionBy(*pcols).orderBy(F.col(_B)) if pcols else Window.orderBy(F.col(_B))
-    before = w2.rowsBetween(Window.unboundedPreceding, -1)
-    has_prev = F.lag("_ow_cnt").over(w2).isNotNull()
-    overlap = F.when(has_prev & F.col("_ow_first_rk").eqNullSafe(F.lag("_ow_last_rk").over(w2)), 1).otherwise(0)
-    segs = segs.withColumn("_ow_overlap", overlap)
-    off_cols = {
-        "_ow_off_rn": F.coalesce(F.sum("_ow_cnt").over(before), F.lit(0)),
-        "_ow_off_dr": F.coalesce(F.sum(F.col("_ow_d") - F.col("_ow_overlap")).over(before), F.lit(0))
-        - F.col("_ow_overlap"),
-    }
-    for out in lag:
-        off_cols[f"_ow_prev_{out}"] = F.lag(f"_ow_lastv_{out}").over(w2)
-    for out in lead:
-        off_cols[f"_ow_next_{out}"] = F.lead(f"_ow_firstv_{out}").over(w2)
-    for out in running_sum:
-        off_cols[f"_ow_off_{out}"] = F.sum(f"_ow_sum_{out}").over(before)
-    offsets = segs.withColumns(off_cols).select(
-        F.col(_B).alias("_ow_ob"), *[F.col(c).alias(f"_ow_o_{c}") for c in pcols], "_ow_cnt", *off_cols.keys())
+    n = num_buckets or max(1, math.ceil(base.count() / (target_rows_per_bucket or DEFAULT_ROWS_PER_BUCKET)))
+    stored = _checkpoint(_bucketed_window(base, order_by, pcols, rank_cols, n, lag, lead, running_sum))
+    carried = _carried(stored, pcols, rank_cols, lag, lead, running_sum)
 
-    # offsets hold at most (#buckets + #split points) rows -> broadcast
-    cond = [windowed[_B] == offsets["_ow_ob"]] + [windowed[c].eqNullSafe(offsets[f"_ow_o_{c}"]) for c in pcols]
-    joined = windowed.join(F.broadcast(offsets), cond, "left")
+    # one row a bucket -> broadcast
+    joined = stored.join(F.broadcast(carried), F.col(_B) == F.col("_ow_ob"))
+    first_key = F.struct(F.lit(0), *pcols).eqNullSafe(F.col("_ow_k0"))
     finals = {}
     if row_number:
-        finals[row_number] = F.col(_LRN) + F.coalesce(F.col("_ow_off_rn"), F.lit(0))
+        finals[row_number] = F.col(_LRN) + F.when(first_key, F.col("_ow_off_rn")).otherwise(0)
     if dense_rank:
-        finals[dense_rank] = F.col(_LDR) + F.coalesce(F.col("_ow_off_dr"), F.lit(0))
+        finals[dense_rank] = F.col(_LDR) + F.when(first_key, F.col("_ow_off_dr")).otherwise(0)
     for out in lag:
-        finals[out] = F.when(F.col(_LRN) == 1, F.col(f"_ow_prev_{out}")).otherwise(F.col(f"_ow_lag_{out}"))
+        finals[out] = F.when(F.col(_FIRST), F.col(f"_ow_prev_{out}")).otherwise(F.col(f"_ow_lag_{out}"))
     for out in lead:
-        finals[out] = F.when(F.col(_LRN) == F.col("_ow_cnt"), F.col(f"_ow_next_{out}")) \
-            .otherwise(F.col(f"_ow_lead_{out}"))
+        finals[out] = F.when(F.col(_LAST), F.col(f"_ow_next_{out}")).otherwise(F.col(f"_ow_lead_{out}"))
     for out in running_sum:
-        loc, off = F.col(f"_ow_run_{out}"), F.col(f"_ow_off_{out}")
-        finals[out] = F.when(loc.isNull() & off.isNull(), F.lit(None)) \
-            .otherwise(F.coalesce(loc, F.lit(0)) + F.coalesce(off, F.lit(0)))
+        here, off = F.col(f"_ow_run_{out}"), F.when(first_key, F.col(f"_ow_off_{out}"))
+        finals[out] = F.coalesce(here + off, here, off).cast(stored.schema[f"_ow_run_{out}"].dataType)
     if bucket_col:
         finals[bucket_col] = F.col(_B)
-    res = joined.withColumns(finals)
-    return res.drop(*[c for c in res.columns if c.startswith("_ow_")])
+    out = joined.withColumns(finals)
+    return out.drop(*[c for c in out.columns if c.startswith("_ow_")])
 
 
 def plain_window(

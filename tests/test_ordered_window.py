@@ -88,21 +88,42 @@ def test_hot_value_is_split_across_buckets(spark):
     assert out.agg(F.max("rn")).first()[0] == 3000
 
 
-def test_driver_sort_matches_spark_order(spark):
+def test_mixed_types_nan_and_nulls_in_the_order(spark):
     import random
 
-    from marketlens.operators.ordered_window import _sort_key, _spec
     rnd = random.Random(3)
-    words = ["a", "B", "ä", "zz", "Z", "", None, "ab", "é", "𝔘"]
+    words = ["a", "B", "ä", "zz", "Z", "", None, "ab", "é", "𝔘", "it's", "back\\slash"]
     data = [(rnd.choice([None, float("nan"), -1.5, 0.0, 2.25, 1e9]), rnd.choice(words), i) for i in range(400)]
     df = spark.createDataFrame(data, "x double, s string, k long")
+    kw = dict(row_number="rn", dense_rank="dr", lag={"p": "s"}, lead={"q": "s"})
     for order in ([Order("x", True), Order("s"), Order("k")], [Order("s", True), Order("x"), Order("k", True)]):
-        want = [tuple(r) for r in df.orderBy(*_spec(order)).collect()]
-        got = sorted((tuple(r) for r in df.select(*[o.col for o in order]).collect()), key=_sort_key(order))
-        assert [t[-1] for t in got] == [t[[o.col for o in order].index("k")] for t in
-                                       [tuple(r[o.col] for o in order) for r in
-                                        df.orderBy(*_spec(order)).collect()]]
-        assert len(want) == len(got)
+        got = ordered_window(df, order, num_buckets=16, materialize=False, **kw)
+        want = plain_window(df, order, **kw)
+        rows = [{r["k"]: tuple(r)[3:] for r in f.select("x", "s", "k", "rn", "dr", "p", "q").collect()} for f in (got, want)]
+        assert rows[0] == rows[1]
+
+
+@pytest.mark.parametrize("n", [64, 1024, 4096])
+def test_many_buckets(spark, n):
+    _compare(spark, _data(3000, 101, with_nulls=True), n)
+
+
+def test_many_buckets_per_key(spark):
+    _compare(spark, _data(2000, 23, with_nulls=True, hot_group=True, null_group=True), 1024, partition_by=["g"])
+
+
+def test_buckets_grow_with_the_rows(spark):
+    df = spark.createDataFrame(_data(3000, 500), "k long, g long, v decimal(12,2)")
+    out = ordered_window(df, [Order("v"), Order("k")], row_number="rn", target_rows_per_bucket=10, bucket_col="b")
+    assert out.select("b").distinct().count() > 200
+    assert out.agg(F.max("rn"), F.countDistinct("rn")).first()[:] == (3000, 3000)
+
+
+def test_running_sum_keeps_the_type_of_the_plain_window(spark):
+    df = spark.createDataFrame(_data(50, 7), "k long, g long, v decimal(12,2)")
+    order = [Order("v"), Order("k")]
+    got = ordered_window(df, order, num_buckets=5, running_sum={"c": "v"})
+    assert got.schema["c"].dataType == plain_window(df, order, running_sum={"c": "v"}).schema["c"].dataType
 
 
 def test_hot_partition_key_spread_over_buckets(spark):
