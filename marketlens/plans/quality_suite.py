@@ -15,6 +15,21 @@ KEYS = {
     "stg_skus": "sku_id", "stg_users": "user_id",
 }
 
+#: Keys of the models above staging: no part is null, the parts are unique together.
+MODEL_KEYS = {
+    "category_revenue": ("category_id",),
+    "products_per_shop": ("shop_id",),
+    "revenue_per_shop": ("shop_id",),
+    "user_orders": ("user_id",),
+    "rep_category_performance": ("category_id",),
+    "rep_main_kpis_per_shop": ("shop_id",),
+    "rep_payment_summary": ("provider", "payment_status"),
+    "rep_product_performance": ("product_id",),
+    "rep_revenue_per_period": ("reporting_period", "reporting_date"),
+    "rep_user_kpis_per_period": ("user_id", "reporting_period", "reporting_date"),
+    "addresses_current": ("id",),
+}
+
 FRESHNESS_AS_OF = "2001-09-01 00:00:00"
 
 
@@ -63,3 +78,11 @@ def marketplace_suite() -> Suite:
     s.reconcile.append(ReconcileCheck("stg_orders", "order_id", "order_total_amount", "stg_order_line_items",
                                       "order_id", "line_total"))
     return s
+
+
+def model_suite() -> Suite:
+    s = Suite()
+    for model, key in MODEL_KEYS.items():
+        s.rows += [not_null(model, k) for k in key]
+        s.uniques.append(UniqueCheck(model, key))
+    return s

@@ -305,7 +305,8 @@ def rep_user_kpis_per_period(spark, sf_dir):
 from marketlens.operators.quality import run_suite, suite_sql  # noqa: E402
 from marketlens.plans.exercises import Exercises  # noqa: E402
 from marketlens.plans.jobs import Jobs  # noqa: E402
-from marketlens.plans.quality_suite import marketplace_suite  # noqa: E402
+from marketlens.plans.quality_suite import MODEL_KEYS, marketplace_suite, model_suite  # noqa: E402
+from marketlens.sources.sinks import materialize  # noqa: E402
 
 MONETIZED_SQL = "('paid', 'shipped', 'delivered')"
 
@@ -834,3 +835,14 @@ def range_join_bridge(spark, sf_dir):
 def sampled_pairs(spark, sf_dir):
     """Deterministic 20% sample of (shop, SKU) pairs without enumerating all pairs."""
     return _jobs(spark, sf_dir).sampled_pairs()
+
+
+# ================================================================ quality of the models
+@register("quality_models", "with " + ",\n".join(f"{m} as ({ORACLE[m]})" for m in MODEL_KEYS)
+          + "\n" + suite_sql(model_suite()))
+def quality_models(spark, sf_dir):
+    """Keys of the intermediate, reporting and current models: not null and
+    unique (Q1, Q2).  A model is computed once; its keys are stored for the
+    checks."""
+    frames = {m: materialize(QUERIES[m](spark, sf_dir).select(*key)) for m, key in MODEL_KEYS.items()}
+    return run_suite(frames, model_suite())

@@ -152,3 +152,17 @@ def test_presentation_order(spark):
                                 ("Day", dt.date(2024, 1, 1))], "reporting_period string, reporting_date date")
     out = [(r[0], r[1].day) for r in presented("rep_revenue_per_period", df).collect()]
     assert out == [("Day", 1), ("Day", 5), ("Month", 1)]
+
+
+def test_model_keys_that_fail_are_counted(spark):
+    from marketlens.operators.quality import run_suite
+    from marketlens.plans.quality_suite import MODEL_KEYS, model_suite
+    suite = model_suite()
+    assert len(suite.rows) + len(suite.uniques) == 26
+    frames = {m: spark.createDataFrame([], ", ".join(f"{k} string" for k in key)) for m, key in MODEL_KEYS.items()}
+    frames["rep_payment_summary"] = spark.createDataFrame(
+        [("a", "paid"), ("a", "paid"), ("a", "failed"), (None, "paid")], "provider string, payment_status string")
+    bad = {(r["table_name"], r["check_name"], r["column_names"]): r["failing_rows"]
+           for r in run_suite(frames, suite).collect() if r["failing_rows"]}
+    assert bad == {("rep_payment_summary", "not_null", "provider"): 1,
+                   ("rep_payment_summary", "unique_combination", "provider,payment_status"): 1}
