@@ -138,6 +138,22 @@ class Exercises:
                  .when(F.col("sold") & ~F.col("active_in_catalog"), F.lit("sold, inactive in catalog")))
         return j.withColumn("notes", notes).filter(F.col("notes").isNotNull())
 
+    def ex_offer_sales_gap(self, months_ago: int = 1) -> DataFrame:
+        """The gap per offer in one month, counted back from the month of the
+        latest order: active offers without sales, and sold offers that are
+        inactive now."""
+        month = F.trunc(F.to_date("order_created_at"), "MM")
+        picked = self.wh.stg_orders.agg(F.add_months(F.max(month), -months_ago).alias("m")).scalar()
+        offers = self.wh.stg_products.select("product_id", "sku_id", F.col("product_is_active").alias("active_in_catalog"))
+        sold = (self.wh.stg_lines.select("order_id", "product_id")
+                .join(self.monetized_orders().filter(month == picked).select("order_id"), "order_id")
+                .select("product_id").distinct().withColumn("sold", F.lit(True)))
+        j = offers.join(sold, "product_id", "full_outer").select(
+            "product_id", "sku_id", F.coalesce("active_in_catalog", F.lit(False)).alias("active_in_catalog"),
+            F.coalesce("sold", F.lit(False)).alias("sold"))
+        return j.filter(F.col("active_in_catalog") != F.col("sold")).withColumn(
+            "notes", F.when(F.col("sold"), F.lit("sold, inactive in catalog")).otherwise(F.lit("active in catalog, no sales")))
+
     # ------------------------------------------------------ text patterns
     def _sku_rows(self) -> DataFrame:
         return self.wh.stg_skus.select("sku_id", "sku_code", "sku_title")

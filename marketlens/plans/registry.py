@@ -476,6 +476,25 @@ def ex_catalog_sales_gap(spark, sf_dir):
     return _ex(spark, sf_dir).ex_catalog_sales_gap()
 
 
+@register("ex_offer_sales_gap", sql(
+    """select p.product_id, p.sku_id, true as active_in_catalog, false as sold, 'active in catalog, no sales' as notes
+        from stg_products p
+        where p.product_is_active and not exists (select 1 from sold s where s.product_id = p.product_id)
+        union all
+        select s.product_id, p.sku_id, false, true, 'sold, inactive in catalog'
+        from sold s left join stg_products p on p.product_id = s.product_id
+        where not coalesce(p.product_is_active, false)""",
+    "stg_products", "stg_order_line_items", "stg_orders",
+    local=[("sold", f"""select distinct l.product_id from stg_order_line_items l
+                        join stg_orders o on l.order_id = o.order_id
+                        where o.order_status in {MONETIZED_SQL}
+                          and date_trunc('month', o.order_created_at) = (
+                            select date_trunc('month', max(order_created_at)) - interval 1 month from stg_orders)""")]))
+def ex_offer_sales_gap(spark, sf_dir):
+    """Offers against the sales of the last full month via a full outer join."""
+    return _ex(spark, sf_dir).ex_offer_sales_gap()
+
+
 _SKU_ROWS = "select sku_id, sku_code, sku_title from stg_skus where "
 
 
