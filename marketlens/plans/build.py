@@ -4,18 +4,23 @@ Staging models stay lazy (temp views over the sources); intermediate,
 reporting and current-view models are written as Parquet tables under
 ``target/<layer>`` (or a custom folder per layer), each a full refresh.
 Models are written one after another in a fixed order; nothing here
-schedules or plans — every model is its own Spark job.
+schedules or plans — every model is its own Spark job.  What several models
+are made of is computed by the first of them and read from storage by the
+others; the current addresses are read from the history written before.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from collections.abc import Callable
+from functools import cache, partial
+
+from pyspark.sql import DataFrame, SparkSession
 
 from marketlens.plans.exercises import Exercises
 from marketlens.plans.jobs import Jobs
 from marketlens.plans.registry import decimals_to_double
 from marketlens.plans.warehouse import Warehouse
-from marketlens.sources.sinks import layer_location, write_table
+from marketlens.sources.sinks import layer_location, materialize, write_table
 
 STAGING = ["addresses", "categories", "order_line_items", "orders", "payments", "products", "shops", "skus",
            "users", "users_addresses"]
@@ -39,17 +44,38 @@ TABLE_MODELS = [
     ("reporting", "rep_revenue_per_period", lambda wh: wh.rep_revenue_per_period()),
     ("reporting", "rep_user_kpis_per_period", lambda wh: wh.rep_user_kpis_per_period()),
     ("historical", "addresses_hist", lambda wh: Jobs(wh).addresses_history()),
-    ("current_views", "dim_addresses_current", lambda wh: Jobs(wh).addresses_current()),
+    ("current_views", "dim_addresses_current", lambda wh: Jobs(wh).addresses_current(wh.history)),
 ]
 
+# exact aggregates that an intermediate model and reports share
+SHARED = ["revenue_daily_exact", "products_per_shop_exact", "revenue_per_shop_exact", "category_revenue_exact",
+          "payment_summary_exact", "_product_perf_base"]
+
 # date-partitioned reports: later reads of a period prune folders
 PARTITION_BY = {"rep_revenue_per_period": ["reporting_period"], "rep_user_kpis_per_period": ["reporting_period"]}
 
 
+class StoredWarehouse(Warehouse):
+    """A warehouse of one build: shared aggregates are stored at first use,
+    with their exact decimals."""
+
+    #: The address history this build has written.
+    history: DataFrame | None = None
+
+    def __init__(self, *args, **kw):
+        super().__init__(*args, **kw)
+        for name in SHARED:
+            setattr(self, name, cache(partial(self._store, getattr(self, name))))
+
+    @staticmethod
+    def _store(model: Callable[[], DataFrame]) -> DataFrame:
+        return materialize(model())
+
+
 def build(spark: SparkSession, sf_dir: str, target: str, *, custom_schemas: dict[str, str] | None = None,
           models: list[str] | None = None) -> dict[str, str]:
     """Register staging views and write the table models; return name -> path."""
-    wh = Warehouse(spark, sf_dir)
+    wh = StoredWarehouse(spark, sf_dir)
     for entity in STAGING:
         wh.stg(entity).createOrReplaceTempView(f"stg_{entity}")
     written = {}
@@ -59,4 +85,6 @@ def build(spark: SparkSession, sf_dir: str, target: str, *, custom_schemas: dict
         path = f"{layer_location(target, layer, (custom_schemas or {}).get(layer))}/{name}"
         write_table(decimals_to_double(builder(wh)), path, partition_by=PARTITION_BY.get(name))
         written[name] = path
+        if name == "addresses_hist":
+            wh.history = spark.read.parquet(path)
     return written

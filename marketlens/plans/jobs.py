@@ -57,8 +57,9 @@ class Jobs:
             hist = scd2_apply(hist, self.mp.addresses(b), "id", ADDRESS_CHECK_COLS, ts_ntz(SNAPSHOT_AS_OF[b - 1]))
         return hist
 
-    def addresses_current(self) -> DataFrame:
-        h = current_versions(self.addresses_history())
+    def addresses_current(self, history: DataFrame | None = None) -> DataFrame:
+        """The open versions of a stored ``history``, or of one made here."""
+        h = current_versions(self.addresses_history() if history is None else history)
         return h.select("id", "country", "region", "city", "postal_code", "address_line1", "address_line2",
                         "latitude", "longitude", "created_at", "valid_from")
 

@@ -41,6 +41,26 @@ def test_build_writes_models_and_views(spark):
     assert spark.sql("select count(*) from stg_orders").first()[0] == 1500
 
 
+def test_build_reads_what_it_has_stored(spark):
+    from marketlens.plans.build import StoredWarehouse, build
+    from marketlens.plans.jobs import Jobs
+    from marketlens.plans.warehouse import Warehouse
+    sf = "/root/testdata/sf0.001"
+    target = tempfile.mkdtemp(prefix="build-")
+    names = ["int_category_revenue", "rep_category_performance", "addresses_hist", "dim_addresses_current"]
+    out = build(spark, sf, target, models=names)
+    rows = lambda df, cols: sorted(map(str, df.select(*cols).collect()))
+    current = Jobs(Warehouse(spark, sf)).addresses_current()
+    assert rows(spark.read.parquet(out["dim_addresses_current"]), ["id", "city", "valid_from"]) == \
+        rows(current, ["id", "city", "valid_from"])
+    report = Warehouse(spark, sf).rep_category_performance()
+    assert rows(spark.read.parquet(out["rep_category_performance"]), report.columns) == rows(report, report.columns)
+    wh = StoredWarehouse(spark, sf)
+    assert wh.category_revenue_exact() is wh.category_revenue_exact()
+    plan = wh.rep_category_performance()._jdf.queryExecution().executedPlan().toString()
+    assert "lineitem" not in plan
+
+
 def test_cluster_conf_sizes_partitions():
     from marketlens.session import cluster_conf
     conf = cluster_conf(100 * 1024 ** 4)  # 100 TiB
