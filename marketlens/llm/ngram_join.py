@@ -245,13 +245,14 @@ def similar_texts(docs: DataFrame, s: Settings = Settings()) -> tuple[DataFrame,
 
 
 def _classes(docs: DataFrame, s: Settings) -> DataFrame:
-    """(key, class_id, copies, n_links) for every different text."""
+    """(key, root, class_id, n_copies, n_links) for every different text; the
+    root, a text key, names the class also where ids are null or repeated."""
     nodes, linked = similar_texts(docs, s)
     named = nodes.join(linked, "key", "left").withColumn("root", F.coalesce("root", "key"))
     least = (named.where(F.col("links").isNotNull()).groupBy("root")
              .agg(F.min("doc_id").alias("least")))
     return named.join(least, "root", "left").select(
-        "key", F.coalesce("least", "doc_id").alias("class_id"), F.col("copies").alias("n_copies"),
+        "key", "root", F.coalesce("least", "doc_id").alias("class_id"), F.col("copies").alias("n_copies"),
         F.coalesce("links", F.lit(0)).alias("n_links"))
 
 
@@ -268,12 +269,13 @@ def join_documents(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
 
 def keep_one(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
     """One document of each class, all columns as they are: that with the
-    smallest doc_id, and of repeated rows one.  Documents with a null text
-    all stay."""
+    smallest doc_id, and of repeated rows one.  Classes go by their texts:
+    null or repeated ids do not join them.  Documents with a null text all
+    stay."""
     classes = materialize(_classes(docs.select("doc_id", "text"), s))
     rowed = numbered(docs)
     rows = materialize(rowed.select("row", "doc.doc_id", text_key(F.col("doc.text")).alias("key")))
-    first = (rows.join(classes, "key").groupBy("class_id")
+    first = (rows.join(classes, "key").groupBy("root")
              .agg(F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("row"))).alias("first")))
     kept = first.select("first.row").unionByName(rows.where(F.col("key").isNull()).select("row"))
     # the hash table is of the numbers: texts are neither sorted nor kept

@@ -99,6 +99,21 @@ def test_one_of_each_class_stays(spark, docs_of, tmp_path):
     assert sum(r.doc_id in (1, 2) for r in kept) == 2
 
 
+def test_classes_go_by_texts_and_not_by_ids(spark, docs_of, tmp_path):
+    rng = random.Random(12)
+    lone = [prose(rng, 40) for _ in range(6)]
+    base = prose(rng, 120)
+    near = changed(rng, base, 1)
+    rows = [(None, lone[0]), (None, lone[1]), (None, lone[1]), (None, lone[2]), (5, lone[3]), (5, lone[4]), (6, lone[5]),
+            (None, base), (7, near), (7, base)]
+    docs = docs_of([(i, t, "en", "s") for i, t in rows], str(tmp_path / "d"))
+    kept = sorted(((r.doc_id, r.text) for r in keep_one(docs).collect()), key=str)
+    groups = [r for r in kept if r[1] in (base, near)]
+    assert len(groups) == 1 and groups[0][0] == 7
+    assert [r for r in kept if r not in groups] == sorted(
+        [(None, lone[0]), (None, lone[1]), (None, lone[2]), (5, lone[3]), (5, lone[4]), (6, lone[5])], key=str)
+
+
 def test_banding_reaches_the_recall():
     bands, rows = Settings().banding
     assert bands * rows <= 256 and 1 - (1 - 0.8 ** rows) ** bands >= 0.9995
