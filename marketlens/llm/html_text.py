@@ -10,8 +10,9 @@ value is above the threshold ``least_share`` of their page mark the content;
 the deepest container that holds ``main_share`` of the marked value is the
 article, and its paths are kept whole unless they lead through boilerplate
 (navigation, forms, scripts, adverts, comments and the like, by element or by
-a word of class, id or role).  An ``article`` or ``main`` element that holds
-text is always the container.
+a word of class, id or role).  Where that container lies in an ``article`` or
+``main`` element it is widened to the element; such an element that the values
+do not choose (a teaser, a card) decides nothing.
 
 Edge cases: null and empty pages, pages of boilerplate only and pages cut off
 before their article give an empty text; an unclosed tag at the end of a page
@@ -51,6 +52,7 @@ _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*(?:>|\Z)|<\?[^>]*(?:>|\Z)"
                     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
 _OPEN_END = re.compile(r"<(?:/?[a-zA-Z][^<>]*|/)?\Z")
 _NAME = re.compile(r"(?:^|\s)(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+_SEMANTIC = re.compile(r"/(article|main)(\.[^/]*)?\Z")
 _HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|/|\Z)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
 
 
@@ -175,17 +177,14 @@ def main_text(page: str, least_share: float = 0.05, main_share: float = 0.8) ->
             steps = path.split("/")
             for k in range(1, len(steps) + 1):
                 below["/".join(steps[:k])] += value
-    semantic = sorted((p for path in values for p in _above(path) if re.search(r"/(article|main)(\.[^/]*)?\Z", p)),
-                      key=lambda p: (-below.get(p, 0.0), len(p)))
     marked = below.get("", 0.0)
-    if semantic:
-        roots = {p for p in semantic if p.count("/") == semantic[0].count("/")}
-    else:
-        inner = [p for p in below if below[p] >= main_share * marked]
-        root = max(inner, key=lambda p: p.count("/"), default="")
-        # the leaf element of a single path is a paragraph, not the container
-        roots = {root.rsplit("/", 1)[0] if root in values and "/" in root[1:] else root}
-    return "\n".join(text for path, text, _, _ in found if any(path == r or path.startswith(f"{r}/") for r in roots))
+    inner = [p for p in below if below[p] >= main_share * marked]
+    root = max(inner, key=lambda p: p.count("/"), default="")
+    # the leaf element of a single path is a paragraph, not the container
+    root = root.rsplit("/", 1)[0] if root in values and "/" in root[1:] else root
+    # what the values chose inside of an article or main element is that whole element
+    root = next((p for p in _above(root) if _SEMANTIC.search(p)), root)
+    return "\n".join(text for path, text, _, _ in found if path == root or path.startswith(f"{root}/"))
 
 
 def _above(path: str) -> list[str]:

@@ -84,6 +84,21 @@ def test_main_text(page, text):
     assert main_text(page or "") == text
 
 
+def test_values_choose_the_content_and_not_the_element_name():
+    text = f"Head\n{LONG}\n{LONG}"
+    body = f"<div class=text><h2>Head</h2><p>{LONG}</p><p>{LONG}</p></div>"
+    teaser = "<div class=cards><article class=card><h3>Next</h3><p>A short one.</p></article></div>"
+    assert main_text(f"<body>{teaser}{body}</body>") == main_text(f"<body>{body}{teaser}</body>") == main_text(f"<body>{body}</body>") == text
+    deep = f"<article><header><h1>Title</h1></header><div class=body><p>{LONG}</p></div><div><p>End.</p></div></article>"
+    assert main_text(f"<body>{teaser}{deep}</body>") == f"Title\n{LONG}\nEnd."
+
+
+def test_articles_in_plain_elements_are_found(spark):
+    for r in spark.read.parquet(f"{SF}/pages.parquet").collect():
+        plain = r.html.replace("<article>", "<div class=text>").replace("</article>", "</div>")
+        assert main_text(plain) == main_text(r.html)
+
+
 def test_pages_with_nulls(spark):
     rows = [(1, None, None), (None, "u", "<article><p>x y</p></article>"), (3, "u", ""), (3, "u", "")]
     got = extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
