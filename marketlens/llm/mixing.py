@@ -24,10 +24,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketlens.llm.common import numbered, running_offsets
+from marketlens.llm.common import _WHITE, numbered, running_offsets
 from marketlens.sources.sinks import materialize
 
 #: Fixed values of the query: weights by source order, share of all words,
@@ -170,8 +171,10 @@ def mix_slots(spark, targets: list[dict], s: Settings = Settings()) -> DataFrame
                         .otherwise(s.block_words).alias("words"))
 
 
-def mix_documents(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
-    """doc_id, size, source_size, target, taken for every document."""
+def _taken_spans(docs: DataFrame, s: Settings) -> tuple[DataFrame, DataFrame]:
+    """For (doc_id, source, text): the placed documents, and the parts of them
+    that the mix takes: number, place, low and high (words of the document,
+    high exclusive) and times."""
     spark = docs.sparkSession
     sized = materialize(docs.select("doc_id", "source", word_count(F.col("text")).alias("size")))
     targets = source_targets(sized)
@@ -186,25 +189,82 @@ def mix_documents(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
     spans = (placed.where(F.col("size") > 0)
              .select("number", "place", "start", end.alias("end"),
                      F.explode(F.sequence(F.floor(F.col("start") / width), F.floor((end - 1) / width))).alias("block"))
-             .select("number", "place", "block",
+             .select("number", "place", "block", "start",
                      F.greatest(F.col("start") - F.col("block") * width, F.lit(0)).alias("from_word"),
                      F.least(F.col("end") - F.col("block") * width, width).alias("to_word")))
     uses = mix_slots(spark, targets, s).groupBy("number", "block", "words").agg(F.count(F.lit(1)).alias("times"))
-    taken = (spans.join(uses, ["number", "block"])
-             .groupBy("number", "place")
-             .agg(F.sum(F.greatest(F.least("to_word", "words") - F.col("from_word"), F.lit(0)) * F.col("times")).alias("taken")))
+    before = F.col("block") * width - F.col("start")
+    taken = (spans.join(uses, ["number", "block"]).where(F.least("to_word", "words") > F.col("from_word"))
+             .select("number", "place", (before + F.col("from_word")).alias("low"),
+                     (before + F.least("to_word", "words")).alias("high"), "times"))
+    return placed, taken
+
+
+def mix_documents(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
+    """doc_id, size, source_size, target, taken for every document."""
+    placed, spans = _taken_spans(docs, s)
+    taken = spans.groupBy("number", "place").agg(F.sum((F.col("high") - F.col("low")) * F.col("times")).alias("taken"))
     return (placed.join(taken, ["number", "place"], "left")
             .select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken")))
 
 
+def _uses(spans: list[tuple[int, int, int]], size: int) -> list[list[tuple[int, int]]]:
+    """The word ranges of each use of a document: the first holds the words
+    taken at least once, the second those taken twice.  There are as many
+    uses as the taken words are nearest to, one at least; what is beyond
+    them follows in the last."""
+    edge: dict[int, int] = {}
+    for low, high, times in spans:
+        edge[low] = edge.get(low, 0) + times
+        edge[high] = edge.get(high, 0) - times
+    layers: list[list[tuple[int, int]]] = []
+    depth, last, total = 0, 0, 0
+    for at in sorted(edge):
+        for layer in layers[:depth]:
+            if layer and layer[-1][1] == last:
+                layer[-1] = layer[-1][0], at
+            else:
+                layer.append((last, at))
+        total += depth * (at - last)
+        depth, last = depth + edge[at], at
+        layers += [[] for _ in range(depth - len(layers))]
+    n = max(1, int(total / size + 0.5))
+    return layers[:n - 1] + [[r for layer in layers[n - 1:] for r in layer]]
+
+
+def _cut(text: str, ranges: list[tuple[int, int]], size: int) -> str:
+    """The words of the ranges as they stand in the text, ranges parted by
+    line ends; a text that is taken whole stays as it is."""
+    if ranges == [(0, size)]:
+        return text
+    data = text.encode()
+    inside = np.concatenate([[False], ~_WHITE[np.frombuffer(data, np.uint8)], [False]])
+    turns = np.flatnonzero(inside[1:] != inside[:-1])
+    begin, end = turns[::2], turns[1::2]
+    return "\n".join(text if r == (0, size) else data[begin[r[0]]:end[r[1] - 1]].decode() for r in ranges)
+
+
 def mix_stage(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
-    """The documents that the mix takes words of, all columns as they are,
-    each as often as whole passes take it: once, or twice where its taken
-    words are nearer to two times its size."""
+    """The words that the mix takes, as documents with all their columns.  A
+    document comes once, or twice where its taken words are nearer to two
+    times its size; its text is cut to the words that the use takes, and
+    ``n_chars`` follows the text.  Each source's words are its target."""
     stored = numbered(docs)
-    rows = mix_documents(stored.select(F.col("row").alias("doc_id"), "doc.source", "doc.text"), s)
-    times = F.greatest(F.lit(1), F.round(F.col("taken") / F.col("size")).cast("int"))
-    rows = rows.where(F.col("taken") > 0).select(F.col("doc_id").alias("row"), times.alias("times"))
+    placed, spans = _taken_spans(stored.select(F.col("row").alias("doc_id"), "doc.source", "doc.text"), s)
+    rows = (spans.groupBy("number", "place").agg(F.collect_list(F.struct("low", "high", "times")).alias("spans"))
+            .join(placed, ["number", "place"]).select(F.col("doc_id").alias("row"), "size", "spans"))
+
+    @F.arrow_udf("array<string>")
+    def used(texts: pa.Array, sizes: pa.Array, spans: pa.Array) -> pa.Array:
+        out = []
+        for text, size, parts in zip(texts, sizes.to_pylist(), spans.to_pylist()):
+            uses = _uses([(p["low"], p["high"], p["times"]) for p in parts], size)
+            text = text.as_py()
+            out.append([_cut(text, ranges, size) for ranges in uses])
+        return pa.array(out, pa.list_(pa.string()))
+
     # the hash table is of the numbers: texts are neither sorted nor kept
-    copies = stored.join(rows.hint("shuffle_hash"), "row").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("times"))))
-    return copies.select("doc.*")
+    copies = (stored.join(rows.hint("shuffle_hash"), "row")
+              .select("doc", F.explode(used(F.col("doc.text"), F.col("size"), F.col("spans"))).alias("use")))
+    changed = {"text": F.col("use"), "n_chars": F.length("use").cast(dict(docs.dtypes).get("n_chars", "long"))}
+    return copies.select(*[changed.get(c, F.col("doc")[c]).alias(c) for c in docs.columns])

@@ -79,6 +79,27 @@ def test_mix_of_awkward_rows(spark, docs_of, tmp_path, block):
     assert set(times.values()) <= {1, 2} and not {900, 901, 903} & set(times)
 
 
+@pytest.mark.parametrize("block", [7, 64])
+def test_mixed_words_of_sources_meet_their_targets(spark, docs_of, tmp_path, block):
+    rng = random.Random(block)
+    words = lambda n: rng.choice([" ", "\n", " \t"]).join(f"é{rng.randrange(99)}" for _ in range(n))
+    rows = [(k, words(rng.randrange(0, 400)), "en", "abcdef"[k % 5]) for k in range(200)] + [(900, words(25_000), "en", "f"), (901, words(20_000), "en", "b")]
+    docs = docs_of(rows, str(tmp_path / "d"))
+    settings = Settings(block_words=block, shard_slots=16)
+    sizes, mixed, of_doc = Counter(), Counter(), defaultdict(Counter)
+    for _, t, _, s in rows:
+        sizes[s] += n_words(t)
+    for r in mix_stage(docs, settings).collect():
+        mixed[r.source] += n_words(r.text)
+        of_doc[r.doc_id].update(r.text.split())
+        assert r.n_chars == len(r.text)
+    targets = brute_targets(sizes)
+    assert all(abs(mixed[s] - targets[s]) <= 1 for s in sizes)
+    assert any(targets[s] < 0.9 * sizes[s] for s in sizes) and any(1.1 * sizes[s] < targets[s] < 1.9 * sizes[s] for s in sizes)
+    whole = {i: Counter(t.split()) for i, t, _, _ in rows}
+    assert all(not c - (whole[i] + whole[i]) for i, c in of_doc.items())
+
+
 def test_mix_of_repeated_rows_and_nothing(spark, docs_of, tmp_path):
     same = docs_of([(1, "a b c", "en", "s")] * 5 + [(None, "d", None, None)] * 2, str(tmp_path / "d"))
     rows = mix_documents(same, Settings(block_words=2)).collect()
