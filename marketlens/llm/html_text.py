@@ -4,13 +4,13 @@ A page is read into blocks of text, each with its root-to-leaf tag path.  Per
 path the text length, the punctuation and the link text are summed up.  A
 path's length and punctuation (plus one, the smoothing) against the number of
 its nodes give two ratios; they are smoothed with those of the paths beside
-it in page order, fused as a product and, less its share of links, summed
-up over the paths below each container.  Paths whose fused
-value is above the threshold ``least_share`` of their page mark the content;
-the deepest container that holds ``main_share`` of the marked value is the
-article, and its paths are kept whole unless they lead through boilerplate
-(navigation, forms, scripts, adverts, comments and the like, by element or by
-a word of class, id or role).  Where that container lies in an ``article`` or
+it in page order, fused as a product and weighted by the text outside of
+links.  Paths whose fused value is above the threshold ``least_share`` of
+their page mark the content; the deepest container that holds all of them is
+the article (the whole page where no path passes), and its paths are kept
+whole unless they lead through boilerplate (navigation, forms, scripts,
+adverts, comments and the like, by element or by a word of class, id or
+role).  Where that container lies in an ``article`` or
 ``main`` element it is widened to the element; such an element that the values
 do not choose (a teaser, a card) decides nothing.
 
@@ -53,6 +53,7 @@ _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*(?:>|\Z)|<\?[^>]*(?:>|\Z)"
 _OPEN_END = re.compile(r"<(?:/?[a-zA-Z][^<>]*|/)?\Z")
 _NAME = re.compile(r"(?:^|\s)(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _SEMANTIC = re.compile(r"/(article|main)(\.[^/]*)?\Z")
+_BOX = re.compile(r"/(div|section|body|td)(\.[^/]*)?\Z")
 _HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|/|\Z)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
 
 
@@ -164,24 +165,20 @@ def path_values(found: list[tuple[str, str, int, bool]]) -> dict[str, float]:
     return out
 
 
-def main_text(page: str, least_share: float = 0.05, main_share: float = 0.8) -> str:
+def main_text(page: str, least_share: float = 0.05) -> str:
     """The main text of one page, blocks joined by line ends."""
     found = [b for b in blocks(page) if not b[3]]
     if not found:
         return ""
     values = path_values(found)
     total = sum(values.values())
-    below: dict[str, float] = defaultdict(float)
-    for path, value in values.items():
-        if value >= least_share * total:
-            steps = path.split("/")
-            for k in range(1, len(steps) + 1):
-                below["/".join(steps[:k])] += value
-    marked = below.get("", 0.0)
-    inner = [p for p in below if below[p] >= main_share * marked]
-    root = max(inner, key=lambda p: p.count("/"), default="")
-    # the leaf element of a single path is a paragraph, not the container
-    root = root.rsplit("/", 1)[0] if root in values and "/" in root[1:] else root
+    marked = [path.split("/") for path, value in values.items() if value >= least_share * total]
+    shared = next((k for k, steps in enumerate(zip(*marked)) if len(set(steps)) > 1), min(map(len, marked), default=0))
+    root = "/".join(marked[0][:shared]) if marked else ""
+    # the leaf element of a single path is a paragraph, not the container; of
+    # several, where it holds text itself, a container only if it is a box
+    if root in values and "/" in root[1:] and (len(marked) == 1 or not _BOX.search(root)):
+        root = root.rsplit("/", 1)[0]
     # what the values chose inside of an article or main element is that whole element
     root = next((p for p in _above(root) if _SEMANTIC.search(p)), root)
     return "\n".join(text for path, text, _, _ in found if path == root or path.startswith(f"{root}/"))

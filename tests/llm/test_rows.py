@@ -93,6 +93,19 @@ def test_values_choose_the_content_and_not_the_element_name():
     assert main_text(f"<body>{teaser}{deep}</body>") == f"Title\n{LONG}\nEnd."
 
 
+def test_articles_split_over_sibling_elements_stay_whole():
+    intro = " ".join(LONG.split()[:30])
+    split = (f"<div class=content><div class=intro><p>{intro}</p></div><div class=body><p>{LONG}</p><p>{LONG}</p><p>{LONG}</p></div>"
+             f"<div class=facts><table><tr><td>{LONG}</td></tr></table></div><div class=end><p>End.</p></div></div>")
+    side = "<div class=teasers><p>A short one.</p></div>"
+    wanted = "\n".join([intro, LONG, LONG, LONG, LONG, "End."])
+    assert main_text(f"<body>{side}{split}<div class=comments><p>{LONG}</p></div>{side}</body>") == wanted
+    loose = f"<body>{side}<div class=text>{LONG}<p>{LONG}</p><p>End.</p></div>{side}</body>"
+    assert main_text(loose) == f"{LONG}\n{LONG}\nEnd."
+    many = "".join(f"<div class=c{k}><p>{LONG}</p></div>" for k in range(40))  # no path reaches the threshold
+    assert main_text(f"<body>{many}</body>").count(LONG) == 40
+
+
 def test_articles_in_plain_elements_are_found(spark):
     for r in spark.read.parquet(f"{SF}/pages.parquet").collect():
         plain = r.html.replace("<article>", "<div class=text>").replace("</article>", "</div>")
