@@ -169,6 +169,28 @@ def test_changed_items_are_found():
     assert sum(k in [m["item"] for m in g] for k, g in zip(wanted, got)) >= 0.98 * len(wanted)
 
 
+def edited(rng, words, edits, kind):
+    """The words with so many substitutions, insertions or deletions."""
+    out = list(words)
+    for at in sorted(rng.choice(len(words), edits, replace=False).tolist(), reverse=True):
+        new = [] if kind == "deletion" else [f"e{rng.integers(1 << 40)}"]
+        out[at:at + (kind != "insertion")] = new
+    return out
+
+
+@pytest.mark.parametrize("kind", ["substitution", "insertion", "deletion"])
+def test_items_of_all_lengths_are_found_at_the_full_edits(kind):
+    rng = np.random.default_rng(3)
+    sizes = [20, 40, 80, 160, 320, 500]
+    items = [" ".join(f"v{w}" for w in rng.integers(0, 5_000, n)) for n in sizes for _ in range(50)]
+    found = Items(list(range(len(items))), items, LeakSettings())
+    texts = [" ".join(["before it"] * 20 + edited(rng, x.split(), len(x.split()) // 5, kind) + ["after it"] * 20) for x in items]
+    got = [k in [m["item"] for m in g] for k, g in enumerate(found.matches(pa.array(texts, pa.large_string())))]
+    for at, n in enumerate(sizes):
+        hits = got[at * 50:at * 50 + 50]
+        assert sum(hits) >= (48 if found.walks[at * 50] else 50), n
+
+
 def test_leaks_of_awkward_rows(spark, docs_of, tmp_path):
     item = prose(random.Random(1), 30)
     docs = docs_of([(1, None, "en", "s"), (2, "", "en", "s"), (3, item, "en", "s"), (3, item, "en", "s"), (None, f"x {item}", None, None),
