@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from marketlens.llm.common import table
 from marketlens.llm.decontamination import contaminations
 from marketlens.llm.fingerprints import compare_with_next
+from marketlens.llm.hard_negatives import EMBEDDING_SQL, mine_embeddings
 from marketlens.llm.html_text import extract_pages
 from marketlens.llm.language_id import identify_documents
 from marketlens.llm.mixing import mix_documents
@@ -101,3 +102,11 @@ def op9_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_documents(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+@query
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mine_embeddings(table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label"))
+
+
+ORACLE["op13_hard_negatives"] = EMBEDDING_SQL
