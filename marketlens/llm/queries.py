@@ -17,6 +17,7 @@ from marketlens.llm.html_text import extract_pages
 from marketlens.llm.language_id import identify_documents
 from marketlens.llm.mixing import mix_documents
 from marketlens.llm.ngram_join import join_documents
+from marketlens.llm.packing import pack_documents
 from marketlens.llm.preference import CONVERSATION_SQL, conversation_pairs, format_preferences
 from marketlens.llm.private_data import find_documents
 from marketlens.llm.sharding import shard_documents
@@ -26,6 +27,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
+#: Vocabulary of the packed sequences, a file of the installed package.
+TOKENIZER = "byte_bpe_50k.json"
+
 #: Bytes of a batch that a Python worker gets at once (one row at least).
 BATCH_BYTES = 4 << 20
 
@@ -104,6 +108,13 @@ def op10_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_documents(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+@query
+def op11_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return pack_documents(table(spark, sf_dir, "documents", "doc_id", "text"), public_tokenizers.path(TOKENIZER))
+
+
 @query
 def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mine_embeddings(table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label"))
