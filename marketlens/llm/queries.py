@@ -15,6 +15,7 @@ from marketlens.llm.fingerprints import compare_with_next
 from marketlens.llm.hard_negatives import EMBEDDING_SQL, mine_embeddings
 from marketlens.llm.html_text import extract_pages
 from marketlens.llm.language_id import identify_documents
+from marketlens.llm.lexical_search import SEARCH_SQL, search
 from marketlens.llm.mixing import mix_documents
 from marketlens.llm.ngram_join import join_documents
 from marketlens.llm.packing import pack_documents
@@ -115,6 +116,14 @@ def op11_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents", "doc_id", "text"), public_tokenizers.path(TOKENIZER))
 
 
+@query
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
+ORACLE["op12_lexical_search"] = SEARCH_SQL
+
+
 @query
 def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mine_embeddings(table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label"))
