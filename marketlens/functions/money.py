@@ -9,7 +9,7 @@ under ANSI mode (no division-by-zero error, null instead).
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
@@ -38,6 +38,12 @@ def money_out(c: Column | str) -> Column:
     return c.cast("double")
 
 
+def decimals_to_double(df: DataFrame) -> DataFrame:
+    """All decimal columns as double, for a result that leaves the library."""
+    dec = [f.name for f in df.schema.fields if isinstance(f.dataType, DecimalType)]
+    return df.withColumns({c: F.col(c).cast("double") for c in dec}) if dec else df
+
+
 def safe_div(num: Column, den: Column) -> Column:
     """num / den as double, null when den is null or zero."""
     den_d = den.cast("double")
@@ -45,11 +51,6 @@ def safe_div(num: Column, den: Column) -> Column:
         .otherwise(num.cast("double") / den_d)
 
 
-def ratio(num: Column, den: Column) -> Column:
-    """``num / nullif(den, 0)`` on doubles."""
-    return safe_div(num, den)
-
-
 def pct_change(cur: Column, prev: Column) -> Column:
     """(cur - prev) / prev; null when prev is null or zero."""
     return safe_div(cur - prev, prev)

@@ -1,19 +1,16 @@
 """Keyed inserts and updates on immutable tables.
 
-Parquet tables have no MERGE, so an update is a join that produces the new
-version of the table (written elsewhere and swapped, see
-``sources.sinks.swap_write``).
+These functions make the new rows or the new version of a table;
+``sources.keyed_tables`` applies them to a stored, partitioned table and
+rewrites only the partitions that change.
 
 * ``insert_skip_conflict`` - insert, silently skipping keys that already
-  exist (and keeping the first of duplicate keys inside the batch, chosen
-  by an explicit order, via a partial-aggregating ``min(struct(order...,
-  row))`` so a hot key never gathers in one task).
+  exist and keeping the first of duplicate keys inside the batch, chosen by
+  an explicit order.
 * ``update_from`` - ``UPDATE t SET c = s.c FROM s WHERE t.k = s.k``; the
-  source must be unique on the key (it is an aggregate in every caller).
-* ``top_k_per_group`` - skew-safe top-k per key: rank inside
-  (key, input partition) slices first — a slice is never larger than one
-  input split, however hot the key — then among at most
-  ``k * input partitions`` candidates per key.
+  source must be unique on the key.
+* ``top_k_per_group``, ``first_per_key`` - the first rows of a key; Spark keeps
+  k rows of a key per task before the shuffle, so a hot key is k rows a task.
 * ``nth_latest_per_group`` - largest and second-largest value per group
   (``ORDER BY ... OFFSET 1 LIMIT 1`` per group) through ``top_k_per_group``.
 """
@@ -27,12 +24,11 @@ from pyspark.sql import functions as F
 
 
 def first_per_key(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """One row per key: the row with the smallest ``order`` tuple."""
-    key = list(key)
-    others = [c for c in df.columns if c not in key]
-    packed = F.struct(*[F.col(c) for c in order], F.struct(*[F.col(c) for c in others]).alias("_row"))
-    picked = df.groupBy(*key).agg(F.min(packed).alias("_p"))
-    return picked.select(*key, *[F.col("_p._row").getField(c).alias(c) for c in others]).select(*df.columns)
+    """One row per key: the row with the smallest ``order`` tuple, then the
+    smallest of all its columns."""
+    columns = df.columns
+    inside = Window.partitionBy(*key).orderBy(*order, *[c for c in columns if c not in (*key, *order)])
+    return df.withColumn("_n", F.row_number().over(inside)).where(F.col("_n") == 1).select(*columns)
 
 
 def insert_skip_conflict(target: DataFrame, incoming: DataFrame, key: Sequence[str],
@@ -50,24 +46,32 @@ def insert_skip_conflict(target: DataFrame, incoming: DataFrame, key: Sequence[s
     return first_per_key(fresh.filter(whole), key, order).unionByName(fresh.filter(~whole))
 
 
-def update_from(target: DataFrame, source: DataFrame, key: Sequence[str], assignments: dict[str, Column]) -> DataFrame:
+def once_per_key(source: DataFrame, key: Sequence[str]) -> DataFrame:
+    """``source``, which fails when read if a key repeats.  The rows of a key
+    are counted in the partition that a join on the key needs anyway."""
+    several = F.raise_error(F.concat(F.lit("update_from: several source rows for key "), F.to_json(F.struct(*key))))
+    n = F.count(F.lit(1)).over(Window.partitionBy(*key))
+    return source.withColumn("_n", n).where(F.when(F.col("_n") == 1, F.lit(True)).otherwise(several.cast("boolean"))).drop("_n")
+
+
+def _on(key: Sequence[str]) -> Column:
+    cond = F.lit(True)
+    for k in key:
+        cond = cond & (F.col(f"t.{k}") == F.col(f"s.{k}"))
+    return cond
+
+
+def update_from(target: DataFrame, source: DataFrame, key: Sequence[str], assignments: dict[str, Column], *,
+                unique: bool = False) -> DataFrame:
     """New version of ``target``; ``assignments`` may reference ``s.<col>`` and ``t.<col>``.
 
     A key must be unique in ``source``: a second source row for it would be a
-    second target row, so the query fails with an error instead.
+    second target row, so the query fails with an error instead.  ``unique``
+    says that it is by its making (a group by the key), which saves the count.
     """
     key = list(key)
-    t = target.alias("t")
-    others = [c for c in source.columns if c not in key]
-    once = source.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"), F.any_value(F.struct(*[F.col(c) for c in others])).alias("_row"))
-    row = F.when(F.col("_n") == 1, F.col("_row")).otherwise(
-        F.raise_error(F.concat(F.lit("update_from: several source rows for key "), F.to_json(F.struct(*key)))))
-    s = once.select(*key, row.alias("_row")).select(*key, *[F.col("_row").getField(c).alias(c) for c in others]).alias("s")
-    cond = None
-    for k in key:
-        c = F.col(f"t.{k}") == F.col(f"s.{k}")
-        cond = c if cond is None else cond & c
-    j = t.join(s, cond, "left")
+    s = (source if unique else once_per_key(source, key)).alias("s")
+    j = target.alias("t").join(s, _on(key), "left")
     matched = F.col(f"s.{key[0]}").isNotNull()
     out = []
     for c in target.columns:
@@ -78,6 +82,14 @@ def update_from(target: DataFrame, source: DataFrame, key: Sequence[str], assign
     return j.select(*out)
 
 
+def changed_by(target: DataFrame, source: DataFrame, key: Sequence[str], assignments: dict[str, Column]) -> DataFrame:
+    """The rows of ``target`` that ``update_from`` gives another value."""
+    differs = F.lit(False)
+    for c, value in assignments.items():
+        differs = differs | ~value.eqNullSafe(F.col(f"t.{c}"))
+    return target.alias("t").join(source.alias("s"), _on(key)).where(differs).select("t.*")
+
+
 def top_k_per_group(df: DataFrame, group: Sequence[str], order: Sequence[Column], k: int, *,
                     rank_col: str = "rank", tiebreak: str) -> DataFrame:
     """Top ``k`` rows per group by ``order`` (then ``tiebreak`` ascending).

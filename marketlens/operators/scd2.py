@@ -16,6 +16,9 @@ Only open versions meet ``current`` in one full outer join on the key (one
 shuffle); closed versions pass through untouched.  Each joined row emits its
 0-2 output versions through a single ``explode``, so the join is evaluated
 once.  Version ids are ``md5(key | valid_from)``.
+
+``scd2_changes`` gives only what a run changes (versions to close and to
+open), for a history that is stored (``sources.history``).
 """
 
 from __future__ import annotations
@@ -68,6 +71,29 @@ def scd2_apply(history: DataFrame | None, current: DataFrame, key: str, check_co
     return closed.unionByName(versions)
 
 
+def scd2_changes(open_versions: DataFrame, current: DataFrame, key: str, check_cols: list[str], as_of: Column, *,
+                 invalidate_hard_deletes: bool = True) -> DataFrame:
+    """One row per key whose open version changes: ``old``, the version that
+    is closed at ``as_of`` (null: there was none), and ``new``, the version
+    that is opened (null: the key is gone).  Keys without a change, which are
+    nearly all in a usual run, have no row.
+    """
+    cols = current.columns
+    kind = as_of_type(current, as_of)
+    h = open_versions.select(F.struct(*cols, VALID_FROM, as_of.cast(kind).alias(VALID_TO), VERSION_ID).alias("old"),
+                             F.col(key).alias("h_key"))
+    c = current.select(F.struct(*cols, as_of.cast(kind).alias(VALID_FROM), F.lit(None).cast(kind).alias(VALID_TO),
+                                _version_id(F.col(key), as_of).alias(VERSION_ID)).alias("new"), F.col(key).alias("c_key"))
+    j = h.join(c, F.col("h_key") == F.col("c_key"), "full_outer")
+    same = F.lit(True)
+    for col in check_cols:
+        same = same & F.col("old")[col].eqNullSafe(F.col("new")[col])
+    gone = F.col("c_key").isNull()
+    changed = F.col("h_key").isNull() | (~gone & ~same)
+    return j.where((changed | gone) if invalidate_hard_deletes else changed).select(
+        F.coalesce("h_key", "c_key").alias("key"), "old", "new")
+
+
 def as_of_type(df: DataFrame, as_of: Column) -> str:
     return df.sparkSession.range(1).select(as_of.alias("t")).schema["t"].dataType.simpleString()
 

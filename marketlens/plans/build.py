@@ -1,12 +1,17 @@
 """Build the warehouse: staging models as views, the rest as tables.
 
-Staging models stay lazy (temp views over the sources); intermediate,
-reporting and current-view models are written as Parquet tables under
-``target/<layer>`` (or a custom folder per layer), each a full refresh.
-Models are written one after another in a fixed order; nothing here
-schedules or plans — every model is its own Spark job.  What several models
-are made of is computed by the first of them and read from storage by the
-others; the current addresses are read from the history written before.
+Staging models stay lazy (temp views over the sources); intermediate and
+reporting models are written as Parquet tables under ``target/<layer>`` (or a
+custom folder per layer), each a full refresh.  The address history is not
+refreshed: every build continues the stored one with the extracts that are
+newer than its last run.  Models are written one after another in a fixed
+order; nothing here schedules or plans — every model is its own Spark job.
+What several models are made of is computed by the first of them and read
+from storage by the others; the current addresses are read from the history.
+
+With ``catalog`` the layers are schemas of the session's catalog, the models
+their tables, and the current addresses a lasting view of the history's open
+versions, which needs no rewriting when the history goes on.
 """
 
 from __future__ import annotations
@@ -16,15 +21,20 @@ from functools import cache, partial
 
 from pyspark.sql import DataFrame, SparkSession
 
+from marketlens.functions.money import decimals_to_double
 from marketlens.plans.exercises import Exercises
-from marketlens.plans.jobs import Jobs
-from marketlens.plans.registry import decimals_to_double
+from marketlens.plans.jobs import ADDRESS_CHECK_COLS, Jobs
 from marketlens.plans.warehouse import Warehouse
+from marketlens.sources.catalog import attach, create_layer, create_view, save_model
+from marketlens.sources.history import apply_extract, history
+from marketlens.sources.marketplace import SNAPSHOT_AS_OF
 from marketlens.sources.sinks import layer_location, materialize, write_table
 
 STAGING = ["addresses", "categories", "order_line_items", "orders", "payments", "products", "shops", "skus",
            "users", "users_addresses"]
 
+HISTORY_LAYER, HISTORY, CURRENT = "historical", "addresses_hist", "dim_addresses_current"
+
 # (layer, model name, builder) in dependency order
 TABLE_MODELS = [
     ("intermediate", "int_addresses", lambda wh: wh.int_addresses()),
@@ -43,8 +53,8 @@ TABLE_MODELS = [
     ("reporting", "rep_product_performance", lambda wh: wh.rep_product_performance()),
     ("reporting", "rep_revenue_per_period", lambda wh: wh.rep_revenue_per_period()),
     ("reporting", "rep_user_kpis_per_period", lambda wh: wh.rep_user_kpis_per_period()),
-    ("historical", "addresses_hist", lambda wh: Jobs(wh).addresses_history()),
-    ("current_views", "dim_addresses_current", lambda wh: Jobs(wh).addresses_current(wh.history)),
+    (HISTORY_LAYER, HISTORY, None),
+    ("current_views", CURRENT, lambda wh: Jobs(wh).addresses_current(wh.history)),
 ]
 
 # exact aggregates that an intermediate model and reports share
@@ -59,7 +69,7 @@ class StoredWarehouse(Warehouse):
     """A warehouse of one build: shared aggregates are stored at first use,
     with their exact decimals."""
 
-    #: The address history this build has written.
+    #: The address history as this build has left it.
     history: DataFrame | None = None
 
     def __init__(self, *args, **kw):
@@ -72,19 +82,46 @@ class StoredWarehouse(Warehouse):
         return materialize(model())
 
 
+#: The view's columns; its rows are the open versions.
+CURRENT_SQL = ("SELECT id, country, region, city, postal_code, address_line1, address_line2, latitude, longitude, created_at, valid_from "
+               "FROM {table} WHERE state = 'open'")
+
+
+def snapshot_addresses(wh: Warehouse, path: str, extracts: list[int] | None = None) -> list[bool]:
+    """Continue the stored address history with the numbered extracts of the
+    source (all, unless named); whether each was applied."""
+    numbers = extracts or range(1, len(SNAPSHOT_AS_OF) + 1)
+    return [apply_extract(wh.spark, path, wh.mp.addresses(n), "id", ADDRESS_CHECK_COLS, SNAPSHOT_AS_OF[n - 1]) for n in numbers]
+
+
 def build(spark: SparkSession, sf_dir: str, target: str, *, custom_schemas: dict[str, str] | None = None,
-          models: list[str] | None = None) -> dict[str, str]:
-    """Register staging views and write the table models; return name -> path."""
+          models: list[str] | None = None, extracts: list[int] | None = None, catalog: bool = False) -> dict[str, str]:
+    """Register staging views and write the table models; return name -> path
+    (of a view: its name)."""
     wh = StoredWarehouse(spark, sf_dir)
     for entity in STAGING:
         wh.stg(entity).createOrReplaceTempView(f"stg_{entity}")
+    custom = custom_schemas or {}
+    schemas: dict[str, str] = {}
     written = {}
     for layer, name, builder in TABLE_MODELS:
         if models and name not in models:
             continue
-        path = f"{layer_location(target, layer, (custom_schemas or {}).get(layer))}/{name}"
-        write_table(decimals_to_double(builder(wh)), path, partition_by=PARTITION_BY.get(name))
+        if catalog and layer not in schemas:
+            schemas[layer] = create_layer(spark, target, layer, custom.get(layer))
+        path = f"{layer_location(target, layer, custom.get(layer))}/{name}"
+        if name == HISTORY:
+            snapshot_addresses(wh, path, extracts)
+            wh.history = history(spark, path)
+            if catalog:
+                attach(spark, schemas[layer], name, path)
+        elif name == CURRENT and catalog:
+            source = create_layer(spark, target, HISTORY_LAYER, custom.get(HISTORY_LAYER))
+            create_view(spark, schemas[layer], name, CURRENT_SQL.format(table=f"`{source}`.`{HISTORY}`"))
+            path = f"{schemas[layer]}.{name}"
+        elif catalog:
+            save_model(decimals_to_double(builder(wh)), schemas[layer], name, path, partition_by=PARTITION_BY.get(name))
+        else:
+            write_table(decimals_to_double(builder(wh)), path, partition_by=PARTITION_BY.get(name))
         written[name] = path
-        if name == "addresses_hist":
-            wh.history = spark.read.parquet(path)
     return written

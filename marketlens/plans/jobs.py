@@ -7,6 +7,8 @@ and a repeated order is dated by the order that it repeats.
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,7 +18,8 @@ from marketlens.operators.keyed import insert_skip_conflict, update_from
 from marketlens.operators.scd2 import current_versions, scd2_apply
 from marketlens.plans.warehouse import Warehouse
 from marketlens.sources.marketplace import SNAPSHOT_AS_OF, payment_ref
-from marketlens.sources.sinks import materialize
+from marketlens.sources.keyed_tables import insert_stored, update_stored
+from marketlens.sources.sinks import materialize, write_table
 
 # Columns compared by the address snapshot.
 ADDRESS_CHECK_COLS = ["country", "region", "city", "postal_code", "address_line1", "address_line2",
@@ -28,6 +31,8 @@ PAYMENT_TO_ORDER_STATUS = [("captured", "paid"), ("authorized", "pending"), ("fa
 
 #: Days after which a customer's last order is placed again.
 REPEAT_DAYS = 28
+#: Days of payments that an update of stored orders takes.
+RECENT_DAYS = 30
 
 
 def order_status_expr(payment_status: Column, current: Column) -> Column:
@@ -81,58 +86,83 @@ class Jobs:
                                            F.col("order_total_amount").alias("previous_total_amount"))
         totals = self.wh.stg_lines.groupBy("order_id").agg(F.sum("line_total").alias("sum_total"))
         upd = update_from(orders, totals, ["order_id"],
-                          {"order_total_amount": F.col("s.sum_total").cast(MONEY)})
+                          {"order_total_amount": F.col("s.sum_total").cast(MONEY)}, unique=True)
         return upd.select("order_id", money_out("order_total_amount").alias("order_total_amount"),
                           money_out("previous_total_amount").alias("previous_total_amount"))
 
+    @staticmethod
+    def _status_from_payment() -> dict[str, Column]:
+        return {"payment_id": F.col("s.pid"),
+                "order_status": order_status_expr(F.col("s.payment_status"), F.col("t.order_status")),
+                "order_updated_at": F.greatest(F.col("t.order_updated_at"), F.col("s.payment_created_at"))}
+
     def order_status_from_payment(self) -> DataFrame:
         """Order status and updated_at derived from the linked payment outcome."""
         orders = self.wh.stg_orders.select("order_id", "order_status", "payment_id", "order_updated_at")
         pay = self.wh.stg_payments.select(F.col("external_ref"), F.col("payment_id").alias("pid"),
                                           "payment_status", "payment_created_at")
         keyed = orders.withColumn("external_ref", payment_ref(F.col("order_id")))
-        upd = update_from(keyed, pay, ["external_ref"], {
-            "payment_id": F.col("s.pid"),
-            "order_status": order_status_expr(F.col("s.payment_status"), F.col("t.order_status")),
-            "order_updated_at": F.greatest(F.col("t.order_updated_at"), F.col("s.payment_created_at")),
-        })
+        upd = update_from(keyed, pay, ["external_ref"], self._status_from_payment())
         return upd.select("order_id", "payment_id", "order_status", "order_updated_at")
 
-    def insert_skip_conflict(self) -> DataFrame:
-        """Payments table after inserting a batch with duplicate and existing keys.
-
-        The batch holds the repeated orders' payments twice (a retry with the
-        same key, one minute later) and a re-send of the whole existing table;
-        conflicts are skipped, duplicates keep the earliest row.
-        """
-        target = self.wh.stg_payments
-        topup = self.order_topup_payments().drop("order_id")
+    def payment_batch(self) -> DataFrame:
+        """A batch of payments with duplicate and existing keys: the repeated
+        orders' payments twice (a retry with the same key, one minute later)
+        and a re-send of the whole existing table."""
+        topup = self._repeated_payments.drop("order_id")
         retry = topup.withColumn("payment_created_at",
                                  F.col("payment_created_at") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(1)))
-        resend = target
-        incoming = topup.unionByName(retry).unionByName(resend)
-        new_rows = insert_skip_conflict(target, incoming, ["payment_id"], ["payment_created_at", "payment_status"])
+        return topup.unionByName(retry).unionByName(self.wh.stg_payments)
+
+    def insert_skip_conflict(self) -> DataFrame:
+        """Payments table after inserting the batch; conflicts are skipped,
+        duplicates keep the earliest row."""
+        target = self.wh.stg_payments
+        new_rows = insert_skip_conflict(target, self.payment_batch(), ["payment_id"], ["payment_created_at", "payment_status"])
         return target.unionByName(new_rows)
 
+    def payments_inserted(self, path: str) -> DataFrame:
+        """The same insert into a stored table, which is partitioned by the
+        month of the payment: new rows are appended."""
+        month = F.date_format("payment_created_at", "yyyy-MM").alias("payment_month")
+        write_table(self.wh.stg_payments.select("*", month), path, partition_by=["payment_month"])
+        insert_stored(self.wh.spark, path, self.payment_batch().select("*", month), ["payment_id"],
+                      ["payment_created_at", "payment_status"], ["payment_month"])
+        return self.wh.spark.read.parquet(path).drop("payment_month")
+
+    def orders_updated(self, path: str) -> DataFrame:
+        """Order status from the payments of the last ``RECENT_DAYS`` days, in
+        a stored table of orders by month: only their months are written."""
+        spark = self.wh.spark
+        orders = self.wh.stg_orders.select("order_id", "order_status", "payment_id", "order_updated_at",
+                                           F.date_format("order_created_at", "yyyy-MM").alias("order_month"))
+        write_table(orders.withColumn("external_ref", payment_ref(F.col("order_id"))), path, partition_by=["order_month"])
+        newest = self.wh.stg_payments.agg(F.max("payment_created_at")).scalar()
+        recent = self.wh.stg_payments.where(F.col("payment_created_at") >= newest - F.make_dt_interval(F.lit(RECENT_DAYS)))
+        update_stored(spark, path, recent.select("external_ref", F.col("payment_id").alias("pid"), "payment_status", "payment_created_at"),
+                      ["external_ref"], self._status_from_payment(), ["order_month"])
+        return spark.read.parquet(path).select("order_id", "payment_id", "order_status", "order_updated_at")
+
     # ---------------------------------------------------- repeated orders
+    @cached_property
     def _repeat_plan(self) -> DataFrame:
-        """Every user's last order, to be placed again ``REPEAT_DAYS`` later
+        """Stored, as all that follows reads it: every user's last order, to be placed again ``REPEAT_DAYS`` later
         for the user's default addresses: ``last_id`` and the new columns.
         New ids are the last id of the table plus the repeated order's."""
         orders = self.wh.stg_orders
         top = orders.agg(F.max("order_id")).scalar()
         last = orders.groupBy("user_id").agg(F.max(F.struct("order_id", "order_created_at", "order_currency")).alias("o"))
-        return last.join(self.default_address(), "user_id").select(
+        return materialize(last.join(self.default_address(), "user_id").select(
             F.col("o.order_id").alias("last_id"), (top + F.col("o.order_id")).alias("order_id"), "user_id",
             "shipping_address_id", "billing_address_id", F.col("o.order_currency").alias("order_currency"),
-            (F.col("o.order_created_at") + F.make_dt_interval(F.lit(REPEAT_DAYS))).alias("order_created_at"))
+            (F.col("o.order_created_at") + F.make_dt_interval(F.lit(REPEAT_DAYS))).alias("order_created_at")))
 
     def order_topup_lines(self) -> DataFrame:
         """The lines of the last orders whose offer is still active, at its
         price of today; ``item_n`` is the line's number in the old order."""
         wh = self.wh
         active = wh.stg_products.filter(F.col("product_is_active")).select("product_id", "product_price")
-        plan = self._repeat_plan().select("last_id", F.col("order_id").alias("new_id"))
+        plan = self._repeat_plan.select("last_id", F.col("order_id").alias("new_id"))
         lines = wh.stg_lines.join(plan, F.col("order_id") == F.col("last_id")).join(active, "product_id")
         return lines.select(
             F.col("new_id").alias("order_id"), (F.col("order_line_items_id") - F.col("last_id") * 100).alias("item_n"),
@@ -147,16 +177,20 @@ class Jobs:
         totals = self.order_topup_lines().groupBy("order_id").agg(F.sum("line_total").cast(MONEY).alias("payment_amount"))
         paid = wh.stg_orders.select(F.col("order_id").alias("last_id"), "payment_id").join(
             wh.stg_payments.select("payment_id", "provider", "payment_status"), "payment_id")
-        return self._repeat_plan().join(totals, "order_id").join(paid, "last_id").select(
+        return self._repeat_plan.join(totals, "order_id").join(paid, "last_id").select(
             (top + F.col("payment_id")).alias("payment_id"), "order_id", "provider",
             F.when(F.col("payment_status") == "captured", "captured").otherwise("authorized").alias("payment_status"),
             "payment_amount", F.col("order_currency").alias("payment_currency"),
             payment_ref(F.col("order_id")).alias("external_ref"), F.col("order_created_at").alias("payment_created_at"))
 
+    @cached_property
+    def _repeated_payments(self) -> DataFrame:
+        return materialize(self.order_topup_payments())
+
     def order_topup_orders(self) -> DataFrame:
         """The repeated orders that have a payment; its amount is their total."""
-        pay = self.order_topup_payments().select("order_id", "payment_id", "payment_status", "payment_amount")
-        return self._repeat_plan().join(pay, "order_id").select(
+        pay = self._repeated_payments.select("order_id", "payment_id", "payment_status", "payment_amount")
+        return self._repeat_plan.join(pay, "order_id").select(
             "order_id", "user_id", "shipping_address_id", "billing_address_id",
             order_status_expr(F.col("payment_status"), F.lit("pending")).alias("order_status"),
             F.col("payment_amount").alias("order_total_amount"), "order_currency", "payment_id",

@@ -11,8 +11,8 @@ from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType
 
+from marketlens.functions.money import decimals_to_double
 from marketlens.plans.oracle import sql
 from marketlens.plans.warehouse import Warehouse
 
@@ -21,13 +21,6 @@ QUERIES: dict[str, QueryFn] = {}
 ORACLE: dict[str, str] = {}
 
 
-def decimals_to_double(df: DataFrame) -> DataFrame:
-    dec = [f.name for f in df.schema.fields if isinstance(f.dataType, DecimalType)]
-    if not dec:
-        return df
-    return df.withColumns({c: F.col(c).cast("double") for c in dec})
-
-
 def register(name: str, oracle: str | None = None):
     def deco(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -303,10 +296,12 @@ def rep_user_kpis_per_period(spark, sf_dir):
 
 # ======================================================== hierarchy & exercises
 from marketlens.operators.quality import run_suite, suite_sql  # noqa: E402
+from marketlens.plans.build import build, snapshot_addresses  # noqa: E402
 from marketlens.plans.exercises import Exercises  # noqa: E402
 from marketlens.plans.jobs import Jobs  # noqa: E402
 from marketlens.plans.quality_suite import MODEL_KEYS, marketplace_suite, model_suite  # noqa: E402
-from marketlens.sources.sinks import materialize  # noqa: E402
+from marketlens.sources.history import history  # noqa: E402
+from marketlens.sources.sinks import materialize, new_table_path  # noqa: E402
 
 MONETIZED_SQL = "('paid', 'shipped', 'delivered')"
 
@@ -723,6 +718,27 @@ def addresses_current(spark, sf_dir):
     return _jobs(spark, sf_dir).addresses_current()
 
 
+_HISTORY_SQL, _CURRENT_SQL = ORACLE["addresses_history"], ORACLE["addresses_current"]
+
+
+@register("addresses_history_stored", _HISTORY_SQL)
+def addresses_history_stored(spark, sf_dir):
+    """The same history, stored and continued run by run; the last extract
+    comes twice (M22, S6)."""
+    path = new_table_path(spark)
+    snapshot_addresses(Warehouse(spark, sf_dir), path, [1, 2, 3, 3])
+    return history(spark, path)
+
+
+@register("addresses_current_view", _CURRENT_SQL)
+def addresses_current_view(spark, sf_dir):
+    """Open versions through a catalog view of the stored history."""
+    target = new_table_path(spark)
+    schemas = {"historical": "marketlens_historical", "current_views": "marketlens_current"}
+    return spark.table(build(spark, sf_dir, target, custom_schemas=schemas, models=["addresses_hist", "dim_addresses_current"],
+                             catalog=True)["dim_addresses_current"])
+
+
 # ============================================================ keyed jobs
 _DEFAULT_ADDR = """select user_id,
       coalesce(max(address_id) filter (where is_default_shipping), min(address_id)) as shipping_address_id,
@@ -835,6 +851,31 @@ def insert_skip_conflict(spark, sf_dir):
     return _jobs(spark, sf_dir).insert_skip_conflict()
 
 
+@register("payments_inserted_stored", ORACLE["insert_skip_conflict"])
+def payments_inserted_stored(spark, sf_dir):
+    """The same insert into a stored, partitioned table."""
+    return _jobs(spark, sf_dir).payments_inserted(new_table_path(spark))
+
+
+@register("orders_updated_stored", sql(
+    """select o.order_id, coalesce(p.payment_id, o.payment_id) as payment_id,
+          case when p.payment_id is null then o.order_status
+               when p.payment_status = 'captured' then 'paid'
+               when p.payment_status = 'authorized' then 'pending'
+               when p.payment_status in ('failed', 'cancelled') then 'cancelled'
+               when p.payment_status = 'refunded' then 'refunded' else o.order_status end as order_status,
+          case when p.payment_id is not null then greatest(o.order_updated_at, p.payment_created_at)
+               else o.order_updated_at end as order_updated_at
+        from stg_orders o left join (
+          select * from stg_payments where payment_created_at >= (select max(payment_created_at) from stg_payments) - interval 30 days) p
+          on p.external_ref = 'pay/' || cast(o.order_id as varchar)""",
+    "stg_orders", "stg_payments"))
+def orders_updated_stored(spark, sf_dir):
+    """Order status from recent payments, in a stored table of which only the
+    changed partitions are written (S15, X3)."""
+    return _jobs(spark, sf_dir).orders_updated(new_table_path(spark))
+
+
 @register("range_join_bridge", sql(
     """select u.user_id, a.address_id,
           case when row_number() over (partition by u.user_id order by a.address_id) = 1 then 'Home' else 'Office' end

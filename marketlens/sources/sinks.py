@@ -15,7 +15,8 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from marketlens.session import ensure_checkpoint_dir
 
@@ -30,14 +31,20 @@ def materialize(df: DataFrame) -> DataFrame:
     re-reads it instead of recomputing the upstream plan.
     """
     spark = df.sparkSession
-    root = ensure_checkpoint_dir(spark) or spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
+    path = new_table_path(spark)
+    if not path:
         return df.checkpoint(eager=True)
-    path = f"{root.rstrip('/')}/marketlens-tables/{uuid.uuid4().hex}"
     df.write.mode("error").parquet(path)
     return spark.read.parquet(path)
 
 
+def new_table_path(spark: SparkSession) -> str | None:
+    """A new folder name for a stored table in the shared checkpoint folder;
+    None where the session has none."""
+    root = ensure_checkpoint_dir(spark) or spark.conf.get("spark.checkpoint.dir", None)
+    return f"{root.rstrip('/')}/marketlens-tables/{uuid.uuid4().hex}" if root else None
+
+
 def write_table(df: DataFrame, path: str, *, partition_by: list[str] | None = None,
                 mode: str = "overwrite") -> None:
     w = df.write.mode(mode)
@@ -51,6 +58,15 @@ def append_rows(df: DataFrame, path: str, *, partition_by: list[str] | None = No
     write_table(df, path, partition_by=partition_by, mode="append")
 
 
+def write_partitions(df: DataFrame, path: str, partition_by: list[str], mode: str = "overwrite") -> None:
+    """Append to, or replace, just the partitions that ``df`` has rows of;
+    all others keep their files.  The table may be read by ``df`` itself,
+    since partitions are moved into place after the job.  Rows are dealt by
+    partition, and large partitions are split among tasks (rebalance)."""
+    (df.hint("rebalance", *[F.col(c) for c in partition_by]).write.mode(mode)
+     .option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path))
+
+
 def swap_write(df: DataFrame, base_path: str) -> str:
     """Write to a new versioned folder under ``base_path``; return its path."""
     target = f"{base_path.rstrip('/')}/v-{uuid.uuid4().hex}"
@@ -58,6 +74,13 @@ def swap_write(df: DataFrame, base_path: str) -> str:
     return target
 
 
+def remove_folder(spark: SparkSession, path: str) -> bool:
+    """Delete a folder of a stored table through Spark's file systems."""
+    jvm = spark._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def layer_location(base: str, layer: str, custom: str | None = None) -> str:
     """Where a model of ``layer`` is written: a custom schema name is used
     verbatim, otherwise the layer's default folder."""
