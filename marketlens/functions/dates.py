@@ -66,11 +66,10 @@ def holiday_name(d) -> Column:
     return expr.otherwise(F.lit(None).cast("string"))
 
 
-def calendar_attributes(d="reporting_date") -> list[Column]:
+def date_attributes(d="reporting_date") -> list[Column]:
     """Attributes of an anchor date (not of the period it stands for)."""
     d = _c(d)
     dow = F.dayofweek(d)
-    name = holiday_name(d)
     return [
         F.year(d).alias("calendar_year"),
         F.quarter(d).alias("calendar_quarter"),
@@ -80,6 +79,15 @@ def calendar_attributes(d="reporting_date") -> list[Column]:
         dow.alias("day_of_week"),
         F.date_format(d, "EEEE").alias("day_name"),
         dow.isin(1, 7).alias("is_weekend"),
+    ]
+
+
+def calendar_attributes(d="reporting_date") -> list[Column]:
+    """The same with the fixed holidays as expressions (``sources.inline``
+    joins any list of holidays instead)."""
+    name = holiday_name(d)
+    return [
+        *date_attributes(d),
         name.isNotNull().alias("is_greek_public_holiday"),
         name.alias("greek_public_holiday_name"),
     ]

@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
 MONEY = DecimalType(12, 2)
+#: Stored sums of amounts.
+STORED_MONEY = DecimalType(24, 2)
 
 
 def money(c: Column | str) -> Column:
@@ -38,6 +40,15 @@ def money_out(c: Column | str) -> Column:
     return c.cast("double")
 
 
+def stored_money(c: Column | str) -> Column:
+    """An amount as it is stored: ``STORED_MONEY``.  A sum that does not fit
+    fails the query instead of becoming null, whatever the session's mode."""
+    c = F.col(c) if isinstance(c, str) else c
+    kept = c.try_cast(STORED_MONEY)
+    return F.when(c.isNull() | kept.isNotNull(), kept).otherwise(
+        F.raise_error(F.concat(F.lit("amount too large to store: "), c.cast("string"))))
+
+
 def decimals_to_double(df: DataFrame) -> DataFrame:
     """All decimal columns as double, for a result that leaves the library."""
     dec = [f.name for f in df.schema.fields if isinstance(f.dataType, DecimalType)]

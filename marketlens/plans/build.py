@@ -11,7 +11,8 @@ from storage by the others; the current addresses are read from the history.
 
 With ``catalog`` the layers are schemas of the session's catalog, the models
 their tables, and the current addresses a lasting view of the history's open
-versions, which needs no rewriting when the history goes on.
+versions, which needs no rewriting when the history goes on.  With ``exact``
+amounts are stored as decimals; otherwise as double.
 """
 
 from __future__ import annotations
@@ -95,10 +96,12 @@ def snapshot_addresses(wh: Warehouse, path: str, extracts: list[int] | None = No
 
 
 def build(spark: SparkSession, sf_dir: str, target: str, *, custom_schemas: dict[str, str] | None = None,
-          models: list[str] | None = None, extracts: list[int] | None = None, catalog: bool = False) -> dict[str, str]:
+          models: list[str] | None = None, extracts: list[int] | None = None, catalog: bool = False,
+          exact: bool = False) -> dict[str, str]:
     """Register staging views and write the table models; return name -> path
     (of a view: its name)."""
-    wh = StoredWarehouse(spark, sf_dir)
+    wh = StoredWarehouse(spark, sf_dir, exact=exact)
+    out = (lambda df: df) if exact else decimals_to_double
     for entity in STAGING:
         wh.stg(entity).createOrReplaceTempView(f"stg_{entity}")
     custom = custom_schemas or {}
@@ -120,8 +123,8 @@ def build(spark: SparkSession, sf_dir: str, target: str, *, custom_schemas: dict
             create_view(spark, schemas[layer], name, CURRENT_SQL.format(table=f"`{source}`.`{HISTORY}`"))
             path = f"{schemas[layer]}.{name}"
         elif catalog:
-            save_model(decimals_to_double(builder(wh)), schemas[layer], name, path, partition_by=PARTITION_BY.get(name))
+            save_model(out(builder(wh)), schemas[layer], name, path, partition_by=PARTITION_BY.get(name))
         else:
-            write_table(decimals_to_double(builder(wh)), path, partition_by=PARTITION_BY.get(name))
+            write_table(out(builder(wh)), path, partition_by=PARTITION_BY.get(name))
         written[name] = path
     return written

@@ -19,14 +19,15 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from marketlens.functions.dates import PERIODS, calendar_attributes, period_anchor
-from marketlens.functions.money import money_out, pct_change, safe_div
+from marketlens.functions.dates import PERIODS, date_attributes, period_anchor
+from marketlens.functions.money import money_out, pct_change, safe_div, stored_money
 from marketlens.operators.ordered_window import Order, ordered_window, plain_window
 from marketlens.operators.staging import stage
 from marketlens.sources.calendar import all_dates, order_date_range
+from marketlens.sources.inline import with_holidays
 from marketlens.sources.marketplace import Marketplace
 from marketlens.sources.sinks import materialize
 
@@ -49,13 +50,22 @@ def explode_grains(df: DataFrame, date_col: str, grains=REPORT_GRAINS) -> DataFr
 
 
 class Warehouse:
+    """The models over one source.  With ``exact`` their amounts stay decimals,
+    for storage; otherwise they leave as double."""
+
     def __init__(self, spark: SparkSession, sf_dir: str | None = None, *, window_opts: dict | None = None,
-                 marketplace=None):
+                 marketplace=None, exact: bool = False):
+        self.exact = exact
         self.spark = spark
         self.sf_dir = sf_dir
         self.mp = marketplace if marketplace is not None else Marketplace(spark, sf_dir)
         self.window_opts = dict(window_opts or {})
 
+    def _money(self, c: Column | str) -> Column:
+        """An amount as it leaves a model; one beyond ``STORED_MONEY`` is an
+        error, not a null."""
+        return stored_money(c) if self.exact else money_out(c)
+
     def _ow(self, df: DataFrame, order, **kw) -> DataFrame:
         return ordered_window(df, order, **{**self.window_opts, **kw})
 
@@ -106,8 +116,9 @@ class Warehouse:
         d = self.all_dates()
         arr = F.array(*[F.struct(F.lit(p).alias("reporting_period"),
                                  period_anchor(p, F.col("date_column")).alias("reporting_date")) for p in PERIODS])
-        anchors = d.select(F.explode(arr).alias("a")).select("a.*").distinct()
-        return anchors.select("reporting_period", "reporting_date", *calendar_attributes("reporting_date"))
+        anchors = with_holidays(d.select(F.explode(arr).alias("a")).select("a.*").distinct(), "reporting_date")
+        return anchors.select("reporting_period", "reporting_date", *date_attributes("reporting_date"),
+                              "is_greek_public_holiday", "greek_public_holiday_name")
 
     def _calendar_dim(self) -> DataFrame:
         # ~1.2 rows per day of the date span; AQE broadcasts it after
@@ -130,7 +141,7 @@ class Warehouse:
 
     def revenue_daily(self) -> DataFrame:
         return self.revenue_daily_exact().select(
-            "order_date", money_out("total_revenue").alias("total_revenue"), "total_orders")
+            "order_date", self._money("total_revenue").alias("total_revenue"), "total_orders")
 
     def _lines_by_product(self) -> DataFrame:
         return self.stg_lines.groupBy("product_id").agg(
@@ -152,7 +163,7 @@ class Warehouse:
                                                 "total_quantity", "total_orders")
         ranked = self._ow(base, [Order("total_revenue", True), Order("product_id")],
                           dense_rank="product_revenue_rank")
-        return ranked.select("product_id", "shop_id", money_out("total_revenue").alias("total_revenue"),
+        return ranked.select("product_id", "shop_id", self._money("total_revenue").alias("total_revenue"),
                              "total_quantity", "total_orders", "product_revenue_rank")
 
     def products_per_shop_exact(self) -> DataFrame:
@@ -177,7 +188,7 @@ class Warehouse:
     def revenue_per_shop(self) -> DataFrame:
         r = self._ow(self.revenue_per_shop_exact(), [Order("total_revenue", True), Order("shop_id")],
                      dense_rank="revenue_rank")
-        return r.select("shop_id", "shop_name", money_out("total_revenue").alias("total_revenue"), "revenue_rank")
+        return r.select("shop_id", "shop_name", self._money("total_revenue").alias("total_revenue"), "revenue_rank")
 
     def category_revenue_exact(self) -> DataFrame:
         prod_cat = self.stg_products.select("product_id", "sku_id").join(
@@ -196,7 +207,7 @@ class Warehouse:
                             dense_rank="category_revenue_rank")
 
     def category_revenue(self) -> DataFrame:
-        return self.category_revenue_exact().withColumn("total_revenue", money_out("total_revenue"))
+        return self.category_revenue_exact().withColumn("total_revenue", self._money("total_revenue"))
 
     def payment_summary_exact(self) -> DataFrame:
         agg = self.stg_payments.groupBy("provider", "payment_status").agg(
@@ -205,7 +216,7 @@ class Warehouse:
         return agg.withColumn("amount_rank_within_status", F.dense_rank().over(w).cast("long"))
 
     def payment_summary(self) -> DataFrame:
-        return self.payment_summary_exact().withColumn("total_amount", money_out("total_amount"))
+        return self.payment_summary_exact().withColumn("total_amount", self._money("total_amount"))
 
     def user_orders(self) -> DataFrame:
         agg = self.order_revenue().groupBy("user_id").agg(
@@ -218,7 +229,7 @@ class Warehouse:
         ranked = self._ow(agg, [Order("total_revenue", True), Order("user_id")], dense_rank="revenue_rank",
                           materialize=False)
         return ranked.select(
-            "user_id", "total_orders", money_out("total_revenue").alias("total_revenue"),
+            "user_id", "total_orders", self._money("total_revenue").alias("total_revenue"),
             F.when(F.col("total_orders") > 0, F.col("total_revenue").cast("double") / F.col("total_orders"))
              .alias("avg_order_value"),
             "first_order_date", "last_order_date", "revenue_rank",
@@ -236,16 +247,16 @@ class Warehouse:
                          lag={"_prev": "total_revenue"}, running_sum={"_cum": "total_revenue"})
         return j.select(
             "category_id", "category_name", "category_slug", "category_created_at",
-            money_out("total_revenue").alias("total_revenue"), "total_quantity", "total_orders",
+            self._money("total_revenue").alias("total_revenue"), "total_quantity", "total_orders",
             "category_revenue_rank",
             safe_div(F.col("total_revenue"), total).alias("revenue_share"),
             safe_div(F.col("_cum"), total).alias("cumulative_revenue_share"),
-            money_out(F.col("total_revenue") - F.col("_prev")).alias("revenue_diff_vs_prev"),
+            self._money(F.col("total_revenue") - F.col("_prev")).alias("revenue_diff_vs_prev"),
             F.when(F.col("_prev") == 0, F.lit(None).cast("double"))
              .otherwise(F.col("total_revenue").cast("double") / F.col("_prev").cast("double") - 1)
              .alias("revenue_pct_diff_vs_prev"),
             safe_div(F.col("total_revenue"), avg).alias("revenue_index"),
-            money_out("_cum").alias("cumulative_category_revenue"))
+            self._money("_cum").alias("cumulative_category_revenue"))
 
     def rep_main_kpis_per_shop(self) -> DataFrame:
         rev = self.revenue_per_shop_exact()
@@ -256,11 +267,11 @@ class Warehouse:
         j = self._ow(j, [Order("total_revenue", True), Order("shop_id")], dense_rank="revenue_rank",
                      lag={"previous_shop_revenue": "total_revenue"}, lead={"next_shop_revenue": "total_revenue"},
                      running_sum={"cumulative_revenue": "total_revenue"})
-        return j.select("shop_id", "shop_name", money_out("total_revenue").alias("total_revenue"),
+        return j.select("shop_id", "shop_name", self._money("total_revenue").alias("total_revenue"),
                         "revenue_rank", "total_products", "product_count_rank",
-                        money_out("previous_shop_revenue").alias("previous_shop_revenue"),
-                        money_out("next_shop_revenue").alias("next_shop_revenue"),
-                        money_out("cumulative_revenue").alias("cumulative_revenue"))
+                        self._money("previous_shop_revenue").alias("previous_shop_revenue"),
+                        self._money("next_shop_revenue").alias("next_shop_revenue"),
+                        self._money("cumulative_revenue").alias("cumulative_revenue"))
 
     def rep_payment_summary(self) -> DataFrame:
         ps = self.payment_summary_exact()
@@ -270,14 +281,14 @@ class Warehouse:
                           lag={"_prev": "total_amount"}, lead={"_next": "total_amount"},
                           running_sum={"_cum": "total_amount"})
         return ps.select(
-            "provider", "payment_status", "total_transactions", money_out("total_amount").alias("total_amount"),
+            "provider", "payment_status", "total_transactions", self._money("total_amount").alias("total_amount"),
             F.when(F.col("total_transactions") > 0,
                    F.col("total_amount").cast("double") / F.col("total_transactions")).alias("avg_transaction_value"),
             F.when(F.col("_by_provider") > 0,
                    F.col("total_transactions") / F.col("_by_provider")).alias("status_transaction_share"),
-            money_out("_prev").alias("previous_total_amount"),
-            money_out("_next").alias("next_total_amount"),
-            money_out("_cum").alias("cumulative_total_amount"))
+            self._money("_prev").alias("previous_total_amount"),
+            self._money("_next").alias("next_total_amount"),
+            self._money("_cum").alias("cumulative_total_amount"))
 
     def rep_product_performance(self) -> DataFrame:
         base = self._product_perf_base()
@@ -293,12 +304,12 @@ class Warehouse:
              .join(shops, "shop_id", "left"))
         return j.select(
             "product_id", "sku_title", "brand", "category_name", "shop_id", "shop_name",
-            money_out("product_price").alias("product_price"), "currency", "product_stock",
+            self._money("product_price").alias("product_price"), "currency", "product_stock",
             "product_condition", "product_is_active", "total_quantity",
-            money_out("total_revenue").alias("total_revenue"), "total_orders", "product_revenue_rank",
-            money_out("previous_product_revenue").alias("previous_product_revenue"),
-            money_out("next_product_revenue").alias("next_product_revenue"),
-            money_out("cumulative_product_revenue").alias("cumulative_product_revenue"))
+            self._money("total_revenue").alias("total_revenue"), "total_orders", "product_revenue_rank",
+            self._money("previous_product_revenue").alias("previous_product_revenue"),
+            self._money("next_product_revenue").alias("next_product_revenue"),
+            self._money("cumulative_product_revenue").alias("cumulative_product_revenue"))
 
     def rep_revenue_per_period(self) -> DataFrame:
         daily = self.revenue_daily_exact()
@@ -315,13 +326,13 @@ class Warehouse:
         })
         return j.select(
             "reporting_period", "reporting_date", *CALENDAR_COLS,
-            money_out("total_revenue").alias("total_revenue"), F.col("total_orders").cast("long").alias("total_orders"),
-            money_out("_prev").alias("prev_total_revenue"),
-            money_out("_next").alias("next_total_revenue"),
-            money_out(F.col("total_revenue") - F.col("_prev")).alias("revenue_change_vs_prev"),
+            self._money("total_revenue").alias("total_revenue"), F.col("total_orders").cast("long").alias("total_orders"),
+            self._money("_prev").alias("prev_total_revenue"),
+            self._money("_next").alias("next_total_revenue"),
+            self._money(F.col("total_revenue") - F.col("_prev")).alias("revenue_change_vs_prev"),
             pct_change(F.col("total_revenue"), F.col("_prev")).alias("revenue_pct_change_vs_prev"),
-            money_out("_r7").alias("revenue_last_7_periods"),
-            money_out("_r30").alias("revenue_last_30_periods"))
+            self._money("_r7").alias("revenue_last_7_periods"),
+            self._money("_r30").alias("revenue_last_30_periods"))
 
     def rep_user_kpis_per_period(self) -> DataFrame:
         orev = self.order_revenue()
@@ -334,12 +345,12 @@ class Warehouse:
         j = j.withColumns({"_prev": F.lag("total_revenue").over(w), "_next": F.lead("total_revenue").over(w)})
         return j.select(
             "user_id", "reporting_period", "reporting_date", *CALENDAR_COLS,
-            "total_orders", money_out("total_revenue").alias("total_revenue"),
+            "total_orders", self._money("total_revenue").alias("total_revenue"),
             F.when(F.col("total_orders") > 0, F.col("total_revenue").cast("double") / F.col("total_orders"))
              .alias("avg_order_value"),
-            money_out("_prev").alias("prev_total_revenue"),
-            money_out("_next").alias("next_total_revenue"),
-            money_out(F.col("total_revenue") - F.col("_prev")).alias("revenue_change_vs_prev"),
+            self._money("_prev").alias("prev_total_revenue"),
+            self._money("_next").alias("next_total_revenue"),
+            self._money(F.col("total_revenue") - F.col("_prev")).alias("revenue_change_vs_prev"),
             pct_change(F.col("total_revenue"), F.col("_prev")).alias("revenue_pct_change_vs_prev"))
 
 

@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from marketlens.session import ensure_checkpoint_dir
@@ -58,6 +58,39 @@ def append_rows(df: DataFrame, path: str, *, partition_by: list[str] | None = No
     write_table(df, path, partition_by=partition_by, mode="append")
 
 
+def append_checked(df: DataFrame, path: str, *, partition_by: list[str] | None = None) -> None:
+    """Append to a table whose columns and types (a decimal's digits too) are
+    those of ``df``; anything else is an error, and nothing is written."""
+    stored = df.sparkSession.read.parquet(path).schema
+    have, new = ({f.name: f.dataType.simpleString() for f in schema.fields} for schema in (stored, df.schema))
+    wrong = sorted(c for c in {*have, *new} if have.get(c) != new.get(c))
+    if wrong:
+        raise ValueError("append: " + ", ".join(f"{c} is {have.get(c, 'not there')} in the table and {new.get(c, 'not there')} in the rows" for c in wrong))
+    append_rows(df.select(*stored.names), path, partition_by=partition_by)
+
+
+def write_sorted(df: DataFrame, path: str, order: list[Column], files: int | None = None) -> None:
+    """Write a table in order: each file holds a range of ``order``, sorted,
+    and files by number follow each other (``files`` of them at most; unless
+    given, as many as the session's shuffles make).  One range shuffle; no task sees more
+    than its range, and equal rows of ``order`` are spread by Spark's sample
+    only as far as ``order`` tells them apart, so end it with a key."""
+    dealt = df.repartitionByRange(files, *order) if files else df.repartitionByRange(*order)
+    dealt.sortWithinPartitions(*order).write.mode("overwrite").parquet(path)
+
+
+def read_in_order(spark: SparkSession, path: str, position: str = "position") -> DataFrame:
+    """A table written by ``write_sorted`` with each row's place in it (from
+    1), counted from files and rows in files; no key is compared again."""
+    table = spark.read.parquet(path)
+    place = table.metadataColumn("_metadata")
+    rows = table.select("*", F.regexp_extract(place["file_name"], r"part-(\d+)", 1).cast("long").alias("_file"), place["row_index"].alias("_index"))
+    # one row a file
+    before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+    files = rows.groupBy("_file").agg(F.count(F.lit(1)).alias("_n")).select("_file", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    return rows.join(files, "_file").withColumn(position, F.col("_before") + F.col("_index") + 1).drop("_file", "_index", "_before")
+
+
 def write_partitions(df: DataFrame, path: str, partition_by: list[str], mode: str = "overwrite") -> None:
     """Append to, or replace, just the partitions that ``df`` has rows of;
     all others keep their files.  The table may be read by ``df`` itself,
