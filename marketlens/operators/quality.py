@@ -2,17 +2,24 @@
 
 Output: ``table_name, check_name, column_names, failing_rows``.
 
-* row-level checks (not_null, accepted_values, row constraints) of one
-  table are evaluated in a single aggregation pass over that table;
-* ``unique`` / ``unique_combination`` count duplicated non-null key values
-  (all key sets of a table in one ``groupingSets`` pass, partial
-  aggregation first);
-* ``relationships`` count child rows whose non-null key has no parent
-  (left anti join);
-* ``freshness`` fails (1 row) when the newest timestamp is older than
-  ``as_of - max_age``;
-* ``reconciliation`` counts keys whose stored total differs from the total
-  derived from detail rows.
+``run_suite`` reads every table once, in one job with one shuffle of keys:
+
+* each row emits its keys, tagged with their domain (the columns that a key is
+  unique in, or refers to) and role (parent, or one of the children), and a
+  tag for every row check that it fails or that shows the table to be fresh.
+  Tags of all tables meet in one shuffle, summed per key in each task before
+  it, so that a hot key or a common failure is one row a task;
+* a key's counts then tell all of its checks at once: ``unique`` and
+  ``unique_combination`` count keys with several parent rows, ``relationships``
+  the child rows of keys without a parent, ``reconciliation`` the keys whose
+  stored total differs from the sum of their detail rows;
+* what comes back is a row a domain and a row a row check.
+
+(``DataFrame.observe`` would count failing rows on the side, but twice where a
+task runs again after an executor is lost.)
+
+Keys with a null part take part in nothing, as in SQL.  ``freshness`` fails
+(1 row) when the newest timestamp is older than ``as_of - max_age``.
 
 Row predicates are plain SQL expressions, so the same text runs in Spark
 (``F.expr``) and in any SQL oracle.
@@ -21,9 +28,11 @@ Row predicates are plain SQL expressions, so the same text runs in Spark
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 
 @dataclass(frozen=True)
@@ -93,99 +102,143 @@ def constraint(table: str, col: str, predicate: str) -> RowCheck:
     return RowCheck(table, "row_constraint", col, f"not coalesce({predicate}, true)")
 
 
-def _row(table: str, check: str, cols: str, failing) -> DataFrame:
-    return failing.select(F.lit(table).alias("table_name"), F.lit(check).alias("check_name"),
-                          F.lit(cols).alias("column_names"), F.col("failing_rows").cast("long"))
-
-
 def _all_not_null(cols) -> Column:
-    cond = None
+    cond = F.lit(True)
     for c in cols:
-        c_nn = F.col(c).isNotNull()
-        cond = c_nn if cond is None else cond & c_nn
+        cond = cond & F.col(c).isNotNull()
     return cond
 
 
-def _unique_checks(df: DataFrame, table: str, checks: list[UniqueCheck]) -> DataFrame:
-    """All uniqueness checks of one table in one scan and one shuffle.
-
-    ``groupingSets`` expands each row once per key set and aggregates all of
-    them together (partially, map-side); ``grouping_id`` tells the sets apart.
-    Groups whose key contains a null are not duplicates (as in SQL UNIQUE).
-    """
-    spark = df.sparkSession
-    all_cols: list[str] = []
-    for u in checks:
-        all_cols += [c for c in u.columns if c not in all_cols]
-    width = len(all_cols)
-
-    def gid(u: UniqueCheck) -> int:
-        return sum(1 << (width - 1 - i) for i, c in enumerate(all_cols) if c not in u.columns)
-
-    if len(checks) == 1:
-        u = checks[0]
-        dup = df.filter(_all_not_null(u.columns)).groupBy(*u.columns).count().filter(F.col("count") > 1)
-        return _row(table, u.check, ",".join(u.columns), dup.agg(F.count(F.lit(1)).alias("failing_rows")))
-    g = df.select(*all_cols).groupingSets([list(u.columns) for u in checks], *all_cols).agg(
-        F.count(F.lit(1)).alias("_n"), F.grouping_id().alias("_gid"))
-    keep = None
-    for u in checks:
-        cond = (F.col("_gid") == gid(u)) & _all_not_null(u.columns)
-        keep = cond if keep is None else keep | cond
-    dups = g.filter(keep & (F.col("_n") > 1)).groupBy("_gid").agg(F.count(F.lit(1)).alias("failing_rows"))
-    labels = spark.createDataFrame([(gid(u), u.check, ",".join(u.columns)) for u in checks],
-                                   "_gid long, check_name string, column_names string")
-    # labels hold one row per declared check
-    return F.broadcast(labels).join(dups, "_gid", "left").select(
-        F.lit(table).alias("table_name"), "check_name", "column_names",
-        F.coalesce(F.col("failing_rows"), F.lit(0)).cast("long").alias("failing_rows"))
-
-
-def run_suite(frames: dict[str, DataFrame], suite: Suite) -> DataFrame:
-    parts: list[DataFrame] = []
-    by_table: dict[str, list[RowCheck]] = {}
-    for rc in suite.rows:
-        by_table.setdefault(rc.table, []).append(rc)
-    for table, checks in by_table.items():
-        aggs = [F.sum(F.when(F.expr(c.failing_sql), 1).otherwise(0)).alias(f"c{i}") for i, c in enumerate(checks)]
-        one = frames[table].agg(*aggs)
-        arr = F.array(*[F.struct(F.lit(c.check).alias("check_name"), F.lit(c.columns).alias("column_names"),
-                                 F.coalesce(F.col(f"c{i}"), F.lit(0)).cast("long").alias("failing_rows"))
-                        for i, c in enumerate(checks)])
-        parts.append(one.select(F.explode(arr).alias("r")).select(
-            F.lit(table).alias("table_name"), "r.check_name", "r.column_names", "r.failing_rows"))
-    uniques_by_table: dict[str, list[UniqueCheck]] = {}
+@dataclass
+class _Domain:
+    """A set of keys: where they are unique, who refers to them, and which
+    totals are kept for them."""
+    number: int
+    parents: list[tuple[str, tuple[str, ...]]] = field(default_factory=list)  # at most one; a check's own
+    unique: UniqueCheck | None = None
+    children: list[RelationshipCheck] = field(default_factory=list)
+    reconcile: ReconcileCheck | None = None
+
+
+def _domains(suite: Suite) -> list[_Domain]:
+    found: dict[tuple[str, tuple[str, ...]], _Domain] = {}
+
+    def of(table: str, columns: tuple[str, ...]) -> _Domain:
+        key = table, columns
+        if key not in found:
+            found[key] = _Domain(len(found), [key])
+        return found[key]
+
+    extra: list[_Domain] = []
     for u in suite.uniques:
-        uniques_by_table.setdefault(u.table, []).append(u)
-    for table, checks in uniques_by_table.items():
-        parts.append(_unique_checks(frames[table], table, checks))
+        of(u.table, u.columns).unique = u
     for r in suite.relationships:
-        # count child rows per key first (partial aggregation), so a hot
-        # foreign key is one row per map task before the anti join
-        child = frames[r.table].filter(F.col(r.column).isNotNull()).groupBy(r.column).agg(
-            F.count(F.lit(1)).alias("_n"))
-        parent = frames[r.parent].select(F.col(r.parent_column).alias(r.column)).distinct()
-        orphans = child.join(parent, r.column, "left_anti")
-        parts.append(_row(r.table, "relationships", f"{r.column}->{r.parent}.{r.parent_column}",
-                          orphans.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("failing_rows"))))
-    for f in suite.freshness:
-        newest = frames[f.table].agg(F.max(f.column).alias("m"))
-        limit = F.expr(f"timestamp_ntz'{f.as_of}'") - F.make_dt_interval(F.lit(f.max_age_days))
-        stale = newest.select(F.when(F.col("m").isNull() | (F.col("m") < limit), 1).otherwise(0).alias("failing_rows"))
-        parts.append(_row(f.table, "freshness", f.column, stale))
+        of(r.parent, (r.parent_column,)).children.append(r)
     for rc in suite.reconcile:
-        detail = frames[rc.detail].groupBy(F.col(rc.detail_key).alias(rc.key)).agg(
-            F.sum(rc.detail_amount).alias("_d"))
-        j = frames[rc.table].select(rc.key, rc.stored).join(detail, rc.key, "left")
-        diff = j.filter(~F.col(rc.stored).eqNullSafe(F.coalesce(F.col("_d"), F.lit(0))))
-        parts.append(_row(rc.table, "reconciliation", f"{rc.stored}=sum({rc.detail}.{rc.detail_amount})",
-                          diff.agg(F.count(F.lit(1)).alias("failing_rows"))))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+        domain = of(rc.table, (rc.key,))
+        if domain.reconcile is None:
+            domain.reconcile = rc
+        else:
+            extra.append(_Domain(len(found) + len(extra), [(rc.table, (rc.key,))], reconcile=rc))
+    out = [*found.values(), *extra]
+    for n, d in enumerate(out):
+        d.number = n
     return out
 
 
+#: Role of a parent row, of a detail row and of a row check's row; children
+#: are numbered from 0.
+_PARENT, _DETAIL, _ROW = -1, -2, -3
+_REPORT = "table_name string, check_name string, column_names string, failing_rows long"
+
+
+def _amount_type(frames: dict[str, DataFrame], suite: Suite) -> str:
+    """The type of totals: that of the columns if they have one, else wide."""
+    kinds = {frames[t].schema[c].dataType.simpleString() for r in suite.reconcile for t, c in ((r.table, r.stored), (r.detail, r.detail_amount))}
+    return kinds.pop() if len(kinds) == 1 else "decimal(38,6)" if kinds else "decimal(1,0)"
+
+
+def _tag(df: DataFrame, kind: str, domain: int, role: int, columns: tuple[str, ...], amount: Column | None = None) -> Column:
+    """A row's key in a domain.  A single whole number is kept as such, any
+    other key becomes text."""
+    single = len(columns) == 1 and isinstance(df.schema[columns[0]].dataType, IntegralType)
+    number = F.col(columns[0]).cast("long") if single else F.lit(None).cast("long")
+    text = F.lit(None).cast("string") if single else (
+        F.col(columns[0]).cast("string") if len(columns) == 1 else F.to_json(F.struct(*columns)))
+    return F.when(_all_not_null(columns), F.struct(
+        F.lit(domain).alias("domain"), F.lit(role).alias("role"), number.alias("number"), text.alias("text"),
+        (F.lit(None) if amount is None else amount).cast(kind).alias("amount")))
+
+
+def _row_tag(kind: str, domain: int, condition: str) -> Column:
+    """Tag of a row that meets a condition; its domain is the check's own."""
+    return F.when(F.expr(condition), F.struct(
+        F.lit(domain).alias("domain"), F.lit(_ROW).alias("role"), F.lit(None).cast("long").alias("number"),
+        F.lit(None).cast("string").alias("text"), F.lit(None).cast(kind).alias("amount")))
+
+
+def _whole(frames: dict[str, DataFrame], table: str, columns: tuple[str, ...]) -> bool:
+    return len(columns) == 1 and isinstance(frames[table].schema[columns[0]].dataType, IntegralType)
+
+
+def run_suite(frames: dict[str, DataFrame], suite: Suite) -> DataFrame:
+    """Run all checks; the report has a row a check.  Every frame is computed
+    once."""
+    spark = next(iter(frames.values())).sparkSession
+    domains, kind = _domains(suite), _amount_type(frames, suite)
+    tags: dict[str, list[Column]] = {}
+    for d in domains:
+        table, columns = d.parents[0]
+        stored = F.col(d.reconcile.stored) if d.reconcile else None
+        tags.setdefault(table, []).append(_tag(frames[table], kind, d.number, _PARENT, columns, stored))
+        for n, r in enumerate(d.children):
+            if _whole(frames, r.table, (r.column,)) != _whole(frames, table, columns):
+                raise TypeError(f"{r.table}.{r.column} and {r.parent}.{r.parent_column} are of different types")
+            tags.setdefault(r.table, []).append(_tag(frames[r.table], kind, d.number, n, (r.column,)))
+        if d.reconcile:
+            rc = d.reconcile
+            tags.setdefault(rc.detail, []).append(_tag(frames[rc.detail], kind, d.number, _DETAIL, (rc.detail_key,), F.col(rc.detail_amount)))
+    first_row = len(domains)
+    for n, c in enumerate(suite.rows):
+        tags.setdefault(c.table, []).append(_row_tag(kind, first_row + n, c.failing_sql))
+    first_fresh = first_row + len(suite.rows)
+    for n, f in enumerate(suite.freshness):
+        fresh = f"{f.column} >= timestamp_ntz'{f.as_of}' - make_dt_interval({f.max_age_days})"
+        tags.setdefault(f.table, []).append(_row_tag(kind, first_fresh + n, fresh))
+    if not tags:
+        return spark.createDataFrame([], _REPORT)
+    keys = reduce(DataFrame.unionByName, [
+        frames[table].select(F.explode(F.array(*emitted)).alias("t")).where(F.col("t").isNotNull()).select("t.*") for table, emitted in tags.items()])
+
+    children = max([len(d.children) for d in domains], default=0)
+    by_key = keys.groupBy("domain", "number", "text").agg(
+        F.count_if(F.col("role") == _ROW).alias("rows"), F.count_if(F.col("role") == _PARENT).alias("parents"),
+        F.max(F.when(F.col("role") == _PARENT, F.col("amount"))).alias("stored"),
+        F.sum(F.when(F.col("role") == _DETAIL, F.col("amount"))).alias("detail"),
+        *[F.count_if(F.col("role") == n).alias(f"child{n}") for n in range(children)])
+    differs = (F.col("parents") > 0) & ~F.col("stored").eqNullSafe(F.coalesce("detail", F.lit(0)))
+    found = by_key.groupBy("domain").agg(
+        F.sum("rows").alias("rows"), F.count_if(F.col("parents") > 1).alias("repeated"), F.count_if(differs).alias("differing"),
+        *[F.sum(F.when(F.col("parents") == 0, F.col(f"child{n}")).otherwise(0)).alias(f"orphans{n}") for n in range(children)]).collect()
+    by_domain = {r["domain"]: r for r in found}
+
+    def rows(domain: int) -> int:
+        return by_domain[domain]["rows"] if domain in by_domain else 0
+
+    report = [(c.table, c.check, c.columns, rows(first_row + n)) for n, c in enumerate(suite.rows)]
+    for d in domains:
+        r = by_domain.get(d.number)
+        if d.unique:
+            report.append((d.unique.table, d.unique.check, ",".join(d.unique.columns), r["repeated"] if r else 0))
+        report += [(c.table, "relationships", f"{c.column}->{c.parent}.{c.parent_column}", r[f"orphans{n}"] if r else 0)
+                   for n, c in enumerate(d.children)]
+        if d.reconcile:
+            rc = d.reconcile
+            report.append((rc.table, "reconciliation", f"{rc.stored}=sum({rc.detail}.{rc.detail_amount})", r["differing"] if r else 0))
+    report += [(f.table, "freshness", f.column, int(not rows(first_fresh + n))) for n, f in enumerate(suite.freshness)]
+    return spark.createDataFrame(report, _REPORT)
+
+
 def suite_sql(suite: Suite) -> str:
     """The same suite as one SQL statement over relations named like the frames."""
     sel = []

@@ -296,7 +296,7 @@ def rep_user_kpis_per_period(spark, sf_dir):
 
 # ======================================================== hierarchy & exercises
 from marketlens.operators.quality import run_suite, suite_sql  # noqa: E402
-from marketlens.plans.build import build, snapshot_addresses  # noqa: E402
+from marketlens.plans.build import KeyWarehouse, build, snapshot_addresses  # noqa: E402
 from marketlens.plans.exercises import Exercises  # noqa: E402
 from marketlens.plans.jobs import Jobs  # noqa: E402
 from marketlens.plans.relations import WIDE_RANGE, Relations  # noqa: E402
@@ -984,7 +984,8 @@ def exact_daily(spark, sf_dir):
           + "\n" + suite_sql(model_suite()))
 def quality_models(spark, sf_dir):
     """Keys of the intermediate, reporting and current models: not null and
-    unique (Q1, Q2).  A model is computed once; its keys are stored for the
-    checks."""
-    frames = {m: materialize(QUERIES[m](spark, sf_dir).select(*key)) for m, key in MODEL_KEYS.items()}
+    unique (Q1, Q2), in one job over the models' keys; what models share is
+    computed once."""
+    wh = KeyWarehouse(spark, sf_dir)
+    frames = {m: (Jobs(wh).addresses_current() if m == "addresses_current" else getattr(wh, m)()).select(*key) for m, key in MODEL_KEYS.items()}
     return run_suite(frames, model_suite())
