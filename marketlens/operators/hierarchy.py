@@ -12,20 +12,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 PATH_SEPARATOR = " > "
+#: Levels after which the expansion gives up.
+MAX_DEPTH = 10_000
 
 
 def expand_tree(nodes: DataFrame, *, id_col: str = "category_id", parent_col: str = "parent_id",
-                name_col: str = "category_name") -> DataFrame:
+                name_col: str = "category_name", max_depth: int = MAX_DEPTH) -> DataFrame:
     """Columns: id, parent, name, root_category_id, root_category_name, depth,
-    category_path (names from the root joined by `` > ``)."""
+    category_path (names from the root joined by `` > ``).  A tree deeper than
+    ``max_depth`` is an error, and so is one that an id on two parents has
+    closed to a cycle; ``operators.deep_tree`` has no such bound."""
     spark = nodes.sparkSession
-    # trees of any size and depth: a level without rows ends the recursion
+    # trees of any size: a level without rows ends the recursion
     spark.conf.set("spark.sql.cteRecursionRowLimit", "-1")
-    spark.conf.set("spark.sql.cteRecursionLevelLimit", "-1")
     n = nodes.select(F.col(id_col).alias("nid"), F.col(parent_col).alias("npar"), F.col(name_col).alias("nname"))
     tree = spark.sql(
         f"""
-        WITH RECURSIVE tree AS (
+        WITH RECURSIVE tree MAX RECURSION LEVEL {max_depth} AS (
           SELECT nid, npar, nname, nid AS root_id, nname AS root_name, 0 AS depth,
                  CAST(nname AS STRING) AS path
           FROM {{n}} WHERE npar IS NULL

@@ -13,7 +13,8 @@ the rows.  This operator instead:
    range partitioning on the composite order (partition keys, then order
    keys).  The number of buckets grows with the rows; a hot value or hot
    partition key is spread over several buckets by the tie-break columns;
-3. runs the window inside each bucket and stores the result, so that what
+3. runs the window inside each bucket (a table of one bucket ends here, as
+   nothing has to be carried over) and stores the result, so that what
    follows reads the same buckets whatever happens to an executor;
 4. takes the first and the last row of each bucket.  A partition key that
    goes over a bucket's end is the key of both rows there, so these (two rows
@@ -158,6 +159,10 @@ def ordered_window(
 
     base = _checkpoint(df) if materialize else df
     n = num_buckets or max(1, math.ceil(base.count() / (target_rows_per_bucket or DEFAULT_ROWS_PER_BUCKET)))
+    if n == 1:  # no other bucket has anything to carry over
+        only = plain_window(base, order_by, partition_by=pcols, rank_by=rank_cols, row_number=row_number, dense_rank=dense_rank,
+                            lag=lag, lead=lead, running_sum=running_sum)
+        return only.withColumn(bucket_col, F.lit(0)) if bucket_col else only
     stored = _checkpoint(_bucketed_window(base, order_by, pcols, rank_cols, n, lag, lead, running_sum))
     carried = _carried(stored, pcols, rank_cols, lag, lead, running_sum)
 
