@@ -13,12 +13,13 @@ is within e = floor(0.2 n) word edits of the whole item.
    edits change few places of the output.  Independent walks are
    each compared with the item's at ``places`` steps sampled from the first
    1.5 n (later ones of the 3 n may lie beyond the words); a window goes
-   on if one of them agrees in all.  The number of walks follows from n and e
-   by ``MEASURED``, the walks that kept 99 % on random words with all e edits
-   substitutions, insertions or deletions.  Items for which it promises no
-   ``recall`` (longer ones, other settings) are not walked: their windows go on
-   if n - e words or more in and around them are the item's, which loses no
-   match.
+   on if one of them agrees in all.  The number of walks follows from n, e and
+   ``recall``: the shares of walks that agree are measured on random words with
+   all e edits substitutions, insertions or deletions (``needed_repeats``).
+   An item of more than ``share_words`` words is cut into shares of about equal
+   length, which are seeded and walked in its stead: of a match with e edits at
+   least one share has no more than a share of its length may have, so the item
+   is found by it with the same recall, at any length.
 3. Verification.  The edit distance of the item to the best stretch in and
    around the windows is computed exactly (bit-parallel dynamic program), once
    for windows that overlap.
@@ -29,13 +30,17 @@ Nothing is shuffled.
 
 Edge cases: null and empty texts contain nothing; items without a word are
 never found; a null item_id is reported as null; repeated rows are reported
-each; no benchmark means no result.
+each; of equally distant stretches the first is reported; very long texts are
+read whole, their windows some at a time; no documents or no benchmark means no
+result; further columns, whatever their names, are not read by the search and
+come back from the stage.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
+from collections.abc import Iterator
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -44,34 +49,95 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketlens.llm.common import NEAR_SIMILARITY, pieces, scramble, word_hashes
+from marketlens.sources.sinks import materialize
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _BITS = 20
 
 
-#: Most words of an item and walks of two places that kept 99 % or more of 300
-#: matches of each kind of edit (20 % of the words) at every fifth length.
-MEASURED = ((10, 24), (50, 48))
-MEASURED_FOR = NEAR_SIMILARITY, 2, 0.99
-
-
 @dataclass(frozen=True)
 class Settings:
-    """``recall`` is the least share of matches that the walks must keep."""
+    """``recall`` is the least share of matches that the walks must keep;
+    ``share_words`` the most words that are walked as one."""
 
     similarity: float = NEAR_SIMILARITY
     recall: float = 0.99
     places: int = 2
+    share_words: int = 24
     block_items: int = 20_000
     seed: int = 5
 
 
+#: Matches of each kind of edit, and walks of each, that a number of walks is
+#: measured on; lengths are measured in steps of ``LADDER`` words.
+TRIALS, TRIAL_WALKS, LADDER, MOST_WALKS = 200, 128, 10, 4096
+
+
+def edits_of(similarity: float, n) -> np.ndarray:
+    return ((1 - similarity) * np.asarray(n) + 1e-9).astype(np.int64)
+
+
+def _edited(rng: np.random.Generator, words: np.ndarray, edits: int, kind: int) -> np.ndarray:
+    """The words with ``edits`` substitutions (0), insertions (1) or deletions (2)."""
+    fresh = rng.integers(1, 1 << 63, edits, dtype=np.uint64)
+    if kind == 0:
+        out = words.copy()
+        out[rng.choice(len(words), edits, replace=False)] = fresh
+        return out
+    if kind == 1:
+        return np.insert(words, rng.integers(0, len(words) + 1, edits), fresh)
+    return np.delete(words, rng.choice(len(words), edits, replace=False))
+
+
+@lru_cache(maxsize=256)
+def _measured(similarity: float, recall: float, places: int, n: int) -> int:
+    edits = int(edits_of(similarity, n))
+    if not edits:
+        return 1
+    rng = np.random.default_rng(n)
+    needed, aim = 1, (1 + recall) / 2  # half of the loss is left for what a sample does not show
+    length = 3 * n // 2
+    for kind in range(3):
+        steps = np.sort((rng.random((TRIAL_WALKS, places)) * length).astype(np.int64), axis=1)
+        salts = rng.integers(1, 1 << 63, TRIAL_WALKS, dtype=np.uint64)
+        agree = np.empty(TRIALS)
+        for t in range(TRIALS):
+            words = rng.integers(1, 1 << 63, n, dtype=np.uint64)
+            # as in a document: other words follow
+            other = np.append(_edited(rng, words, edits, kind), rng.integers(1, 1 << 63, edits, dtype=np.uint64))[:n]
+            agree[t] = (_embed(words, steps, salts) == _embed(other, steps, salts)).all(axis=1).mean()
+        agree = np.maximum(agree, 0.5 / TRIAL_WALKS)  # a walk may agree though none of these did
+        walks = 1
+        while walks < MOST_WALKS and (1 - (1 - agree) ** walks).mean() < aim:
+            walks = -(-walks * 5 // 4)
+        needed = max(needed, walks)
+    return needed
+
+
+def _embed(words: np.ndarray, steps: np.ndarray, salts: np.ndarray) -> np.ndarray:
+    """Walks x places: the embedded words at the steps; 0 beyond the words."""
+    at, out = np.zeros(len(salts), np.int64), np.zeros(steps.shape, np.uint64)
+    padded = np.append(words, np.uint64(0))
+    for turn in range(int(steps.max()) + 1):
+        now = padded[np.minimum(at, len(words))]
+        hit = steps == turn
+        if hit.any():
+            out[hit] = np.broadcast_to(now[:, None], steps.shape)[hit]
+        at += _moves(now, salts, turn)
+    return out
+
+
+def _moves(words: np.ndarray, salts: np.ndarray, turn: int) -> np.ndarray:
+    """Whether each walk moves on from its word at a step: 0 or 1."""
+    salted = (words ^ (salts + np.array([turn], np.uint64) * _STEP)) * _STEP
+    return ((salted ^ (salted << np.uint64(23))) >> np.uint64(63)).astype(np.int64)
+
+
 def needed_repeats(s: Settings, n: int) -> int:
-    """Walks for items of n words; 0 where none are known to hold the recall."""
-    similarity, places, recall = MEASURED_FOR
-    if s.similarity < similarity or s.places != places or s.recall > recall:
-        return 0
-    return next((walks for most, walks in MEASURED if n <= most), 0)
+    """Walks that keep ``recall`` of the matches of n words with the most
+    edits that ``similarity`` allows; measured at the next length of the
+    ladder, which needs as many or more."""
+    return _measured(s.similarity, s.recall, s.places, n if n < LADDER else -(-n // LADDER) * LADDER)
 
 
 def words_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -121,13 +187,20 @@ class Items:
         self.ids = [i for i, _ in kept]
         self.words = [w for _, w in kept]
         self.size = np.array([len(w) for w in self.words], dtype=np.int64)
-        self.edits = ((1 - s.similarity) * self.size + 1e-9).astype(np.int64)
-        #: walks of each item; none where they cannot hold the recall
-        self.walks = np.array([needed_repeats(s, int(n)) for n in self.size], dtype=np.int64)
-        gram = np.maximum(1, (self.size - self.edits) // (self.edits + 1))
+        self.edits = edits_of(s.similarity, self.size)
+        #: what is seeded and walked: items, or the shares of long ones
+        shares = [(i, int(a), int(b)) for i, n in enumerate(self.size.tolist())
+                  for m in (-(-n // s.share_words),) for a, b in ((k * n // m, (k + 1) * n // m) for k in range(m))]
+        self.owner = np.array([i for i, _, _ in shares], dtype=np.int64)
+        self.offset = np.array([a for _, a, _ in shares], dtype=np.int64)
+        self.parts = [self.words[i][a:b] for i, a, b in shares]
+        self.length = np.array([b - a for _, a, b in shares], dtype=np.int64)
+        part_edits = edits_of(s.similarity, self.length)
+        self.walks = np.array([needed_repeats(s, n) for n in self.length.tolist()], dtype=np.int64)
+        gram = np.maximum(1, (self.length - part_edits) // (part_edits + 1))
         self.seeds = {}
         for k in np.unique(gram) if len(kept) else []:
-            at = [(_grams(self.words[i], int(k)), i) for i in np.flatnonzero(gram == k)]
+            at = [(_grams(self.parts[i], int(k)), i) for i in np.flatnonzero(gram == k)]
             found = np.concatenate([g for g, _ in at])
             item = np.concatenate([np.full(len(g), i) for g, i in at])
             place = np.concatenate([np.arange(len(g)) for g, _ in at])
@@ -135,18 +208,17 @@ class Items:
             filled = np.zeros(1 << _BITS, dtype=bool)
             filled[found >> np.uint64(64 - _BITS)] = True
             self.seeds[int(k)] = found[order], item[order], place[order], filled
-        rng, most = np.random.default_rng(s.seed), MEASURED[-1][1]
-        # sampled steps as shares of the walk, so that they suit items of any length
+        rng, most = np.random.default_rng(s.seed), int(self.walks.max(initial=1))
+        # sampled steps as shares of the walk, so that they suit parts of any length
         self.steps = np.sort(rng.random((most, s.places)), axis=1)
         self.salts = rng.integers(1, 1 << 63, most, dtype=np.uint64)
         if len(kept):
-            flat = np.concatenate(self.words)
-            begin = np.concatenate([[0], np.cumsum(self.size)])[:-1]
-            self.marks = np.zeros((len(kept), most, s.places), np.uint64)
-            walked = np.flatnonzero(self.walks)
-            for at in range(0, len(walked), 2_000):
-                part = walked[at:at + 2_000]
-                self.marks[part] = self._walk(flat, begin[part], begin[part], begin[part] + self.size[part], part)
+            flat = np.concatenate(self.parts)
+            begin = np.concatenate([[0], np.cumsum(self.length)])[:-1]
+            self.marks = np.zeros((len(self.parts), most, s.places), np.uint64)
+            for at in range(0, len(self.parts), 500):
+                part = np.arange(at, min(at + 500, len(self.parts)))
+                self.marks[part] = self._walk(flat, begin[part], begin[part], begin[part] + self.length[part], part)
 
     def _walk(self, words, start, low, high, item, marks=None):
         """All walks of the given windows: rows x most repeats x places with
@@ -157,12 +229,12 @@ class Items:
         repeats = np.full(n, len(self.salts)) if marks is None else self.walks[item]
         row = np.repeat(np.arange(n), repeats)
         repeat = np.arange(len(row)) - np.repeat(np.cumsum(repeats) - repeats, repeats)
-        length = 3 * self.size[item][row] // 2  # beyond, walks may be at the end of the window
+        length = 3 * self.length[item][row] // 2  # beyond, walks may be at the end of the window
         steps = (self.steps[repeat] * length[:, None]).astype(np.int64)
         out = np.zeros(steps.shape, np.uint64)
         live, at, turn = np.arange(len(row)), np.zeros(len(row), dtype=np.int64), 0
         wanted = None if marks is None else marks[item[row], repeat]
-        begin, end, size = start[row], high[row], self.size[item][row]
+        begin, end, size = start[row], high[row], self.length[item][row]
         low, salt = low[row], self.salts[repeat]
         while len(live):
             place = begin[live] + at
@@ -177,15 +249,14 @@ class Items:
                 out[live[hit], p] = now[hit]
                 if marks is not None:
                     going[hit] &= wanted[live[hit], p] == now[hit]
-            salted = (now ^ (salt[live] + np.array([turn], np.uint64) * _STEP)) * _STEP
-            at += ((salted ^ (salted << np.uint64(23))) >> np.uint64(63)).astype(np.int64)
+            at += _moves(now, salt[live], turn)
             live, at, turn = live[going], at[going], turn + 1
         if marks is None:
             return out.reshape(n, len(self.salts), -1)
         return np.bincount(row[(out == wanted).all(axis=1)], minlength=n) > 0
 
     def windows(self, words: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Text, item and start (may be outside of the text) of seeded windows."""
+        """Text, part and start (may be outside of the text) of seeded windows."""
         out = []
         for k, (found, item, place, filled) in self.seeds.items():
             grams = _grams(words, k)
@@ -206,19 +277,11 @@ class Items:
         """Which windows go on to be verified."""
         low, high = first[text], first[text + 1]
         out = np.zeros(len(text), dtype=bool)
-        walked = np.flatnonzero(self.walks[item])
-        for at in range(0, len(walked), 20_000):
-            part = walked[at:at + 20_000]
-            out[part] = self._walk(words, start[part], low[part], high[part], item[part], self.marks)
-        rest = np.flatnonzero(self.walks[item] == 0)
-        # windows come sorted by text and item
-        turns = np.flatnonzero((np.diff(text[rest]) != 0) | (np.diff(item[rest]) != 0)) + 1
-        for part in np.split(rest, turns) if len(rest) else []:
-            i, lo, hi = item[part[0]], low[part[0]], high[part[0]]
-            known = np.concatenate([[0], np.cumsum(np.isin(words[lo:hi], self.words[i]))])
-            begin = np.clip(start[part] - self.edits[i] - lo, 0, hi - lo)
-            end = np.clip(start[part] + self.size[i] + self.edits[i] - lo, 0, hi - lo)
-            out[part] = known[end] - known[begin] >= self.size[i] - self.edits[i]
+        # windows of about as many walks at a time
+        turns = np.searchsorted(np.cumsum(self.walks[item]), np.arange(500_000, int(self.walks[item].sum()), 500_000))
+        for part in np.split(np.arange(len(text)), turns):
+            if len(part):
+                out[part] = self._walk(words, start[part], low[part], high[part], item[part], self.marks)
         return out
 
     def matches(self, texts: pa.Array) -> list[list[dict]]:
@@ -226,10 +289,14 @@ class Items:
         distance, and where its best stretch ends (in words)."""
         words, first = words_of(texts)
         result: list[dict[int, tuple[int, int]]] = [{} for _ in range(len(texts))]
-        text, item, start = self.windows(words, first)
-        near = self.near(words, first, text, item, start)
+        text, part, start = self.windows(words, first)
+        near = self.near(words, first, text, part, start)
+        # a share's window tells where its item would begin
+        text, item, start = text[near], self.owner[part[near]], start[near] - self.offset[part[near]]
+        order = np.lexsort((start, item, text))
+        text, item, start = text[order], item[order], start[order]
         stretches: list[list[int]] = []  # text, item, begin, end of windows that overlap
-        for t, i, a, lo, hi in zip(*(x[near].tolist() for x in (text, item, start, first[text], first[text + 1]))):
+        for t, i, a, lo, hi in zip(*(x.tolist() for x in (text, item, start, first[text], first[text + 1]))):
             e, n = int(self.edits[i]), int(self.size[i])
             begin, end = max(lo, a - e), min(hi, a + n + e)
             if stretches and stretches[-1][:2] == [t, i] and begin <= stretches[-1][3]:
@@ -260,35 +327,43 @@ def find_items(text: Column, items: Items) -> Column:
     return run(text)
 
 
-def item_blocks(benchmark: DataFrame, s: Settings = Settings()) -> list[Items]:
-    """The benchmark (item_id, text) in blocks of about ``block_items`` items."""
+def item_blocks(benchmark: DataFrame, s: Settings = Settings()) -> Iterator[Items]:
+    """The benchmark (item_id, text) in blocks of about ``block_items`` items;
+    the driver holds one at a time."""
     rows = benchmark.select("item_id", "text").where(F.col("text").isNotNull())
     blocks = max(1, -(-rows.count() // s.block_items))
-    out = []
     for b in range(blocks):
         part = rows.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b).collect()
         part.sort(key=lambda r: (r["item_id"] is None, r["item_id"] or 0, r["text"]))
-        out.append(Items([r["item_id"] for r in part], [r["text"] for r in part], s))
-    return [b for b in out if b.ids]
+        items = Items([r["item_id"] for r in part], [r["text"] for r in part], s)
+        if items.ids:
+            yield items
+
+
+_FOUND_IN = "doc_id long, item_id long, distance int, item_words int, end_word long"
 
 
 def contaminations(docs: DataFrame, benchmark: DataFrame, s: Settings = Settings()) -> DataFrame:
     """doc_id, item_id, distance, item_words, end_word: one row for each
-    document and item that it contains."""
+    document and item that it contains.  A block's rows are stored before the
+    next block is read."""
     parts = []
     for items in item_blocks(benchmark, s):
         known = docs.sparkSession.createDataFrame(
             [(k, i, int(n)) for k, (i, n) in enumerate(zip(items.ids, items.size))], "item int, item_id long, item_words int")
         hits = (docs.select("doc_id", find_items(F.col("text"), items).alias("hits")).where(F.size("hits") > 0)
                 .select("doc_id", F.inline("hits")))
-        parts.append(hits.join(F.broadcast(known), "item").select("doc_id", "item_id", "distance", "item_words", "end_word"))
-    if not parts:
-        return docs.sparkSession.createDataFrame([], "doc_id long, item_id long, distance int, item_words int, end_word long")
-    return reduce(DataFrame.unionByName, parts)
+        found = hits.join(F.broadcast(known), "item").select("doc_id", "item_id", "distance", "item_words", "end_word")
+        parts.append(materialize(found))
+    return reduce(DataFrame.unionByName, parts) if parts else docs.sparkSession.createDataFrame([], _FOUND_IN)
 
 
 def clean_stage(docs: DataFrame, benchmark: DataFrame, s: Settings = Settings()) -> DataFrame:
-    """The documents that contain no item, all columns as they are."""
-    for items in item_blocks(benchmark, s):
-        docs = docs.where(F.size(find_items(F.col("text"), items)) == 0)
-    return docs
+    """The documents that contain no item, all columns as they are.  With
+    several blocks, what one leaves is stored for the next."""
+    blocks, last = item_blocks(benchmark, s), None
+    for items in blocks:
+        if last is not None:
+            docs = materialize(docs.where(last))
+        last = F.size(find_items(F.col("text"), items)) == 0
+    return docs if last is None else docs.where(last)

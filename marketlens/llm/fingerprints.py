@@ -13,7 +13,9 @@ A fingerprint is ``samples`` 16-bit hashes of the winning pairs in
 hexadecimal; likeness is the share of equal ones.
 
 Edge cases: a null text counts as empty; texts without a word share one
-fixed fingerprint; equal texts have equal fingerprints wherever they are.
+fixed fingerprint; equal texts have equal fingerprints wherever they are; a
+very long text is cut by no limit; further columns, whatever their names, are
+not read.
 """
 
 from __future__ import annotations
@@ -26,11 +28,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketlens.llm.common import pieces, scramble, word_hashes
+from marketlens.llm.common import numbered, pieces, scramble, word_hashes
+from marketlens.sources.sinks import materialize
 
 SAMPLES = 128
-#: Rows of a bucket of consecutive documents.
-BUCKET_ROWS = 4096
+#: Rows of a range of consecutive documents, unless the session's number of
+#: shuffle partitions asks for larger ones.
+RANGE_ROWS = 4096
 
 _LEVELS = 16
 _LOW = np.uint64(0xFFFFFFFF)
@@ -139,16 +143,15 @@ def _compare(ids: list, texts: list[str], samples: int) -> pa.RecordBatch:
 
 
 def _follow(batches: Iterator[pa.RecordBatch], samples: int) -> Iterator[pa.RecordBatch]:
-    """Pairs each row with the next of its bucket.  Rows come sorted; the
-    bucket's last row is there only to be followed up to."""
-    bucket, ids, texts, held = None, [], [], 0
+    """Pairs each row with the next of its range.  Rows come sorted; a range's
+    last row is there only to be followed up to."""
+    at, ids, texts, held = None, [], [], 0
     for batch in batches:
-        for b, i, t in zip(*(batch.column(n).to_pylist() for n in ("bucket", "doc_id", "text"))):
-            if bucket is not None and b != bucket:
+        for r, i, t in zip(*(batch.column(n).to_pylist() for n in ("range", "doc_id", "text"))):
+            if r != at:
                 if len(ids) > 1:
                     yield _compare(ids, texts, samples)
-                ids, texts, held = [], [], 0
-            bucket = b
+                at, ids, texts, held = r, [], [], 0
             ids.append(i)
             texts.append(t)
             held += len(t)
@@ -159,42 +162,64 @@ def _follow(batches: Iterator[pa.RecordBatch], samples: int) -> Iterator[pa.Reco
         yield _compare(ids, texts, samples)
 
 
-def compare_with_next(docs: DataFrame, samples: int = SAMPLES, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+_SIGN = np.uint64(1 << 63)
+
+
+def _places(none: np.ndarray, down: np.ndarray, mark: np.ndarray, file: np.ndarray, index: np.ndarray) -> np.ndarray:
+    """Keys of 33 bytes that compare as the columns do, one after the other."""
+    out = np.zeros((len(none), 33), np.uint8)
+    out[:, 0] = none
+    for k, column in enumerate((down, mark, file, index)):
+        out[:, 1 + 8 * k:9 + 8 * k] = (column.astype(np.int64).view(np.uint64) ^ _SIGN).astype(">u8").view(np.uint8).reshape(-1, 8)
+    return out.view("S33").ravel()
+
+
+def _columns(place: pa.StructArray | pa.Table) -> list[np.ndarray]:
+    names = ("none", "down", "mark", "file", "index")
+    get = place.field if isinstance(place, pa.StructArray) else (lambda n: place.column(n).combine_chunks())
+    return [get(n).fill_null(0).to_numpy(zero_copy_only=False) if n != "none" else get(n).to_numpy(zero_copy_only=False) for n in names]
+
+
+def compare_with_next(docs: DataFrame, samples: int = SAMPLES, bucket_rows: int = RANGE_ROWS) -> DataFrame:
     """Fingerprints of every text and of its edited text, which ends with the
     beginning of the next document by descending doc_id (the last is followed
     by the first).
 
-    Documents are cut into buckets of consecutive ids, which tasks read in
-    order; of each bucket the first document is also sent to the bucket
-    before, so no task sees more than its share.  The driver learns one id
-    per bucket.  Null ids come last; equal ids are ordered by text; a single
-    document follows itself; an empty table gives an empty result.
+    Rows are ordered by doc_id, then by a hash of their text and their place
+    in the table, so that a hot id is cut like any other.  Spark's range
+    partitioning of these narrow keys finds the first key of each range; with
+    them (one a range; ranges grow with the rows, to the session's number of
+    shuffle partitions or more) every row finds its range, and goes there once.
+    The first row of a range also goes to the range before, for the last row
+    there to be followed by.  Null ids come last; a single document follows
+    itself; an empty table gives an empty result.
     """
-    docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    rows = docs.count()
-    wanted = max(1, -(-rows // bucket_rows))
-    cuts = sorted(set(docs.where(F.col("doc_id").isNotNull())
-                      .approxQuantile("doc_id", [i / wanted for i in range(1, wanted)], 0.2 / wanted))) if wanted > 1 else []
-    low = F.array(*[F.lit(int(c)) for c in cuts]) if cuts else F.array().cast("array<bigint>")
-    # bucket 0 has the largest ids; null ids are in the last one
-    bucket = F.when(F.col("doc_id").isNull(), len(cuts)).otherwise(
-        len(cuts) - F.size(F.filter(low, lambda c: c < F.col("doc_id"))))
-    order = [F.col("doc_id").desc_nulls_last(), F.xxhash64("text"), F.col("text")]
-    keyed = docs.withColumn("bucket", bucket.cast("int"))
-    firsts = (keyed.select("bucket", F.struct(F.col("doc_id").isNull().alias("none"), (-F.col("doc_id")).alias("down"),
-                                              F.xxhash64("text").alias("h")).alias("at"))
-              .groupBy("bucket").agg(F.min("at").alias("at")).orderBy("bucket").collect())
-    if not firsts:
-        return docs.sparkSession.createDataFrame([], _RESULT)
-    names = [r["bucket"] for r in firsts]
-    tails = docs.sparkSession.createDataFrame(
-        [(r["bucket"], None if r["at"]["none"] else -r["at"]["down"], r["at"]["h"], names[k - 1])
-         for k, r in enumerate(firsts)], "bucket int, tail_id long, h long, before int")
-    tail = (keyed.join(F.broadcast(tails), ["bucket"])
-            .where(F.col("doc_id").eqNullSafe(F.col("tail_id")) & (F.xxhash64("text") == F.col("h")))
-            .groupBy("bucket", "before", "doc_id").agg(F.min("text").alias("text"))
-            .select(F.col("before").alias("bucket"), "doc_id", "text", F.lit(1).alias("last")))
-    both = keyed.select("bucket", "doc_id", "text", F.lit(0).alias("last")).unionByName(tail)
-    return (both.repartition(wanted, "bucket").sortWithinPartitions("bucket", "last", *order)
-            .select("bucket", "doc_id", "text")
-            .mapInArrow(lambda batches: _follow(batches, samples), _RESULT))
+    spark = docs.sparkSession
+    rows = numbered(docs.select("doc_id", "text")).select("doc.doc_id", F.coalesce("doc.text", F.lit("")).alias("text"), "row")
+    place = F.struct(F.col("doc_id").isNull().alias("none"), F.bitwise_not("doc_id").alias("down"), F.xxhash64("text").alias("mark"),
+                     F.col("row.file").alias("file"), F.col("row.index").alias("index"))
+    keys = materialize(rows.select(place.alias("place")).select("place.*"))
+    wanted = max(1, min(-(-keys.count() // bucket_rows), int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    order = ["none", "down", "mark", "file", "index"]
+    # one row a range
+    firsts = (keys.repartitionByRange(wanted, *order).groupBy(F.spark_partition_id().alias("p"))
+              .agg(F.min(F.struct(*order)).alias("first")).select("first.*").toArrow())
+    if not firsts.num_rows:
+        return spark.createDataFrame([], _RESULT)
+    begins = np.sort(_places(*_columns(firsts)))
+    ranges = len(begins)
+
+    @F.arrow_udf("array<int>")
+    def goes_to(places: pa.Array) -> pa.Array:
+        """The range of each row, and for the first of a range that before."""
+        key = _places(*_columns(places))
+        at = np.searchsorted(begins, key, side="right") - 1
+        first = begins[at] == key
+        both = np.stack([at, (at - 1) % ranges], axis=1)
+        return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(1 + first)]), pa.int32()),
+                                        pa.array(both[np.stack([np.ones(len(at), bool), first], axis=1)], pa.int32()))
+
+    dealt = rows.withColumn("place", place).withColumn("to", goes_to("place")).select(
+        "doc_id", "text", "place", F.posexplode("to").alias("last", "range"))
+    return (dealt.repartitionById(ranges, "range").sortWithinPartitions("range", "last", *[f"place.{c}" for c in order])
+            .select("range", "doc_id", "text").mapInArrow(lambda batches: _follow(batches, samples), _RESULT))

@@ -12,12 +12,16 @@ per language (targets +1 and -1) is fitted; prediction is one batched matrix
 product against the landmarks and one against the folded weights.
 
 Learning uses a bounded sample, ``per_class`` labelled rows of each language
-(the smallest hashes of the key); prediction covers every whole text.
+(the smallest hashes of the key, then of the text; up to ``max_classes``
+languages); prediction covers every whole text.
 
 Edge cases: a null text, an empty text and a text without a letter get the
 language ``und`` and score 0; rows with a null language teach nothing;
 without any labelled row every text gets ``und``; repeated rows are predicted
-alike; other columns are ignored.
+alike; the languages' values tie only where texts have no known n-gram, and
+then the first by name is taken; a very long text is one row of presence like
+any other, and its batch is cut to about 1 MB of text; an empty table gives an
+empty result; other columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations
@@ -87,15 +91,46 @@ def _kernel(x: np.ndarray, landmarks: np.ndarray) -> np.ndarray:
     return (x @ landmarks.T) / np.maximum(norms, 1e-9)
 
 
+#: Rows of the learning sample that are unpacked at once.
+CHUNK_ROWS = 512
+
+
+def ridge(bits: np.ndarray, label: np.ndarray, classes: int, landmarks: np.ndarray, settings: Settings) -> np.ndarray:
+    """Weights (landmarks x classes) of the ridge regressions on the Nystroem
+    features of packed presence rows.  Rows are unpacked a chunk at a time and
+    leave sums of landmarks x landmarks only."""
+    values, vectors = np.linalg.eigh(_kernel(landmarks, landmarks).astype(np.float64))
+    keep = values > 1e-6 * values.max()
+    root = vectors[:, keep] / np.sqrt(values[keep])
+    balance = 1.0 / np.bincount(label, minlength=classes)
+    gram, target = np.zeros((keep.sum(), keep.sum())), np.zeros((keep.sum(), classes))
+    for at in range(0, len(bits), CHUNK_ROWS):
+        own = label[at:at + CHUNK_ROWS]
+        features = _kernel(np.unpackbits(bits[at:at + CHUNK_ROWS], axis=1).astype(np.float32), landmarks) @ root
+        y = np.where(own[:, None] == np.arange(classes)[None, :], 1.0, -1.0)
+        weighted = features.T * balance[own]
+        gram += weighted @ features
+        target += weighted @ y
+    return root @ np.linalg.solve(gram + settings.ridge * np.eye(len(gram)), target)
+
+
 def train(labelled: DataFrame, settings: Settings = Settings()) -> Model | None:
     """Fit on ``labelled`` (key, text, lang).  Only the sampled rows' bit
-    vectors (``per_class`` x ``max_classes`` at most) reach the driver."""
+    vectors (``per_class`` x ``max_classes`` at most, packed) reach the
+    driver.  More than ``max_classes`` languages are an error: none is dropped."""
     rows = labelled.where(F.col("lang").isNotNull() & has_letter(F.col("text")))
-    order = F.xxhash64("key"), F.col("key")
-    picked = (rows.select("key", "lang")
+    # a repeated key is told apart by its text, so that every run picks the same rows
+    mark = F.xxhash64("text").alias("mark")
+    rows = rows.select("key", "lang", "text", mark)
+    order = F.xxhash64("key"), F.col("key"), F.col("mark")
+    picked = (rows.select("key", "lang", "mark")
               .withColumn("_rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)))
-              .where(F.col("_rank") <= settings.per_class).drop("_rank")
-              .limit(settings.per_class * settings.max_classes).dropDuplicates())
+              .where(F.col("_rank") <= settings.per_class).drop("_rank").distinct())
+    languages = tuple(sorted(r["lang"] for r in picked.select("lang").distinct().limit(settings.max_classes + 1).collect()))
+    if len(languages) > settings.max_classes:
+        raise ValueError(f"language identification: more than {settings.max_classes} languages; raise max_classes")
+    if not languages:
+        return None
 
     @F.arrow_udf("binary")
     def bits(texts: pa.Array) -> pa.Array:
@@ -106,30 +141,20 @@ def train(labelled: DataFrame, settings: Settings = Settings()) -> Model | None:
                 out += [r.tobytes() for r in np.packbits(x, axis=1)]
         return pa.array(out, pa.binary())
 
-    # keys of the sample: at most per_class x max_classes, so they can be broadcast
-    sample = (rows.select("key", "lang", "text").join(F.broadcast(picked), ["key", "lang"], "left_semi")
-              .select("key", "lang", bits("text").alias("bits"))
-              .limit(settings.per_class * settings.max_classes).collect())
-    if not sample:
-        return None
+    # keys of the sample: at most per_class x max_classes, so they can be broadcast;
+    # of rows that are equal in all three one is learned from
+    sample = (rows.join(F.broadcast(picked), ["key", "lang", "mark"], "left_semi").dropDuplicates(["key", "lang", "mark"])
+              .select("key", "lang", "mark", bits("text").alias("bits")).collect())
     sample.sort(key=lambda r: (r["lang"], str(r["key"]), bytes(r["bits"])))
-    languages = tuple(sorted({r["lang"] for r in sample}))
-    x = np.unpackbits(np.frombuffer(b"".join(bytes(r["bits"]) for r in sample), np.uint8).reshape(len(sample), -1), axis=1)
-    x = x.astype(np.float32)
-    y = np.array([[1.0 if r["lang"] == lang else -1.0 for lang in languages] for r in sample])
+    packed = np.frombuffer(b"".join(bytes(r["bits"]) for r in sample), np.uint8).reshape(len(sample), -1)
+    label = np.searchsorted(np.array(languages), np.array([r["lang"] for r in sample]))
     rng = np.random.default_rng(7)
-    by_class = [rng.permutation(np.flatnonzero(y[:, c] > 0)) for c in range(len(languages))]
+    by_class = [rng.permutation(np.flatnonzero(label == c)) for c in range(len(languages))]
     share = max(1, settings.landmarks // len(languages))
     chosen = np.sort(np.concatenate([rows[:share] for rows in by_class]))
-    landmarks = x[chosen]
-    values, vectors = np.linalg.eigh(_kernel(landmarks, landmarks).astype(np.float64))
-    keep = values > 1e-6 * values.max()
-    root = vectors[:, keep] / np.sqrt(values[keep])
-    features = _kernel(x, landmarks) @ root
-    balance = (1.0 / np.array([(y[:, c] > 0).sum() for c in range(len(languages))]))[y.argmax(1)]
-    weighted = features.T * balance
-    fitted = np.linalg.solve(weighted @ features + settings.ridge * np.eye(features.shape[1]), weighted @ y)
-    return Model(settings, languages, landmarks.astype(bool), (root @ fitted).astype(np.float32))
+    landmarks = np.unpackbits(packed[chosen], axis=1).astype(np.float32)
+    weights = ridge(packed, label, len(languages), landmarks, settings)
+    return Model(settings, languages, landmarks.astype(bool), weights.astype(np.float32))
 
 
 def has_letter(text: Column) -> Column:
@@ -184,7 +209,9 @@ def identify_documents(docs: DataFrame, settings: Settings = Settings()) -> Data
 
 def keep_identified(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """The documents with a language, all columns as they are; documents that
-    get ``und`` go."""
+    get ``und`` go.  Where nothing is labelled there is nothing to reject by
+    but letters: documents that have one stay."""
     model = fit_documents(docs, settings)
-    guess = predict(F.col("text"), model)
-    return docs.where(guess["lang_pred"] != UNDETERMINED) if model else docs.limit(0)
+    if model is None:
+        return docs.where(has_letter(F.col("text")))
+    return docs.where(predict(F.col("text"), model)["lang_pred"] != UNDETERMINED)

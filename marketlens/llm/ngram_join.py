@@ -11,8 +11,9 @@ different texts of similarity ``similarity`` or more.
    Connected components of these stars bring all candidates of a node
    together.
 4. A component is cut into blocks of about ``block`` nodes.  Every two blocks
-   meet in a task, which forms the candidate pairs (a band in common) and
-   computes their similarity on full shingle sets.  It returns each node's
+   meet in a task, which computes the similarity of their pairs on full
+   shingle sets; every pair that reaches the threshold is a link, whether its
+   own bands agree or others brought it there.  The task returns each node's
    number of links and a spanning forest of them, so its output grows with
    the nodes and not with the pairs.
 5. Components of the forests are the classes.
@@ -22,7 +23,9 @@ Nothing is capped: large buckets are only cut into blocks.
 Edge cases: null and empty texts and texts of white space have no shingles
 and link to nothing, but equal ones share a class (nulls do not); texts of
 one to four words have one shingle of all; words are lower-cased; repeated
-rows are copies; an empty table gives an empty result.
+rows are copies, ties among ids go to any of them alike; an empty table gives
+an empty result; very long texts are sets of more shingles; further columns,
+whatever their names, are not read by the join and come back from the stage.
 """
 
 from __future__ import annotations
@@ -162,9 +165,9 @@ def _common(one: list[np.ndarray], other: list[np.ndarray]) -> np.ndarray:
     return total
 
 
-def links_between(sets: list[np.ndarray], bands: np.ndarray, blocks: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
-    """Index pairs of candidates (a band hash in common) whose sets are
-    similar.  With two blocks only pairs across them are formed."""
+def links_between(sets: list[np.ndarray], blocks: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """Index pairs whose sets are similar.  With two blocks only pairs across
+    them are formed."""
     here, there = (np.flatnonzero(blocks == b) for b in (blocks.min(), blocks.max()))
     common = _common([sets[i] for i in here], [sets[i] for i in there])
     size = np.array([len(x) for x in sets])
@@ -173,12 +176,7 @@ def links_between(sets: list[np.ndarray], bands: np.ndarray, blocks: np.ndarray,
     if blocks.min() == blocks.max():
         alike &= here[:, None] < there[None, :]
     a, b = np.nonzero(alike)
-    a, b = here[a], there[b]
-    candidate = np.zeros(len(a), dtype=bool)
-    for at in range(0, len(a), 100_000):
-        part = slice(at, at + 100_000)
-        candidate[part] = (bands[a[part]] == bands[b[part]]).any(axis=1)
-    return a[candidate], b[candidate]
+    return here[a], there[b]
 
 
 def _verify(rows: pd.DataFrame, similarity: float) -> pd.DataFrame:
@@ -190,8 +188,7 @@ def _verify(rows: pd.DataFrame, similarity: float) -> pd.DataFrame:
             continue
         nodes = task["node"].tolist()
         sets = [np.frombuffer(x, np.uint64) for x in task["shingles"]]
-        bands = np.stack([np.asarray(x, np.int64) for x in task["bands"]])
-        a, b = links_between(sets, bands, task["block"].to_numpy(), similarity)
+        a, b = links_between(sets, task["block"].to_numpy(), similarity)
         if not len(a):
             continue
         for x, y in _forest(len(nodes), a, b):
@@ -223,14 +220,14 @@ def similar_texts(docs: DataFrame, s: Settings = Settings()) -> tuple[DataFrame,
 
     width = groups.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / s.block).cast("int").alias("width"))
     members = groups.join(width, "root")
-    ids = members.join(signed, "key").select("key", "root", "width", "doc_id", "bands")
+    ids = members.join(nodes, "key").select("key", "root", "width", "doc_id")
     sets = (keyed.join(ids.hint("shuffle_hash"), (keyed["key"] == ids["key"]) & keyed["doc_id"].eqNullSafe(ids["doc_id"]))
-            .select(ids["key"].alias("node"), "root", "width", "bands", shingle_set(keyed["text"]).alias("shingles"))
+            .select(ids["key"].alias("node"), "root", "width", shingle_set(keyed["text"]).alias("shingles"))
             .dropDuplicates(["node"]))
     sets = materialize(sets.withColumn("block", F.pmod(F.xxhash64("node"), F.col("width")).cast("int")))
     mates = F.explode(F.sequence(F.lit(0), F.col("width") - 1))
     tasks = (sets.withColumn("mate", mates)
-             .select("node", "root", "bands", "shingles", "block",
+             .select("node", "root", "shingles", "block",
                      F.least("block", "mate").alias("one"), F.greatest("block", "mate").alias("two")))
     # a node takes part in as many tasks as its group has blocks
     packs = max(1, -(-(sets.agg(F.sum("width")).first()[0] or 0) // (2 * s.block)))

@@ -246,3 +246,58 @@ def test_followers_of_few_rows(spark, docs_of, tmp_path):
     assert len(one) == 1 and one[0].near_next == 1.0
     same = [(7, "x y", "en", "s")] * 4 + [(None, None, None, None), (None, "z", None, None)]
     assert compare_with_next(docs_of(same, str(tmp_path / "c")), bucket_rows=2).count() == 6
+
+
+def test_a_hot_id_is_cut(spark, docs_of, tmp_path):
+    rng = random.Random(6)
+    texts = [prose(rng, 6) for _ in range(900)] + ["the same text"] * 600  # one id, and one text, of many rows
+    docs = docs_of([(7, t, "en", "s") for t in texts] + [(k, prose(rng, 5), "en", "s") for k in range(20, 40)], str(tmp_path / "d"))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", 12)
+    try:
+        got = compare_with_next(docs, bucket_rows=50)
+        parts = [n for n in got.rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect()]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert sum(parts) == 1520 and len([n for n in parts if n]) >= 8 and max(parts) < 400
+
+
+def test_query_likeness_equals_weighted_jaccard(spark):
+    """near_edited and near_next against the exact generalised Jaccard
+    similarity of the words."""
+    docs = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    ids = sorted(docs, reverse=True)
+
+    def jaccard(a, b):
+        x, y = Counter(a.split()), Counter(b.split())
+        return sum((x & y).values()) / max(1, sum((x | y).values())) if x or y else 1.0
+
+    got = {r.doc_id: r for r in QUERIES["op1_fingerprints"](spark, SF).collect()}
+    errors = []
+    for i, n in zip(ids, ids[1:] + ids[:1]):
+        third = len(docs[i]) // 3
+        edited_text = docs[i][:len(docs[i]) - third] + docs[n][:third]
+        errors += [got[i].near_edited - jaccard(docs[i], edited_text), got[i].near_next - jaccard(docs[i], docs[n])]
+    assert max(map(abs, errors)) < 0.25 and abs(np.mean(errors)) < 0.01 and np.std(errors) < 0.04
+
+
+@pytest.mark.parametrize("similarity,recall", [(0.8, 0.99), (0.7, 0.95), (0.9, 0.999)])
+def test_every_window_is_walked(similarity, recall):
+    rng = np.random.default_rng(8)
+    sizes = [3, 5, 12, 24, 25, 60, 200]
+    items = [" ".join(f"v{w}" for w in rng.integers(0, 5_000, n)) for n in sizes for _ in range(20)]
+    found = Items(list(range(len(items))), items, LeakSettings(similarity=similarity, recall=recall))
+    assert (found.walks > 0).all() and found.length.max() <= LeakSettings().share_words
+    assert [found.length[found.owner == k].sum() for k in range(len(items))] == found.size.tolist()
+    hits = 0
+    for kind in ("substitution", "insertion", "deletion"):
+        texts = [" ".join(["x"] * 9 + edited(rng, x.split(), int(found.edits[k]), kind) + ["y"] * 9) for k, x in enumerate(items)]
+        hits += sum(k in [m["item"] for m in g] for k, g in enumerate(found.matches(pa.array(texts, pa.large_string()))))
+    assert hits >= (recall - 0.02) * 3 * len(items)
+
+
+def test_verified_links_stay_without_a_common_band():
+    from marketlens.llm.ngram_join import links_between
+    sets = [np.arange(100, dtype=np.uint64), np.arange(10, 100, dtype=np.uint64), np.arange(50, 150, dtype=np.uint64)]
+    a, b = links_between(sets, np.zeros(3, int), 0.8)
+    assert list(zip(a, b)) == [(0, 1)]

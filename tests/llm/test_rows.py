@@ -8,6 +8,7 @@ import io
 import re
 
 import duckdb
+import numpy as np
 import pytest
 
 from marketlens.llm.html_text import extract_pages, main_text
@@ -267,3 +268,39 @@ def test_conversation_query_equals_sql(spark):
     assert "Python" not in plan and "Arrow" not in plan
     chosen, rejected = conversation_pairs(spark.createDataFrame([], "conv_id long, turn long, role string, text string"))
     assert chosen.count() == rejected.count() == 0
+
+
+def test_ridge_equals_plain_kernel_ridge_regression():
+    """The chunked sums against plain kernel ridge regression with the same
+    kernel, all rows as landmarks."""
+    from marketlens.llm import language_id as L
+    rng = np.random.default_rng(5)
+    settings = Settings(buckets=256, ridge=0.3)
+    x = (rng.random((90, 256)) < 0.15).astype(np.uint8)
+    label = np.sort(rng.integers(0, 3, 90))
+    landmarks = x.astype(np.float32)
+    for chunk in (7, 512):
+        L.CHUNK_ROWS, old = chunk, L.CHUNK_ROWS
+        weights = L.ridge(np.packbits(x, axis=1), label, 3, landmarks, settings)
+        L.CHUNK_ROWS = old
+        kernel = np.array([[(a & b).sum() / np.sqrt(a.sum() * b.sum()) for b in x] for a in x])
+        balance = (1 / np.bincount(label))[label]
+        y = np.where(label[:, None] == np.arange(3), 1.0, -1.0)
+        dual = np.linalg.solve(kernel * balance[None, :] + settings.ridge * np.eye(90), y)
+        assert np.allclose(kernel @ weights, kernel @ (balance[:, None] * dual), atol=1e-3)
+
+
+def test_many_languages_and_repeated_ids(spark):
+    from marketlens.llm import language_id as L
+    rows = [(k % 3, f"{chr(0x4E00 + 40 * g + k % 5)}{chr(0x4E00 + 40 * g + k % 7)} {chr(0x4E05 + 40 * g)}", f"l{g:03}") for g in range(120) for k in range(12)]
+    frame = spark.createDataFrame(rows, "key long, text string, lang string")
+    models = [L.train(f, Settings(per_class=6)) for f in (frame, frame.repartition(5, "text"))]
+    assert len(models[0].languages) == 120 and np.array_equal(models[0].weights, models[1].weights)
+    with pytest.raises(ValueError, match="languages"):
+        L.train(frame, Settings(max_classes=119))
+
+
+def test_stage_without_labels_keeps_documents(spark, docs_of, tmp_path):
+    docs = docs_of([(1, "some text", None, "s"), (2, "12 -", None, "s"), (3, None, None, "s"), (4, "x", None, None)], str(tmp_path / "d"))
+    assert sorted(r.doc_id for r in keep_identified(docs).collect()) == [1, 4]
+    assert keep_identified(docs.limit(0)).collect() == []
