@@ -53,6 +53,8 @@ from marketlens.sources.sinks import materialize
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _BITS = 20
+#: Walks that a task takes side by side; bounds their memory.
+_WALKS_AT_ONCE = 100_000
 
 
 @dataclass(frozen=True)
@@ -61,10 +63,10 @@ class Settings:
     ``share_words`` the most words that are walked as one."""
 
     similarity: float = NEAR_SIMILARITY
-    recall: float = 0.99
+    recall: float = 0.999
     places: int = 2
     share_words: int = 24
-    block_items: int = 20_000
+    block_items: int = 5_000
     seed: int = 5
 
 
@@ -278,7 +280,7 @@ class Items:
         low, high = first[text], first[text + 1]
         out = np.zeros(len(text), dtype=bool)
         # windows of about as many walks at a time
-        turns = np.searchsorted(np.cumsum(self.walks[item]), np.arange(500_000, int(self.walks[item].sum()), 500_000))
+        turns = np.searchsorted(np.cumsum(self.walks[item]), np.arange(_WALKS_AT_ONCE, int(self.walks[item].sum()), _WALKS_AT_ONCE))
         for part in np.split(np.arange(len(text)), turns):
             if len(part):
                 out[part] = self._walk(words, start[part], low[part], high[part], item[part], self.marks)

@@ -17,7 +17,10 @@ do not choose (a teaser, a card) decides nothing.
 Edge cases: null and empty pages, pages of boilerplate only and pages cut off
 before their article give an empty text; an unclosed tag at the end of a page
 is dropped; unknown references stay as they are; repeated pages give equal
-texts.
+texts; paths of equal value are marked alike; very long pages, and tags or
+quotes that never close, take time and memory in proportion to the page; an
+empty table gives an empty result; further columns, whatever their names, are
+not read.
 """
 
 from __future__ import annotations
@@ -25,6 +28,7 @@ from __future__ import annotations
 import html
 import re
 from collections import defaultdict
+from functools import reduce
 from math import log1p
 
 import pyarrow as pa
@@ -48,15 +52,20 @@ CLOSED_BY = {"p": BLOCK, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "
              "th": {"td", "th", "tr"}, "option": {"option", "optgroup"}}
 PUNCTUATION = re.compile(r"[.,;:!?…。，！？]")
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*(?:>|\Z)|<\?[^>]*(?:>|\Z)"
-                    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+# A quoted value ends at its quote, unless a tag seems to begin before it and
+# no quote follows soon: so an unclosed quote costs no more than a short look.
+_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*(?:>|\Z)|<\?[^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)"
+                    r"((?:[^>\"']++|\"[^\"<]*+\"|'[^'<]*+'|\"[^\"]{0,2000}+\"|'[^']{0,2000}+')*+)>", re.S)
 _OPEN_END = re.compile(r"<(?:/?[a-zA-Z][^<>]*|/)?\Z")
 _NAME = re.compile(r"(?:^|\s)(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-_SEMANTIC = re.compile(r"/(article|main)(\.[^/]*)?\Z")
-_BOX = re.compile(r"/(div|section|body|td)(\.[^/]*)?\Z")
+_SEMANTIC = re.compile(r"(article|main)(\.|\Z)")
+_BOX = re.compile(r"(div|section|body|td)(\.|\Z)")
 _HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|/|\Z)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
 
 
+_INSIDE_WORDS = BOILERPLATE_WORDS - {"header"}
+
+
 def _is_boilerplate(tag: str, attributes: str, inside_article: bool) -> bool:
     if tag in BOILERPLATE or tag == "header" and not inside_article:
         return True
@@ -65,30 +74,57 @@ def _is_boilerplate(tag: str, attributes: str, inside_article: bool) -> bool:
     if _HIDDEN.search(attributes):
         return True
     words = " ".join(m[2] or m[3] or m[4] or "" for m in _NAME.finditer(attributes))
-    bad = BOILERPLATE_WORDS - ({"header"} if inside_article else set())
+    bad = _INSIDE_WORDS if inside_article else BOILERPLATE_WORDS
     return any(w in bad or not bad.isdisjoint(re.split(r"[-_]", w)) for w in words.lower().split()
                if not w.startswith(("with-", "has-", "no-")))
 
 
-def blocks(page: str) -> list[tuple[str, str, int, bool]]:
+#: Open elements that a start tag may close, counted from the innermost.
+NESTED = 100
+
+
+class Paths:
+    """The tag paths of a page as a tree, so that a path is a number and
+    deeply nested elements store one step each.  Path 0 is the page."""
+
+    def __init__(self) -> None:
+        self.parent, self.step, self.depth = [0], [""], [0]
+        self.known: dict[tuple[int, str], int] = {}
+
+    def below(self, path: int, step: str) -> int:
+        found = self.known.setdefault((path, step), len(self.step))
+        if found == len(self.step):
+            self.parent.append(path)
+            self.step.append(step)
+            self.depth.append(self.depth[path] + 1)
+        return found
+
+    def shared(self, a: int, b: int) -> int:
+        """The deepest path that both lie on or below."""
+        while a != b:
+            if self.depth[a] < self.depth[b]:
+                a, b = b, a
+            a = self.parent[a]
+        return a
+
+
+def blocks(page: str) -> tuple[list[tuple[int, str, int, bool]], Paths]:
     """(path, text, characters inside of links, boilerplate) of each block of
-    text in page order; a path is made of element names and class attributes."""
-    out: list[tuple[str, str, int, bool]] = []
-    stack: list[tuple[str, str, bool]] = []  # element, path down to it, boilerplate
+    text in page order; a path is made of element names and class attributes.
+    Time and memory grow with the page, however its tags nest or stay open."""
+    out: list[tuple[int, str, int, bool]] = []
+    paths = Paths()
+    stack: list[tuple[str, int, bool]] = []  # element, path down to it, boilerplate
+    boxes: list[int] = []  # places in the stack of elements that hold blocks
+    opened: dict[str, int] = defaultdict(int)  # elements in the stack
     parts: list[str] = []
     links, at, raw = 0, 0, None
 
-    def block_path() -> tuple[str, bool]:
-        for tag, path, bad in reversed(stack):
-            if tag in BLOCK:
-                return path, bad
-        return "", False
-
     def flush() -> None:
         nonlocal links
         text = " ".join("".join(parts).split())
         if text:
-            path, bad = block_path()
+            path, bad = stack[boxes[-1]][1:] if boxes else (0, False)
             out.append((path, text, links, bad))
         parts.clear()
         links = 0
@@ -98,9 +134,15 @@ def blocks(page: str) -> list[tuple[str, str, int, bool]]:
         if text and not (stack and stack[-1][2]):
             text = html.unescape(text)
             parts.append(text)
-            if any(tag == "a" for tag, _, _ in stack):
+            if opened["a"]:
                 links += len(text)
 
+    def close_to(size: int) -> None:
+        while len(stack) > size:
+            opened[stack.pop()[0]] -= 1
+        while boxes and boxes[-1] >= size:
+            boxes.pop()
+
     while at < len(page):
         if raw:  # up to the end tag of an element whose content is not markup
             end = re.compile(rf"</{raw}\b[^>]*>", re.I).search(page, at)
@@ -115,11 +157,13 @@ def blocks(page: str) -> list[tuple[str, str, int, bool]]:
         if not tag:
             continue
         if token[1]:
-            if any(t == tag for t, _, _ in stack):
+            if opened[tag]:
                 if tag in BLOCK:
                     flush()
-                while stack.pop()[0] != tag:
-                    pass
+                size = len(stack) - 1
+                while stack[size][0] != tag:
+                    size -= 1
+                close_to(size)
             continue
         if tag in RAW:
             if not token[3].endswith("/"):
@@ -127,26 +171,29 @@ def blocks(page: str) -> list[tuple[str, str, int, bool]]:
             continue
         if tag in BLOCK:
             flush()
-            for k in range(len(stack) - 1, -1, -1):
+            for k in boxes[:-NESTED:-1]:
                 if tag in CLOSED_BY.get(stack[k][0], ()):
-                    del stack[k:]
+                    close_to(k)
                     break
-                if stack[k][0] in BLOCK and stack[k][0] not in CLOSED_BY:
+                if stack[k][0] not in CLOSED_BY:
                     break
         if tag == "br":
             parts.append(" ")
         if tag in VOID or token[3].endswith("/"):
             continue
-        inside = any(t in ("article", "main") for t, _, _ in stack)
+        inside = bool(opened["article"] or opened["main"])
         bad = bool(stack and stack[-1][2]) or _is_boilerplate(tag, token[3], inside)
         names = [m[2] or m[3] or m[4] or "" for m in _NAME.finditer(token[3]) if m[1].lower() == "class"]
         step = tag + "".join("." + n for n in " ".join(names).split()[:3])
-        stack.append((tag, f"{stack[-1][1]}/{step}" if stack else f"/{step}", bad))
+        if tag in BLOCK:
+            boxes.append(len(stack))
+        opened[tag] += 1
+        stack.append((tag, paths.below(stack[-1][1] if stack else 0, step), bad))
     flush()
-    return out
+    return out, paths
 
 
-def path_values(found: list[tuple[str, str, int, bool]]) -> dict[str, float]:
+def path_values(found: list[tuple[int, str, int, bool]]) -> dict[int, float]:
     """Fused, smoothed ratio of every path, in order of first appearance."""
     nodes, length, marks, linked = (defaultdict(int) for _ in range(4))
     for path, text, links, _ in found:
@@ -167,26 +214,36 @@ def path_values(found: list[tuple[str, str, int, bool]]) -> dict[str, float]:
 
 def main_text(page: str, least_share: float = 0.05) -> str:
     """The main text of one page, blocks joined by line ends."""
-    found = [b for b in blocks(page) if not b[3]]
+    found, paths = blocks(page)
+    found = [b for b in found if not b[3]]
     if not found:
         return ""
     values = path_values(found)
     total = sum(values.values())
-    marked = [path.split("/") for path, value in values.items() if value >= least_share * total]
-    shared = next((k for k, steps in enumerate(zip(*marked)) if len(set(steps)) > 1), min(map(len, marked), default=0))
-    root = "/".join(marked[0][:shared]) if marked else ""
+    marked = [path for path, value in values.items() if value >= least_share * total]
+    root = reduce(paths.shared, marked) if marked else 0
     # the leaf element of a single path is a paragraph, not the container; of
     # several, where it holds text itself, a container only if it is a box
-    if root in values and "/" in root[1:] and (len(marked) == 1 or not _BOX.search(root)):
-        root = root.rsplit("/", 1)[0]
+    if root in values and paths.depth[root] > 1 and (len(marked) == 1 or not _BOX.match(paths.step[root])):
+        root = paths.parent[root]
     # what the values chose inside of an article or main element is that whole element
-    root = next((p for p in _above(root) if _SEMANTIC.search(p)), root)
-    return "\n".join(text for path, text, _, _ in found if path == root or path.startswith(f"{root}/"))
+    above, path = root, root
+    while path:
+        if _SEMANTIC.match(paths.step[path]):
+            above = path
+        path = paths.parent[path]
+    inside = {above: True, 0: above == 0}
 
+    def lies_inside(path: int) -> bool:
+        way = []
+        while path not in inside:
+            way.append(path)
+            path = paths.parent[path]
+        for p in way:
+            inside[p] = inside[path]
+        return inside[path]
 
-def _above(path: str) -> list[str]:
-    steps = path.split("/")
-    return ["/".join(steps[:k]) for k in range(2, len(steps) + 1)]
+    return "\n".join(text for path, text, _, _ in found if lies_inside(path))
 
 
 def extract(page: Column) -> Column:

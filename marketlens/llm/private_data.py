@@ -4,23 +4,27 @@ Base spans (e-mail, IP address, card, phone) come from fixed expressions.
 They are the seeds of the bootstrap:
 
 * instances are values: those of base spans, known with their kind, and
-  other tokens that look like identifiers (a digit, an @ or a written "at");
-* patterns are lexical contexts: the two words before, and the word before
-  with the word after;
+  other candidates that look like identifiers: runs of tokens with digits and
+  single spaces between them, tokens with an @ or a written "(at)", and
+  addresses written out with "at" and "dot";
+* patterns are lexical contexts: the word before alone, with the one before it
+  and with the word after, and the two words after;
 * an edge joins an instance to a pattern that it was seen in.
 
 Each round scores a pattern for a kind by the confidence of the instances
 of that kind against those of other kinds or shapes, and an instance by the
 patterns that hold it (noisy or).  Patterns count when they have
 ``least_support`` of confidence and a score of ``least_score``; values
-reach ``least_confidence`` by them.  Found values are spans wherever they
-occur as a token.  Only values and contexts are shuffled, never texts;
+reach ``least_confidence`` by them (equal confidence of two kinds: the first as
+listed).  Found values are spans wherever they occur as a candidate.  Only values and contexts are shuffled, never texts;
 everything is DataFrame functions, positions included: the pieces between
 matches give the offsets.
 
 Edge cases: a null text counts as empty; a text without a span has the hash
 of the empty string and an empty list; repeated rows are reported each; null
-ids are kept; an empty table gives an empty result.
+ids are kept; very long texts are read whole, their matches in runs; an empty
+table gives an empty result; further columns, whatever their names, are not
+read.
 """
 
 from __future__ import annotations
@@ -45,11 +49,12 @@ BASE = {
 }
 #: What a text must contain for an expression to be tried.
 NEEDS = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9][\x20-]?[0-9]", "phone": r"\+[0-9]"}
-TOKEN = r"(?<!\S)(?=\S*?(?:[0-9@]|[\[(]at[\])]))\S++"
-TOKEN_NEEDS = r"[0-9@]|[\[(]at[\])]"
+TOKEN = (r"(?<!\S)(?:[A-Za-z0-9._%+-]++\x20at\x20[A-Za-z0-9-]++(?:\x20dot\x20[A-Za-z0-9-]++)++"
+         r"|(?=\S*?[0-9])\S++(?:\x20(?=\S*?[0-9])\S++)*+|(?=\S*?(?:@|[\[(]at[\])]))\S++)")
+TOKEN_NEEDS = r"[0-9@]|[\[(]at[\])]|\x20dot\x20"
 #: Shapes that a token may have to be found as a kind.
 SHAPES = {
-    "email": r"^[A-Za-z0-9._%+-]+(?:@|[\[(]at[\])])[A-Za-z0-9.-]+$",
+    "email": r"^[A-Za-z0-9._%+-]+(?:@|[\[(]at[\])]|\x20at\x20)[A-Za-z0-9-]+(?:(?:\.|\x20dot\x20)[A-Za-z0-9-]+)*+$",
     "ip": r"^[0-9]{1,3}(?:[^0-9A-Za-z]{1,3}[0-9]{1,3}){3}$",
     "card": r"^(?:[0-9][^0-9A-Za-z]?){12,19}$",
     "phone": r"^[^0-9A-Za-z]?(?:[0-9][^0-9A-Za-z]{0,2}){7,15}$",
@@ -58,7 +63,7 @@ SHAPES = {
 _AT_MOST_255 = r"0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])"
 #: Matches that are placed in one go.
 _RUN = 128
-_SPAN = "array<struct<kind:int,start:int,end:int,value:string,pair:string,around:string>>"
+_SPAN = "array<struct<kind:int,start:int,end:int,value:string,patterns:array<string>>>"
 
 
 @dataclass(frozen=True)
@@ -74,15 +79,19 @@ def _word(text: Column, expression: str, group: int) -> Column:
     return F.regexp_replace(F.lower(F.regexp_extract(text, expression, group)), r"[^\p{L}]+", "")
 
 
-def _context(before: Column, after: Column) -> tuple[Column, Column]:
-    """The two patterns of a place: words before; word before and word after.
-    Null where a word without letters is among them."""
+def _context(before: Column, after: Column) -> Column:
+    """The patterns of a place; those with a word without letters are left
+    out."""
     tail, head = F.substring(before, -200, 200), F.substring(after, 1, 200)
     left2 = _word(tail, r"(\S+)\s+(\S+)\s+\S*$", 1)
     left1 = _word(tail, r"(\S+)\s+\S*$", 1)
-    right = _word(head, r"^\S*\s+(\S+)", 1)
-    return (F.when((left1 != "") & (left2 != ""), F.concat(left2, F.lit(" "), left1, F.lit(" _"))),
-            F.when((left1 != "") & (right != ""), F.concat(left1, F.lit(" _ "), right)))
+    right1 = _word(head, r"^\S*\s+(\S+)", 1)
+    right2 = _word(head, r"^\S*\s+\S+\s+(\S+)", 1)
+    return F.array_compact(F.array(
+        F.when(left1 != "", F.concat(left1, F.lit(" _"))),
+        F.when((left1 != "") & (left2 != ""), F.concat(left2, F.lit(" "), left1, F.lit(" _"))),
+        F.when((left1 != "") & (right1 != ""), F.concat(left1, F.lit(" _ "), right1)),
+        F.when((right1 != "") & (right2 != ""), F.concat(F.lit("_ "), right1, F.lit(" "), right2))))
 
 
 def matches(text: Column, expression: str, needs: str, kind: int) -> Column:
@@ -100,9 +109,8 @@ def matches(text: Column, expression: str, needs: str, kind: int) -> Column:
     def step(state: Column, place: Column) -> Column:
         value = place["value"]
         start = state["at"] + F.length(place["before"])
-        pair, around = _context(place["before"], place["after"])
         span = F.struct(F.lit(kind).alias("kind"), start.alias("start"), (start + F.length(value)).alias("end"),
-                        value.alias("value"), pair.alias("pair"), around.alias("around"))
+                        value.alias("value"), _context(place["before"], place["after"]).alias("patterns"))
         return F.struct((start + F.length(value)).alias("at"), F.concat(state["out"], F.array(span)).alias("out"))
 
     none = F.expr(f"cast(array() as {_SPAN})")
@@ -161,7 +169,7 @@ def base_spans(text: Column) -> Column:
 
 
 def _tidy(value: Column) -> Column:
-    """A token without the punctuation around it."""
+    """A candidate without the punctuation around it."""
     return F.regexp_replace(value, r"^[^A-Za-z0-9+(\[]+|[^A-Za-z0-9]+$", "")
 
 
@@ -175,11 +183,11 @@ def _edges(rows: DataFrame) -> DataFrame:
     """Distinct (pattern, value, kind): kind is null for values not known."""
     def of(column: str, kind: Column, value: Column) -> DataFrame:
         places = rows.select(F.explode(column).alias("s"))
-        return places.select(F.explode(F.array("s.pair", "s.around")).alias("pattern"), value.alias("value"), kind.alias("kind"))
+        return places.select(F.explode("s.patterns").alias("pattern"), value.alias("value"), kind.alias("kind"))
 
     known = of("base", F.col("s.kind"), F.col("s.value"))
     other = of("tokens", F.lit(None).cast("int"), _tidy(F.col("s.value")))
-    return known.unionByName(other).where(F.col("pattern").isNotNull() & (F.col("value") != "")).distinct()
+    return known.unionByName(other).where(F.col("value") != "").distinct()
 
 
 def bootstrap(edges: DataFrame, s: Settings = Settings()) -> DataFrame:

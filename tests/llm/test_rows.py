@@ -304,3 +304,70 @@ def test_stage_without_labels_keeps_documents(spark, docs_of, tmp_path):
     docs = docs_of([(1, "some text", None, "s"), (2, "12 -", None, "s"), (3, None, None, "s"), (4, "x", None, None)], str(tmp_path / "d"))
     assert sorted(r.doc_id for r in keep_identified(docs).collect()) == [1, 4]
     assert keep_identified(docs.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("name", ["inline", "inline in blocks", "quotes", "closed quotes", "nested", "lists", "comment", "cells"])
+def test_long_and_odd_pages_take_little_time(name):
+    import time
+    page = {"inline": "<div><p>text, here. " + "<b>x " * 60_000 + "</p>" * 100 + "</div>", "inline in blocks": "<b>x <p>y " * 40_000,
+            "quotes": '<a href="x' * 80_000 + "<p>text</p>", "closed quotes": '<a href="x>' * 60_000 + "<p>text</p>",
+            "nested": '<div class="a">' * 60_000 + "text, long. ", "lists": "<li>a<p>b" * 60_000, "comment": "<!-- " * 100_000,
+            "cells": "<table>" + "<tr><td>a, b." * 60_000}[name]
+    begin = time.process_time()
+    main_text(page)
+    assert time.process_time() - begin < 5
+
+
+def brute_bootstrap(edges, rounds, least_support, least_score, least_confidence, unknown_weight):
+    """(value, kind, confidence) of (pattern, value, kind) edges, plainly."""
+    from marketlens.llm.private_data import KINDS, SHAPES
+    shapes = {v: [n for n, k in enumerate(KINDS) if re.search(SHAPES[k], v)] for _, v, k in edges if k is None}
+    open_ = {(p, v, t) for p, v, k in edges if k is None for t in shapes[v]}
+    found = {}
+    for _ in range(rounds):
+        scores = {}
+        for p, t in {(p, t) for p, _, t in open_}:
+            seeds = sum(q == p and k == t for q, _, k in edges)
+            against = sum(q == p and (k != t if k is not None else t not in shapes[v]) for q, v, k in edges)
+            places = [v for q, v, u in open_ if (q, u) == (p, t)]
+            support = seeds + sum(found.get((v, t), 0) for v in places)
+            score = support / (support + against + unknown_weight * sum((v, t) not in found for v in places) + 0.25)
+            if support >= least_support and score >= least_score:
+                scores[p, t] = score
+        found = {}
+        for v, t in {(v, t) for _, v, t in open_}:
+            miss = 1.0
+            for p, w, u in open_:
+                if (w, u) == (v, t) and (p, t) in scores:
+                    miss *= 1 - scores[p, t]
+            if 1 - miss >= least_confidence:
+                found[v, t] = 1 - miss
+    best = {}
+    for (v, t), c in found.items():
+        if v not in best or (c, -t) > (best[v][1], -best[v][0]):
+            best[v] = t, c
+    return {(v, t, round(c, 9)) for v, (t, c) in best.items()}
+
+
+def test_bootstrap_equals_brute_force(spark):
+    import random
+    from marketlens.llm.private_data import bootstrap
+    rng = random.Random(3)
+    values = [f"0{k}0 555 12{k}4" for k in range(10, 30)] + [f"{k}.{k}.{k}.9" for k in range(5)] + ["jo(at)m.example", "al at m dot example", "12 34", "4111 1111 1111 1"]
+    known = [(f"p{k}@x.y", 0) for k in range(6)] + [(f"1.1.1.{k}", 1) for k in range(6)] + [(f"+49 30 55512{k}0", 3) for k in range(20)]
+    edges = {(f"w{rng.randrange(9)} _", *rng.choice(known)) for _ in range(70)} | {(f"w{rng.randrange(12)} _", rng.choice(values), None) for _ in range(70)}
+    frame = spark.createDataFrame(sorted(edges, key=str), "pattern string, value string, kind int")
+    for s in (FindSettings(), FindSettings(rounds=4, least_support=2.0, least_score=0.5, least_confidence=0.5)):
+        got = {(r.value, r.kind, round(r.confidence, 9)) for r in bootstrap(frame, s).collect()}
+        assert got == brute_bootstrap(edges, s.rounds, s.least_support, s.least_score, s.least_confidence, s.unknown_weight)
+    assert got
+
+
+def test_values_with_blanks_are_found(spark, docs_of, tmp_path):
+    rows = [(k, f"you may call us under +49 30 555 12{k}4 at any time, day or night", None, None) for k in range(8)]
+    rows += [(20 + k, f"please write to p{k}@mail.example soon, or be late", None, None) for k in range(8)]
+    rows += [(50, "you may call us under (030) 555 1234 at any time", None, None), (51, "please write to bob at example dot com soon, or be late", None, None),
+             (52, "the sum of (030) 555 1234 and more", None, None), (53, "pages 12 34 56 of it", None, None), (54, "look at example dot com", None, None)]
+    got = {r.doc_id: r.spans for r in find_documents(docs_of(rows, str(tmp_path / "d"))).collect()}
+    assert got[50] == "phone:22:36" and got[51] == "email:16:38" and got[52] == "phone:11:25" and got[53] == "" and got[54] == ""
+    assert got[0] == "phone:22:37"
