@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from marketlens.functions.dates import ts_ntz
 from marketlens.functions.money import MONEY, cents, money, money_from_cents
+from marketlens.sources.sinks import materialize
 from marketlens.sources.tables import read_table
 
 # Enum domains of the marketplace source schema.
@@ -107,21 +108,26 @@ class Marketplace:
 
     # ------------------------------------------------------------- categories
     @cached_property
-    def categories(self) -> DataFrame:
-        """Two-level tree: product type -> (type, brand).
+    def _category_ids(self) -> DataFrame:
+        """The (type, brand) vocabulary with its numbers, stored once: SKUs,
+        categories and all models over them read it instead of ``part``.
 
-        One distinct pass over (type, brand) feeds both levels; the distinct
-        vocabulary is small and bounded by the catalogue, not by the row
-        count, so numbering it with one sorted window is cheap.  The
+        The distinct vocabulary is small and bounded by the catalogue, not by
+        the row count, so numbering it with one sorted window is cheap.  The
         (type, brand) order also satisfies the type-only order, so both
         ranks share one sort.
         """
         from pyspark.sql import Window as W
         pairs = self.raw("part").select("p_type", "p_brand").distinct()
-        ranked = pairs.select(
+        return materialize(pairs.select(
             "p_type", "p_brand",
             F.dense_rank().over(W.orderBy("p_type")).cast("long").alias("root_id"),
-            (F.lit(100000) + F.dense_rank().over(W.orderBy("p_type", "p_brand"))).cast("long").alias("leaf_id"))
+            (F.lit(100000) + F.dense_rank().over(W.orderBy("p_type", "p_brand"))).cast("long").alias("leaf_id")))
+
+    @cached_property
+    def categories(self) -> DataFrame:
+        """Two-level tree: product type -> (type, brand)."""
+        ranked = self._category_ids
         created = ts_ntz("1992-01-01 00:00:00").alias("created_at")
         roots = ranked.select("root_id", "p_type").distinct().select(
             F.col("root_id").alias("id"), F.lit(None).cast("long").alias("parent_id"),
@@ -135,8 +141,8 @@ class Marketplace:
     @cached_property
     def _leaf_keys(self) -> DataFrame:
         # grouped by its key: the optimizer drops the join where nobody reads the category
-        return (self.categories.filter(F.col("parent_id").isNotNull())
-                .groupBy("name").agg(F.min("id").alias("category_id")))
+        return (self._category_ids.select(F.concat_ws(" ", "p_type", "p_brand").alias("name"), "leaf_id")
+                .groupBy("name").agg(F.min("leaf_id").alias("category_id")))
 
     # ------------------------------------------------------------------- skus
     @cached_property
