@@ -945,6 +945,24 @@ def lateral_address(spark, sf_dir):
     return _rel(spark, sf_dir).user_address()
 
 
+@register("line_units", sql(
+    """select order_id, product_id, quantity, cast(unnest(generate_series(1, quantity)) as integer) as unit_no
+        from stg_order_line_items where quantity between 1 and 3""", "stg_order_line_items"))
+def line_units(spark, sf_dir):
+    """One row per unit of small order lines: a series per row."""
+    return _rel(spark, sf_dir).small_line_units()
+
+
+@register("orders_round_robin", sql(
+    """select order_id, order_no, shop_id
+        from (select order_id, row_number() over (order by order_id) as order_no from stg_orders) o
+        join (select shop_id, row_number() over (order by shop_id) as turn, count(*) over () as n from stg_shops where shop_rating >= 4.9) s
+          on s.turn = (o.order_no - 1) % s.n + 1""", "stg_orders", "stg_shops"))
+def orders_round_robin(spark, sf_dir):
+    """Orders dealt in turn to the best-rated shops."""
+    return _rel(spark, sf_dir).orders_dealt()
+
+
 @register("order_chains", sql(
     """select order_id, min(order_id) over (partition by user_id) as first_order_id,
           row_number() over (partition by user_id order by order_id) - 1 as earlier_orders from stg_orders""", "stg_orders"))

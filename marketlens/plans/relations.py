@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from marketlens.operators.deep_tree import resolve_tree, unreachable
 from marketlens.operators.interval_join import interval_join
 from marketlens.operators.lateral import lateral_top_k
+from marketlens.operators.ordered_window import Order
 from marketlens.plans.warehouse import Warehouse
 from marketlens.sources.marketplace import MONETIZED_STATUSES
 from marketlens.sources.sinks import append_checked, materialize, read_in_order, write_sorted, write_table
@@ -65,6 +66,26 @@ class Relations:
         return lateral_top_k(users, linked, [("user_id", "owner")], [F.col("is_default").desc(), F.col("address_id")], 1,
                              fallback={"is_default": F.lit(False)}).drop("owner")
 
+    # ------------------------------------------------ series and round robin
+    def small_line_units(self, most: int = 3) -> DataFrame:
+        """A row for each unit of order lines of ``most`` units at most, as for
+        labels: a series from 1 to the quantity, per row."""
+        lines = self.wh.stg_lines.where(F.col("quantity").between(1, most))
+        return lines.select("order_id", "product_id", "quantity",
+                            F.explode(F.sequence(F.lit(1), F.col("quantity"))).alias("unit_no"))
+
+    def orders_dealt(self, least_rating: float = 4.9) -> DataFrame:
+        """Orders, by id, dealt in turn to the best-rated shops, by id: the
+        n-th order goes to shop (n - 1) mod count + 1.  Orders are numbered by
+        the distributed window; the shops that take part are few and numbered
+        by a plain one."""
+        shops = self.wh.stg_shops.where(F.col("shop_rating") >= least_rating).select("shop_id")
+        turns = materialize(shops.withColumn("turn", F.row_number().over(Window.orderBy("shop_id")).cast("long")))
+        number = turns.agg(F.count(F.lit(1))).scalar()
+        orders = self.wh._ow(self.wh.stg_orders.select("order_id"), [Order("order_id")], row_number="order_no")
+        keyed = orders.withColumn("turn", F.when(number > 0, F.pmod(F.col("order_no") - 1, F.when(number > 0, number)) + 1))
+        return keyed.join(turns, "turn").select("order_id", "order_no", "shop_id")
+
     # --------------------------------------------------------- deep chains
     def _order_links(self) -> DataFrame:
         """Every order and the one that its user placed before."""

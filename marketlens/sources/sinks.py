@@ -45,6 +45,13 @@ def new_table_path(spark: SparkSession) -> str | None:
     return f"{root.rstrip('/')}/marketlens-tables/{uuid.uuid4().hex}" if root else None
 
 
+def remove_tables(spark: SparkSession) -> bool:
+    """Delete the stored tables of this application, once nothing reads them
+    any more.  Only the application's own checkpoint folder is touched."""
+    own = spark.sparkContext.getCheckpointDir()
+    return bool(own) and remove_folder(spark, f"{own.rstrip('/')}/marketlens-tables")
+
+
 def write_table(df: DataFrame, path: str, *, partition_by: list[str] | None = None,
                 mode: str = "overwrite") -> None:
     w = df.write.mode(mode)

@@ -18,10 +18,12 @@ def main() -> None:
         raise SystemExit(__doc__)
     from marketlens.plans.build import build
     from marketlens.session import get_session
+    from marketlens.sources.sinks import remove_tables
     spark = get_session()
     written = build(spark, sys.argv[1], sys.argv[2], models=sys.argv[3:] or None)
     for name, path in written.items():
         print(f"{name}\t{path}")
+    remove_tables(spark)
 
 
 if __name__ == "__main__":

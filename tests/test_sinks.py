@@ -66,3 +66,14 @@ def test_cluster_conf_sizes_partitions():
     conf = cluster_conf(100 * 1024 ** 4)  # 100 TiB
     assert int(conf["spark.sql.shuffle.partitions"]) == 409600
     assert cluster_conf(1 << 20)["spark.sql.shuffle.partitions"] == "200"
+
+
+def test_stored_tables_can_be_removed(spark):
+    import os
+
+    from marketlens.sources.sinks import new_table_path, remove_tables
+    stored = materialize(spark.range(5).selectExpr("id"))
+    folder = os.path.dirname(new_table_path(spark)).removeprefix("file:")
+    assert stored.count() == 5 and os.path.isdir(folder)
+    assert remove_tables(spark) and not os.path.exists(folder)
+    assert materialize(spark.range(3).selectExpr("id")).count() == 3
