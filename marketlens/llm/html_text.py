@@ -10,7 +10,9 @@ their page mark the content; the deepest container that holds all of them is
 the article (the whole page where no path passes), and its paths are kept
 whole unless they lead through boilerplate (navigation, forms, scripts,
 adverts, comments and the like, by element or by a word of class, id or
-role).  Where that container lies in an ``article`` or
+role).  Of a container that is no ``article`` or ``main``, paths below the threshold
+whose text is mostly links (menus without a name) are left out, and headings
+right before its first block belong to it.  Where that container lies in an ``article`` or
 ``main`` element it is widened to the element; such an element that the values
 do not choose (a teaser, a card) decides nothing.
 
@@ -47,7 +49,12 @@ BOILERPLATE_WORDS = set("ad ads advert adverts advertisement advertising banner
                         "cookies disclaimer discussion disqus footer gdpr header masthead menu menubar modal nav navbar navigation "
                         "newsletter notice notices notification pager pagination popup promo promoted promotion reader-comments related "
                         "replies reply respond share sharing sidebar sitemap skip social sponsor sponsored subscribe subscription "
-                        "toolbar widget".split())
+                        "thread toolbar widget".split())
+#: Words beside them in a compound name.  Inside of an article a compound with
+#: any other word (``related-work``) names its subject, not its role.
+STRUCTURE_WORDS = set("area articles bar block body bottom box button buttons col column container content form group header heading "
+                      "icon icons inline inner item items left link links list main module news outer page panel post posts right row "
+                      "section site stories story text title top tools up wrap wrapper".split())
 CLOSED_BY = {"p": BLOCK, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "tbody", "tfoot"}, "td": {"td", "th", "tr"},
              "th": {"td", "th", "tr"}, "option": {"option", "optgroup"}}
 PUNCTUATION = re.compile(r"[.,;:!?…。，！？]")
@@ -60,6 +67,7 @@ _OPEN_END = re.compile(r"<(?:/?[a-zA-Z][^<>]*|/)?\Z")
 _NAME = re.compile(r"(?:^|\s)(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _SEMANTIC = re.compile(r"(article|main)(\.|\Z)")
 _BOX = re.compile(r"(div|section|body|td)(\.|\Z)")
+_HEADING = re.compile(r"h[1-6](\.|\Z)")
 _HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|/|\Z)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
 
 
@@ -75,8 +83,13 @@ def _is_boilerplate(tag: str, attributes: str, inside_article: bool) -> bool:
         return True
     words = " ".join(m[2] or m[3] or m[4] or "" for m in _NAME.finditer(attributes))
     bad = _INSIDE_WORDS if inside_article else BOILERPLATE_WORDS
-    return any(w in bad or not bad.isdisjoint(re.split(r"[-_]", w)) for w in words.lower().split()
-               if not w.startswith(("with-", "has-", "no-")))
+
+    def names_boilerplate(name: str) -> bool:
+        steps = re.split(r"[-_]+", name)
+        return not bad.isdisjoint(steps) and (not inside_article or all(
+            w in bad or w in STRUCTURE_WORDS or len(w) < 3 or w.isdigit() for w in steps))
+
+    return any(w in bad or names_boilerplate(w) for w in words.lower().split() if not w.startswith(("with-", "has-", "no-")))
 
 
 #: Open elements that a start tag may close, counted from the innermost.
@@ -243,7 +256,19 @@ def main_text(page: str, least_share: float = 0.05) -> str:
             inside[p] = inside[path]
         return inside[path]
 
-    return "\n".join(text for path, text, _, _ in found if lies_inside(path))
+    chosen = [lies_inside(path) for path, _, _, _ in found]
+    if marked and not _SEMANTIC.match(paths.step[above]):
+        length, linked = defaultdict(int), defaultdict(int)
+        for path, text, links, _ in found:
+            length[path] += len(text)
+            linked[path] += min(links, len(text))
+        menus = {p for p in values if p not in marked and 2 * linked[p] > length[p]}
+        chosen = [c and path not in menus for c, (path, _, _, _) in zip(chosen, found)]
+        first = chosen.index(True) if any(chosen) else 0
+        while first and _HEADING.match(paths.step[found[first - 1][0]]) and found[first - 1][0] not in menus:
+            first -= 1
+            chosen[first] = True
+    return "\n".join(text for c, (_, text, _, _) in zip(chosen, found) if c)
 
 
 def extract(page: Column) -> Column:

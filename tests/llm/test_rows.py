@@ -371,3 +371,18 @@ def test_values_with_blanks_are_found(spark, docs_of, tmp_path):
     got = {r.doc_id: r.spans for r in find_documents(docs_of(rows, str(tmp_path / "d"))).collect()}
     assert got[50] == "phone:22:36" and got[51] == "email:16:38" and got[52] == "phone:11:25" and got[53] == "" and got[54] == ""
     assert got[0] == "phone:22:37"
+
+
+PARAGRAPH = "The council met on Monday, and it agreed, after a long debate, to build the bridge; work begins in May."
+
+
+@pytest.mark.parametrize("page,want", [
+    ("<h1>Bridge agreed</h1><div class=story>{p}{p}</div><p>foot</p>", ["Bridge agreed", "P", "P"]),
+    ("<ul><li><a href=1>Home</a><li><a href=2>News</a></ul><h2>T</h2>{p}{p}", ["T", "P", "P"]),
+    ("<div class=thread><p>I disagree, strongly, with this, and with that.</p></div><div>{p}{p}</div>", ["P", "P"]),
+    ("<article>{p}<div class='social-history'>{p}</div><div class=related-work>{p}</div><div class='share-prices'>{p}</div></article>", ["P"] * 4),
+    ("<article>{p}<div class='share-buttons'>x</div><div class='related-articles'>{p}</div><div class='comment-list'>{p}</div></article>", ["P"]),
+    ("<p><a href=1>one</a></p><p><a href=2>two</a></p>", ["one", "two"])])
+def test_parts_are_chosen_by_their_place_and_values(page, want):
+    html = "<html><body>" + page.replace("{p}", f"<p>{PARAGRAPH}</p>") + "</body></html>"
+    assert main_text(html).split("\n") == [PARAGRAPH if w == "P" else w for w in want]
