@@ -76,8 +76,9 @@ def _bucketed_window(
     running = local.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     rank = F.struct(*rank_cols)
     before = F.lag(rank).over(local)
-    # both windows sort by bucket, partition keys, order: one exchange, one sort
-    frame = base.repartitionByRange(buckets, *composite).withColumn(_B, F.spark_partition_id()).withColumns({
+    # both windows sort by bucket, partition keys, order: one exchange, one sort,
+    # and each bucket is a partition of its own
+    frame = base.repartitionByRange(buckets, *composite).withColumn(_B, F.spark_partition_id()).repartitionById(buckets, _B).withColumns({
         _FIRST: F.lag(F.lit(True)).over(in_bucket).isNull(),
         _LAST: F.lead(F.lit(True)).over(in_bucket).isNull(),
     })
