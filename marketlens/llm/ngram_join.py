@@ -7,9 +7,11 @@ different texts of similarity ``similarity`` or more.
 2. A node's MinHash signature is cut into ``bands`` of ``rows`` values; the
    numbers are the cheapest whose expected recall at the threshold is
    ``recall`` or more.  Nodes that share a band are candidates.
-3. The band buckets are shuffled; each names its members its smallest node.
-   Connected components of these stars bring all candidates of a node
-   together.
+3. The band buckets are shuffled; each names its members its smallest node,
+   their hub.  A node keeps one edge, to the least of its hubs, and ties its
+   other hubs to that one: nodes of equal hubs give equal ties, so a large
+   group has about one edge a node however many bands it shares.  Connected
+   components of these edges bring all candidates of a node together.
 4. A component is cut into blocks of about ``block`` nodes.  Every two blocks
    meet in a task, which computes the similarity of their pairs on full
    shingle sets; every pair that reaches the threshold is a link, whether its
@@ -113,6 +115,15 @@ def shingle_set(text: Column) -> Column:
     return run(text)
 
 
+def thin_stars(stars: DataFrame) -> DataFrame:
+    """Edges (a, b) that connect what (key, hub) connect, and no more of them.
+    A key has at most a hub a band."""
+    least = F.col("hubs")[0]
+    edge = lambda hub: F.struct(least.alias("a"), F.when(hub == least, F.col("key")).otherwise(hub).alias("b"))
+    return (stars.groupBy("key").agg(F.sort_array(F.collect_set("hub")).alias("hubs"))
+            .select(F.explode(F.transform("hubs", edge)).alias("edge")).select("edge.a", "edge.b").distinct())
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) for all nodes of the undirected (a, b): root is the
     smallest node that can be reached.  Each round takes the least label of
@@ -214,9 +225,8 @@ def similar_texts(docs: DataFrame, s: Settings = Settings()) -> tuple[DataFrame,
     banded = signed.select("key", F.explode("bands").alias("bucket"))
     shared = (banded.groupBy("bucket").agg(F.min("key").alias("hub"), F.max("key").alias("last"))
               .where(F.col("hub") < F.col("last")).select("bucket", "hub"))
-    stars = (banded.join(shared, "bucket").where(F.col("key") != F.col("hub"))
-             .select(F.col("hub").alias("a"), F.col("key").alias("b")).distinct())
-    groups = components(stars).withColumnRenamed("node", "key")
+    stars = banded.join(shared, "bucket").where(F.col("key") != F.col("hub")).select("key", "hub")
+    groups = components(thin_stars(stars)).withColumnRenamed("node", "key")
 
     width = groups.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / s.block).cast("int").alias("width"))
     members = groups.join(width, "root")

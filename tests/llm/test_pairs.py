@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
+from marketlens.llm import ngram_join
 from marketlens.llm.decontamination import Items, Settings as LeakSettings, clean_stage, contaminations, edit_distance
 from marketlens.llm.fingerprints import compare_with_next, signatures
 from marketlens.llm.ngram_join import Settings, components, join_documents, keep_one
@@ -301,3 +302,14 @@ def test_verified_links_stay_without_a_common_band():
     sets = [np.arange(100, dtype=np.uint64), np.arange(10, 100, dtype=np.uint64), np.arange(50, 150, dtype=np.uint64)]
     a, b = links_between(sets, np.zeros(3, int), 0.8)
     assert list(zip(a, b)) == [(0, 1)]
+
+
+def test_edges_of_a_large_group_grow_with_its_nodes(spark, docs_of, tmp_path, monkeypatch):
+    rng = random.Random(12)
+    base = prose(rng, 300)
+    rows = [(k, changed(rng, base, 2), "en", "s") for k in range(300)]
+    docs, edges = docs_of(rows, str(tmp_path / "d")), []
+    monkeypatch.setattr(ngram_join, "components", lambda e: (edges.append(e.count()), components(e))[1])
+    got = [tuple(r) for r in join_documents(docs).collect()]
+    assert sorted(got, key=str) == brute_classes([r[:2] for r in rows])
+    assert edges[0] < 2 * len(rows)
