@@ -29,6 +29,8 @@ ADDRESS_CHECK_COLS = ["country", "region", "city", "postal_code", "address_line1
 PAYMENT_TO_ORDER_STATUS = [("captured", "paid"), ("authorized", "pending"), ("failed", "cancelled"),
                            ("cancelled", "cancelled"), ("refunded", "refunded")]
 
+#: Pairs that a task of ``sampled_pairs`` makes.
+PAIRS_PER_TASK = 20_000_000
 #: Days after which a customer's last order is placed again.
 REPEAT_DAYS = 28
 #: Days of payments that an update of stored orders takes.
@@ -225,13 +227,20 @@ class Jobs:
         ``r < pct``: the SKU side is expanded to those residues and equi-joined
         to shops on ``shop mod 100`` (plus a salt that spreads each residue
         over several tasks), so only kept pairs are ever produced.
+
+        The pairs grow with the product of the two tables, which are small
+        files of a few splits each: SKUs are dealt over as many tasks as there
+        are pairs for, ``PAIRS_PER_TASK`` each, and a task streams its pairs.
         """
         salts = 8
-        skus = self.wh.stg_skus.select("sku_id")
+        shops, skus = self.wh.stg_shops.select("shop_id"), self.wh.stg_skus.select("sku_id")
+        pairs = shops.count() * skus.count() * pct // 100
+        if pairs > PAIRS_PER_TASK:
+            skus = skus.repartition(-(-pairs // PAIRS_PER_TASK))
         res = skus.withColumn("r", F.explode(F.sequence(F.lit(0), F.lit(pct - 1)))).select(
             "sku_id", F.pmod(F.lit(71) * (F.col("r") - F.col("sku_id") * 17), F.lit(100)).alias("res"))
         res = res.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        shops = self.wh.stg_shops.select("shop_id").select(
+        shops = shops.select(
             "shop_id", F.pmod(F.col("shop_id"), F.lit(100)).alias("res"),
             F.pmod(F.floor(F.col("shop_id") / 100), F.lit(salts)).alias("salt"))
         return res.join(shops, ["res", "salt"]).select("shop_id", "sku_id")

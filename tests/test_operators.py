@@ -171,3 +171,22 @@ def test_insert_keeps_rows_with_null_keys(spark):
     incoming = spark.createDataFrame([(1, 9), (None, 3), (None, 4), (7, 5), (7, 6)], "k int, v int")
     got = insert_skip_conflict(target, incoming, ["k"], ["v"]).collect()
     assert sorted(map(tuple, got), key=str) == [(7, 5), (None, 3), (None, 4)]
+
+
+def test_sampled_pairs_are_dealt_over_tasks(spark, tmp_path, monkeypatch):
+    from marketlens.plans import jobs
+
+    def stored(column, keys):
+        spark.createDataFrame([(k,) for k in keys], f"{column} long").coalesce(1).write.parquet(str(tmp_path / column))
+        return spark.read.parquet(str(tmp_path / column))
+
+    class Frames:
+        mp = None
+        stg_shops = stored("shop_id", [*range(150), 3, None])
+        stg_skus = stored("sku_id", [*range(200), 7, None])
+
+    monkeypatch.setattr(jobs, "PAIRS_PER_TASK", 500)
+    pairs = jobs.Jobs(Frames()).sampled_pairs()
+    want = [(s, k) for s in [*range(150), 3] for k in [*range(200), 7] if (31 * s + 17 * k) % 100 < 20]
+    assert sorted(tuple(r) for r in pairs.collect()) == sorted(want)
+    assert pairs.select(F.spark_partition_id().alias("p")).distinct().count() > 4
