@@ -39,8 +39,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-# rows per bucket
-DEFAULT_ROWS_PER_BUCKET = 4_000_000
+# rows per bucket: the sort and the window buffers of one fit in the memory of a
+# task, as a window holds all rows of its partition
+DEFAULT_ROWS_PER_BUCKET = 500_000
 
 _B = "_ow_bucket"
 _FIRST = "_ow_first"

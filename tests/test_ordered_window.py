@@ -137,3 +137,10 @@ def test_hot_partition_key_spread_over_buckets(spark):
     sizes = [r["count"] for r in out.groupBy("b").count().collect()]
     assert max(sizes) <= 2 * 3000 / 12
     assert hot.agg(F.max("rn")).first()[0] == 1000
+
+
+def test_buckets_by_default_fit_a_task(spark):
+    df = spark.range(1_200_000).select(F.col("id").alias("k"), (F.col("id") * 7919 % 1000).alias("v"))
+    out = ordered_window(df, [Order("v"), Order("k")], row_number="rn", dense_rank="dr", bucket_col="b")
+    assert out.groupBy("b").count().agg(F.max("count")).first()[0] <= 600_000
+    assert out.agg(F.max("rn"), F.countDistinct("rn"), F.max("dr")).first()[:] == (1_200_000, 1_200_000, 1000)
