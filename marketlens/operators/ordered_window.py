@@ -8,11 +8,12 @@ A plain ``Window.orderBy(...)`` with no partition key plans as
 the rows.  This operator instead:
 
 1. stores the input (a Parquet table under ``spark.checkpoint.dir``), so that
-   range partitioning, which samples it, does not compute it twice;
-2. cuts it into buckets of about ``target_rows_per_bucket`` rows by Spark's
-   range partitioning on the composite order (partition keys, then order
-   keys).  The number of buckets grows with the rows; a hot value or hot
-   partition key is spread over several buckets by the tie-break columns;
+   taking a sample of it does not compute it twice;
+2. cuts it into buckets of about ``target_rows_per_bucket`` rows of the
+   composite order (partition keys, then order keys) by the bounds of a sorted
+   sample.  The number of buckets grows with the rows; a hot value or hot
+   partition key is spread over several buckets by the tie-break columns.
+   Rows know their bucket before they move, so they are shuffled once;
 3. runs the window inside each bucket (a table of one bucket ends here, as
    nothing has to be carried over) and stores the result, so that what
    follows reads the same buckets whatever happens to an executor;
@@ -42,6 +43,8 @@ from pyspark.sql import functions as F
 # rows per bucket: the sort and the window buffers of one fit in the memory of a
 # task, as a window holds all rows of its partition
 DEFAULT_ROWS_PER_BUCKET = 500_000
+# rows of the sample that the bounds of a bucket are taken from
+SAMPLE_PER_BUCKET = 100
 
 _B = "_ow_bucket"
 _FIRST = "_ow_first"
@@ -65,21 +68,55 @@ def _checkpoint(df: DataFrame) -> DataFrame:
     return materialize(df)
 
 
+def _bounds(base: DataFrame, order: list[Order], buckets: int, rows: int) -> DataFrame:
+    """A row with the first rows of all buckets but the first, in order, from
+    a sample of ``SAMPLE_PER_BUCKET`` rows a bucket.  Stored, as every row is
+    held against the same bounds."""
+    cols = list(dict.fromkeys(o.col for o in order))
+    sample = base.select(*cols).sample(min(1.0, SAMPLE_PER_BUCKET * buckets / max(rows, 1)), seed=7)
+    in_order = Window.orderBy(*_spec(order))
+    tiles = sample.withColumn("_ow_tile", F.ntile(buckets).over(in_order)).withColumn("_ow_tile0", F.lag("_ow_tile").over(in_order))
+    firsts = F.sort_array(F.collect_list(F.struct("_ow_tile", *cols)))
+    return _checkpoint(tiles.where(F.col("_ow_tile") > F.col("_ow_tile0")).agg(firsts.alias("_ow_bounds")))
+
+
+def _before(order: list[Order], bound: Column) -> Column:
+    """Whether a row comes before a bound."""
+    out = F.lit(False)
+    for o in reversed(order):
+        here, there = F.col(o.col), bound[o.col]
+        less, null = (here > there, there.isNull()) if o.desc else (here < there, here.isNull())
+        out = F.when(here.eqNullSafe(there), out).otherwise(F.coalesce(less, null))
+    return out
+
+
+def _with_bucket(base: DataFrame, order: list[Order], buckets: int, rows: int) -> DataFrame:
+    """Adds the number of bounds that a row does not come before, found by
+    halving."""
+    def further(found: Column, step: Column) -> Column:
+        bound = F.get("_ow_bounds", found + step - 1)
+        return F.when(bound.isNotNull() & ~_before(order, bound), found + step).otherwise(found)
+
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range((buckets - 1).bit_length()))])
+    known = base.crossJoin(F.broadcast(_bounds(base, order, buckets, rows)))
+    return known.select(*base.columns, F.aggregate(steps, F.lit(0), further).alias(_B))
+
+
 def _bucketed_window(
-    base: DataFrame, order_by: list[Order], pcols: list[str], rank_cols: list[str], buckets: int,
+    base: DataFrame, order_by: list[Order], pcols: list[str], rank_cols: list[str], buckets: int, rows: int,
     lag: dict[str, str], lead: dict[str, str], running_sum: dict[str, str],
 ) -> DataFrame:
     """``base`` with its bucket, flags of the bucket's first and last row and
     the window columns as they are inside the bucket."""
-    composite = _spec([Order(c) for c in pcols] + order_by)
-    in_bucket = Window.partitionBy(_B).orderBy(*composite)
+    composite = [Order(c) for c in pcols] + order_by
+    in_bucket = Window.partitionBy(_B).orderBy(*_spec(composite))
     local = Window.partitionBy(_B, *pcols).orderBy(*_spec(order_by))
     running = local.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     rank = F.struct(*rank_cols)
     before = F.lag(rank).over(local)
     # both windows sort by bucket, partition keys, order: one exchange, one sort,
     # and each bucket is a partition of its own
-    frame = base.repartitionByRange(buckets, *composite).withColumn(_B, F.spark_partition_id()).repartitionById(buckets, _B).withColumns({
+    frame = _with_bucket(base, composite, buckets, rows).repartitionById(buckets, _B).withColumns({
         _FIRST: F.lag(F.lit(True)).over(in_bucket).isNull(),
         _LAST: F.lead(F.lit(True)).over(in_bucket).isNull(),
     })
@@ -160,12 +197,13 @@ def ordered_window(
     rank_cols = list(rank_by) if rank_by is not None else [order_by[0].col]
 
     base = _checkpoint(df) if materialize else df
-    n = num_buckets or max(1, math.ceil(base.count() / (target_rows_per_bucket or DEFAULT_ROWS_PER_BUCKET)))
+    rows = base.count()
+    n = num_buckets or max(1, math.ceil(rows / (target_rows_per_bucket or DEFAULT_ROWS_PER_BUCKET)))
     if n == 1:  # no other bucket has anything to carry over
         only = plain_window(base, order_by, partition_by=pcols, rank_by=rank_cols, row_number=row_number, dense_rank=dense_rank,
                             lag=lag, lead=lead, running_sum=running_sum)
         return only.withColumn(bucket_col, F.lit(0)) if bucket_col else only
-    stored = _checkpoint(_bucketed_window(base, order_by, pcols, rank_cols, n, lag, lead, running_sum))
+    stored = _checkpoint(_bucketed_window(base, order_by, pcols, rank_cols, n, rows, lag, lead, running_sum))
     carried = _carried(stored, pcols, rank_cols, lag, lead, running_sum)
 
     # one row a bucket -> broadcast

@@ -144,3 +144,13 @@ def test_buckets_by_default_fit_a_task(spark):
     out = ordered_window(df, [Order("v"), Order("k")], row_number="rn", dense_rank="dr", bucket_col="b")
     assert out.groupBy("b").count().agg(F.max("count")).first()[0] <= 600_000
     assert out.agg(F.max("rn"), F.countDistinct("rn"), F.max("dr")).first()[:] == (1_200_000, 1_200_000, 1000)
+
+
+def test_rows_move_to_their_bucket_in_one_shuffle(spark):
+    from marketlens.operators.ordered_window import _bucketed_window
+    df = spark.createDataFrame(_data(300, 11, with_nulls=True), "k long, g long, v decimal(12,2)")
+    cut = _bucketed_window(df, [Order("v", desc=True), Order("k")], [], ["v"], 4, 300, {}, {}, {})
+    plan = cut._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") - plan.count("BroadcastExchange") == 1
+    sizes = [r["count"] for r in cut.groupBy("_ow_bucket").count().collect()]
+    assert len(sizes) == 4 and max(sizes) < 100
