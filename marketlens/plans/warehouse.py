@@ -69,6 +69,10 @@ class Warehouse:
     def _ow(self, df: DataFrame, order, **kw) -> DataFrame:
         return ordered_window(df, order, **{**self.window_opts, **kw})
 
+    def _kept(self, df: DataFrame) -> DataFrame:
+        """A frame that is read several times: computed once and stored."""
+        return materialize(df)
+
     # ============================================================ staging
     def stg(self, entity: str) -> DataFrame:
         if entity == "addresses":
@@ -224,7 +228,7 @@ class Warehouse:
             F.sum("order_revenue_amount").alias("total_revenue"),
             F.min("order_date").alias("first_order_date"),
             F.max("order_date").alias("last_order_date"))
-        agg = materialize(agg)
+        agg = self._kept(agg)
         overall = agg.select((F.sum("total_revenue").cast("double") / F.count(F.lit(1))).alias("a")).scalar()
         ranked = self._ow(agg, [Order("total_revenue", True), Order("user_id")], dense_rank="revenue_rank",
                           materialize=False)
@@ -261,7 +265,7 @@ class Warehouse:
     def rep_main_kpis_per_shop(self) -> DataFrame:
         rev = self.revenue_per_shop_exact()
         prods = self.products_per_shop_exact().drop("shop_name")
-        j = materialize(rev.join(prods, "shop_id", "left"))
+        j = self._kept(rev.join(prods, "shop_id", "left"))
         j = self._ow(j, [Order("total_products", True), Order("shop_id")], dense_rank="product_count_rank",
                      materialize=False)
         j = self._ow(j, [Order("total_revenue", True), Order("shop_id")], dense_rank="revenue_rank",

@@ -166,3 +166,17 @@ def test_model_keys_that_fail_are_counted(spark):
            for r in run_suite(frames, suite).collect() if r["failing_rows"]}
     assert bad == {("rep_payment_summary", "not_null", "provider"): 1,
                    ("rep_payment_summary", "unique_combination", "provider,payment_status"): 1}
+
+
+def test_keys_of_models_need_no_sums(spark):
+    from fixtures import warehouse
+    from marketlens.plans.build import KeyWarehouse
+    mp = warehouse(spark, orders=[dict(id=1, user_id=5)], order_line_items=[dict(id=1, order_id=1, product_id=1, sku_id=1)],
+                   shops=[dict(id=1), dict(id=1)], products=[dict(id=1, shop_id=1, sku_id=1)], categories=[dict(id=3)]).mp
+    wh = KeyWarehouse(spark, marketplace=mp)
+    for model, key, want in (("rep_main_kpis_per_shop", "shop_id", [1, 1, 1, 1]), ("revenue_per_shop", "shop_id", [1, 1]),
+                             ("category_revenue", "category_id", [3]), ("user_orders", "user_id", [5])):
+        keys = getattr(wh, model)().select(key)
+        plan = keys._jdf.queryExecution().optimizedPlan().toString()
+        assert "sum(" not in plan and "count(" not in plan, model
+        assert sorted(r[key] for r in keys.collect()) == want
