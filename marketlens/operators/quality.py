@@ -2,18 +2,26 @@
 
 Output: ``table_name, check_name, column_names, failing_rows``.
 
-``run_suite`` reads every table once, in one job with one shuffle of keys:
-
-* each row emits its keys, tagged with their domain (the columns that a key is
-  unique in, or refers to) and role (parent, or one of the children), and a
-  tag for every row check that it fails or that shows the table to be fresh.
-  Tags of all tables meet in one shuffle, summed per key in each task before
-  it, so that a hot key or a common failure is one row a task;
+``run_suite`` groups keys by domain (the columns that a key is unique in, or
+refers to), all domains in one job:
+
+* a domain's rows are its parent rows and the child and detail rows that refer
+  to it, each with its key in its own type and counters of what it is.  They
+  meet in a shuffle of that domain alone, summed per key in each task before
+  it, so that a hot key is one row a task.  No row is multiplied or carries
+  the keys of other domains, and a scan reads only the columns of its domain;
 * a key's counts then tell all of its checks at once: ``unique`` and
   ``unique_combination`` count keys with several parent rows, ``relationships``
   the child rows of keys without a parent, ``reconciliation`` the keys whose
   stored total differs from the sum of their detail rows;
-* what comes back is a row a domain and a row a row check.
+* rows that lack a part of their own key are counted by the same groups, which
+  keep null keys until the last step (filtered earlier, they would also keep
+  domains from sharing the shuffles that a table is made of), so a table with
+  one key and its ``not_null`` is computed once;
+* all other row checks and freshness are counted in a scan of the table's own
+  without a shuffle: as counters beside the keys they would be carried through
+  it with every key;
+* what comes back is a row a domain and a row a table with such checks.
 
 (``DataFrame.observe`` would count failing rows on the side, but twice where a
 task runs again after an executor is lost.)
@@ -146,9 +154,6 @@ def _domains(suite: Suite) -> list[_Domain]:
     return out
 
 
-#: Role of a parent row, of a detail row and of a row check's row; children
-#: are numbered from 0.
-_PARENT, _DETAIL, _ROW = -1, -2, -3
 _REPORT = "table_name string, check_name string, column_names string, failing_rows long"
 
 
@@ -158,84 +163,104 @@ def _amount_type(frames: dict[str, DataFrame], suite: Suite) -> str:
     return kinds.pop() if len(kinds) == 1 else "decimal(38,6)" if kinds else "decimal(1,0)"
 
 
-def _tag(df: DataFrame, kind: str, domain: int, role: int, columns: tuple[str, ...], amount: Column | None = None) -> Column:
-    """A row's key in a domain.  A single whole number is kept as such, any
-    other key becomes text."""
-    single = len(columns) == 1 and isinstance(df.schema[columns[0]].dataType, IntegralType)
-    number = F.col(columns[0]).cast("long") if single else F.lit(None).cast("long")
-    text = F.lit(None).cast("string") if single else (
-        F.col(columns[0]).cast("string") if len(columns) == 1 else F.to_json(F.struct(*columns)))
-    return F.when(_all_not_null(columns), F.struct(
-        F.lit(domain).alias("domain"), F.lit(role).alias("role"), number.alias("number"), text.alias("text"),
-        (F.lit(None) if amount is None else amount).cast(kind).alias("amount")))
-
-
-def _row_tag(kind: str, domain: int, condition: str) -> Column:
-    """Tag of a row that meets a condition; its domain is the check's own."""
-    return F.when(F.expr(condition), F.struct(
-        F.lit(domain).alias("domain"), F.lit(_ROW).alias("role"), F.lit(None).cast("long").alias("number"),
-        F.lit(None).cast("string").alias("text"), F.lit(None).cast(kind).alias("amount")))
-
-
 def _whole(frames: dict[str, DataFrame], table: str, columns: tuple[str, ...]) -> bool:
     return len(columns) == 1 and isinstance(frames[table].schema[columns[0]].dataType, IntegralType)
 
 
+def _key(df: DataFrame, columns: tuple[str, ...]) -> list[Column]:
+    """A row's key in a domain.  A single whole number is kept as such, any
+    other single column becomes text; several columns keep their types."""
+    if len(columns) > 1:
+        return [F.col(c).alias(f"key{n}") for n, c in enumerate(columns)]
+    whole = isinstance(df.schema[columns[0]].dataType, IntegralType)
+    return [F.col(columns[0]).cast("long" if whole else "string").alias("key0")]
+
+
+def _fresh(f: FreshnessCheck) -> str:
+    return f"{f.column} >= timestamp_ntz'{f.as_of}' - make_dt_interval({f.max_age_days})"
+
+
+def _domain_counts(frames: dict[str, DataFrame], d: _Domain, kind: str) -> DataFrame:
+    """A row a key of the domain, with what its checks count there; keys with
+    a null part are counted in ``absent`` alone."""
+    table, columns = d.parents[0]
+    rc = d.reconcile
+    roles: dict[tuple[str, str], int] = {}  # of the columns that refer to the domain; a parent row's is -1
+    for r in d.children:
+        if _whole(frames, r.table, (r.column,)) != _whole(frames, table, columns):
+            raise TypeError(f"{r.table}.{r.column} and {r.parent}.{r.parent_column} are of different types")
+        roles.setdefault((r.table, r.column), len(roles))
+    if rc:
+        roles.setdefault((rc.detail, rc.detail_key), len(roles))
+
+    def emit(name: str, cols: tuple[str, ...], role: int, amount: str | None) -> DataFrame:
+        amounts = [(F.lit(None) if amount is None else F.col(amount)).cast(kind).alias("amount")] if rc else []
+        return frames[name].select(*_key(frames[name], cols), F.lit(role).alias("role"), *amounts)
+
+    rows = reduce(DataFrame.unionByName, [
+        emit(table, columns, -1, rc.stored if rc else None),
+        *[emit(name, (column,), role, rc.detail_amount if rc and (name, column) == (rc.detail, rc.detail_key) else None)
+          for (name, column), role in roles.items()]])
+
+    keys, role = [f"key{n}" for n in range(len(columns))], F.col("role")
+    by_key = rows.groupBy(*keys).agg(
+        F.count_if(role == -1).alias("parents"),
+        *[F.count_if(role == roles[r.table, r.column]).alias(f"child{n}") for n, r in enumerate(d.children)],
+        *([F.max(F.when(role == -1, F.col("amount"))).alias("stored"),
+           F.sum(F.when(role == roles[rc.detail, rc.detail_key], F.col("amount"))).alias("detail")] if rc else []))
+    known, parents = _all_not_null(keys), F.col("parents")
+    differs = (parents > 0) & ~F.col("stored").eqNullSafe(F.coalesce("detail", F.lit(0))) if rc else F.lit(False)
+    counts = by_key.select(
+        F.when(known & (parents > 1), 1).otherwise(0).alias("repeated"), F.when(known & differs, 1).otherwise(0).alias("differing"),
+        *[F.when(known & (parents == 0), F.col(f"child{n}")).otherwise(0).alias(f"orphans{n}") for n in range(len(d.children))],
+        *[F.when(F.col(k).isNull(), parents).otherwise(0).alias(f"absent{n}") for n, k in enumerate(keys)])
+    return _counting(counts)
+
+
+def _counting(counts: DataFrame) -> DataFrame:
+    """The rows that count for any check: few, where most keys and rows pass."""
+    return counts.where(reduce(Column.__or__, [F.col(c) > 0 for c in counts.columns]))
+
+
 def run_suite(frames: dict[str, DataFrame], suite: Suite) -> DataFrame:
-    """Run all checks; the report has a row a check.  Every frame is computed
-    once."""
+    """Run all checks; the report has a row a check."""
     spark = next(iter(frames.values())).sparkSession
     domains, kind = _domains(suite), _amount_type(frames, suite)
-    tags: dict[str, list[Column]] = {}
-    for d in domains:
-        table, columns = d.parents[0]
-        stored = F.col(d.reconcile.stored) if d.reconcile else None
-        tags.setdefault(table, []).append(_tag(frames[table], kind, d.number, _PARENT, columns, stored))
-        for n, r in enumerate(d.children):
-            if _whole(frames, r.table, (r.column,)) != _whole(frames, table, columns):
-                raise TypeError(f"{r.table}.{r.column} and {r.parent}.{r.parent_column} are of different types")
-            tags.setdefault(r.table, []).append(_tag(frames[r.table], kind, d.number, n, (r.column,)))
-        if d.reconcile:
-            rc = d.reconcile
-            tags.setdefault(rc.detail, []).append(_tag(frames[rc.detail], kind, d.number, _DETAIL, (rc.detail_key,), F.col(rc.detail_amount)))
-    first_row = len(domains)
-    for n, c in enumerate(suite.rows):
-        tags.setdefault(c.table, []).append(_row_tag(kind, first_row + n, c.failing_sql))
-    first_fresh = first_row + len(suite.rows)
-    for n, f in enumerate(suite.freshness):
-        fresh = f"{f.column} >= timestamp_ntz'{f.as_of}' - make_dt_interval({f.max_age_days})"
-        tags.setdefault(f.table, []).append(_row_tag(kind, first_fresh + n, fresh))
-    if not tags:
+    parts = [_domain_counts(frames, d, kind) for d in domains]
+    absent = {(d.parents[0][0], c): (d.number, f"absent{n}") for d in reversed(domains) for n, c in enumerate(d.parents[0][1])}
+    found_in: dict[tuple[str, str], tuple[int, str]] = {}  # a table's condition: where its rows are counted
+    scans: dict[str, list[str]] = {}
+    for table, condition in [*[(c.table, c.failing_sql) for c in suite.rows], *[(f.table, _fresh(f)) for f in suite.freshness]]:
+        column = condition.removesuffix(" is null")
+        if column != condition and (table, column) in absent:
+            found_in[table, condition] = absent[table, column]
+        elif (table, condition) not in found_in:
+            met = scans.setdefault(table, [])
+            found_in[table, condition] = len(domains) + list(scans).index(table), f"met{len(met)}"
+            met.append(condition)
+    parts += [_counting(frames[table].select(*[F.when(F.expr(c), 1).otherwise(0).alias(f"met{n}") for n, c in enumerate(met)]))
+              for table, met in scans.items()]
+    if not parts:
         return spark.createDataFrame([], _REPORT)
-    keys = reduce(DataFrame.unionByName, [
-        frames[table].select(F.explode(F.array(*emitted)).alias("t")).where(F.col("t").isNotNull()).select("t.*") for table, emitted in tags.items()])
-
-    children = max([len(d.children) for d in domains], default=0)
-    by_key = keys.groupBy("domain", "number", "text").agg(
-        F.count_if(F.col("role") == _ROW).alias("rows"), F.count_if(F.col("role") == _PARENT).alias("parents"),
-        F.max(F.when(F.col("role") == _PARENT, F.col("amount"))).alias("stored"),
-        F.sum(F.when(F.col("role") == _DETAIL, F.col("amount"))).alias("detail"),
-        *[F.count_if(F.col("role") == n).alias(f"child{n}") for n in range(children)])
-    differs = (F.col("parents") > 0) & ~F.col("stored").eqNullSafe(F.coalesce("detail", F.lit(0)))
-    found = by_key.groupBy("domain").agg(
-        F.sum("rows").alias("rows"), F.count_if(F.col("parents") > 1).alias("repeated"), F.count_if(differs).alias("differing"),
-        *[F.sum(F.when(F.col("parents") == 0, F.col(f"child{n}")).otherwise(0)).alias(f"orphans{n}") for n in range(children)]).collect()
-    by_domain = {r["domain"]: r for r in found}
-
-    def rows(domain: int) -> int:
-        return by_domain[domain]["rows"] if domain in by_domain else 0
-
-    report = [(c.table, c.check, c.columns, rows(first_row + n)) for n, c in enumerate(suite.rows)]
+    names = list(dict.fromkeys(c for p in parts for c in p.columns))
+    sums = [p.select(F.lit(n).alias("part"), *[(F.col(c) if c in p.columns else F.lit(None)).cast("long").alias(c) for c in names])
+            for n, p in enumerate(parts)]
+    found = reduce(DataFrame.unionByName, sums).groupBy("part").agg(*[F.sum(c).alias(c) for c in names]).collect()
+    by_part = {r["part"]: r for r in found}
+
+    def count(part: int, column: str) -> int:
+        return by_part[part][column] if part in by_part else 0
+
+    report = [(c.table, c.check, c.columns, count(*found_in[c.table, c.failing_sql])) for c in suite.rows]
     for d in domains:
-        r = by_domain.get(d.number)
         if d.unique:
-            report.append((d.unique.table, d.unique.check, ",".join(d.unique.columns), r["repeated"] if r else 0))
-        report += [(c.table, "relationships", f"{c.column}->{c.parent}.{c.parent_column}", r[f"orphans{n}"] if r else 0)
+            report.append((d.unique.table, d.unique.check, ",".join(d.unique.columns), count(d.number, "repeated")))
+        report += [(c.table, "relationships", f"{c.column}->{c.parent}.{c.parent_column}", count(d.number, f"orphans{n}"))
                    for n, c in enumerate(d.children)]
         if d.reconcile:
             rc = d.reconcile
-            report.append((rc.table, "reconciliation", f"{rc.stored}=sum({rc.detail}.{rc.detail_amount})", r["differing"] if r else 0))
-    report += [(f.table, "freshness", f.column, int(not rows(first_fresh + n))) for n, f in enumerate(suite.freshness)]
+            report.append((rc.table, "reconciliation", f"{rc.stored}=sum({rc.detail}.{rc.detail_amount})", count(d.number, "differing")))
+    report += [(f.table, "freshness", f.column, int(not count(*found_in[f.table, _fresh(f)]))) for f in suite.freshness]
     return spark.createDataFrame(report, _REPORT)
 
 

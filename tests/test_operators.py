@@ -159,6 +159,31 @@ def test_quality_suite_counts_failures(spark):
     assert sql_rows == got
 
 
+def test_quality_suite_neither_multiplies_rows_nor_rounds_keys(spark, monkeypatch):
+    plans = []
+    kind = type(spark.range(1))
+    collect = kind.collect
+
+    def recorded(df):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return collect(df)
+
+    a = spark.createDataFrame([(1, T0, 5), (1, T0 + dt.timedelta(microseconds=1), -1), (2, T0, 3), (2, T0, 3), (None, T0, 7)],
+                              "id long, at timestamp_ntz, qty int")
+    b = spark.createDataFrame([(1, 2), (9, 9), (9, None), (None, None)], "aid long, other long")
+    suite = Suite(rows=[not_null("a", "id"), not_null("b", "other"), constraint("a", "qty", "qty > 0")],
+                  uniques=[UniqueCheck("a", ("id",)), UniqueCheck("a", ("id", "at"))],
+                  relationships=[RelationshipCheck("b", "aid", "a", "id"), RelationshipCheck("b", "other", "a", "id")])
+    monkeypatch.setattr(kind, "collect", recorded)
+    report = run_suite({"a": a, "b": b}, suite)
+    monkeypatch.undo()
+    assert plans and not any("explode" in p for p in plans)
+    got = {(r["table_name"], r["check_name"], r["column_names"]): r["failing_rows"] for r in report.collect()}
+    assert got == {("a", "not_null", "id"): 1, ("b", "not_null", "other"): 2, ("a", "row_constraint", "qty"): 1,
+                   ("a", "unique", "id"): 2, ("a", "unique_combination", "id,at"): 1,
+                   ("b", "relationships", "aid->a.id"): 2, ("b", "relationships", "other->a.id"): 1}
+
+
 def test_update_from_refuses_two_source_rows_of_a_key(spark):
     target = spark.createDataFrame([(1, 2), (5, 6)], "k int, v int")
     source = spark.createDataFrame([(1, 3), (1, 4)], "k int, v int")
