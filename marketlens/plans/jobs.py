@@ -7,6 +7,7 @@ and a repeated order is dated by the order that it repeats.
 
 from __future__ import annotations
 
+import math
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
@@ -31,6 +32,8 @@ PAYMENT_TO_ORDER_STATUS = [("captured", "paid"), ("authorized", "pending"), ("fa
 
 #: Pairs that a task of ``sampled_pairs`` makes.
 PAIRS_PER_TASK = 20_000_000
+#: Ids of a block of ``sampled_pairs``.
+BLOCK_IDS = 256
 #: Days after which a customer's last order is placed again.
 REPEAT_DAYS = 28
 #: Days of payments that an update of stored orders takes.
@@ -221,26 +224,47 @@ class Jobs:
     def sampled_pairs(self, pct: int = 20) -> DataFrame:
         """Offers for a deterministic ``pct``% sample of (shop, SKU) pairs.
 
-        A pair is kept when ``(31*shop + 17*sku) mod 100 < pct``.  Since 31 is
-        invertible mod 100 (31 * 71 = 2201), the kept shops of a SKU are
-        exactly those with ``shop mod 100 = 71 * (r - 17*sku) mod 100`` for
-        ``r < pct``: the SKU side is expanded to those residues and equi-joined
-        to shops on ``shop mod 100`` (plus a salt that spreads each residue
-        over several tasks), so only kept pairs are ever produced.
-
-        The pairs grow with the product of the two tables, which are small
-        files of a few splits each: SKUs are dealt over as many tasks as there
-        are pairs for, ``PAIRS_PER_TASK`` each, and a task streams its pairs.
+        A pair is kept when ``(31*shop + 17*sku) mod 100 < pct``, which the
+        classes of the two ids mod 100 decide.  The pairs grow with the
+        product of the two tables, so neither is multiplied row by row: shops
+        and SKUs are dealt evenly, whatever their ids, along the sides of a
+        grid whose cells have ``PAIRS_PER_TASK`` pairs, a task each.  The ids
+        of a part and class make blocks of ``BLOCK_IDS`` at most, which are
+        sent to the cells of their part and joined there by class: only kept
+        pairs are ever produced, and what is shuffled grows with the number
+        of cells times the side of one, not with the pairs.
+
+        A task streams its pairs block by block, so in a file one column stays
+        the same for a block and the other repeats a block's few ids.
         """
-        salts = 8
         shops, skus = self.wh.stg_shops.select("shop_id"), self.wh.stg_skus.select("sku_id")
-        pairs = shops.count() * skus.count() * pct // 100
-        if pairs > PAIRS_PER_TASK:
-            skus = skus.repartition(-(-pairs // PAIRS_PER_TASK))
-        res = skus.withColumn("r", F.explode(F.sequence(F.lit(0), F.lit(pct - 1)))).select(
-            "sku_id", F.pmod(F.lit(71) * (F.col("r") - F.col("sku_id") * 17), F.lit(100)).alias("res"))
-        res = res.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        shops = shops.select(
-            "shop_id", F.pmod(F.col("shop_id"), F.lit(100)).alias("res"),
-            F.pmod(F.floor(F.col("shop_id") / 100), F.lit(salts)).alias("salt"))
-        return res.join(shops, ["res", "salt"]).select("shop_id", "sku_id")
+        n_shops, n_skus = shops.count(), skus.count()
+        tasks = max(1, -(-n_shops * n_skus * pct // (100 * PAIRS_PER_TASK)))
+        shop_parts = min(tasks, max(1, math.ceil(math.sqrt(tasks * n_shops / max(1, n_skus)))))
+        sku_parts = -(-tasks // shop_parts)
+        cells = shop_parts * sku_parts
+
+        def blocks(ids: DataFrame, name: str, parts: int) -> DataFrame:
+            key = F.col(f"{name}_id")
+            dealt = ids.where(key.isNotNull()).select(
+                F.pmod(F.monotonically_increasing_id(), F.lit(parts)).alias(f"{name}_part"),
+                F.pmod(key, F.lit(100)).alias(f"{name}_class"), key)
+            lists = dealt.groupBy(f"{name}_part", f"{name}_class").agg(F.collect_list(key).alias("ids"))
+            starts = F.sequence(F.lit(1), F.size("ids"), F.lit(BLOCK_IDS))
+            cut = F.transform(starts, lambda i: F.slice("ids", i, F.lit(BLOCK_IDS)))
+            return lists.select(f"{name}_part", f"{name}_class", F.explode(cut).alias(f"{name}_ids"))
+
+        def sent(side: DataFrame, other: str, parts: int) -> DataFrame:
+            each = side.withColumn(f"{other}_part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+            cell = (F.col("shop_part") * sku_parts + F.col("sku_part")).cast("int")
+            return each.withColumn("cell", cell).drop("shop_part", "sku_part").repartitionById(cells, "cell")
+
+        shop_blocks = sent(blocks(shops, "shop", shop_parts), "sku", sku_parts)
+        sku_blocks = sent(blocks(skus, "sku", sku_parts), "shop", shop_parts)
+        # a cell is bounded, but the planner's estimate does not count how often blocks are sent: no broadcast
+        kept = F.pmod(31 * F.col("shop_class") + 17 * F.col("sku_class"), F.lit(100)) < pct
+        joined = sku_blocks.join(shop_blocks.hint("shuffle_hash"), "cell").where(kept)
+        # compiled code holds all rows that come of one input row; coalesce, here to as many tasks, ends
+        # it between the two explodes, so that these are the rows of one block and not all pairs of several
+        lists = joined.select("shop_ids", F.explode("sku_ids").alias("sku_id")).coalesce(cells)
+        return lists.select(F.explode("shop_ids").alias("shop_id"), "sku_id")

@@ -215,3 +215,46 @@ def test_sampled_pairs_are_dealt_over_tasks(spark, tmp_path, monkeypatch):
     want = [(s, k) for s in [*range(150), 3] for k in [*range(200), 7] if (31 * s + 17 * k) % 100 < 20]
     assert sorted(tuple(r) for r in pairs.collect()) == sorted(want)
     assert pairs.select(F.spark_partition_id().alias("p")).distinct().count() > 4
+
+
+def rows_shuffled(df):
+    """Rows that the exchanges of a collected frame have written."""
+    def walk(node):
+        name = node.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            return walk(node.executedPlan())
+        if name.endswith("QueryStageExec"):
+            return walk(node.plan())
+        own = node.metrics().apply("shuffleRecordsWritten").value() if name == "ShuffleExchangeExec" else 0
+        return own + sum(walk(node.children().apply(i)) for i in range(node.children().size()))
+    return walk(df._jdf.queryExecution().executedPlan())
+
+
+def test_sampled_pairs_shuffle_ids_not_multiplied_rows(spark, monkeypatch):
+    from marketlens.plans import jobs
+
+    def pairs_of(shops, skus):
+        class Frames:
+            mp = None
+            stg_shops = spark.createDataFrame([(k,) for k in shops], "shop_id long")
+            stg_skus = spark.createDataFrame([(k,) for k in skus], "sku_id long")
+
+        pairs = jobs.Jobs(Frames()).sampled_pairs()
+        want = [(s, k) for s in shops for k in skus if None not in (s, k) and (31 * s + 17 * k) % 100 < 20]
+        assert sorted(tuple(r) for r in pairs.collect()) == sorted(want)
+        return pairs
+
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        ids = [*range(300)]
+        assert rows_shuffled(pairs_of(ids, ids)) < 10 * 600
+        # all of a class, in many blocks and cells; ids that repeat or are null; no ids
+        monkeypatch.setattr(jobs, "BLOCK_IDS", 7)
+        monkeypatch.setattr(jobs, "PAIRS_PER_TASK", 400)
+        pairs_of([*range(0, 6000, 100), 300, 300, None], [*range(0, 5000, 100), *[700] * 30, None])
+        pairs_of([1], [*range(500)])
+        pairs_of([*range(500)], [2])
+        pairs_of([], [1, 2])
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
